@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from sorrel.llm.decontamination import op10_decontamination
+from sorrel.llm.lines import OP5_SQL, op5_line_dedup
 from sorrel.llm.packing import op8_concatenate_and_cut
+from sorrel.llm.quality import op3_line_first_quality
 from sorrel.llm.sharding import op9_consistent_hash_shards
 from sorrel.llm.simhash import op6_simhash_pigeonring
 from sorrel.llm.substrings import op1_substring_dedup
 from sorrel.llm.token_files import op7_flat_token_files
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op6_simhash_pigeonring, op7_flat_token_files, op8_concatenate_and_cut, op9_consistent_hash_shards, op10_decontamination)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_line_first_quality, op5_line_dedup, op6_simhash_pigeonring, op7_flat_token_files, op8_concatenate_and_cut, op9_consistent_hash_shards, op10_decontamination)}
+ORACLE_SQL = {"op5_line_dedup": OP5_SQL}
