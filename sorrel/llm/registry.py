@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from sorrel.llm.decontamination import op10_decontamination
+from sorrel.llm.licences import op4_licence_classifier
 from sorrel.llm.lines import OP5_SQL, op5_line_dedup
 from sorrel.llm.packing import op8_concatenate_and_cut
 from sorrel.llm.quality import op3_line_first_quality
@@ -12,5 +13,5 @@ from sorrel.llm.simhash import op6_simhash_pigeonring
 from sorrel.llm.substrings import op1_substring_dedup
 from sorrel.llm.token_files import op7_flat_token_files
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_trigram_secret_scan, op3_line_first_quality, op5_line_dedup, op6_simhash_pigeonring, op7_flat_token_files, op8_concatenate_and_cut, op9_consistent_hash_shards, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_trigram_secret_scan, op3_line_first_quality, op4_licence_classifier, op5_line_dedup, op6_simhash_pigeonring, op7_flat_token_files, op8_concatenate_and_cut, op9_consistent_hash_shards, op10_decontamination)}
 ORACLE_SQL = {"op2_trigram_secret_scan": OP2_SQL, "op5_line_dedup": OP5_SQL}
