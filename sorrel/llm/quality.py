@@ -13,6 +13,9 @@ NAVIGATION = ("home", "next", "previous", "back to top", "read more", "click her
 BOILERPLATE = ("lorem ipsum", "cookie policy", "privacy policy", "terms of use", "terms of service", "all rights reserved", "use of cookies", "enable javascript", "subscribe to our newsletter")
 
 
+RESULT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lines_failed", "lost_chars", "clean_text", "kept")
+
+
 def _lines(text):
     return F.split(text, "\n", -1)
 
@@ -21,7 +24,7 @@ def _words(text):
     return F.expr(f"filter(split({text}, r'[\\x20\\x09-\\x0D]+', -1), x -> x != '')")
 
 
-def base_measures(docs: DataFrame, text: str = "_text", prefix: str = "") -> DataFrame:
+def base_measures(docs: DataFrame, text: str = "_text") -> DataFrame:
     """Add n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of the text column."""
     words = docs.withColumn("_words", _words(text))
     lines = F.filter(_lines(F.col(text)), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -60,14 +63,16 @@ def judge(docs: DataFrame, min_words: int = 20, most_repeated: float = 30.0, mos
 
     Null and empty texts have no words and fail. Repeated rows are judged alike. Columns of `docs` that bear a name of the result's are replaced; an empty table gives an empty result.
     """
-    rows = docs.drop("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "lines_failed", "lost_chars", "clean_text", "kept")
-    rows = base_measures(rows.withColumn("_text", F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    own = [c for c in docs.columns if c not in RESULT]
+    rows = base_measures(docs.select(*own).withColumn("_text", F.coalesce(F.col("text").cast("string"), F.lit(""))))
     rows = rows.withColumn("_bad", F.filter("_lines", bad_line))
     rows = rows.withColumn("clean_text", F.when(F.size("_bad") == 0, F.col("_text")).otherwise(F.array_join(F.filter(_lines(F.col("_text")), lambda x: ~F.array_contains("_bad", x)), "\n")))
     rows = rows.withColumn("lost_chars", F.length(F.regexp_replace(F.array_join("_bad", ""), r"[\x20\x09-\x0D]+", "")).cast("long"))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     rows = rows.withColumns({"base_failed": failed, "lines_failed": F.size("_bad").cast("long")})
-    return rows.withColumn("kept", ~F.col("base_failed") & (100 * F.col("lost_chars") <= most_lost * F.col("word_chars"))).drop("_text", "_lines", "_bad")
+    rows = rows.withColumn("kept", ~F.col("base_failed") & (100 * F.col("lost_chars") <= most_lost * F.col("word_chars")))
+    # generated columns: a filter on them stays above, and so doesn't repeat the measures within one another
+    return rows.select(*own, F.explode(F.array(F.struct(*RESULT))).alias("_judged")).select(*own, "_judged.*")
 
 
 def op3_line_first_quality(spark, sf_dir: str) -> DataFrame:
