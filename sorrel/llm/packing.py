@@ -25,7 +25,7 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         for batch in batches:
             texts = strings(batch.column(1))
             lengths = np.diff(np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]) if len(texts) else np.zeros(0, np.int64)
-            for a, b in slices(lengths, 4_000_000):
+            for a, b in slices(lengths, 1_000_000):
                 ids, counts = enc.encode([x.encode() for x in texts[a:b].to_pylist()], end_id)
                 starts = np.cumsum(counts) - counts
                 blob = ids.astype("<u4").tobytes()

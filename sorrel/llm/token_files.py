@@ -50,7 +50,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                 bin_out = fs.open_output_stream(f"{root}/{name}.bin")
             texts = strings(batch.column(1))
             lengths = np.diff(np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1])
-            for a, b in slices(lengths, 4_000_000):
+            for a, b in slices(lengths, 1_000_000):
                 flat, n = enc.encode([x.encode() for x in texts[a:b].to_pylist()], end_id)
                 if len(flat) and int(flat.max()) >= 1 << (8 * width):
                     raise ValueError(f"an id doesn't fit in {width} bytes")
