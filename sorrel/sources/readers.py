@@ -34,19 +34,22 @@ def numbered(df: DataFrame, first: int = 1) -> DataFrame:
     return meta.join(starts, ["_f", "_b"]).withColumn("src_row", F.col("_before") + F.col("_i") - F.col("_first") + first).drop("_f", "_b", "_i", "_n", "_first", "_before")
 
 
-def table(spark: SparkSession, path: str, required: tuple[str, ...] | None = None, exact: bool = False) -> DataFrame:
-    """A tab-separated table as text columns and src_row; empty cells are empty text, NA stays NA, and ragged rows are kept in _corrupt."""
+def table(spark: SparkSession, path: str, required: tuple[str, ...] | None = None, exact: bool = False, ragged: bool = True) -> DataFrame:
+    """A tab-separated table as text columns and src_row; empty cells are empty text, NA stays NA, and ragged rows are kept in _corrupt.
+
+    Ragged rows show only if whole rows are parsed; without `ragged` the parser skips columns that aren't asked for.
+    """
     with open(path, encoding="utf-8") as f:
         header = f.readline().rstrip("\r\n").split("\t")
     if len(set(header)) != len(header) or (exact and tuple(header) != required) or (required and not set(required) <= set(header)):
         raise SchemaError(f"{path} has the columns {header}")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, "_corrupt")])
-    rows = spark.read.schema(schema).csv(path, sep="\t", header=True, quote='"', escape='"', nullValue="\x00", emptyValue="", mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt")
-    return numbered(rows).select(*[F.coalesce(c, F.lit("")).alias(c) for c in header], "_corrupt", "src_row")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, *["_corrupt"] * ragged)])
+    rows = spark.read.options(sep="\t", header=True, quote='"', escape='"', nullValue="\x00", emptyValue="", mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", columnPruning=not ragged).schema(schema).csv(path)
+    return numbered(rows).select(*[F.coalesce(c, F.lit("")).alias(c) for c in header], *["_corrupt"] * ragged, "src_row")
 
 
-def associations(spark: SparkSession, path: str) -> DataFrame:
-    return table(spark, path, COLUMNS, exact=True)
+def associations(spark: SparkSession, path: str, ragged: bool = True) -> DataFrame:
+    return table(spark, path, COLUMNS, exact=True, ragged=ragged)
 
 
 def analysis(rows: DataFrame) -> DataFrame:
