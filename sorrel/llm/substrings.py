@@ -61,6 +61,37 @@ class _Shard:
         return places, windows(self.words, self.n)[places], windows(self.words, self.n, second=True)[places]
 
 
+def _occurrences(s: _Shard, places: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """Last words of all occurrences, in all documents of the shard, of the phrases that start at `places`, unless the document's id is their owner's.
+
+    The phrases' words are numbered and spelled in digits (the first digit of a word is told from the others, and any other word is a letter of its own), as
+    the automaton is quick only over a small alphabet.
+    """
+    known, number = np.unique(s.words[(places[:, None] + np.arange(s.n)).ravel()], return_inverse=True)
+    digits = max(1, -(-int(len(known) - 1).bit_length() // 6))
+    spelled = ((np.arange(len(known))[:, None] >> (6 * np.arange(digits))) & 63).astype(np.uint8)
+    spelled[:, 0] |= 128
+    automaton = ahocorasick.Automaton()
+    phrases = spelled[number.reshape(-1, s.n)].reshape(len(places), -1)
+    for phrase, owner in zip(phrases, owners.tolist(), strict=True):
+        automaton.add_word(phrase.tobytes().decode("latin-1"), owner)
+    automaton.make_automaton()
+    found = []
+    for first, count, doc_id in zip(s.first.tolist(), s.counts.tolist(), s.id.tolist(), strict=True):
+        if count < s.n:
+            continue
+        words = s.words[first : first + count]
+        at = np.minimum(np.searchsorted(known, words), len(known) - 1)
+        is_known = known[at] == words
+        size = np.where(is_known, digits, 1)
+        letters = np.full(int(size.sum()), 255, np.uint8)
+        letters[np.repeat(is_known, size)] = spelled[at[is_known]].ravel()
+        ends = [end for end, owner in automaton.iter(letters.tobytes().decode("latin-1")) if owner < doc_id]
+        if ends:
+            found.append(first + np.searchsorted(np.cumsum(size), np.array(ends), side="right"))
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
 def _split(bucket_of: np.ndarray, n: int):
     """(bucket, first, past the last) of values in bucket order."""
     cuts = np.searchsorted(bucket_of, np.arange(n + 1))
@@ -89,9 +120,8 @@ def sharded(docs: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // shard_bytes))
-    ids = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id")).repartitionByRange(n, "id")
-    least = [r[0] for r in ids.groupBy(F.spark_partition_id()).agg(F.min("id")).collect()]  # a number for each shard
-    bounds = np.sort(np.array(least, np.int64))[1:]
+    cuts = rows.agg(F.percentile_approx(F.coalesce("doc_id", F.lit(NO_ID)), [i / n for i in range(1, n)] or [0.5], max(10_000, 20 * n))).first()[0] if n > 1 else []
+    bounds = np.unique(np.array(cuts or [], np.int64)) + 1  # a number for each shard
 
     @F.pandas_udf("int")
     def shard_of(doc_id):
@@ -103,7 +133,7 @@ def sharded(docs: DataFrame, shard_bytes: int) -> tuple[DataFrame, int]:
     return rows.withColumn("shard", shard_of(F.coalesce("doc_id", F.lit(NO_ID)))).repartition(parts, "shard"), n
 
 
-def dedup_substrings(docs: DataFrame, n: int = 13, shard_bytes: int = 12_000_000) -> DataFrame:
+def dedup_substrings(docs: DataFrame, n: int = 13, shard_bytes: int = 6_000_000, bucket_bytes: int = 24_000_000) -> DataFrame:
     """Remove every word that is covered by n consecutive words which also start in a document with a smaller doc_id.
 
     Returns doc_id, n_words, n_removed, removed (word ranges, end exclusive) and kept_text (kept words joined by one space).
@@ -119,7 +149,7 @@ def dedup_substrings(docs: DataFrame, n: int = 13, shard_bytes: int = 12_000_000
     another. Texts of fewer than n words stay as they are. An empty table gives an empty result. Other columns are ignored.
     """
     rows, n_shards = sharded(docs, shard_bytes)
-    n_buckets = n_shards
+    n_buckets = max(1, n_shards * shard_bytes // bucket_bytes)
 
     def anchors(table: pa.Table) -> pa.Table:
         s, shard = _Shard(table, n), table.column("shard")[0].as_py()
@@ -185,17 +215,9 @@ def dedup_substrings(docs: DataFrame, n: int = 13, shard_bytes: int = 12_000_000
         needed = (since % n == 0) | np.append(begins[1:], True)[: len(places)]
         covered = np.zeros(len(s.words) + 1, np.int32)
         if len(places):
-            letters = np.unique(s.words, return_inverse=True)[1]
-            automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-            for p, o in zip(places[needed].tolist(), least[needed].tolist(), strict=True):
-                automaton.add_word(tuple(letters[p : p + n].tolist()), o)
-            automaton.make_automaton()
-            found = []
-            for first, count, doc_id in zip(s.first.tolist(), s.counts.tolist(), s.id.tolist(), strict=True):
-                if count >= n:
-                    found += [first + end for end, o in automaton.iter(tuple(letters[first : first + count].tolist())) if o < doc_id]
-            np.add.at(covered, np.array(found, np.int64) - n + 1, 1)
-            np.add.at(covered, np.array(found, np.int64) + 1, -1)
+            ends = _occurrences(s, places[needed], least[needed])
+            np.add.at(covered, ends - n + 1, 1)
+            np.add.at(covered, ends + 1, -1)
         gone = np.cumsum(covered[:-1]) > 0
         removed = np.add.reduceat(np.append(gone, False), np.minimum(s.first, len(gone)), dtype=np.int64) * (s.counts > 0) if len(s.counts) else s.counts
         kept, spans = [], []

@@ -42,7 +42,7 @@ def runs(values: np.ndarray, base: np.uint64, starts: np.ndarray, ends: np.ndarr
     return mixed((sums[ends] - sums[starts]) * back[starts])
 
 
-def word_hashes(texts: pa.LargeStringArray, breaks: np.ndarray = SPACE, most: int = 2_000_000) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: pa.LargeStringArray, breaks: np.ndarray = SPACE, most: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word of all texts in a row, words in each text); words are runs of bytes that aren't in `breaks`."""
     if not len(texts):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
