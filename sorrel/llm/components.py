@@ -11,9 +11,10 @@ from sorrel.llm.common import written
 def _stars(edges: DataFrame) -> DataFrame:
     """One round: every node's larger neighbours, then all its neighbours, are tied to the smallest one near it."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-    least = large.groupBy("u").agg(F.min("v").alias("m"))
+    # written tables, so that the joins aren't bound to the aggregates' partitions and hot nodes may be split
+    least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+    large = written(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+    least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
     small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return small.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 

@@ -143,10 +143,13 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3) -> DataF
     component: one of only null ids has a null component_id. Repeated rows each have their row. An empty table gives an empty result. Other columns are ignored.
     """
     fp = written(fingerprints(docs, shingle), "fingerprints")
-    roots = connected_components(links(fp.select("fp").distinct(), radius))
-    tied = fp.join(roots, fp.fp == roots.node, "left").select("doc_id", "fp", F.coalesce("root", "fp").alias("root"))
-    least = tied.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return tied.join(least, "root").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    distinct = fp.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = connected_components(links(distinct.select("fp"), radius))
+    tied = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    # a written table, so that the join with a large component isn't bound to the aggregate's partitions and may be split
+    component = written(tied.groupBy("root").agg(F.min("least").alias("component_id")), "components")
+    of_fp = tied.select("fp", "root").join(component, "root").select("fp", "component_id")
+    return fp.join(of_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op6_simhash_pigeonring(spark, sf_dir: str) -> DataFrame:
