@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sorrel.llm.common import documents
+from sorrel.llm.common import documents, written
 
 #: A key's documents are sorted in this many ranges of doc_id, so a line that a third of all documents share is spread over as many groups.
 RANGES = 16
@@ -42,6 +42,7 @@ def line_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     span = sum((F.when(F.col("doc_id") > c, 1).otherwise(0) for c in sorted(set(cuts))), F.lit(0))
     lines = rows.select("doc_id", span.cast("byte").alias("span"), F.xxhash64("text").alias("text_hash"), F.posexplode(_split(F.col("text"))).alias("pos", "line")).select("doc_id", "span", "text_hash", "pos", line_key(F.col("line")).alias("key"))
     lines = lines.where(F.length("key") >= min_chars).select(F.xxhash64("key").alias("h"), F.xxhash64(F.lit(17), "key").alias("h2"), "span", "doc_id", "text_hash", "pos")
+    lines = written(lines, "line-hashes")  # dealing out by range reads its input twice
 
     key = ["h", "h2", "span"]
     streamed = lines.repartitionByRange(n, "h", "span").withColumn("first", F.min("doc_id").over(Window.partitionBy(*key).orderBy("doc_id", "pos")))
