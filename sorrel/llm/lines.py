@@ -60,12 +60,15 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     Keys of at least `min_chars` characters that two or more documents hold lose all their lines but those of the smallest doc_id. Null and empty
     texts are one empty line. Other lines stay as they are. Columns of `docs` that bear a name of the result's are replaced. An empty table gives an empty result.
     """
-    maps = line_bitmaps(docs, min_chars).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("n_dropped").alias("_n"), F.col("dropped").alias("_dropped"))
-    rows = docs.drop("n_lines", "n_dropped", "kept_text")
-    rows = rows.withColumns({"_key": F.col("doc_id").cast("long"), "_text_hash": F.xxhash64(_text())})
-    joined = rows.join(maps, (F.col("_key") == F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left")
-    keep = F.filter(_split(_text()), lambda _, i: F.coalesce(F.try_element_at("_dropped", F.shiftright(i, 6)), F.lit(0)).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), i.bitwiseAND(63))) == 0)
-    return joined.withColumns({"n_lines": F.size(_split(_text())).cast("long"), "n_dropped": F.coalesce("_n", F.lit(0)).cast("long"), "kept_text": F.when(F.col("_n").isNull(), _text()).otherwise(F.array_join(keep, "\n"))}).drop("_key", "_text_hash", "_id", "_hash", "_n", "_dropped")
+    maps = line_bitmaps(docs, min_chars)
+    own = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "kept_text")]
+    # the documents' columns travel in one struct, so their names meet no others
+    rows = docs.select(F.struct(*own).alias("row"), F.col("doc_id").cast("long").alias("key"), F.xxhash64(_text()).alias("hash"))
+    joined = rows.join(maps, (F.col("key") == F.col("doc_id")) & (F.col("hash") == F.col("text_hash")), "left")
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    keep = F.filter(_split(text), lambda _, i: F.coalesce(F.try_element_at("dropped", F.shiftright(i, 6)), F.lit(0)).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), i.bitwiseAND(63))) == 0)
+    result = [F.size(_split(text)).cast("long").alias("n_lines"), F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"), F.when(F.col("n_dropped").isNull(), text).otherwise(F.array_join(keep, "\n")).alias("kept_text")]
+    return joined.select("row", *result).select(*[F.col("row").getField(c).alias(c) for c in own], "n_lines", "n_dropped", "kept_text")
 
 
 def op5_line_dedup(spark, sf_dir: str) -> DataFrame:

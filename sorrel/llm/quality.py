@@ -64,7 +64,8 @@ def judge(docs: DataFrame, min_words: int = 20, most_repeated: float = 30.0, mos
     Null and empty texts have no words and fail. Repeated rows are judged alike. Columns of `docs` that bear a name of the result's are replaced; an empty table gives an empty result.
     """
     own = [c for c in docs.columns if c not in RESULT]
-    rows = base_measures(docs.select(*own).withColumn("_text", F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    # the documents' columns travel in one struct, so their names meet no others
+    rows = base_measures(docs.select(F.struct(*own).alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text")))
     rows = rows.withColumn("_bad", F.filter("_lines", bad_line))
     rows = rows.withColumn("clean_text", F.when(F.size("_bad") == 0, F.col("_text")).otherwise(F.array_join(F.filter(_lines(F.col("_text")), lambda x: ~F.array_contains("_bad", x)), "\n")))
     rows = rows.withColumn("lost_chars", F.length(F.regexp_replace(F.array_join("_bad", ""), r"[\x20\x09-\x0D]+", "")).cast("long"))
@@ -72,7 +73,8 @@ def judge(docs: DataFrame, min_words: int = 20, most_repeated: float = 30.0, mos
     rows = rows.withColumns({"base_failed": failed, "lines_failed": F.size("_bad").cast("long")})
     rows = rows.withColumn("kept", ~F.col("base_failed") & (100 * F.col("lost_chars") <= most_lost * F.col("word_chars")))
     # generated columns: a filter on them stays above, and so doesn't repeat the measures within one another
-    return rows.select(*own, F.explode(F.array(F.struct(*RESULT))).alias("_judged")).select(*own, "_judged.*")
+    judged = rows.select("row", F.explode(F.array(F.struct(*RESULT))).alias("judged"))
+    return judged.select(*[F.col("row").getField(c).alias(c) for c in own], "judged.*")
 
 
 def op3_line_first_quality(spark, sf_dir: str) -> DataFrame:

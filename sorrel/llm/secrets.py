@@ -103,14 +103,15 @@ def scan(docs: DataFrame, base: tuple[Rule, ...] = BASE, added: tuple[Rule, ...]
     that bear a name of the result's are replaced; an empty table gives an empty result.
     """
     rules = base + added
-    may = candidates(docs, rules).select(F.col("doc_id").alias("_id"), F.col("rules").alias("_rules"))
-    rows = docs.drop("base_spans", "spans").withColumns({"_key": F.col("doc_id").cast("long"), "_text": F.coalesce(F.col("text").cast("string"), F.lit(""))})
-    rows = rows.join(may, rows["_key"] == may["_id"], "left").withColumn("_rules", F.coalesce("_rules", F.array().cast("array<int>")))
+    own = [c for c in docs.columns if c not in ("base_spans", "spans")]
+    # the documents' columns travel in one struct, so their names meet no others
+    rows = docs.select(F.struct(*own).alias("row"), F.col("doc_id").cast("long").alias("_key"))
+    may = candidates(docs, rules)
+    rows = rows.join(may, rows["_key"] == may["doc_id"], "left").withColumns({"_rules": F.coalesce("rules", F.array().cast("array<int>")), "_text": F.coalesce(F.col("row.text").cast("string"), F.lit(""))})
     for i, r in enumerate(rules):
         rows = rows.withColumn(f"_s{i}", F.expr(_spans(r, i, f"(_key is null or array_contains(_rules, {i}))" if r.clauses() else "true")))
-    rows = rows.withColumn("base_spans", F.array_sort(F.concat(*[f"_s{i}" for i in range(len(base))])))
-    rows = rows.withColumn("spans", F.array_sort(F.concat(*[f"_s{i}" for i in range(len(rules))])))
-    return rows.drop("_key", "_text", "_id", "_rules", *[f"_s{i}" for i in range(len(rules))])
+    spans = [F.array_sort(F.concat(*[f"_s{i}" for i in range(n)])).alias(name) for name, n in (("base_spans", len(base)), ("spans", len(rules)))]
+    return rows.select("row", *spans).select(*[F.col("row").getField(c).alias(c) for c in own], "base_spans", "spans")
 
 
 def _written(column: str, rules: tuple[Rule, ...]):

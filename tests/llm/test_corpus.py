@@ -353,3 +353,27 @@ def test_pipeline(spark, tmp_path, docs, texts):
     assert kept["benchmark decontamination"] == kept["SimHash near-dedup"] - {22}
     assert kept["packing"] == kept["benchmark decontamination"]
     assert corpus_pipeline.run(spark, folder).count() >= len(kept["packing"])
+
+
+NAMES = ("key", "hash", "row", "h", "h2", "span", "first", "pos", "line", "text_hash", "dropped", "_text", "_words", "_lines", "_key", "_rules", "rules", "spans", "kept", "clean_text", "n_words", "fp", "root", "node", "component_id", "shard", "slot", "place", "at", "part", "bucket", "kind", "a", "b", "ids", "item_id", "paragraph", "grams", "features", "prediction", "family", "_p", "size", "Text2")
+
+
+def test_clashing_names(spark, docs):
+    """Columns that bear the names of results or of inner columns change nothing."""
+    some = docs.where("doc_id < 12 or doc_id > 59 or doc_id is null")
+    odd = some.withColumns({n: F.lit("x") for n in NAMES})
+    bench = spark.createDataFrame([(1, "a b c d e f", "x")], "item_id long, text string, doc_id string")
+    runs = {
+        "substrings": lambda d: substrings.dedup_substrings(d).select("doc_id", "n_removed", "kept_text"),
+        "secrets": lambda d: secrets.scan(d).select("doc_id", "spans"),
+        "quality": lambda d: quality.judge(d).select("doc_id", "n_repeat_words", "kept", "clean_text"),
+        "lines": lambda d: lines.dedup_lines(d).select("doc_id", "n_dropped", "kept_text"),
+        "simhash": lambda d: simhash.near_duplicates(d),
+        "packing": lambda d: packing.pack(d, PATH).select("doc_id", "start", "length", "ids_crc32"),
+        "sharding": lambda d: sharding.shard_documents(d).select("doc_id", "size", "text_crc32", "shard"),
+        "decontamination": lambda d: decontamination.contaminated(d, bench),
+        "licences": lambda d: licences.paragraphs(d),
+    }
+    for name, run in runs.items():
+        assert Counter(map(str, run(odd).collect())) == Counter(map(str, run(some).collect())), name
+    assert lines.dedup_lines(odd).first()["key"] == "x" and quality.judge(odd).first()["_text"] == "x" and secrets.scan(odd).first()["_key"] == "x"
