@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -29,6 +29,49 @@ def metrics(rows: DataFrame, key: str = "design_id") -> DataFrame:
     return out.withColumns({"n_no_calls": F.col("n_sample_attempts") - F.col("n_called"), "call_rate": share("n_called", "n_sample_attempts"), "concordance": share("n_concordant", "n_comparable_calls"), "complete_sample_call_rate": share("n_complete_samples", "n_samples")})
 
 
+def violations(results: DataFrame, designs: DataFrame, conditions: str, identity: tuple[str, ...] = ("candidate_id",)) -> DataFrame:
+    """The rule that each row of results breaks, first in this order: its design and identity, encoding and conditions, ids, calls, controls, no-call reasons, repeats, sample definitions.
+
+    Only rows that break one are returned, with their columns and reason. A repeat is a later row (src_row) with the same design, batch, plate, sample and replicate; a sample's control type and genotypes may not change within a candidate.
+    """
+    known = designs.select("design_id", *[F.col(c).alias(f"_{c}") for c in identity], F.lit(True).alias("_known"))
+    rows = results.join(known, "design_id", "left")
+    same = F.col("_known")
+    for c in identity:
+        same = same & (F.col(c) == F.col(f"_{c}"))
+    levels, kind = ("0", "1", "2", "NA"), F.col("control_type")
+    expected, truth, call, why = (F.col(c) for c in ("expected_genotype", "reference_genotype", "call", "no_call_reason"))
+    first = F.min("src_row").over(Window.partitionBy("design_id", "batch_id", "plate_id", "sample_id", "replicate_id"))
+    definition = F.struct("control_type", "expected_genotype", "reference_genotype")
+    sample = Window.partitionBy("candidate_id", "sample_id")
+    rules = [
+        (same, "unknown design, or identity mismatch"),
+        ((F.col("allele_encoding") == "ALT_0_1_2_forward") & (F.col("conditions_id") == conditions), "allele direction or measurement conditions mismatch"),
+        ((F.col("sample_id") != "") & (F.col("replicate_id") != "") & (F.col("plate_id") != "") & (F.col("batch_id") != ""), "an id is empty"),
+        (call.isin(*levels) & expected.isin(*levels) & truth.isin(*levels), "a call isn't 0, 1, 2 or NA"),
+        (kind.isin("sample", "positive", "negative"), "unknown control type"),
+        ((kind != "positive") | ((expected != "NA") & (truth == "NA")), "a positive control needs an expected genotype and no truth"),
+        ((kind != "negative") | ((expected == "NA") & (truth == "NA")), "a negative control expects no call"),
+        ((kind != "sample") | (expected == "NA"), "a sample has no expected genotype"),
+        ((call != "NA") | (kind == "negative") | (why != ""), "a no-call needs a reason"),
+        ((call == "NA") | (why == ""), "a call has no no-call reason"),
+        (F.col("src_row") == first, "repeated result"),
+        (F.min(definition).over(sample) == F.max(definition).over(sample), "a sample's definition changes"),
+    ]
+    reason = F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(text)) for ok, text in rules])
+    return rows.withColumn("reason", reason).where("reason is not null").drop("_known", *[f"_{c}" for c in identity])
+
+
+def history_violations(history: DataFrame, previous: DataFrame, designs: DataFrame, identity: tuple[str, ...] = ("candidate_id", "ref", "alt")) -> DataFrame:
+    """Redesign edges (prior_design_id, replacement_design_id, candidate_id) that don't link a previous design to a distinct known one of the same candidate and alleles, or that repeat."""
+    old = previous.select(F.col("design_id").alias("prior_design_id"), F.struct(*identity).alias("_old"))
+    new = designs.select(F.col("design_id").alias("replacement_design_id"), F.struct(*identity).alias("_new"))
+    n = F.count("*").over(Window.partitionBy("prior_design_id", "replacement_design_id"))
+    rows = history.withColumn("_n", n).join(old, "prior_design_id", "left").join(new, "replacement_design_id", "left")
+    reason = F.when(F.col("_old").isNull() | F.col("_new").isNull() | (F.col("prior_design_id") == F.col("replacement_design_id")), "not a previous design and a distinct known replacement").when((F.col("_old") != F.col("_new")) | (F.col("candidate_id") != F.col("_new.candidate_id")), "candidate or alleles change").when(F.col("_n") > 1, "repeated edge")
+    return rows.withColumn("reason", reason).where("reason is not null").drop("_n", "_old", "_new")
+
+
 #: Measures and the threshold that each is held to, in the order in which shortfalls are listed.
 THRESHOLDS = (("n_samples", "minimum_samples"), ("n_comparable_samples", "minimum_comparable_samples"), ("n_comparable_replicated_samples", "minimum_replicated_samples"), ("call_rate", "minimum_call_rate"), ("complete_sample_call_rate", "minimum_call_rate"), ("concordance", "minimum_concordance"))
 

@@ -52,3 +52,10 @@ def normalise(rows: DataFrame, odds_ratio: bool = False, to_alt: bool = True, st
 def split_invalid(normalised: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows, excluded rows with their reason)."""
     return normalised.where("reason is null").drop("reason"), normalised.where("reason is not null")
+
+
+def discoveries(normalised: DataFrame, adjusted: DataFrame, family: str = "dataset_id") -> DataFrame:
+    """Input, tested, excluded, unresolved and significant rows of each family."""
+    read = normalised.groupBy(family).agg(F.count("*").alias("n_input"), F.count_if(F.col("reason").isNotNull()).alias("n_excluded"))
+    tested = adjusted.groupBy(family).agg(F.count("*").alias("n_tests"), F.count_if("bonferroni_significant").alias("bonferroni_discoveries"), F.count_if("bh_significant").alias("bh_discoveries"), F.count_if(F.col("effect_orientation") == "unresolved_strand").alias("n_unresolved"))
+    return read.join(tested, family, "left").fillna(0)

@@ -47,28 +47,49 @@ def adjust(df: DataFrame, p: str = "pval", family: list[str] = ["dataset_id"], a
     return out.withColumns({"bonferroni_p": F.least(F.col(p) * F.col("n_tests"), F.lit(1.0)), "bonferroni_significant": F.col(p) <= F.lit(alpha) / F.col("n_tests"), "bh_significant": F.col("bh_p") <= fdr})
 
 
-def adjust_log(df: DataFrame, nlp: str = "neg_log10_pvalue", family: list[str] = ["dataset_id"], alpha: float = 0.05, fdr: float = 0.05) -> DataFrame:
-    """The same in log space, for p-values below the double range: a running maximum of nlp - log10(m / rank), 0 at least."""
-    # bins need values that ascend with p; a bin for each unit of nlp, finer near 0
-    minus = df.withColumn("_p", -F.col(nlp))
-    counted = minus.groupBy(*family, F.col("_p").alias("p")).agg(F.count("*").alias("n")).withColumn("bin", F.floor(F.col("p") * 64).cast("long"))
+def ranked_log(df: DataFrame, nlp: str, family: list[str]) -> DataFrame:
+    """The same as `ranked` for -log10 p-values; p is their negative, so that it ascends with the p-value. Bins are a 64th wide."""
+    counted = df.groupBy(*family, (-F.col(nlp)).alias("p")).agg(F.count("*").alias("n")).withColumn("bin", F.floor(F.col("p") * 64).cast("long"))
     before = Window.partitionBy(*family).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     totals = counted.groupBy(*family, "bin").agg(F.sum("n").alias("in_bin"))
     totals = totals.select(*family, "bin", F.coalesce(F.sum("in_bin").over(before), F.lit(0)).alias("before"), F.sum("in_bin").over(Window.partitionBy(*family)).alias("m"))
     local = counted.withColumn("local", F.sum("n").over(Window.partitionBy(*family, "bin").orderBy("p").rowsBetween(Window.unboundedPreceding, 0)))
-    steps = local.join(totals, [*family, "bin"]).withColumn("rank", F.col("before") + F.col("local")).withColumn("raw", -F.col("p") - F.log10(F.col("m") / F.col("rank")))
+    return local.join(totals, [*family, "bin"]).withColumn("rank", F.col("before") + F.col("local"))
+
+
+def adjust_log(df: DataFrame, nlp: str = "neg_log10_pvalue", family: list[str] = ["dataset_id"], alpha: float = 0.05, fdr: float = 0.05) -> DataFrame:
+    """The same in log space, for p-values below the double range: a running maximum of nlp - log10(m / rank), 0 at least."""
+    steps = ranked_log(df, nlp, family).withColumn("raw", -F.col("p") - F.log10(F.col("m") / F.col("rank")))
     steps = _suffix(steps, "raw", family, F.max).select(*family, (-F.col("p")).alias(nlp), F.col("m").alias("n_tests"), F.greatest("_suffix", F.lit(0.0)).alias("neg_log10_p_bh"))
     out = df.join(steps, [*family, nlp]).withColumn("neg_log10_p_bonferroni", F.greatest(F.lit(0.0), F.col(nlp) - F.log10("n_tests")))
     return out.withColumns({"bonferroni_significant": F.col("neg_log10_p_bonferroni") >= -F.log10(F.lit(alpha)), "bh_significant": F.col("neg_log10_p_bh") >= -F.log10(F.lit(fdr))})
 
 
-def inflation(df: DataFrame, p: str = "pval", family: list[str] = ["dataset_id"]) -> DataFrame:
-    """n_tests, median_chi2 and lambda_gc of each family: p-values become chi-square statistics (one degree of freedom) first, and the middle one or two are averaged."""
-    at = ranked(df, p, family).withColumn("first", F.col("rank") - F.col("n") + 1)
+def _middle(at: DataFrame) -> DataFrame:
+    """The rows that hold the middle one or two ranks of their family, with how many of the two they hold as weight."""
+    at = at.withColumn("first", F.col("rank") - F.col("n") + 1)
     low, high = F.floor((F.col("m") + 1) / 2), F.ceil((F.col("m") + 1) / 2)
-    middle = at.where((F.col("first") <= high) & (F.col("rank") >= low)).withColumn("x", chi2_isf_1("p"))
     weight = F.when((F.col("first") <= low) & (F.col("rank") >= low), 1).otherwise(0) + F.when((F.col("first") <= high) & (F.col("rank") >= high), 1).otherwise(0)
-    out = middle.groupBy(*family).agg(F.max("m").alias("n_tests"), (F.sum(F.col("x") * weight) / F.lit(2.0)).alias("median_chi2"))
+    return at.where((F.col("first") <= high) & (F.col("rank") >= low)).withColumn("weight", weight)
+
+
+def inflation_log(df: DataFrame, nlp: str = "neg_log10_pvalue", family: list[str] = ["dataset_id"]) -> DataFrame:
+    """n_tests, lambda_gc and status of each family of -log10 p-values; a middle value above 300 has no chi-square tail and isn't assessed."""
+    middle = _middle(ranked_log(df, nlp, family)).withColumn("x", chi2_isf_1("power(10D, p)"))
+    out = middle.groupBy(*family).agg(F.max("m").alias("n_tests"), F.max(-F.col("p")).alias("most"), (F.sum(F.col("x") * F.col("weight")) / F.lit(2.0)).alias("median_chi2"))
+    far = F.col("most") > 300
+    return out.select(*family, "n_tests", F.when(~far, F.col("median_chi2") / F.lit(CHI2_MEDIAN_1)).alias("lambda_gc"), F.when(far, "not_assessed").otherwise("diagnostic_only").alias("status"))
+
+
+def quantile_points_log(df: DataFrame, nlp: str = "neg_log10_pvalue", family: list[str] = ["dataset_id"]) -> DataFrame:
+    """Data of a quantile plot under the second contract: expected -log10((rank - 1/2) / m) of each distinct value's last rank."""
+    return ranked_log(df, nlp, family).select(*family, (-F.col("p")).alias("observed"), F.col("n").alias("n_points"), (-F.log10((F.col("rank") - F.lit(0.5)) / F.col("m"))).alias("expected"))
+
+
+def inflation(df: DataFrame, p: str = "pval", family: list[str] = ["dataset_id"]) -> DataFrame:
+    """n_tests, median_chi2 and lambda_gc of each family: p-values become chi-square statistics (one degree of freedom) first, and the middle one or two are averaged."""
+    middle = _middle(ranked(df, p, family)).withColumn("x", chi2_isf_1("p"))
+    out = middle.groupBy(*family).agg(F.max("m").alias("n_tests"), (F.sum(F.col("x") * F.col("weight")) / F.lit(2.0)).alias("median_chi2"))
     return out.withColumn("lambda_gc", F.col("median_chi2") / F.lit(CHI2_MEDIAN_1))
 
 

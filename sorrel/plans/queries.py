@@ -456,6 +456,29 @@ def customer_manhattan(spark, d):
     return layout.contiguous_layout(rows, _contigs(rows)).select("dataset_id", "candidate_id", "x", F.col("neg_log10_pvalue").alias("y"))
 
 
+@_add(f"WITH {_CUST} SELECT dataset_id, neg_log10_pvalue AS observed, n AS n_points, round(-log10((rk - 0.5) / m), 6) AS expected FROM (SELECT dataset_id, neg_log10_pvalue, count(*) AS n, sum(count(*)) OVER (PARTITION BY dataset_id ORDER BY neg_log10_pvalue DESC) AS rk, sum(count(*)) OVER (PARTITION BY dataset_id) AS m FROM ok GROUP BY dataset_id, neg_log10_pvalue)")
+def customer_qq(spark, d):
+    return st.quantile_points_log(customer.split_invalid(_normalised(spark, d))[0]).withColumn("expected", _r("expected"))
+
+
+@_add(f"WITH {_CUST} SELECT dataset_id, count(*) AS n_tests, round(median({chi2_isf_1_sql('power(10, -neg_log10_pvalue)')}) / {a.d(CHI2_MEDIAN_1)}, 5) AS lambda_gc, 'diagnostic_only' AS status FROM ok GROUP BY dataset_id")
+def customer_lambda(spark, d):
+    return st.inflation_log(customer.split_invalid(_normalised(spark, d))[0]).withColumn("lambda_gc", _r("lambda_gc", 5))
+
+
+@_add(f"WITH {_LOGBH}, i AS (SELECT dataset_id, count(*) AS n_input, count(reason) AS n_excluded FROM judged GROUP BY dataset_id) SELECT i.dataset_id, any_value(n_input) AS n_input, any_value(n_excluded) AS n_excluded, count(*) AS n_tests, count(*) FILTER (WHERE b_sig) AS bonferroni_discoveries, count(*) FILTER (WHERE f_sig) AS bh_discoveries, 0 AS n_unresolved FROM i JOIN r3 ON i.dataset_id = r3.dataset_id GROUP BY i.dataset_id")
+def customer_discoveries(spark, d):
+    rows = _normalised(spark, d)
+    return customer.discoveries(rows, st.adjust_log(customer.split_invalid(rows)[0]))
+
+
+@_add(f"WITH {_V} SELECT src_row, chr, pos, allele1, allele0, CASE WHEN b NOT IN (allele1, allele0) THEN 'neither allele is the sequence''s base' END AS reason, CASE WHEN b IN (allele1, allele0) THEN b END AS ref, CASE WHEN b = allele1 THEN allele0 WHEN b = allele0 THEN allele1 END AS alt FROM (SELECT *, substring('ACGT', CAST(pos * 7 % 4 AS INT) + 1, 1) AS b FROM v)")
+def resolve_alleles(spark, d):
+    v = _variants(spark, d).select("src_row", "chr", "pos", "allele1", "allele0")
+    bases = v.select("chr", "pos").distinct().withColumn("base", F.expr("substring('ACGT', cast(pos * 7 % 4 as int) + 1, 1)"))
+    return crossref.resolve_alleles(v, bases).select("src_row", "chr", "pos", "allele1", "allele0", "reason", "ref", "alt")
+
+
 # genotypes
 
 _D = f"g AS ({a.DOSAGES})"
@@ -564,3 +587,15 @@ def validated_panel(spark, d):
     """The panel of designs that went one step up, as population studies aren't among the tables."""
     up = _reviewed(spark, d).withColumn("state", F.when(F.col("state") == "assay_validated", "population_validated").otherwise(F.col("state")))
     return assays.panel(a.view(spark, d, a.DESIGNS), up).select("design_id", "candidate_id", "reasons")
+
+
+_RESULTS = a.ASSAYS.replace("FROM events", ", event_id AS src_row, 'c' || (user_id % 20 % 7) AS candidate_id, CASE WHEN event_id % 211 = 0 THEN '' ELSE 'r' || (event_id % 100) END AS replicate_id, CASE WHEN event_id % 307 = 0 THEN 'REF' ELSE 'ALT_0_1_2_forward' END AS allele_encoding, 'x' AS conditions_id, CASE WHEN event_id % 401 = 0 THEN 'late' ELSE '' END AS no_call_reason FROM events WHERE event_id % 7 = 0")
+
+
+@_add(f"""WITH d AS ({a.DESIGNS}), t AS ({_RESULTS}), k AS (SELECT t.*, d.candidate_id AS c, min(src_row) OVER (PARTITION BY t.design_id, batch_id, plate_id, sample_id, replicate_id) AS f, min((control_type, expected_genotype, reference_genotype)) OVER w AS lo, max((control_type, expected_genotype, reference_genotype)) OVER w AS hi FROM t LEFT JOIN d ON t.design_id = d.design_id WINDOW w AS (PARTITION BY t.candidate_id, sample_id))
+SELECT src_row, design_id, reason FROM (SELECT src_row, design_id, CASE WHEN c IS NULL OR c <> candidate_id THEN 'unknown design, or identity mismatch' WHEN allele_encoding = 'REF' THEN 'allele direction or measurement conditions mismatch' WHEN replicate_id = '' THEN 'an id is empty'
+ WHEN control_type = 'positive' AND (expected_genotype = 'NA' OR reference_genotype <> 'NA') THEN 'a positive control needs an expected genotype and no truth' WHEN control_type = 'negative' AND (expected_genotype <> 'NA' OR reference_genotype <> 'NA') THEN 'a negative control expects no call'
+ WHEN control_type = 'sample' AND expected_genotype <> 'NA' THEN 'a sample has no expected genotype' WHEN call = 'NA' AND control_type <> 'negative' AND no_call_reason = '' THEN 'a no-call needs a reason' WHEN call <> 'NA' AND no_call_reason <> '' THEN 'a call has no no-call reason'
+ WHEN src_row <> f THEN 'repeated result' WHEN lo <> hi THEN 'a sample''s definition changes' END AS reason FROM k) WHERE reason IS NOT NULL""")
+def assay_contract(spark, d):
+    return assays.violations(a.view(spark, d, _RESULTS), a.view(spark, d, a.DESIGNS), "x").select("src_row", "design_id", "reason")

@@ -231,3 +231,11 @@ def test_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.read.parquet(str(tmp_path / "out")).where("n_tests = 4").count() == 4
+
+
+def test_redesign_history(spark):
+    one = spark.createDataFrame([("d1", "c", "A", "G"), ("d2", "c", "A", "T")], "design_id string, candidate_id string, ref string, alt string")
+    two = spark.createDataFrame([("e1", "c", "A", "G"), ("d1", "c", "A", "G")], one.schema)
+    edges = spark.createDataFrame([("d1", "e1", "c"), ("d2", "e1", "c"), ("d9", "e1", "c"), ("d1", "d1", "c"), ("d1", "e1", "z")], "prior_design_id string, replacement_design_id string, candidate_id string")
+    got = {(r.prior_design_id, r.replacement_design_id, r.candidate_id): r.reason for r in assays.history_violations(edges, one, two).collect()}
+    assert got == {("d1", "e1", "c"): "repeated edge", ("d2", "e1", "c"): "candidate or alleles change", ("d9", "e1", "c"): "not a previous design and a distinct known replacement", ("d1", "d1", "c"): "not a previous design and a distinct known replacement", ("d1", "e1", "z"): "candidate or alleles change"}
