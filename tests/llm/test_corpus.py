@@ -377,3 +377,9 @@ def test_clashing_names(spark, docs):
     for name, run in runs.items():
         assert Counter(map(str, run(odd).collect())) == Counter(map(str, run(some).collect())), name
     assert lines.dedup_lines(odd).first()["key"] == "x" and quality.judge(odd).first()["_text"] == "x" and secrets.scan(odd).first()["_key"] == "x"
+
+
+def test_licences_of_nothing(spark, empty):
+    assert licences.scan_licences(empty).collect() == []
+    few = spark.createDataFrame([(1, None), (2, ""), (None, "Licensed under CC BY-NC 4.0."), (3, "Licensed under CC BY-NC 4.0.\nLicensed under CC BY-NC 4.0.")], "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.paragraph, r.family) for r in licences.scan_licences(few).collect()) == [(0, 0, "cc-by-nc"), (3, 0, "cc-by-nc"), (3, 1, "cc-by-nc")]
