@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sorrel.llm import decontamination, licences, lines, packing, quality, secrets, sharding, simhash, substrings, token_files
+from sorrel.llm import decontamination, licences, lines, near_copies, packing, quality, secrets, sharding, simhash, substrings, token_files
 from sorrel.llm.tokens import WordEncoder, tokenizer_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -355,6 +355,45 @@ def test_pipeline(spark, tmp_path, docs, texts):
     assert corpus_pipeline.run(spark, folder).count() >= len(kept["packing"])
 
 
+def test_near_copies(spark):
+    rnd = random.Random(8)
+    text = {}
+    for g in range(12):
+        base = [f"w{rnd.randrange(5000)}" for _ in range(400)]
+        text[100 * g] = base
+        for j in range(1, 9):
+            text[100 * g + j] = [x if rnd.random() > 0.004 * j else f"e{rnd.randrange(9999)}" for x in base]
+        text[100 * g + 9] = base[: 300 + 10 * g]
+    rows = [(i, " ".join(w)) for i, w in text.items()]
+    rows += [(5000, rows[0][1].upper()), (5001, "a b"), (5002, " A\tb "), (5003, "a c"), (5004, ""), (5005, None), (None, rows[10][1]), (None, "only here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+    def shingles(t):
+        w = words_of((t or "").lower())
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if x == sets[j] or len(x & sets[j]) >= 0.8 * len(x | sets[j]):
+                root[find(i)] = find(j)
+    want = Counter((i, min((rows[k][0] for k in range(len(rows)) if find(k) == find(at) and rows[k][0] is not None), default=None)) for at, (i, _) in enumerate(rows))
+    assert Counter((r.doc_id, r.component_id) for r in near_copies.near_copies(docs).collect()) == want
+    full = docs.selectExpr("doc_id", "text", "'en' AS lang", "'s' AS source", "1L AS n_chars")
+    kept = Counter(r.doc_id for r in corpus_pipeline.simhash_near_dedup(spark, full, "").collect())
+    assert kept == Counter(i for i, c in want.elements() if i is None or i == c)
+    # planted copies leave one document each: an exact one, and near ones that 3 differing bits don't link
+    assert kept[0] == 1 and not {1, 2, 3, 5000, 5002, 5005} & set(kept) and {5001, 5003, 5004} <= set(kept)
+    assert near_copies.near_copies(full.limit(0)).collect() == []
+
+
 NAMES = ("key", "hash", "row", "h", "h2", "span", "first", "pos", "line", "text_hash", "dropped", "_text", "_words", "_lines", "_key", "_rules", "rules", "spans", "kept", "clean_text", "n_words", "fp", "root", "node", "component_id", "shard", "slot", "place", "at", "part", "bucket", "kind", "a", "b", "ids", "item_id", "paragraph", "grams", "features", "prediction", "family", "_p", "size", "Text2")
 
 
