@@ -3,45 +3,41 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import product
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sorrel.llm.common import documents
+from sorrel.llm.trigrams import query_of, trigrams_of
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A pattern and what its first part must spell: in `literals`, one tuple of alternatives after the other. No literals: nothing is mandatory.
-
-    A match counts if group `value` has at least `least` characters.
-    """
+    """A pattern; a match counts if group `value` has at least `least` characters."""
 
     kind: str
     pattern: str
-    literals: tuple[tuple[str, ...], ...] = ()
     value: int = 0
     least: int = 1
 
-    def clauses(self) -> list[frozenset[str]]:
-        """The rule's Boolean query in disjunctive form: a match needs all trigrams of one clause. Empty: every document may match."""
-        texts = ["".join(x).lower() for x in product(*self.literals)] if self.literals else []
-        found = [frozenset(t[i : i + 3] for i in range(len(t) - 2)) for t in texts]
-        return [] if not all(found) else list(dict.fromkeys(found))
+    @property
+    def query(self):
+        """The Boolean trigram query that the pattern implies (see `trigrams`), or None: every document may match."""
+        return query_of(self.pattern)
 
 
 #: The base rules, in the order in which spans at one place are listed, and the added ones after them.
 BASE = (
-    Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", (("password", "passwd", "secret", "token", "apikey", "api_key"),), value=2, least=12),
-    Rule("access", r"AKIA[A-Z0-9]+", (("AKIA",),), least=18),
+    Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", value=2, least=12),
+    Rule("access", r"AKIA[A-Z0-9]+", least=18),
     Rule("hex", r"[0-9a-f]{16,}", least=16),
 )
 ADDED = (
-    Rule("private", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", (("-----begin ",),)),
-    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", (("gh",), ("p", "o", "u", "s", "r"), ("_",))),
-    Rule("slack", r"xox[abprs]-[0-9A-Za-z-]{10,}", (("xox",), ("a", "b", "p", "r", "s"), ("-",))),
-    Rule("bearer", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", (("eyj",),)),
+    Rule("private", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("slack", r"xox[abprs]-[0-9A-Za-z-]{10,}"),
+    Rule("bearer", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
 )
 _SPAN = "struct<start: bigint, kind: int, end: bigint>"
 
@@ -62,24 +58,18 @@ def trigram_index(docs: DataFrame, trigrams: list[str], block_docs: int = 4096)
 
 def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """(doc_id, rules): numbers of the rules that each document may match, by intersecting posting lists. Rules without a query aren't listed."""
-    asked = {i: r.clauses() for i, r in enumerate(rules) if r.clauses()}
-    index = trigram_index(docs, sorted({t for clauses in asked.values() for c in clauses for t in c}))
+    asked = {i: r.query for i, r in enumerate(rules) if r.query is not None}
+    if not asked:
+        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.array().cast("array<int>").alias("rules")).where("false")
+    index = trigram_index(docs, sorted(set().union(*map(trigrams_of, asked.values()))))
     none = F.array().cast("array<bigint>")
 
-    def both(clause):
-        out = None
-        for t in sorted(clause):
-            ids = F.coalesce(F.try_element_at("postings", F.lit(t)), none)
-            out = ids if out is None else F.array_intersect(out, ids)
-        return out
-
-    def either(clauses):
-        out = both(clauses[0])
-        for c in clauses[1:]:
-            out = F.array_union(out, both(c))
-        return out
+    def answer(query) -> Column:
+        if isinstance(query, str):
+            return F.coalesce(F.try_element_at("postings", F.lit(query)), none)
+        return reduce(F.array_intersect if query[0] == "and" else F.array_union, map(answer, query[1]))
 
-    found = index.select(F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), either(c).alias("ids")) for i, c in asked.items()])).alias("x"))
+    found = index.select(F.explode(F.array(*[F.struct(F.lit(i).alias("rule"), answer(q).alias("ids")) for i, q in asked.items()])).alias("x"))
     return found.select("x.rule", F.explode("x.ids").alias("doc_id")).groupBy("doc_id").agg(F.collect_set("rule").alias("rules"))
 
 
@@ -96,8 +86,8 @@ def _spans(rule: Rule, number: int, may: str) -> str:
 def scan(docs: DataFrame, base: tuple[Rule, ...] = BASE, added: tuple[Rule, ...] = ADDED) -> DataFrame:
     """All columns of `docs` with base_spans and spans: arrays of (start, kind number, end), in code points, end exclusive, by start, then kind.
 
-    Each rule's Boolean trigram query is derived from its literals and answered by the index; rules that miss a mandatory trigram search all texts. Candidates are verified with
-    the rule's pattern, leftmost and without overlaps within a kind. Spans of `added` rules come on top of the base ones.
+    Each rule's Boolean trigram query is derived from its pattern and answered by the index; rules without a mandatory trigram search all texts. Candidates are verified with
+    the pattern, leftmost and without overlaps within a kind. Spans of `added` rules come on top of the base ones.
 
     Null texts are empty. Rows with a null doc_id aren't in the index and so are searched for every rule. Rows that share an id are searched for what any of them may match. Columns of `docs`
     that bear a name of the result's are replaced; an empty table gives an empty result.
@@ -109,7 +99,7 @@ def scan(docs: DataFrame, base: tuple[Rule, ...] = BASE, added: tuple[Rule, ...]
     may = candidates(docs, rules)
     rows = rows.join(may, rows["_key"] == may["doc_id"], "left").withColumns({"_rules": F.coalesce("rules", F.array().cast("array<int>")), "_text": F.coalesce(F.col("row.text").cast("string"), F.lit(""))})
     for i, r in enumerate(rules):
-        rows = rows.withColumn(f"_s{i}", F.expr(_spans(r, i, f"(_key is null or array_contains(_rules, {i}))" if r.clauses() else "true")))
+        rows = rows.withColumn(f"_s{i}", F.expr(_spans(r, i, f"(_key is null or array_contains(_rules, {i}))" if r.query is not None else "true")))
     spans = [F.array_sort(F.concat(*[f"_s{i}" for i in range(n)])).alias(name) for name, n in (("base_spans", len(base)), ("spans", len(rules)))]
     return rows.select("row", *spans).select(*[F.col("row").getField(c).alias(c) for c in own], "base_spans", "spans")
 
