@@ -290,10 +290,11 @@ def dedup_substrings(docs: DataFrame, n: int = 13, shard_bytes: int = 6_000_000,
             kept.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]).decode())
         return pa.table({"doc_id": s.doc_id if s else pa.array([], pa.int64()), "n_words": pa.array([len(w) for w in texts], pa.int64()), "n_removed": pa.array(removed, pa.int64()), "removed": pa.array(spans, _SPANS), "kept_text": pa.array(kept, pa.string())})
 
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(2 * n_buckets, 20_000))
     texts = rows.groupBy("shard")
-    coarse = texts.applyInArrow(anchors, PACKED)
+    coarse = texts.applyInArrow(anchors, PACKED).repartition(parts, "target")
     repeated = coarse.groupBy("target").applyInArrow(recurring, PACKED).withColumn("c", F.lit(None).cast("binary"))
-    owners = texts.cogroup(repeated.groupBy("target")).applyInArrow(counted, PACKED).groupBy("target").applyInArrow(owned, PACKED)
+    owners = texts.cogroup(repeated.groupBy("target")).applyInArrow(counted, PACKED).repartition(parts, "target").groupBy("target").applyInArrow(owned, PACKED)
     wanted = texts.cogroup(repeated.unionByName(owners).groupBy("target")).applyInArrow(asked, PACKED)
     phrases = texts.cogroup(wanted.groupBy("target")).applyInArrow(confirmed, PHRASES)
     return texts.cogroup(phrases.groupBy("target")).applyInArrow(located, RESULT)
