@@ -14,8 +14,8 @@ from sorrel.llm.components import connected_components
 
 #: Segments of a fingerprint, clockwise from its lowest bits.
 SEGMENTS, BITS = 8, 8
-#: Buckets up to this size compare all their pairs; larger ones are searched from one fingerprint to the next.
-SMALL = 32
+#: Buckets up to this size compare all their pairs; larger ones are searched from one fingerprint to the next; those above LARGE are split first.
+SMALL, LARGE = 32, 4096
 
 
 def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
@@ -67,12 +67,13 @@ def _within(x: np.ndarray, start: np.ndarray | int, radius: int) -> np.ndarray:
     return ok & (np.bitwise_count(x) <= radius)
 
 
-def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
+def links(distinct: DataFrame, radius: int = 3, large: int = LARGE) -> DataFrame:
     """(a, b) of linked fingerprints: enough of them that fingerprints within `radius` of each other are connected.
 
     Every fingerprint goes to one bucket for each beginning of a chain (24 buckets of 32 equal bits at radius 3), buckets are sorted, and a stream over each
     partition checks the further chain budgets before the full distance. A bucket isn't expanded into all its pairs: in a large one, each fingerprint
-    reached is compared with those not reached yet, and one link to its group's first fingerprint is returned. Only one bucket is held at a time.
+    reached is compared with those not reached yet, and one link to its group's first fingerprint is returned. Only one bucket is held at a time. A bucket of more than `large` fingerprints is split by
+    each of its other segments: they are more than the bits that may differ, so linked fingerprints agree in at least one of them and meet in that part.
     """
     keys = chain_keys(radius)
 
@@ -85,13 +86,20 @@ def links(distinct: DataFrame, radius: int = 3) -> DataFrame:
             packed = F.shiftleft(packed, BITS).bitwiseOR(segment(i))
         return packed
 
+    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = distinct.repartition(parts, F.xxhash64("fp"))  # a small table, but each row becomes many
     if max(len(segments) for _, segments in keys) * BITS > 56:
         spread = distinct.select("fp", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.xxhash64(key(k, segments[:4]), key(k, segments[4:])).alias("key")) for k, (_, segments) in enumerate(keys)])).alias("x"))
     else:
         spread = distinct.select("fp", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), key(k, segments).alias("key")) for k, (_, segments) in enumerate(keys)])).alias("x"))
     start_of = np.array([s for s, _ in keys], np.uint64)
-    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = spread.select("x.key", "x.k", "fp").repartition(parts, "key").sortWithinPartitions("key", "fp")
+    spread = spread.select("x.key", "x.k", "fp")
+    hot = written(spread.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > large).select("key", F.lit(True).alias("hot")), "large-buckets")
+    if SEGMENTS - len(keys[0][1]) > radius and not hot.isEmpty():
+        others = [[i for i in range(SEGMENTS) if i not in segments] for _, segments in keys]
+        split = F.get(F.array(*[F.array(*[F.xxhash64("key", F.lit(i), segment(i)) for i in free]) for free in others]), F.col("k"))
+        spread = spread.join(hot, "key", "left").select(F.explode(F.when(F.col("hot"), split).otherwise(F.array("key"))).alias("key"), "k", "fp")
+    spread = spread.repartition(parts, "key").sortWithinPartitions("key", "fp")
 
     def search(batches):
         rest = None
