@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from sorrel.llm.common import documents, written
 
-#: A key's documents are sorted in this many ranges of doc_id, so a line that a third of all documents share is spread over as many groups.
-RANGES = 16
+#: A key's documents are sorted in ranges of doc_id of about so many documents (16 ranges at least, 1024 at most), so a line that a third of all documents share is spread over as many groups.
+RANGE_DOCS, RANGES = 250_000, (16, 1024)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -27,20 +27,21 @@ def line_key(line):
 
 
 def line_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
-    """(doc_id, text_hash, n_dropped, dropped) of documents that lose lines: `dropped` has the bits of lost lines, as a map from a
-    block of 64 lines to its bits, without blocks that keep all their lines. Texts aren't returned or shuffled.
+    """(doc_id, text_hash, n_dropped, keep) of documents that lose lines: `keep` is a compressed bitmap of the lines that stay, a map from a
+    block of 64 lines to its bits without the blocks that keep all their lines. Texts aren't returned or shuffled.
 
     Two 64-bit hashes stand for each line's key. Hashes are range-partitioned together with a range of the documents and sorted by document and position, so that a stream over the
     partition meets the first occurrence first: later documents of the range lose the line. What is left, one row for each key and range,
-    is compared over the ranges (at most 16 rows a key). A key shared by a third of all documents so never meets in one task.
+    is compared over the ranges (at most as many rows a key as there are ranges). A key shared by a third of all documents so never meets in one task.
 
     Rows are told apart by doc_id and a hash of the text: repeated rows get the same bitmap. Rows with a null doc_id keep all lines and don't count for others.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text().alias("text")).where("doc_id is not null")
-    cuts = rows.agg(F.percentile_approx("doc_id", [i / RANGES for i in range(1, RANGES)], 1000)).first()[0] or []
-    span = sum((F.when(F.col("doc_id") > c, 1).otherwise(0) for c in sorted(set(cuts))), F.lit(0))
-    lines = rows.select("doc_id", span.cast("byte").alias("span"), F.xxhash64("text").alias("text_hash"), F.posexplode(_split(F.col("text"))).alias("pos", "line")).select("doc_id", "span", "text_hash", "pos", line_key(F.col("line")).alias("key"))
+    n_ranges = max(RANGES[0], min(RANGES[1], rows.count() // RANGE_DOCS))
+    cuts = rows.agg(F.percentile_approx("doc_id", [i / n_ranges for i in range(1, n_ranges)], 50 * n_ranges)).first()[0] or []
+    span = F.size(F.filter(F.lit(sorted(set(cuts))), lambda c: F.col("doc_id") > c)) if cuts else F.lit(0)
+    lines = rows.select("doc_id", span.cast("short").alias("span"), F.xxhash64("text").alias("text_hash"), F.posexplode(_split(F.col("text"))).alias("pos", "line")).select("doc_id", "span", "text_hash", "pos", line_key(F.col("line")).alias("key"))
     lines = lines.where(F.length("key") >= min_chars).select(F.xxhash64("key").alias("h"), F.xxhash64(F.lit(17), "key").alias("h2"), "span", "doc_id", "text_hash", "pos")
     lines = written(lines, "line-hashes")  # dealing out by range reads its input twice
 
@@ -50,8 +51,8 @@ def line_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     firsts = streamed.where("doc_id = first").groupBy(*key, "doc_id", "text_hash").agg(F.collect_list("pos").alias("at"))
     firsts = firsts.withColumn("first", F.min("doc_id").over(Window.partitionBy("h", "h2"))).where("doc_id > first")
     dropped = later.unionByName(firsts.select("doc_id", "text_hash", F.explode("at").alias("pos")))
-    bits = dropped.repartition(n, "doc_id", "text_hash").groupBy("doc_id", "text_hash", F.shiftright("pos", 6).alias("block")).agg(F.bit_or(F.expr("shiftleft(1L, pos & 63)")).alias("bits"))
-    return bits.groupBy("doc_id", "text_hash").agg(F.sum(F.bit_count("bits")).alias("n_dropped"), F.map_from_entries(F.collect_list(F.struct("block", "bits"))).alias("dropped"))
+    bits = dropped.repartition(n, "doc_id", "text_hash").groupBy("doc_id", "text_hash", F.shiftright("pos", 6).alias("block")).agg(F.bitwise_not(F.bit_or(F.expr("shiftleft(1L, pos & 63)"))).alias("bits"))
+    return bits.groupBy("doc_id", "text_hash").agg(F.sum(64 - F.bit_count("bits")).alias("n_dropped"), F.map_from_entries(F.collect_list(F.struct("block", "bits"))).alias("keep"))
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
@@ -66,7 +67,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     rows = docs.select(F.struct(*own).alias("row"), F.col("doc_id").cast("long").alias("key"), F.xxhash64(_text()).alias("hash"))
     joined = rows.join(maps, (F.col("key") == F.col("doc_id")) & (F.col("hash") == F.col("text_hash")), "left")
     text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
-    keep = F.filter(_split(text), lambda _, i: F.coalesce(F.try_element_at("dropped", F.shiftright(i, 6)), F.lit(0)).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), i.bitwiseAND(63))) == 0)
+    keep = F.filter(_split(text), lambda _, i: F.coalesce(F.try_element_at("keep", F.shiftright(i, 6)), F.lit(-1)).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), i.bitwiseAND(63))) != 0)
     result = [F.size(_split(text)).cast("long").alias("n_lines"), F.coalesce("n_dropped", F.lit(0)).cast("long").alias("n_dropped"), F.when(F.col("n_dropped").isNull(), text).otherwise(F.array_join(keep, "\n")).alias("kept_text")]
     return joined.select("row", *result).select(*[F.col("row").getField(c).alias(c) for c in own], "n_lines", "n_dropped", "kept_text")
 
