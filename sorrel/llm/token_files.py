@@ -23,10 +23,10 @@ def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, width: int = 2) -> DataFrame:
+def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 1, width: int = 2, file_chars: int = 256_000_000) -> DataFrame:
     """Tokenize documents and write their ids, in ascending doc_id order, as flat files under `path`; returns the manifest.
 
-    Documents are range-partitioned by doc_id and each partition writes one pair of files: `<name>.bin` has nothing but unsigned little-endian ids
+    Documents are range-partitioned by doc_id, in parts of about `file_chars` bytes of text at most, and each partition writes one pair of files: `<name>.bin` has nothing but unsigned little-endian ids
     of `width` bytes, `<name>.idx` has the number of documents n, n + 1 offsets into the ids (both 64-bit), the doc_ids (64-bit) and a byte each that says
     whether there is an id. A task writes under a name of its own and the manifest lists only the files of tasks that ended well, so a
     task that runs twice leaves no wrong rows. `part` orders the files: a part's first id is the sum of n_ids of the parts before.
@@ -66,15 +66,18 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
             yield pa.record_batch([pa.array([part], pa.int32()), pa.array([name]), pa.array([width], pa.int32()), pa.array([len(n)], pa.int64()), pa.array([int(n.sum())], pa.int64())], ["part", "file", "width", "n_docs", "n_ids"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id", "text")
+    chars = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = rows.repartitionByRange(max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // file_chars)), "doc_id").sortWithinPartitions("doc_id", "text")
     return written(rows.mapInArrow(write, MANIFEST), "token-manifest")
 
 
-def _bytes_of(fs: pafs.FileSystem, name: str):
+def _ranges(fs: pafs.FileSystem, name: str):
+    """A function that gives the values from one byte to another: of the mapped file if it is local, else by reading just them."""
     if isinstance(fs, pafs.LocalFileSystem):
-        return pa.memory_map(name).read_buffer()
-    with fs.open_input_file(name) as f:
-        return f.read_buffer()
+        whole = pa.memory_map(name).read_buffer()
+        return lambda a, b, kind: np.frombuffer(whole.slice(a, b - a), kind) if b > a else np.zeros(0, kind)
+    f = fs.open_input_file(name)
+    return lambda a, b, kind: np.frombuffer(f.read_at(b - a, a), kind)
 
 
 def read_token_files(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
@@ -92,16 +95,15 @@ def read_token_files(spark: SparkSession, path: str, manifest: DataFrame) -> Dat
         for batch in batches:
             for r in batch.to_pylist():
                 fs, root = _filesystem(path)
-                idx = np.frombuffer(_bytes_of(fs, f"{root}/{r['file']}.idx"), "u1")
-                n = int(idx[:8].view("<u8")[0])
-                offsets = idx[8 : 16 + 8 * n].view("<u8").astype(np.int64)
-                doc_ids, valid = idx[16 + 8 * n : 16 + 16 * n].view("<i8"), idx[16 + 16 * n :].astype(bool)
-                ids = np.frombuffer(_bytes_of(fs, f"{root}/{r['file']}.bin"), f"<u{r['width']}") if offsets[-1] else np.zeros(0, "<u4")
+                idx, ids, width = _ranges(fs, f"{root}/{r['file']}.idx"), _ranges(fs, f"{root}/{r['file']}.bin"), r["width"]
+                n = int(idx(0, 8, "<u8")[0])
                 for a in range(0, n, 2000):
-                    o = offsets[a : a + 2001]
-                    flat = memoryview(ids[o[0] : o[-1]].astype("<u4").tobytes())
+                    b = min(n, a + 2000)
+                    o = idx(8 + 8 * a, 16 + 8 * b, "<u8").astype(np.int64)
+                    doc_ids, valid = idx(16 + 8 * (n + a), 16 + 8 * (n + b), "<i8"), idx(16 + 16 * n + a, 16 + 16 * n + b, "u1").astype(bool)
+                    flat = memoryview(ids(width * int(o[0]), width * int(o[-1]), f"<u{width}").astype("<u4").tobytes())
                     crc = [zlib.crc32(flat[4 * (s - o[0]) : 4 * (e - o[0])]) for s, e in zip(o[:-1], o[1:], strict=True)]
-                    yield pa.record_batch([pa.array(doc_ids[a : a + 2000], pa.int64(), mask=~valid[a : a + 2000]), pa.array(o[:-1] + bases[r["part"]]), pa.array(np.diff(o)), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                    yield pa.record_batch([pa.array(doc_ids, pa.int64(), mask=~valid), pa.array(o[:-1] + bases[r["part"]]), pa.array(np.diff(o)), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return manifest.select("part", "file", "width").repartition(n, "file").mapInArrow(read, ENTRIES)
