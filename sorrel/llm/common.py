@@ -18,11 +18,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir of the session, or one of our own where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir of the session, or where it is unset and all run on one machine (tests), one of our own."""
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
     current = sc._jsc.sc().getCheckpointDir()
     if current.isEmpty():
+        if path is None and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = path or tempfile.mkdtemp(prefix="spark-checkpoint-")
         sc.setCheckpointDir(path)
         current = sc._jsc.sc().getCheckpointDir()
@@ -38,7 +40,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage, so that a lost executor repeats no earlier stage."""
     path = scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for t in tables:
+        sc = t.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(t.written_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def strings(column: pa.Array | pa.ChunkedArray) -> pa.LargeStringArray:
