@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from sorrel.operators.contract import ContractError
-from sorrel.operators.oligos import Settings
+from sorrel.operators.oligos import Settings, load_settings
 from sorrel.plans import jobs
 from sorrel.sources import readers, writers
 
@@ -51,6 +51,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--vcf")
     c.add_argument("--mask")
     c.add_argument("--primers", action="store_true", help="also design primers")
+    c.add_argument("--primer-settings", help="TOML file with [primer]")
     command("assay-review", "results", "designs", "metadata")
     command("cross-reference", "source", "target", "chain", "fasta")
     c = command("individual-gwas", "genotypes", "phenotype")
@@ -88,7 +89,7 @@ def _run(spark: SparkSession, a: argparse.Namespace, out: Path) -> bool:
         variants = readers.vcf(spark, a.vcf) if a.vcf else None
         rows = jobs.context(spark, chosen, a.fasta, out, a.flank, a.window, variants, readers.bed(spark, a.mask) if a.mask else None)
         if a.primers:
-            jobs.primers(rows, out, Settings())
+            jobs.primers(rows, out, load_settings(a.primer_settings) if a.primer_settings else Settings(), variants, a.window)
     elif a.command == "assay-review":
         meta = {"data_scope": str, "analyst_approved": bool, "analyst_review_reference": str, "reviewer_id": str, "measurement_conditions": str, "reference_method": str, "requested_state": str, "minimum_samples": int, "minimum_comparable_samples": int, "minimum_replicated_samples": int, "minimum_call_rate": float, "minimum_concordance": float, "population_scope_confirmed": bool, "population_evidence_reference": str, "target_population": str, "validation_dataset_id": str}
         jobs.assay_review(readers.table(spark, a.results, ("design_id", "sample_id")), readers.table(spark, a.designs, ("design_id", "candidate_id")).select("design_id", "candidate_id"), readers.settings(a.metadata, meta, tuple(meta)), out)

@@ -137,12 +137,19 @@ def context(spark: SparkSession, chosen: DataFrame, fasta: str, out: Path, flank
     return rows
 
 
-def primers(rows: DataFrame, out: Path, settings: oligos.Settings, variants: DataFrame | None = None) -> None:
-    """Designs and rejection counts of candidates with their context (sequence on the candidate's strand)."""
-    turned = F.when(F.col("strand") == "-", F.translate("alt", "ACGT", "TGCA")).otherwise(F.col("alt"))
-    designs, rejected = oligos.design(rows.select("candidate_id", "sequence", F.col("snp_offset").cast("int").alias("offset"), turned.alias("alt"), "interval_start").where("sequence rlike '^[ACGT]+$'"), settings, variants)
+def primers(rows: DataFrame, out: Path, settings: oligos.Settings, variants: DataFrame | None = None, window: int | None = None) -> None:
+    """Designs and rejection counts of candidates with their context (sequence on the candidate's strand). `variants` (v_chr, v_pos, v_ref, v_alt) are the cohort's; those within `window` of a candidate may block designs."""
+    chosen = rows.select("candidate_id", "chr", "pos", "ref", "alt", "strand", "sequence", F.col("snp_offset").cast("int").alias("offset"), "interval_start", "interval_end")
+    known = None
+    if variants is not None:
+        known = intervals.neighbours(chosen.select("candidate_id", "chr", "pos", "ref", "alt"), variants, window or 0).select("candidate_id", "v_pos", "v_ref")
+    designs, rejected = oligos.design(chosen, settings, known, window)
+    designs = designs.persist()
     writers.write_tsv(designs, str(out / "designs.tsv"), ["candidate_id", "rank"])
-    writers.write_tsv(oligos.reason_text(rejected), str(out / "rejections.tsv"), ["candidate_id"])
+    writers.write_tsv(oligos.markers(chosen.drop("sequence"), designs, rejected), str(out / "marker_candidates.tsv"), ["candidate_id"])
+    best = designs.groupBy("candidate_id").agg(F.count("*").alias("designs"), F.min("score").alias("best_score"))
+    (out / "marker_design_report.md").write_text(writers.markdown("Primer design report", {"Designs by candidate": best.orderBy("candidate_id"), "Reasons": rejected.groupBy("reason").agg(F.sum("n").alias("n")).orderBy("reason")}), encoding="utf-8")
+    designs.unpersist()
 
 
 def assay_review(results: DataFrame, designs: DataFrame, meta: dict, out: Path, previous: DataFrame | None = None) -> None:

@@ -364,25 +364,85 @@ def oligo_metrics(spark, d):
     return o.select("doc_id", F.length("oligo").alias("length"), _r(gc_fraction("oligo")).alias("gc"), _r(melting_celsius("oligo"), 4).alias("tm"), longest_run("oligo").alias("homopolymer"), complementary_run("oligo", "oligo").alias("self_match"))
 
 
+def _template_sql(all_matches: str) -> str:
+    """Consecutive stretches of 361 letters of each whole text, with a candidate in the middle of each, on either strand in turn; the last stretch may be short. Z is an ambiguous base."""
+    letters = f"translate(upper(regexp_replace(text, '[^A-Za-z]', ''{all_matches})), 'BDEFHIJKLMNOPQRSUVWXYZ', 'ACGTACGTACGTACGTACGTAN')"
+    number = "unnest(range(0, (length(letters) + 360) // 361))" if all_matches else "explode(sequence(0, cast((length(letters) - 1) div 361 as int)))"
+    return f"""SELECT *, 'c' || doc_id || '_' || no AS candidate_id, CASE WHEN strand = '-' THEN interval_end - "offset" ELSE interval_start + "offset" END AS pos,
+CASE WHEN doc_id % 53 = 0 THEN ref WHEN ref = 'A' THEN 'C' ELSE 'A' END AS alt FROM (
+SELECT *, CASE WHEN no % 2 = 1 THEN '-' ELSE '+' END AS strand, CAST((length(sequence) - length(sequence) % 2) / 2 AS INT) AS "offset", doc_id * 1000000 + no * 361 + 1 AS interval_start, doc_id * 1000000 + no * 361 + length(sequence) AS interval_end,
+CASE WHEN no % 2 = 1 THEN translate(substring(sequence, CAST((length(sequence) - length(sequence) % 2) / 2 AS INT) + 1, 1), 'ACGT', 'TGCA') ELSE substring(sequence, CAST((length(sequence) - length(sequence) % 2) / 2 AS INT) + 1, 1) END AS ref FROM (
+SELECT doc_id, no, substring(letters, CAST(no * 361 + 1 AS INT), 361) AS sequence FROM (SELECT doc_id, letters, {number} AS no FROM (SELECT doc_id, {letters} AS letters FROM documents) WHERE letters <> '')))"""
+
+
 def _templates(spark, d):
-    """A candidate in the middle of each document that has 200 letters."""
-    letters = r"SELECT doc_id, substring(translate(upper(regexp_replace(text, '[^A-Za-z]', '')), 'BDEFHIJKLMNOPQRSUVWXYZ', 'ACGTACGTACGTACGTACGTAC'), 1, 200) AS sequence FROM documents"
-    t = a.view(spark, d, letters).where("length(sequence) = 200")
-    return t.selectExpr("concat('c', doc_id) as candidate_id", "sequence", "100 as offset", "CASE substring(sequence, 101, 1) WHEN 'A' THEN 'C' ELSE 'A' END AS alt", "doc_id * 1000 + 1 as interval_start")
+    return a.view(spark, d, _template_sql("").replace('"offset"', "`offset`"))
+
+
+def _cohort(templates):
+    """A known variant beside each candidate, every third of two bases."""
+    return templates.selectExpr("candidate_id", "pos + 20 as v_pos", "CASE WHEN no % 3 = 0 THEN 'TA' ELSE 'T' END AS v_ref")
+
+
+_PRIMER = oligos.Settings()
+
+
+def _screen_sql(oligo: str, prefix: str) -> str:
+    """Columns prefix_tm and prefix_failures of an oligo."""
+    s = _PRIMER
+    run = "greatest(" + ", ".join(f"length(regexp_extract({oligo}, '{b}{{{s.max_homopolymer + 1},}}'))" for b in "ACGT") + ") > 0"
+    own = f"len(list_filter(range(1, length({oligo}) - {s.max_self_match} + 1), lambda i: contains(reverse(translate({oligo}, 'ACGT', 'TGCA')), substring({oligo}, i, {s.max_self_match + 1})))) > 0"
+    gc = f"length(regexp_replace({oligo}, '[^GC]', '', 'g')) / length({oligo})"
+    return f"""{_tm_sql(oligo)} AS {prefix}_tm, list_filter([CASE WHEN NOT {prefix}_tm BETWEEN {a.d(s.min_tm)} AND {a.d(s.max_tm)} THEN 'tm_out_of_range' END, CASE WHEN NOT {gc} BETWEEN {a.d(s.min_gc)} AND {a.d(s.max_gc)} THEN 'gc_out_of_range' END,
+CASE WHEN {run} THEN 'homopolymer' END, CASE WHEN {own} THEN 'self_complementarity_screen' END], lambda x: x IS NOT NULL) AS {prefix}_failures"""
+
+
+def _run_sql(first: str, second: str, k: int) -> str:
+    return f"len(list_filter(range(1, length({first}) - {k - 1} + 1), lambda i: contains(reverse(translate({second}, 'ACGT', 'TGCA')), substring({first}, i, {k})))) > 0"
+
+
+def _longest_sql(first: str, second: str) -> str:
+    return f"list_max(list_transform(range(0, length({first}) + 1), lambda k: CASE WHEN k = 0 OR len(list_filter(range(1, length({first}) - k + 2), lambda i: contains(reverse(translate({second}, 'ACGT', 'TGCA')), substring({first}, i, k)))) > 0 THEN k ELSE 0 END))"
 
 
-_SETTINGS = oligos.Settings(min_length=20, max_length=20, min_product=80, max_product=84, min_tm=50.0, max_tm=75.0, max_tm_difference=6.0)
+def _primer_sql() -> str:
+    s, at = _PRIMER, '"offset"'
+    minus = "strand = '-'"
+    turned = {x: f"CASE WHEN {minus} THEN translate({x}, 'ACGT', 'TGCA') ELSE {x} END" for x in ("ref", "alt")}
+    between = lambda low, high: f"(v_pos <= {high} AND v_pos + length(v_ref) - 1 >= {low})"
+    return f"""WITH t AS MATERIALIZED ({_template_sql(", 'g'")}),
+u AS (SELECT *, pos + 20 AS v_pos, CASE WHEN no % 3 = 0 THEN 'TA' ELSE 'T' END AS v_ref, CASE WHEN ref = alt OR NOT regexp_matches(ref || alt, '^[ACGT][ACGT]$') THEN 'not_biallelic_snp' WHEN NOT regexp_matches(sequence, '^[ACGT]*$') THEN 'ambiguous_flanking_bases'
+  WHEN {at} < {s.min_length - 1} OR length(sequence) - {at} < {s.min_length} THEN 'insufficient_flanks' END AS unfit FROM t),
+l AS (SELECT *, {at} - n + 1 AS lft FROM (SELECT *, unnest(range({s.min_length}, {s.max_length + 1})) AS n FROM u WHERE unfit IS NULL) WHERE {at} - n + 1 >= 0),
+o AS (SELECT *, substring(specific_ref, 1, CAST(n AS INT) - 1) || {turned["alt"]} AS specific_alt FROM (SELECT *, substring(sequence, lft + 1, n) AS specific_ref FROM l)),
+sp AS MATERIALIZED (SELECT *, {_screen_sql("specific_ref", "r")}, {_screen_sql("specific_alt", "a")} FROM o),
+p AS (SELECT *, lft + product AS right_end FROM (SELECT *, unnest(range({s.min_product}, {s.max_product + 1})) AS product FROM sp WHERE len(r_failures) + len(a_failures) = 0) WHERE lft + product <= length(sequence)),
+q AS (SELECT *, right_end - cn AS right_start FROM (SELECT *, unnest(range({s.min_length}, {s.max_length + 1})) AS cn FROM p) WHERE right_end - cn > {at}),
+w AS MATERIALIZED (SELECT * EXCLUDE (sequence), reverse(translate(substring(sequence, right_start + 1, cn), 'ACGT', 'TGCA')) AS common FROM q),
+cm AS MATERIALIZED (SELECT common, {_screen_sql("common", "c")} FROM (SELECT DISTINCT common FROM w)),
+j AS (SELECT w.*, c_tm, c_failures, greatest(r_tm, a_tm, c_tm) - least(r_tm, a_tm, c_tm) AS diff, CASE WHEN {minus} THEN interval_end - {at} ELSE interval_start + lft END AS specific_start, CASE WHEN {minus} THEN interval_end - lft ELSE interval_start + {at} END AS specific_end,
+  CASE WHEN {minus} THEN interval_end - right_end + 1 ELSE interval_start + right_start END AS common_start, CASE WHEN {minus} THEN interval_end - right_start ELSE interval_start + right_end - 1 END AS common_end FROM w JOIN cm ON w.common = cm.common),
+f AS MATERIALIZED (SELECT *, CASE WHEN len(c_failures) > 0 OR diff > {a.d(s.max_tm_difference)} THEN list_concat(c_failures, CASE WHEN diff > {a.d(s.max_tm_difference)} THEN ['tm_difference'] ELSE [] END)
+  WHEN {_run_sql("specific_ref", "common", s.max_pair_match + 1)} OR {_run_sql("specific_alt", "common", s.max_pair_match + 1)} THEN ['primer_dimer_screen'] WHEN {between("specific_start", "specific_end")} OR {between("common_start", "common_end")} THEN ['cohort_variant_in_binding_site'] ELSE [] END AS failures FROM j),
+good AS (SELECT *, round(abs(r_tm - 60) + abs(a_tm - 60) + abs(c_tm - 60) + diff, 6) AS score, 'design-' || substring(sha256(concat_ws('|', '{oligos.ENGINE}', candidate_id, specific_ref, specific_alt, common, specific_start, specific_end, common_start, common_end, '{oligos.settings_text(s)}')), 1, 20) AS design_id FROM f WHERE len(failures) = 0),
+best AS (SELECT *, row_number() OVER (PARTITION BY candidate_id ORDER BY score, product, design_id) AS rank FROM good QUALIFY rank <= {s.alternatives}),
+reasons AS (SELECT candidate_id, unfit AS reason FROM u WHERE unfit IS NOT NULL UNION ALL SELECT candidate_id, unnest(list_concat(r_failures, a_failures)) FROM sp UNION ALL SELECT candidate_id, unnest(failures) FROM f),
+counted AS (SELECT candidate_id, reason, count(*) AS n FROM reasons GROUP BY ALL),
+every AS (SELECT * FROM counted UNION ALL SELECT candidate_id, 'insufficient_product_interval', 1 FROM t WHERE candidate_id NOT IN (SELECT candidate_id FROM counted) AND candidate_id NOT IN (SELECT candidate_id FROM best))"""
 
 
-@_add(None)
+@_add(f"""{_primer_sql()} SELECT candidate_id, design_id, rank, round(score, 4) AS score, specific_ref, specific_alt, common, CAST(product AS INT) AS product, CAST(greatest({_longest_sql("specific_ref", "common")}, {_longest_sql("specific_alt", "common")}) AS INT) AS pair_match, specific_start, specific_end, common_start, common_end,
+CASE WHEN least(specific_start, common_start) >= pos - 180 AND greatest(specific_end, common_end) <= pos + 180 THEN 'checked_within_context_window' ELSE 'partial_window_unverified' END AS cohort_binding_check FROM best""")
 def primer_candidates(spark, d):
-    designs, _ = oligos.design(_templates(spark, d), _SETTINGS)
-    return designs.select("candidate_id", "rank", _r("score", 4).alias("score"), "specific_ref", "specific_alt", "common", "product", "pair_match", "specific_start", "specific_end", "common_start", "common_end")
+    t = _templates(spark, d)
+    designs, _ = oligos.design(t, _PRIMER, _cohort(t), 180)
+    return designs.withColumn("score", _r("score", 4))
 
 
-@_add(None)
+@_add(f"{_primer_sql()} SELECT candidate_id, string_agg(reason || ':' || n, ';' ORDER BY reason || ':' || n) AS rejections FROM every GROUP BY candidate_id")
 def primer_rejections(spark, d):
-    return oligos.reason_text(oligos.design(_templates(spark, d), _SETTINGS)[1])
+    t = _templates(spark, d)
+    return oligos.reason_text(oligos.design(t, _PRIMER, _cohort(t), 180)[1])
 
 
 @_add("SELECT p_partkey, natural_order FROM (SELECT p_partkey, row_number() OVER (ORDER BY prefix, no, p_partkey) AS natural_order FROM (SELECT p_partkey, regexp_extract(p_brand, '^(.*?)([0-9]+)$', 1) AS prefix, CAST(regexp_extract(p_brand, '^(.*?)([0-9]+)$', 2) AS BIGINT) AS no FROM part))")

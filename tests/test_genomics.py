@@ -146,12 +146,18 @@ def test_wide_genotypes(spark, tmp_path):
         readers.genotypes(spark, str(path)).collect()
 
 
-def test_primer_design(spark):
+ONE = "candidate_id string, pos long, ref string, alt string, strand string, sequence string, offset int, interval_start long, interval_end long"
+
+
+@pytest.mark.parametrize("strand", ["+", "-"])
+def test_primer_design(spark, strand):
     rnd = random.Random(8)
     seq = "".join(rnd.choice("ACGT") for _ in range(240))
     offset, alt = 120, next(b for b in "ACGT" if b != seq[120])
     s = oligos.Settings(min_length=19, max_length=20, min_product=75, max_product=80, min_tm=45, max_tm=70, max_tm_difference=8, max_self_match=5, max_pair_match=6)
-    df = spark.createDataFrame([("c", seq, offset, alt, 1001)], "candidate_id string, sequence string, offset int, alt string, interval_start long")
+    turn = lambda x: x if strand == "+" else x.translate(TURN)
+    pos = 1001 + offset if strand == "+" else 1240 - offset
+    df = spark.createDataFrame([("c", pos, turn(seq[offset]), turn(alt), strand, seq, offset, 1001, 1240)], ONE)
     found, rejected = oligos.design(df, s)
     rc = lambda x: x[::-1].translate(TURN)
     run = lambda a, b: max((k for k in range(1, len(a) + 1) if any(a[i : i + k] in rc(b) for i in range(len(a) - k + 1))), default=0)
@@ -186,13 +192,43 @@ def test_primer_design(spark):
                 elif max(run(ref, common), run(other, common)) > s.max_pair_match:
                     reasons["primer_dimer_screen"] += 1
                 else:
-                    designs.append((sum(abs(x - s.target_tm) for x in t) + max(t) - min(t), product, n, c))
-    assert {r.reason: r.n for r in rejected.collect()} == dict(reasons)
-    assert [round(r.score, 6) for r in found.orderBy("rank").collect()] == [round(x[0], 6) for x in sorted(designs)[:3]]
-    if designs:
-        block = spark.createDataFrame([("c", 1000 + offset + 1, 1000 + offset + 1)], "candidate_id string, v_pos long, v_end long")
-        none, why = oligos.design(df, s, block)
-        assert none.count() == 0 and why.where("reason = 'cohort_variant_in_binding_site'").first().n == len(designs)
+                    spans = [(left, offset + 1), (end - c, end)]
+                    spans = [(1001 + x, 1000 + y) if strand == "+" else (1240 - y + 1, 1240 - x) for x, y in spans]
+                    designs.append((round(sum(abs(x - s.target_tm) for x in t) + max(t) - min(t), 6), product, ref, other, common, spans))
+    assert {r.reason: r.n for r in rejected.collect()} == dict(reasons) and designs
+    got = found.orderBy("rank").collect()
+    assert [(r.score, r["product"]) for r in got] == [x[:2] for x in sorted(designs)[:3]]
+    for r in got:
+        assert (r.score, r["product"], r.specific_ref, r.specific_alt, r.common, [(r.specific_start, r.specific_end), (r.common_start, r.common_end)]) in designs
+        assert r.pair_match == max(run(r.specific_ref, r.common), run(r.specific_alt, r.common)) and r.cohort_binding_check == "unavailable"
+    # a variant at the candidate's place blocks all designs, one that no binding site holds none, and one of two bases counts to its end
+    whole = lambda v: any(x <= v[0] + len(v[1]) - 1 and v[0] <= y for d in designs for x, y in d[5])
+    for v in ((pos, "A"), (pos + 500, "A")):
+        some, why = oligos.design(df, s, spark.createDataFrame([("c", *v)], "candidate_id string, v_pos long, v_ref string"), window=60)
+        hit = why.where("reason = 'cohort_variant_in_binding_site'").first()
+        assert (hit.n if hit else 0) == (len(designs) if whole(v) else 0)
+        assert {r.cohort_binding_check for r in some.collect()} <= {"checked_within_context_window", "partial_window_unverified"}
+
+
+def test_primer_reasons_and_settings(spark, tmp_path):
+    s = oligos.Settings()
+    seq = "ACGT" * 30
+    rows = [("a", 61, "A", "AC", "+", seq, 60, 1, 120), ("b", 61, "A", "C", "+", seq[:-1] + "N", 60, 1, 120), ("c", 5, "A", "C", "+", seq, 4, 1, 120), ("d", 61, "A", "C", "+", seq, 60, 1, 120), ("e", 30, "C", "A", "+", "AAGCTTCGATCGTACGGATCATGCAAGTC" + "CTTGCA" * 4, 29, 1, 53)]
+    designs, reasons = oligos.design(spark.createDataFrame(rows, ONE), s)
+    got = {r.candidate_id: r.rejections for r in oligos.reason_text(reasons).collect()}
+    assert got["a"] == "not_biallelic_snp:1" and got["b"] == "ambiguous_flanking_bases:1" and got["c"] == "insufficient_flanks:1" and "self_complementarity_screen" in got["d"]
+    assert set(got) == {"a", "b", "c", "d", "e"} and designs.count() == 0
+    marked = oligos.markers(spark.createDataFrame(rows, ONE).select("candidate_id"), designs, reasons).collect()
+    assert all(r.design_count == 0 and r.validation_state == "not_designed" for r in marked)
+    with pytest.raises(Exception, match="disagree for x"):
+        oligos.design(spark.createDataFrame([("x", 61, "C", "A", "+", seq, 60, 1, 120)], ONE), s)[1].collect()
+    path = tmp_path / "p.toml"
+    path.write_text("schema_version = 1\n[primer]\nmin_tm_C = 50\nmax_product_bp = 150\n")
+    assert oligos.load_settings(str(path)) == oligos.Settings(min_tm=50, max_product=150)
+    for text in ("schema_version = 2\n[primer]\n", "schema_version = 1\n[primer]\nodd = 1\n", "schema_version = 1\n[primer]\nmin_length = 0\n", "schema_version = 1\n[primer]\nmin_length = 30\nmax_length = 20\n", "schema_version = 1\n[primer]\nmin_length = true\n", "schema_version = 1\n[primer]\nalternatives = 101\n", "schema_version = 1\n[primer]\nmin_tm_C = nan\n"):
+        path.write_text(text)
+        with pytest.raises(ValueError):
+            oligos.load_settings(str(path))
 
 
 def test_review_rules(spark):
