@@ -34,24 +34,45 @@ def centred(long: DataFrame, checks: DataFrame) -> DataFrame:
     return long.join(kept, "marker_id").select("sample_id", "marker_id", "alt_frequency", (F.coalesce(F.col("dosage").cast("double"), twice) - twice).alias("z"))
 
 
-def kinship(z: DataFrame, block: int = 64) -> DataFrame:
+def kinship(z: DataFrame, tile: int = 512, block: int = 1024) -> DataFrame:
     """sample_a, sample_b (a <= b) and k = sum z_a z_b / sum 2 p (1 - p).
 
-    Markers are dealt to blocks; each block adds up its own matrix product in a kernel (samples are bounded by the model), and the partial products are summed by pair.
+    Samples are numbered and cut into tiles of `tile`, markers dealt to blocks of about `block`. Each pair of tiles multiplies its rows of a block in a kernel that holds 2 * tile * block numbers, and the
+    packed products of a pair of tiles are added up over the blocks before they are spread into rows.
     """
+    sizes = z.agg(F.countDistinct("sample_id").alias("samples"), F.countDistinct("marker_id").alias("markers")).first()
+    tiles, blocks = max(1, -(-sizes.samples // tile)), max(1, -(-sizes.markers // block))
     scale = z.select("marker_id", "alt_frequency").distinct().agg(F.sum(2 * F.col("alt_frequency") * (1 - F.col("alt_frequency"))).alias("scale"))
-    blocks = z.withColumn("block", F.pmod(F.xxhash64("marker_id"), F.lit(block)))
-
-    def product(pdf: pd.DataFrame) -> pd.DataFrame:
-        wide = pdf.pivot_table(index="sample_id", columns="marker_id", values="z", fill_value=0.0)
-        k = wide.to_numpy() @ wide.to_numpy().T
-        a, b = np.triu_indices(len(wide))
-        ids = wide.index.to_numpy()
-        return pd.DataFrame({"sample_a": ids[a], "sample_b": ids[b], "part": k[a, b]})
-
+    own = F.pmod(F.xxhash64("sample_id"), F.lit(tiles)).cast("int")
+    rows = z.select("sample_id", "z", own.alias("tile"), F.pmod(F.xxhash64("marker_id"), F.lit(blocks)).cast("int").alias("block"), "marker_id")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))).select("sample_id", "marker_id", "z", "block", "tile", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
     kind = dict(z.dtypes)["sample_id"]
-    parts = blocks.groupBy("block").applyInPandas(product, f"sample_a {kind}, sample_b {kind}, part double")
-    return parts.groupBy("sample_a", "sample_b").agg(F.sum("part").alias("part")).crossJoin(scale).select("sample_a", "sample_b", (F.col("part") / F.col("scale")).alias("k"))
+    packed = f"low int, high int, ids_a array<{kind}>, ids_b array<{kind}>, product array<double>"
+
+    def product(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        _, low, high = key
+        ids, at = np.unique(pdf["sample_id"].to_numpy(), return_inverse=True)
+        _, column = np.unique(pdf["marker_id"].to_numpy(), return_inverse=True)
+        x = np.zeros((len(ids), column.max() + 1))
+        x[at, column] = pdf["z"].to_numpy()
+        of = np.zeros(len(ids), np.int64)
+        of[at] = pdf["tile"].to_numpy()
+        a, b = of == low, of == high
+        return pd.DataFrame({"low": [low], "high": [high], "ids_a": [ids[a].tolist()], "ids_b": [ids[b].tolist()], "product": [(x[a] @ x[b].T).ravel()]})
+
+    def summed(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        low, high = key
+        ids_a, ids_b = (np.unique(np.concatenate([np.asarray(v) for v in pdf[c]])) if len(pdf) else np.zeros(0) for c in ("ids_a", "ids_b"))
+        k = np.zeros((len(ids_a), len(ids_b)))
+        for a, b, part in zip(pdf["ids_a"], pdf["ids_b"], pdf["product"], strict=True):
+            k[np.ix_(np.searchsorted(ids_a, a), np.searchsorted(ids_b, b))] += np.asarray(part).reshape(len(a), len(b))
+        a, b = np.triu_indices(len(ids_a)) if low == high else (x.ravel() for x in np.indices(k.shape))
+        x, y = ids_a[a], ids_b[b]
+        return pd.DataFrame({"sample_a": np.where(x <= y, x, y), "sample_b": np.where(x <= y, y, x), "part": k[a, b]})
+
+    parts = rows.groupBy("block", "low", "high").applyInPandas(product, packed)
+    sums = parts.groupBy("low", "high").applyInPandas(summed, f"sample_a {kind}, sample_b {kind}, part double")
+    return sums.crossJoin(scale).select("sample_a", "sample_b", (F.col("part") / F.col("scale")).alias("k"))
 
 
 def matrix(pairs: DataFrame, most: int = 1000) -> tuple[list, np.ndarray]:

@@ -1,7 +1,8 @@
 """Multiple-testing corrections and inflation, for any number of independent families in one plan.
 
 A family is never pooled with another. Ranks over a whole family aren't taken in one task: p-values are counted, dealt to fixed bins in order, and
-prefix sums over the bins' totals (a few thousand rows for each family) join the bins together.
+prefix sums over the bins' totals (a few thousand rows for each family) join the bins together. The distinct p-values with their counts are written once: all steps read that small table, and the rows
+themselves are read once to count and once to join.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sorrel.functions.numeric import CHI2_MEDIAN_1, chi2_isf_1
+from sorrel.sources.scratch import written
 
 _BINS = 4096
 
@@ -21,7 +23,7 @@ def _bin(p: Column) -> Column:
 
 def ranked(df: DataFrame, p: str, family: list[str]) -> DataFrame:
     """family, p, n (rows with that p), rank (of the last of them, ascending), m (rows of the family) and bin, for each distinct p."""
-    counted = df.groupBy(*family, F.col(p).alias("p")).agg(F.count("*").alias("n")).withColumn("bin", _bin(F.col("p")))
+    counted = written(df.groupBy(*family, F.col(p).alias("p")).agg(F.count("*").alias("n")), "p-values").withColumn("bin", _bin(F.col("p")))
     in_bin = Window.partitionBy(*family, "bin").orderBy("p")
     before = Window.partitionBy(*family).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     totals = counted.groupBy(*family, "bin").agg(F.sum("n").alias("in_bin"))
@@ -49,7 +51,7 @@ def adjust(df: DataFrame, p: str = "pval", family: list[str] = ["dataset_id"], a
 
 def ranked_log(df: DataFrame, nlp: str, family: list[str]) -> DataFrame:
     """The same as `ranked` for -log10 p-values; p is their negative, so that it ascends with the p-value. Bins are a 64th wide."""
-    counted = df.groupBy(*family, (-F.col(nlp)).alias("p")).agg(F.count("*").alias("n")).withColumn("bin", F.floor(F.col("p") * 64).cast("long"))
+    counted = written(df.groupBy(*family, (-F.col(nlp)).alias("p")).agg(F.count("*").alias("n")), "log-p-values").withColumn("bin", F.floor(F.col("p") * 64).cast("long"))
     before = Window.partitionBy(*family).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     totals = counted.groupBy(*family, "bin").agg(F.sum("n").alias("in_bin"))
     totals = totals.select(*family, "bin", F.coalesce(F.sum("in_bin").over(before), F.lit(0)).alias("before"), F.sum("in_bin").over(Window.partitionBy(*family)).alias("m"))

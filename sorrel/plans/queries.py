@@ -12,6 +12,7 @@ from sorrel.functions.text import COMPLEMENT, IUPAC, NEAREST, complementary_run,
 from sorrel.operators import assays, clusters, contract, crossref, customer, genotypes, intervals, layout, oligos
 from sorrel.operators import statistics as st
 from sorrel.plans import adapters as a
+from sorrel.sources.scratch import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -472,6 +473,11 @@ def _normalised(spark, d):
     return rows.withColumn("neg_log10_pvalue", _r("neg_log10_pvalue"))
 
 
+def _valid(spark, d, *columns: str):
+    """The valid rows' columns, written once, as the corrections and ranks read them several times and each row costs some forty patterns."""
+    return written(customer.split_invalid(_normalised(spark, d))[0].select("dataset_id", "candidate_id", "neg_log10_pvalue", *columns), "normalised")
+
+
 @_add(f"WITH {_CUST} SELECT dataset_id, candidate_id, beta, effect_allele_frequency, neg_log10_pvalue FROM ok")
 def customer_normalize(spark, d):
     return customer.split_invalid(_normalised(spark, d))[0].select("dataset_id", "candidate_id", "beta", "effect_allele_frequency", "neg_log10_pvalue")
@@ -488,7 +494,7 @@ r3 AS (SELECT *, bonf >= -log10({a.d(0.05)}) AS b_sig, bh >= -log10({a.d(0.05)})
 
 
 def _log_adjusted(spark, d):
-    return st.adjust_log(customer.split_invalid(_normalised(spark, d))[0])
+    return st.adjust_log(_valid(spark, d, "chr", "pos"))
 
 
 @_add(f"WITH {_LOGBH} SELECT dataset_id, candidate_id, n_tests, round(bh, 5) AS neg_log10_p_bh, round(bonf, 5) AS neg_log10_p_bonferroni, b_sig AS bonferroni_significant, f_sig AS bh_significant FROM r3")
@@ -505,25 +511,25 @@ o AS (SELECT *, CASE WHEN p_ - lag(p_) OVER (PARTITION BY dataset_id, chr ORDER
 SELECT dataset_id, candidate_id, 'signal-' || lpad(CAST(sum(opens) OVER (PARTITION BY dataset_id ORDER BY contig_order, p_, candidate_id ROWS UNBOUNDED PRECEDING) AS VARCHAR), 5, '0') AS signal_id,
 row_number() OVER (PARTITION BY dataset_id ORDER BY neg_log10_pvalue DESC, contig_order, p_, candidate_id) AS candidate_rank, CASE WHEN b_sig THEN 'Bonferroni' ELSE 'BH_only' END AS priority_tier FROM o""")
 def customer_rank(spark, d):
-    rows = _log_adjusted(spark, d).where("bonferroni_significant or bh_significant").withColumn("pos", F.col("pos").cast("bigint"))
+    rows = written(_log_adjusted(spark, d).where("bonferroni_significant or bh_significant").withColumn("pos", F.col("pos").cast("bigint")), "significant")
     return clusters.log_ranking(rows, DISTANCE, _contigs(rows)).select("dataset_id", "candidate_id", "signal_id", "candidate_rank", "priority_tier")
 
 
 @_add(f"""WITH {_CUST}, spans AS (SELECT dataset_id, chr, min(p_) AS low, max(p_) AS high FROM ok GROUP BY ALL), laid AS (SELECT *, coalesce(sum(high - low + 1) OVER (PARTITION BY dataset_id ORDER BY 12 - CAST(substring(chr, 4) AS INT) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cursor FROM spans)
 SELECT ok.dataset_id, candidate_id, CAST(cursor + p_ - low AS BIGINT) AS x, neg_log10_pvalue AS y FROM ok JOIN laid ON ok.dataset_id = laid.dataset_id AND ok.chr = laid.chr""")
 def customer_manhattan(spark, d):
-    rows = customer.split_invalid(_normalised(spark, d))[0].withColumn("pos", F.col("pos").cast("bigint"))
+    rows = _valid(spark, d, "chr", "pos").withColumn("pos", F.col("pos").cast("bigint"))
     return layout.contiguous_layout(rows, _contigs(rows)).select("dataset_id", "candidate_id", "x", F.col("neg_log10_pvalue").alias("y"))
 
 
 @_add(f"WITH {_CUST} SELECT dataset_id, neg_log10_pvalue AS observed, n AS n_points, round(-log10((rk - 0.5) / m), 6) AS expected FROM (SELECT dataset_id, neg_log10_pvalue, count(*) AS n, sum(count(*)) OVER (PARTITION BY dataset_id ORDER BY neg_log10_pvalue DESC) AS rk, sum(count(*)) OVER (PARTITION BY dataset_id) AS m FROM ok GROUP BY dataset_id, neg_log10_pvalue)")
 def customer_qq(spark, d):
-    return st.quantile_points_log(customer.split_invalid(_normalised(spark, d))[0]).withColumn("expected", _r("expected"))
+    return st.quantile_points_log(_valid(spark, d)).withColumn("expected", _r("expected"))
 
 
 @_add(f"WITH {_CUST} SELECT dataset_id, count(*) AS n_tests, round(median({chi2_isf_1_sql('power(10, -neg_log10_pvalue)')}) / {a.d(CHI2_MEDIAN_1)}, 5) AS lambda_gc, 'diagnostic_only' AS status FROM ok GROUP BY dataset_id")
 def customer_lambda(spark, d):
-    return st.inflation_log(customer.split_invalid(_normalised(spark, d))[0]).withColumn("lambda_gc", _r("lambda_gc", 5))
+    return st.inflation_log(_valid(spark, d)).withColumn("lambda_gc", _r("lambda_gc", 5))
 
 
 @_add(f"WITH {_LOGBH}, i AS (SELECT dataset_id, count(*) AS n_input, count(reason) AS n_excluded FROM judged GROUP BY dataset_id) SELECT i.dataset_id, any_value(n_input) AS n_input, any_value(n_excluded) AS n_excluded, count(*) AS n_tests, count(*) FILTER (WHERE b_sig) AS bonferroni_discoveries, count(*) FILTER (WHERE f_sig) AS bh_discoveries, 0 AS n_unresolved FROM i JOIN r3 ON i.dataset_id = r3.dataset_id GROUP BY i.dataset_id")
