@@ -95,7 +95,7 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 
 
 def _notices(spark: SparkSession) -> DataFrame:
-    """notice, label, held (used to calibrate instead of to fit) and said of all labelled notices."""
+    """notice, label, held (used to calibrate instead of to fit), place and said of all labelled notices."""
     rows = []
     for k, names in NAMES.items():
         for held, frames, of_ids in ((False, FRAMES, IDENTIFIER_FRAMES), (True, FRAMES_HELD, IDENTIFIER_FRAMES_HELD)):
@@ -103,7 +103,10 @@ def _notices(spark: SparkSession) -> DataFrame:
         rows += [(k, False, x) for x in SENTENCES.get(k, ())]
     for held, names, frames, reserved, plain in ((False, OTHER, FRAMES, RESERVED * 3, PLAIN), (True, OTHER_HELD, FRAMES_HELD, RESERVED_HELD, PLAIN_HELD)):
         rows += [("unknown", held, f.format(n)) for n in names for f in frames] + [("unknown", held, x) for x in reserved] + [("none", held, x) for x in plain]
-    return spark.createDataFrame([(i, CLASSES.index(k), held, said) for i, (k, held, said) in enumerate(rows)], "notice int, label int, held boolean, said string")
+    numbered = sorted(rows, key=lambda r: r[1])  # the place of a notice counts within those held and within the others
+    first = sum(not held for _, held, _ in rows)
+    values = ", ".join("({}, {}, {}, {}, '{}')".format(i, CLASSES.index(k), str(held).lower(), i - first * held, said.replace("'", "\\'")) for i, (k, held, said) in enumerate(numbered))
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t(notice, label, held, place, said)")
 
 
 def _sampled(docs: DataFrame, sample_docs: int, seed: int) -> DataFrame:
@@ -124,7 +127,7 @@ def train(docs: DataFrame, sample_docs: int = 4000, seed: int = 7, common: float
     """
     spark = docs.sparkSession
     plain = written(_sampled(docs, sample_docs, seed), "licence-sample").withColumn("held", F.pmod("h", F.lit(3)) == 0)
-    notices = _notices(spark).withColumn("said", _words(F.col("said"))).withColumn("place", F.row_number().over(Window.partitionBy("held").orderBy("notice")) - 1)
+    notices = _notices(spark).withColumn("said", _words(F.col("said")))
     sizes = {r.held: r.n for r in notices.groupBy("held").agg(F.count("*").alias("n")).collect()}
     place = F.pmod(F.shiftright("h", 4), F.when(F.col("held"), sizes[True]).otherwise(sizes[False])).cast("int")
     cut = F.pmod(F.shiftright("h", 20), F.lit(24)).cast("int")
