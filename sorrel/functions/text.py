@@ -30,16 +30,16 @@ def longest_run(sequence: str) -> Column:
 
 
 def complementary_run(first: str, second: str) -> Column:
-    """Longest tract of `first` that also stands in the reverse complement of `second`."""
-    other = f"reverse(translate({second}, 'ACGT', 'TGCA'))"
-    tract = f"exists(sequence(1, length({first}) - k + 1), i -> contains({other}, substring({first}, i, k)))"
-    return F.expr(f"coalesce(array_max(filter(sequence(1, length({first})), k -> {tract})), 0)")
+    """Longest tract of `first` that also stands in the reverse complement of `second`: a tract of k holds one of k - 1, so lengths are tried upwards to the first that none has."""
+    tract = f"exists(sequence(1, length({first}) - k + 1), i -> contains(r, substring({first}, i, k)))"
+    longest = f"aggregate(sequence(1, length({first})), 0, (best, k) -> if(best = k - 1, if({tract}, k, best), best))"
+    return F.expr(f"transform(array(reverse(translate({second}, 'ACGT', 'TGCA'))), r -> {longest})[0]")
 
 
 def has_complementary_run(first: str, second: str, k: int) -> Column:
     """Whether a tract of k bases of `first` stands in the reverse complement of `second`."""
-    other = f"reverse(translate({second}, 'ACGT', 'TGCA'))"
-    return F.expr(f"length({first}) >= {k} and exists(sequence(1, greatest(1, length({first}) - {k - 1})), i -> contains({other}, substring({first}, i, {k})))")
+    tract = f"exists(sequence(1, greatest(1, length({first}) - {k - 1})), i -> contains(r, substring({first}, i, {k})))"
+    return F.expr(f"length({first}) >= {k} and exists(array(reverse(translate({second}, 'ACGT', 'TGCA'))), r -> {tract})")
 
 
 def melting_celsius(sequence: str, sodium_mm: float = 50.0, strand_nm: float = 25.0) -> Column:

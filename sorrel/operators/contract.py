@@ -96,7 +96,7 @@ def validate(rows: DataFrame, header: list[str], expected_rows: int | None = Non
     key = F.struct(F.trim("chr").alias("chr"), integer("pos").alias("pos"), F.trim("allele0").alias("allele0"), F.trim("allele1").alias("allele1"))
     judged = rows.select("src_row", ragged.alias("ragged"), violation().alias("v"), key.alias("key"))
     worst = judged.agg(F.count("*").alias("n"), F.min(F.when(F.col("ragged") | F.col("v").isNotNull(), F.struct("src_row", "ragged", "v"))).alias("bad")).first()
-    twice = judged.groupBy("key").agg(F.count("*").alias("n"), F.array_sort(F.slice(F.array_sort(F.collect_list("src_row")), 1, 2)).alias("at")).where("n > 1").agg(F.min(F.struct(F.col("at")[1].alias("row"), F.col("at")[0].alias("first")))).first()[0]
+    twice = duplicates(judged, ["key"]).agg(F.min(F.struct(F.col("duplicate_row").alias("row"), F.col("first_row").alias("first")))).first()[0]
     if worst.bad is not None and (twice is None or worst.bad.src_row <= twice.row):
         if worst.bad.ragged:
             raise RowError(f"row {worst.bad.src_row} has another number of fields than the header")
@@ -108,6 +108,26 @@ def validate(rows: DataFrame, header: list[str], expected_rows: int | None = Non
     return worst.n
 
 
+def p_violations(df: DataFrame, p: str, order: str = "src_row") -> DataFrame:
+    """Values that aren't p-values (finite, above 0 and up to 1), with the reason."""
+    x = F.col(p)
+    reason = F.when(x.isNull(), "is missing").when(F.isnan(x) | (F.abs(x) == float("inf")), "isn't finite").when((x <= 0) | (x > 1), "isn't in (0, 1]")
+    return df.select(order, p, reason.alias("reason")).where("reason is not null")
+
+
+def p_value(p: str) -> Column:
+    """The column, or an error where it isn't a p-value: no correction is computed from others."""
+    x = F.col(p)
+    return F.when((x > 0) & (x <= 1), x).otherwise(F.raise_error(F.concat(F.lit(f"{p} isn't a p-value: "), F.coalesce(x.cast("string"), F.lit("null")))).cast("double"))
+
+
+def unit_interval(closed: bool = True, **levels: float) -> None:
+    """Levels such as alpha must lie in (0, 1], or in (0, 1)."""
+    for name, x in levels.items():
+        if isinstance(x, bool) or not isinstance(x, (int, float)) or not (0 < x < 1 or (closed and x == 1)):
+            raise ContractError(f"{name} must be above 0 and {'up to' if closed else 'below'} 1, not {x!r}")
+
+
 def set_differences(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
     """Keys that only one side has, with the side; no rows: the sets are equal."""
     a, b = left.select(*key).distinct(), right.select(*key).distinct()

@@ -49,7 +49,7 @@ def kinship(z: DataFrame, tile: int = 512, block: int = 1024) -> DataFrame:
     kind = dict(z.dtypes)["sample_id"]
     packed = f"low int, high int, ids_a array<{kind}>, ids_b array<{kind}>, product array<double>"
 
-    def product(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def product(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         _, low, high = key
         ids, at = np.unique(pdf["sample_id"].to_numpy(), return_inverse=True)
         _, column = np.unique(pdf["marker_id"].to_numpy(), return_inverse=True)
@@ -60,7 +60,7 @@ def kinship(z: DataFrame, tile: int = 512, block: int = 1024) -> DataFrame:
         a, b = of == low, of == high
         return pd.DataFrame({"low": [low], "high": [high], "ids_a": [ids[a].tolist()], "ids_b": [ids[b].tolist()], "product": [(x[a] @ x[b].T).ravel()]})
 
-    def summed(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def summed(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         low, high = key
         ids_a, ids_b = (np.unique(np.concatenate([np.asarray(v) for v in pdf[c]])) if len(pdf) else np.zeros(0) for c in ("ids_a", "ids_b"))
         k = np.zeros((len(ids_a), len(ids_b)))
@@ -107,6 +107,15 @@ def scaled(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.crossJoin(stats).select(*[c for c in df.columns if c not in columns], *[((F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).alias(c) for c in columns])
 
 
+def least_squares(z: DataFrame, y: DataFrame) -> DataFrame:
+    """beta and se of each marker without relatedness, from sums by marker; `y`: sample_id and y."""
+    by = z.join(y, "sample_id").groupBy("marker_id")
+    s = by.agg(F.count("*").alias("n"), F.sum("z").alias("sz"), F.sum(F.col("z") ** 2).alias("szz"), F.sum(F.col("z") * F.col("y")).alias("szy"), F.sum("y").alias("sy"), F.sum(F.col("y") ** 2).alias("syy"))
+    s = s.select("marker_id", "n", (F.col("szz") - F.col("sz") ** 2 / F.col("n")).alias("xx"), (F.col("szy") - F.col("sz") * F.col("sy") / F.col("n")).alias("xy"), (F.col("syy") - F.col("sy") ** 2 / F.col("n")).alias("yy"))
+    beta = F.col("xy") / F.col("xx")
+    return s.select("marker_id", beta.alias("beta"), F.sqrt((F.col("yy") - beta * F.col("xy")) / (F.col("n") - 2) / F.col("xx")).alias("se"))
+
+
 @dataclass(frozen=True)
 class NullModel:
     """Rotation, weights and covariate basis of a fitted model without any marker."""

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sorrel.functions.text import natural_key
+from sorrel.sources.scratch import written
 
 
 def chromosomes(df: DataFrame, family: str = "dataset_id") -> DataFrame:
@@ -41,3 +42,15 @@ def top_by_region(df: DataFrame, regions: DataFrame, keys: list[str] = ["dataset
     found = in_regions(df, regions)
     best = F.min_by(F.struct("chr", "pos", "allele1", "allele0", "af", "beta", "pval"), F.struct("pval", "src_row"))
     return found.groupBy(*keys, "region_id", "region_no").agg(best.alias("top"), F.count("*").alias("n_variants")).select(*keys, "region_id", "region_no", "n_variants", "top.*")
+
+
+def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Add the row's place in an order: rows are dealt to ranges of it, numbered within each, and added to the rows of the ranges before. Rows that tie must not differ in what is ordered by."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = {f"_k{i}": c for i, c in enumerate(order)}
+    # written, so that a row keeps its range
+    rows = written(df.withColumns(keys).repartitionByRange(n, *keys).withColumn("_range", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*keys))
+    return rows.join(starts, "_range").withColumn(name, F.col("_before") + place).drop("_range", "_before", *keys)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sorrel.functions.numeric import CHI2_MEDIAN_1, chi2_isf_1
+from sorrel.operators.contract import p_value, unit_interval
 from sorrel.sources.scratch import written
 
 _BINS = 4096
@@ -23,7 +24,7 @@ def _bin(p: Column) -> Column:
 
 def ranked(df: DataFrame, p: str, family: list[str]) -> DataFrame:
     """family, p, n (rows with that p), rank (of the last of them, ascending), m (rows of the family) and bin, for each distinct p."""
-    counted = written(df.groupBy(*family, F.col(p).alias("p")).agg(F.count("*").alias("n")), "p-values").withColumn("bin", _bin(F.col("p")))
+    counted = written(df.groupBy(*family, p_value(p).alias("p")).agg(F.count("*").alias("n")), "p-values").withColumn("bin", _bin(F.col("p")))
     in_bin = Window.partitionBy(*family, "bin").orderBy("p")
     before = Window.partitionBy(*family).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     totals = counted.groupBy(*family, "bin").agg(F.sum("n").alias("in_bin"))
@@ -43,6 +44,7 @@ def _suffix(df: DataFrame, value: str, family: list[str], best) -> DataFrame:
 
 def adjust(df: DataFrame, p: str = "pval", family: list[str] = ["dataset_id"], alpha: float = 0.05, fdr: float = 0.05) -> DataFrame:
     """Add n_tests, bonferroni_p, bh_p and their flags: Bonferroni p <= alpha / m; Benjamini-Hochberg step-up with ties."""
+    unit_interval(alpha=alpha, fdr=fdr)
     steps = _suffix(ranked(df, p, family).withColumn("raw", F.col("p") * (F.col("m") / F.col("rank"))), "raw", family, F.min)
     steps = steps.select(*family, F.col("p").alias(p), F.col("m").alias("n_tests"), F.least("_suffix", F.lit(1.0)).alias("bh_p"))
     out = df.join(steps, [*family, p])
@@ -61,6 +63,7 @@ def ranked_log(df: DataFrame, nlp: str, family: list[str]) -> DataFrame:
 
 def adjust_log(df: DataFrame, nlp: str = "neg_log10_pvalue", family: list[str] = ["dataset_id"], alpha: float = 0.05, fdr: float = 0.05) -> DataFrame:
     """The same in log space, for p-values below the double range: a running maximum of nlp - log10(m / rank), 0 at least."""
+    unit_interval(closed=False, alpha=alpha, fdr=fdr)
     steps = ranked_log(df, nlp, family).withColumn("raw", -F.col("p") - F.log10(F.col("m") / F.col("rank")))
     steps = _suffix(steps, "raw", family, F.max).select(*family, (-F.col("p")).alias(nlp), F.col("m").alias("n_tests"), F.greatest("_suffix", F.lit(0.0)).alias("neg_log10_p_bh"))
     out = df.join(steps, [*family, nlp]).withColumn("neg_log10_p_bonferroni", F.greatest(F.lit(0.0), F.col(nlp) - F.log10("n_tests")))

@@ -68,11 +68,15 @@ SELECT 'd' || (user_id % 20) AS design_id, 's' || (event_id % 37) AS sample_id,
        CASE WHEN event_id % 10 = 0 THEN CAST(event_id % 3 AS STRING) ELSE 'NA' END AS expected_genotype
 FROM events"""
 
-DESIGNS = "SELECT 'd' || s_suppkey AS design_id, 'c' || (s_suppkey % 7) AS candidate_id FROM supplier WHERE s_suppkey < 20"
+DESIGNS = "SELECT 'd' || s_suppkey AS design_id, 'c' || CAST((s_suppkey - s_suppkey % 3) / 3 AS INT) AS candidate_id FROM supplier"
 
-#: Short upper-case sequences of A, C, G and T from words of documents.
-OLIGOS_SPARK = r"SELECT doc_id, substring(translate(upper(regexp_replace(text, '[^A-Za-z]', '')), 'BDEFHIJKLMNOPQRSUVWXYZ', 'ACGTACGTACGTACGTACGTAC'), 1, 22) AS oligo FROM documents"
-OLIGOS = r"SELECT doc_id, substring(translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'BDEFHIJKLMNOPQRSUVWXYZ', 'ACGTACGTACGTACGTACGTAC'), 1, 22) AS oligo FROM documents"
+#: Numbers that should be p-values, some of which aren't.
+P_VALUES = f"SELECT (l_orderkey * 1000003 + l_partkey) * 8 + l_linenumber AS src_row, CASE WHEN l_orderkey % 211 = 0 THEN NULL WHEN l_orderkey % 223 = 1 THEN CAST('nan' AS DOUBLE) WHEN l_orderkey % 227 = 2 THEN CAST('inf' AS DOUBLE) WHEN l_orderkey % 229 = 3 THEN {d(0.0)} WHEN l_orderkey % 233 = 4 THEN {d(1.5)} ELSE {_U} END AS p FROM lineitem"
+
+#: Consecutive upper-case sequences of 22 letters A, C, G and T from whole texts; the last of a text may be shorter.
+_LETTERS = "translate(upper(regexp_replace(text, '[^A-Za-z]', ''{})), 'BDEFHIJKLMNOPQRSUVWXYZ', 'ACGTACGTACGTACGTACGTAC')"
+OLIGOS_SPARK = f"SELECT doc_id, no, substring(letters, no * 22 + 1, 22) AS oligo FROM (SELECT doc_id, letters, explode(sequence(0, cast((length(letters) - 1) div 22 as int))) AS no FROM (SELECT doc_id, {_LETTERS.format('')} AS letters FROM documents) WHERE letters <> '')"
+OLIGOS = f"SELECT doc_id, CAST(no AS INT) AS no, substring(letters, no * 22 + 1, 22) AS oligo FROM (SELECT doc_id, letters, unnest(range(0, (length(letters) + 21) // 22)) AS no FROM (SELECT doc_id, {_LETTERS.format(", 'g'")} AS letters FROM documents) WHERE letters <> '')"
 
 #: Summary statistics under another contract, as text.
 CUSTOMER = """

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sorrel.functions.numeric import CHI2_MEDIAN_1, chi2_isf_1_sql
 from sorrel.functions.text import COMPLEMENT, IUPAC, NEAREST, complementary_run, gc_fraction, identity, longest_run, melting_celsius, natural_key, percent_encode, reverse_complement
-from sorrel.operators import assays, clusters, contract, crossref, customer, genotypes, intervals, layout, oligos
+from sorrel.operators import assays, clusters, contract, crossref, customer, genotypes, intervals, layout, oligos, reports
 from sorrel.operators import statistics as st
 from sorrel.plans import adapters as a
 from sorrel.sources.scratch import written
@@ -100,9 +100,9 @@ def row_counts(spark, d):
     return contract.counts(rows, rows.distinct().withColumn("n_expected", F.lit(10000)), ["dataset_id"])
 
 
-@_add("SELECT o_custkey AS k, 'left' AS side FROM orders WHERE o_custkey % 3 = 0 GROUP BY 1 HAVING o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) UNION ALL SELECT c_custkey, 'right' FROM customer WHERE c_custkey % 2 = 0 AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 3 = 0)")
+@_add("SELECT DISTINCT o_orderkey * 2 AS k, 'left' AS side FROM orders WHERE o_orderkey * 2 NOT IN (SELECT l_orderkey * 3 FROM lineitem) UNION ALL SELECT DISTINCT l_orderkey * 3, 'right' FROM lineitem WHERE l_orderkey * 3 NOT IN (SELECT o_orderkey * 2 FROM orders)")
 def key_differences(spark, d):
-    return contract.set_differences(a.view(spark, d, "SELECT o_custkey AS k FROM orders WHERE o_custkey % 3 = 0"), a.view(spark, d, "SELECT c_custkey AS k FROM customer WHERE c_custkey % 2 = 0"), ["k"])
+    return contract.set_differences(a.view(spark, d, "SELECT o_orderkey * 2 AS k FROM orders"), a.view(spark, d, "SELECT l_orderkey * 3 AS k FROM lineitem"), ["k"])
 
 
 # layout
@@ -142,6 +142,8 @@ def qq_points(spark, d):
 
 # statistics
 
+_BAD_P = f"judged AS (SELECT *, CASE WHEN p IS NULL THEN 'is missing' WHEN isnan(p) OR isinf(p) THEN 'isn''t finite' WHEN p <= 0 OR p > 1 THEN 'isn''t in (0, 1]' END AS reason FROM ({a.P_VALUES}))"
+
 
 @_add(f"WITH {_BH} SELECT dataset_id, src_row, pos, pval, n_tests, bonferroni_p, bonferroni_significant FROM flagged")
 def bonferroni(spark, d):
@@ -209,14 +211,37 @@ def report_preview(spark, d):
     return ranked.join(members.select(*key, "signal_id", "n_members"), key, "left").select("dataset_id", "candidate_rank", "chr", "pos", "pval", "signal_id", "n_members")
 
 
-@_add(f"WITH {_SIGNALS}, {_RANKED} SELECT dataset_id, count(*) AS n_candidates, count(*) AS max_rank, count(DISTINCT signal_id) AS n_signals, CAST(0 AS BIGINT) AS n_unknown_signals, true AS dense FROM ranked_ GROUP BY dataset_id")
+_CHECKED = f"""{_SIGNALS}, {_RANKED}, per AS (SELECT dataset_id, count(*) AS n_candidates, count(DISTINCT signal_id) AS n_signals FROM ranked_ GROUP BY dataset_id), tests AS (SELECT dataset_id, count(*) AS n_tests, sum(pval) AS total FROM v GROUP BY dataset_id),
+summary AS (SELECT per.dataset_id, n_tests + CASE WHEN per.dataset_id = 'A_F' THEN 1 ELSE 0 END AS n_tests, n_candidates, n_signals + CASE WHEN per.dataset_id = 'N_O' THEN 2 ELSE 0 END AS n_signals, n_tests / {a.d(7.0)} + CASE WHEN per.dataset_id = 'R_F' THEN {a.d(0.001)} ELSE {a.d(0.0)} END AS lambda_gc FROM per JOIN tests ON per.dataset_id = tests.dataset_id),
+ranks AS (SELECT dataset_id, CASE WHEN pos % 7 = 0 AND dataset_id = 'N_F' THEN 'lost' ELSE signal_id END AS signal_id, candidate_rank + CASE WHEN dataset_id = 'A_F' AND candidate_rank > 1 THEN 1 ELSE 0 END AS candidate_rank FROM ranked_)"""
+
+
+@_add(f"""WITH {_CHECKED}, found AS (
+SELECT s.dataset_id, 'n_tests' AS "check", CAST(s.n_tests AS DOUBLE) AS expected, CAST(t.n_tests AS DOUBLE) AS actual, s.n_tests = t.n_tests AS ok FROM summary s JOIN tests t ON s.dataset_id = t.dataset_id
+UNION ALL SELECT s.dataset_id, 'lambda_gc', round(s.lambda_gc, 6), round(t.n_tests / {a.d(7.0)}, 6), abs(s.lambda_gc - t.n_tests / {a.d(7.0)}) <= greatest({a.d(1e-9)} * greatest(abs(s.lambda_gc), abs(t.n_tests / {a.d(7.0)})), {a.d(1e-12)}) FROM summary s JOIN tests t ON s.dataset_id = t.dataset_id
+UNION ALL SELECT s.dataset_id, 'n_signals', s.n_signals, n, s.n_signals = n FROM summary s JOIN (SELECT dataset_id, count(DISTINCT signal_id) AS n FROM members GROUP BY dataset_id) p ON s.dataset_id = p.dataset_id
+UNION ALL SELECT s.dataset_id, 'n_members', s.n_candidates, n, s.n_candidates = n FROM summary s JOIN (SELECT dataset_id, count(*) AS n FROM members GROUP BY dataset_id) p ON s.dataset_id = p.dataset_id
+UNION ALL SELECT s.dataset_id, 'n_ranked', s.n_candidates, n, s.n_candidates = n FROM summary s JOIN (SELECT dataset_id, count(*) AS n FROM ranks GROUP BY dataset_id) p ON s.dataset_id = p.dataset_id
+UNION ALL SELECT dataset_id, 'dense_ranks', n, top, n = top AND n = d FROM (SELECT dataset_id, count(*) AS n, max(candidate_rank) AS top, count(DISTINCT candidate_rank) AS d FROM ranks GROUP BY dataset_id)
+UNION ALL SELECT dataset_id, 'unknown_signals', 0, n, n = 0 FROM (SELECT dataset_id, count(*) FILTER (WHERE signal_id NOT IN (SELECT signal_id FROM members)) AS n FROM ranks GROUP BY dataset_id))
+SELECT dataset_id, "check", expected, actual FROM found WHERE NOT ok""")
 def consistency_check(spark, d):
-    members = _members(spark, d)
+    """Tables of a report with planted disagreements: other counts, another inflation, a signal that isn't there, and a gap in the ranks."""
+    members = written(_members(spark, d), "members")
     ranked = clusters.ranking(members)
-    unknown = ranked.join(clusters.peaks(members).select("dataset_id", "signal_id"), ["dataset_id", "signal_id"], "left_anti").groupBy("dataset_id").agg(F.count("*").alias("n_unknown_signals"))
-    whole = ranked.groupBy("dataset_id").agg(F.count("*").alias("n_candidates"), F.max("candidate_rank").cast("bigint").alias("max_rank"), F.countDistinct("signal_id").alias("n_signals"), F.countDistinct("candidate_rank").alias("n_ranks"))
-    out = whole.join(unknown, "dataset_id", "left").fillna(0, ["n_unknown_signals"])
-    return out.select("dataset_id", "n_candidates", "max_rank", "n_signals", "n_unknown_signals", ((F.col("n_candidates") == F.col("max_rank")) & (F.col("n_ranks") == F.col("max_rank"))).alias("dense"))
+    tests = _variants(spark, d).groupBy("dataset_id").agg(F.count("*").alias("n_tests")).withColumn("lambda_gc", F.col("n_tests") / F.lit(7.0))
+    per = ranked.groupBy("dataset_id").agg(F.count("*").alias("n_candidates"), F.countDistinct("signal_id").alias("n_signals"))
+    at = F.col("dataset_id")
+    summary = per.join(tests, "dataset_id").withColumns({"n_tests": F.col("n_tests") + F.when(at == "A_F", 1).otherwise(0), "n_signals": F.col("n_signals") + F.when(at == "N_O", 2).otherwise(0), "lambda_gc": F.col("lambda_gc") + F.when(at == "R_F", 0.001).otherwise(0.0)})
+    ranks = ranked.withColumns({"signal_id": F.when((F.col("pos") % 7 == 0) & (at == "N_F"), "lost").otherwise(F.col("signal_id")), "candidate_rank": F.col("candidate_rank") + F.when((at == "A_F") & (F.col("candidate_rank") > 1), 1).otherwise(0)})
+    found = reports.disagreements(summary, tests, clusters.peaks(members), members, ranks)
+    return found.select("dataset_id", "check", _r("expected").alias("expected"), _r("actual").alias("actual"))
+
+
+@_add(f"WITH {_BAD_P} SELECT src_row, p, reason FROM judged WHERE reason IS NOT NULL")
+def p_contract(spark, d):
+    """Values that aren't p-values."""
+    return contract.p_violations(a.view(spark, d, a.P_VALUES), "p")
 
 
 # intervals
@@ -288,8 +313,8 @@ SELECT *, CASE WHEN n_hits = 0 THEN 'unmapped' WHEN n_hits > 1 THEN 'multimap' W
 SELECT c.* EXCLUDE (strand), h.chain_id, h.target_chr, h.target_pos, h.strand, {_BASE} AS target_base, count(chain_id) OVER (PARTITION BY c.candidate_id) AS n_hits,
  CASE WHEN h.strand = '-' THEN translate(ref, 'ACGT', 'TGCA') WHEN h.strand = '+' THEN ref END AS mapped_ref, CASE WHEN h.strand = '-' THEN translate(alt, 'ACGT', 'TGCA') WHEN h.strand = '+' THEN alt END AS mapped_alt
 FROM c LEFT JOIN hits h ON c.candidate_id = h.candidate_id)))"""
-#: Target candidates stand at some of the mapped places.
-_TARGETS = f"""t AS (SELECT 't' || row_number() OVER (ORDER BY t_chr, t_pos, t_ref, t_alt) AS t_id, * FROM (SELECT DISTINCT target_chr AS t_chr, target_pos AS t_pos, CASE WHEN target_pos % 2 = 0 THEN mapped_ref ELSE mapped_alt END AS t_ref, CASE WHEN target_pos % 2 = 0 THEN mapped_alt ELSE mapped_ref END AS t_alt FROM mapping WHERE n_hits > 0 AND target_pos % 3 > 0))"""
+#: Target candidates stand at the mapped places; a third have another ALT.
+_TARGETS = f"""t AS (SELECT 't' || row_number() OVER (ORDER BY t_chr, t_pos, t_ref, t_alt) AS t_id, * FROM (SELECT DISTINCT target_chr AS t_chr, target_pos AS t_pos, CASE WHEN target_pos % 2 = 0 THEN mapped_ref ELSE mapped_alt END AS t_ref, CASE WHEN target_pos % 3 = 0 THEN 'N' WHEN target_pos % 2 = 0 THEN mapped_alt ELSE mapped_ref END AS t_alt FROM mapping WHERE n_hits > 0))"""
 _COMPARED = f"""{_MAPPED}, {_TARGETS}, compared AS (SELECT *, CASE WHEN target_base = mapped_ref THEN 'same_REF_ALT' ELSE 'REF_ALT_swapped' END AS allele_alignment FROM mapping JOIN t ON status = 'mapped' AND target_chr = t_chr AND target_pos = t_pos AND ((t_ref = mapped_ref AND t_alt = mapped_alt) OR (t_ref = mapped_alt AND t_alt = mapped_ref)))"""
 
 
@@ -301,7 +326,7 @@ def _mapping(spark, d):
 
 def _targets(mapping):
     even = F.col("target_pos") % 2 == 0
-    t = mapping.where("n_hits > 0 and target_pos % 3 > 0").select(F.col("target_chr").alias("t_chr"), F.col("target_pos").alias("t_pos"), F.when(even, F.col("mapped_ref")).otherwise(F.col("mapped_alt")).alias("t_ref"), F.when(even, F.col("mapped_alt")).otherwise(F.col("mapped_ref")).alias("t_alt")).distinct()
+    t = mapping.where("n_hits > 0").select(F.col("target_chr").alias("t_chr"), F.col("target_pos").alias("t_pos"), F.when(even, F.col("mapped_ref")).otherwise(F.col("mapped_alt")).alias("t_ref"), F.when(F.col("target_pos") % 3 == 0, "N").when(even, F.col("mapped_alt")).otherwise(F.col("mapped_ref")).alias("t_alt")).distinct()
     return t.withColumn("t_id", F.concat_ws("_", F.lit("t"), "t_chr", "t_pos", "t_ref", "t_alt"))
 
 
@@ -341,9 +366,9 @@ def target_accounting(spark, d):
 # text and oligos
 
 
-@_add(f"WITH o AS ({a.OLIGOS}) SELECT doc_id, oligo, reverse(translate(oligo, '{IUPAC}', '{COMPLEMENT}')) AS revcomp FROM o")
+@_add(f"WITH o AS ({a.OLIGOS}) SELECT doc_id, no, oligo, reverse(translate(oligo, '{IUPAC}', '{COMPLEMENT}')) AS revcomp FROM o")
 def revcomp(spark, d):
-    return a.view(spark, d, a.OLIGOS_SPARK).select("doc_id", "oligo", reverse_complement("oligo").alias("revcomp"))
+    return a.view(spark, d, a.OLIGOS_SPARK).select("doc_id", "no", "oligo", reverse_complement("oligo").alias("revcomp"))
 
 
 def _tm_sql(s: str) -> str:
@@ -357,12 +382,13 @@ def _tm_sql(s: str) -> str:
     return f"{a.d(1000.0)} * {summed(0)} / ({entropy} + {a.d(1.987)} * ln({a.d(2.5e-08)} / CASE WHEN {own} THEN 1 ELSE 2 END)) - {a.d(273.15)}"
 
 
-@_add(f"""WITH o AS ({a.OLIGOS}) SELECT doc_id, length(oligo) AS "length", round(length(regexp_replace(oligo, '[^GC]', '', 'g')) / length(oligo), 6) AS gc, round({_tm_sql("oligo")}, 4) AS tm,
+@_add(f"""WITH o AS ({a.OLIGOS}) SELECT doc_id, no, length(oligo) AS "length", round(length(regexp_replace(oligo, '[^GC]', '', 'g')) / length(oligo), 6) AS gc, round({_tm_sql("oligo")}, 4) AS tm,
 CAST(list_max(list_transform(regexp_extract_all(oligo, 'A+|C+|G+|T+'), lambda x: length(x))) AS INT) AS homopolymer,
 CAST(list_max(list_transform(range(0, length(oligo) + 1), lambda k: CASE WHEN k = 0 OR len(list_filter(range(1, length(oligo) - k + 2), lambda i: contains(reverse(translate(oligo, 'ACGT', 'TGCA')), substring(oligo, i, k)))) > 0 THEN k ELSE 0 END)) AS INT) AS self_match FROM o WHERE length(oligo) >= 2""")
 def oligo_metrics(spark, d):
-    o = a.view(spark, d, a.OLIGOS_SPARK).where("length(oligo) >= 2")
-    return o.select("doc_id", F.length("oligo").alias("length"), _r(gc_fraction("oligo")).alias("gc"), _r(melting_celsius("oligo"), 4).alias("tm"), longest_run("oligo").alias("homopolymer"), complementary_run("oligo", "oligo").alias("self_match"))
+    # a text becomes many oligos, so few texts in a partition are much work
+    o = a.view(spark, d, a.OLIGOS_SPARK).where("length(oligo) >= 2").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return o.select("doc_id", "no", F.length("oligo").alias("length"), _r(gc_fraction("oligo")).alias("gc"), _r(melting_celsius("oligo"), 4).alias("tm"), longest_run("oligo").alias("homopolymer"), complementary_run("oligo", "oligo").alias("self_match"))
 
 
 def _template_sql(all_matches: str) -> str:
@@ -448,9 +474,7 @@ def primer_rejections(spark, d):
 
 @_add("SELECT p_partkey, natural_order FROM (SELECT p_partkey, row_number() OVER (ORDER BY prefix, no, p_partkey) AS natural_order FROM (SELECT p_partkey, regexp_extract(p_brand, '^(.*?)([0-9]+)$', 1) AS prefix, CAST(regexp_extract(p_brand, '^(.*?)([0-9]+)$', 2) AS BIGINT) AS no FROM part))")
 def natural_order(spark, d):
-    from pyspark.sql import Window
-
-    return a.view(spark, d, "SELECT p_partkey, p_brand FROM part").select("p_partkey", F.row_number().over(Window.orderBy(*natural_key("p_brand"), "p_partkey")).alias("natural_order"))
+    return layout.ranked(a.view(spark, d, "SELECT p_partkey, p_brand FROM part"), [*natural_key("p_brand"), F.col("p_partkey")], "natural_order").select("p_partkey", "natural_order")
 
 
 @_add(f"""WITH {_C} SELECT candidate_id, 'variant-' || substring(sha256('{{' || chr(10) || '  "alt": "' || alt || '",' || chr(10) || '  "assembly_id": "demo",' || chr(10) || '  "chr": "' || chr || '",' || chr(10) || '  "pos": ' || pos || ',' || chr(10) || '  "ref": "' || ref || '"' || chr(10) || '}}' || chr(10)), 1, 20) AS variant_id, replace(replace(chr || ' ' || strand || '*' || pos, ' ', '%20'), '+', '%2B') AS encoded FROM c""".replace("'*' || pos, ' '", "'*' || pos, '*', '%2A'), ' '").replace("replace(replace(chr ||", "replace(replace(replace(chr ||"))
@@ -459,6 +483,28 @@ def variant_identity(spark, d):
     return c.select("candidate_id", identity("variant-", ("assembly_id", "text"), ("chr", "text"), ("pos", "number"), ("ref", "text"), ("alt", "text")).alias("variant_id"), percent_encode("label").alias("encoded"))
 
 
+_FAULTY = f"SELECT *, CASE WHEN pos % 31 = 0 THEN '' ELSE 'height' END AS trait, CASE WHEN pos % 37 = 0 THEN 'nan' ELSE '0.5' END AS se_text, CASE WHEN pos % 41 = 0 THEN '-1' ELSE '2.5' END AS nlp_text, CASE WHEN pos % 43 = 0 THEN 'odd' ELSE effect_orientation END AS orientation, CASE WHEN pos % 47 = 0 THEN ref ELSE alt END AS effect_allele, ref AS other_allele FROM ({a.CANDIDATES})"
+
+
+@_add(f"""WITH x AS ({_FAULTY}) SELECT candidate_id, CASE WHEN trait = '' THEN 'a field is empty' WHEN se_text = 'nan' OR nlp_text = '-1' THEN 'invalid effect, standard error or p-value' WHEN orientation = 'odd' THEN 'unknown effect orientation'
+WHEN effect_allele = other_allele THEN 'effect alleles disagree with REF/ALT' WHEN n > 1 THEN 'repeated candidate or variant' END AS reason FROM (SELECT *, count(*) OVER (PARTITION BY chr, pos, ref, alt) AS n FROM x) WHERE reason IS NOT NULL""")
+def candidate_contract(spark, d):
+    rows = a.view(spark, d, _FAULTY).select("candidate_id", "chr", "pos", "ref", "alt", "trait", F.col("se_text").alias("se"), F.col("nlp_text").alias("neg_log10_pvalue"), F.col("beta").cast("string").alias("beta"), F.col("orientation").alias("effect_orientation"), "effect_allele", "other_allele")
+    return crossref.candidate_violations(rows, required=("trait",)).select("candidate_id", "reason")
+
+
+_KNOWN = "SELECT chr AS v_chr, pos AS v_pos, CASE WHEN src_row % 5 = 0 THEN 'TA' WHEN src_row % 7 = 0 THEN 'N' ELSE substring('ACGT', CAST(pos * 7 % 4 AS INT) + 1, 1) END AS v_ref, allele1 AS v_alt FROM v GROUP BY ALL"
+
+
+@_add(f"""WITH {_C}, {_V}, n AS ({_KNOWN}) SELECT v_chr, v_pos, v_ref, v_alt, CASE WHEN regexp_matches(v_ref || v_alt, '[^ACGT]') OR v_ref = v_alt THEN 'alleles are unsupported' ELSE 'REF isn''t the sequence' END AS reason FROM n
+WHERE EXISTS (SELECT 1 FROM c WHERE chr = v_chr AND pos BETWEEN v_pos - 200 AND v_pos + length(v_ref) - 1 + 200) AND (regexp_matches(v_ref || v_alt, '[^ACGT]') OR v_ref = v_alt OR v_ref <> substring('ACGT', CAST(v_pos * 7 % 4 AS INT) + 1, 1) || CASE WHEN length(v_ref) = 2 THEN substring('ACGT', CAST((v_pos + 1) * 7 % 4 AS INT) + 1, 1) ELSE '' END)""")
+def neighbor_contract(spark, d):
+    """Known variants within a candidate's window whose alleles aren't plain or whose REF isn't the sequence."""
+    v = _variants(spark, d).selectExpr("chr as v_chr", "pos as v_pos", "CASE WHEN src_row % 5 = 0 THEN 'TA' WHEN src_row % 7 = 0 THEN 'N' ELSE substring('ACGT', CAST(pos * 7 % 4 AS INT) + 1, 1) END AS v_ref", "allele1 as v_alt").distinct()
+    bases = F.expr("concat(substring('ACGT', CAST(v_pos * 7 % 4 AS INT) + 1, 1), if(length(v_ref) = 2, substring('ACGT', CAST((v_pos + 1) * 7 % 4 AS INT) + 1, 1), ''))")
+    return intervals.neighbour_violations(_candidates(spark, d), v, 200, bases)
+
+
 # customer summaries
 
 _CUST = f"""t AS ({a.CUSTOMER}), parsed AS (SELECT *, CASE WHEN mantissa > 0 THEN greatest(-(log10(mantissa) + coalesce(CAST(nullif(regexp_extract(pvalue, 'e(-?[0-9]+)$', 1), '') AS DOUBLE), 0)), 0) END AS parsed FROM (SELECT *, CAST(regexp_extract(pvalue, '^[0-9.]+') AS DOUBLE) AS mantissa FROM t)),
@@ -591,14 +637,9 @@ def kinship(spark, d):
 @_add(f"""WITH {_D}, {_CHECKS}, y AS (SELECT vec_id AS sample_id, label + (vec_id % 7) / 10 AS y FROM embeddings), s AS (SELECT marker_id, count(*) AS n, sum(z) AS sz, sum(z * z) AS szz, sum(z * y) AS szy, sum(y) AS sy, sum(y * y) AS syy FROM z JOIN y ON z.sample_id = y.sample_id GROUP BY marker_id),
 t AS (SELECT marker_id, n, (szy - sz * sy / n) / (szz - sz * sz / n) AS beta, szz - sz * sz / n AS sxx, syy - sy * sy / n AS yy FROM s) SELECT marker_id, round(beta, 6) AS beta, round(sqrt((yy - beta * beta * sxx) / (n - 2) / sxx), 6) AS se FROM t""")
 def marker_test(spark, d):
-    """With no relatedness the mixed model is ordinary least squares, which SQL can say."""
-    import numpy as np
-
-    z = _centred(spark, d).cache()
-    y = genotypes.matrix_rows(a.view(spark, d, "SELECT vec_id AS sample_id, label + (vec_id % 7) / 10D AS y FROM embeddings"), most=5000)
-    ids = [r[0] for r in y]
-    model = genotypes.fit_null(np.array([r[1] for r in y], float), np.ones((len(y), 1)), np.eye(len(y)))
-    return genotypes.test_markers(z, ids, model).select("marker_id", _r("beta").alias("beta"), _r("se").alias("se"))
+    """With no relatedness the mixed model is least squares, which grouped sums give at any size."""
+    y = a.view(spark, d, "SELECT vec_id AS sample_id, label + (vec_id % 7) / 10D AS y FROM embeddings")
+    return genotypes.least_squares(_centred(spark, d), y).select("marker_id", _r("beta").alias("beta"), _r("se").alias("se"))
 
 
 # assays
@@ -625,6 +666,9 @@ def assay_metrics(spark, d):
     return _measured(spark, d).withColumns({r: _r(r, 9) for r in _RATES})
 
 
+#: The second review: designs that an earlier one found valid, each third in the same dataset as now.
+_EARLIER = "SELECT design_id, 'assay_validated' AS previous_state, '' AS previous_simulated_state, 'measured' AS previous_scope, CASE WHEN CAST(substring(design_id, 2) AS INT) % 3 = 0 THEN 'd2' ELSE 'd1' END AS previous_dataset FROM reviewed WHERE state = 'assay_validated'"
+_POPULATION = META | {"requested_state": "population_validated", "validation_dataset_id": "d2"}
 _REVIEW = f"""{_METRICS}, judged AS (SELECT design_id, concat_ws(';', {", ".join(f"CASE WHEN {x} < {META[t]} THEN 'insufficient_{x}' END" for x, t in assays.THRESHOLDS)}, {", ".join(f"CASE WHEN {x} > 0 THEN '{x}' END" for x in ("n_replicate_disagreements", "n_failed_controls", "n_incomplete_control_plates"))}) AS r FROM m),
 reviewed AS (SELECT design_id, CASE WHEN r = '' THEN 'assay_validated' ELSE 'computational_candidate' END AS state, '' AS simulated_state, CASE WHEN r = '' THEN 'accepted' ELSE 'rejected_requested_state' END AS acceptance, CASE WHEN r = '' THEN 'criteria_met_within_declared_scope' ELSE r END AS reasons FROM judged)"""
 
@@ -648,14 +692,14 @@ def alternative_designs(spark, d):
     return assays.alternatives(a.view(spark, d, a.DESIGNS), _reviewed(spark, d)).select("design_id", "candidate_id", "alternative_id")
 
 
-@_add(f"WITH {_REVIEW}, d AS ({a.DESIGNS}) SELECT d.design_id, candidate_id, reasons FROM d JOIN reviewed ON d.design_id = reviewed.design_id WHERE state = 'assay_validated'")
+@_add(f"WITH {_REVIEW}, d AS ({a.DESIGNS}) SELECT d.design_id, candidate_id, reasons FROM d JOIN reviewed ON d.design_id = reviewed.design_id JOIN ({_EARLIER}) e ON d.design_id = e.design_id WHERE previous_dataset <> 'd2'")
 def validated_panel(spark, d):
-    """The panel of designs that went one step up, as population studies aren't among the tables."""
-    up = _reviewed(spark, d).withColumn("state", F.when(F.col("state") == "assay_validated", "population_validated").otherwise(F.col("state")))
-    return assays.panel(a.view(spark, d, a.DESIGNS), up).select("design_id", "candidate_id", "reasons")
+    """Designs that a second review, of another dataset, finds valid in the population."""
+    earlier = _reviewed(spark, d).where("state = 'assay_validated'").select("design_id", F.col("state").alias("previous_state"), F.lit("").alias("previous_simulated_state"), F.lit("measured").alias("previous_scope"), F.when(F.expr("cast(substring(design_id, 2) as int) % 3 = 0"), "d2").otherwise("d1").alias("previous_dataset"))
+    return assays.panel(a.view(spark, d, a.DESIGNS), assays.review(_measured(spark, d), _POPULATION, earlier)).select("design_id", "candidate_id", "reasons")
 
 
-_RESULTS = a.ASSAYS.replace("FROM events", ", event_id AS src_row, 'c' || (user_id % 20 % 7) AS candidate_id, CASE WHEN event_id % 211 = 0 THEN '' ELSE 'r' || (event_id % 100) END AS replicate_id, CASE WHEN event_id % 307 = 0 THEN 'REF' ELSE 'ALT_0_1_2_forward' END AS allele_encoding, 'x' AS conditions_id, CASE WHEN event_id % 401 = 0 THEN 'late' ELSE '' END AS no_call_reason FROM events WHERE event_id % 7 = 0")
+_RESULTS = a.ASSAYS.replace("'s' || (event_id % 37) AS", "'s' || (event_id % 37) || '_' || (event_id % 30) AS").replace("FROM events", ", event_id AS src_row, 'c' || CAST((user_id % 20 - user_id % 20 % 3) / 3 AS INT) AS candidate_id, CASE WHEN event_id % 211 = 0 THEN '' WHEN event_id % 97 < 4 THEN 'r0' ELSE 'r' || event_id END AS replicate_id, CASE WHEN event_id % 307 = 0 THEN 'REF' ELSE 'ALT_0_1_2_forward' END AS allele_encoding, 'x' AS conditions_id, CASE WHEN event_id % 401 = 0 THEN 'late' ELSE '' END AS no_call_reason FROM events")
 
 
 @_add(f"""WITH d AS ({a.DESIGNS}), t AS ({_RESULTS}), k AS (SELECT t.*, d.candidate_id AS c, min(src_row) OVER (PARTITION BY t.design_id, batch_id, plate_id, sample_id, replicate_id) AS f, min((control_type, expected_genotype, reference_genotype)) OVER w AS lo, max((control_type, expected_genotype, reference_genotype)) OVER w AS hi FROM t LEFT JOIN d ON t.design_id = d.design_id WINDOW w AS (PARTITION BY t.candidate_id, sample_id))

@@ -26,12 +26,16 @@ def check_checksum(path: str, expected: str) -> None:
         raise ChecksumError(f"{path} has another SHA-256 than declared")
 
 
-def numbered(df: DataFrame, first: int = 1) -> DataFrame:
-    """Add src_row, the rows' place in their files, by prefix sums over file blocks: no task gets all rows."""
-    meta = df.select("*", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_i"))
+def numbered(df: DataFrame, first: int = 1, head=None) -> DataFrame:
+    """Add src_row, the rows' place in their files, by prefix sums over file blocks: no task gets all rows. With `head` (a condition), also head_no: how many rows up to this one meet it."""
+    is_head = F.lit(0) if head is None else F.when(head, 1).otherwise(0)
+    meta = df.select("*", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_i"), is_head.alias("_h"))
     w = Window.orderBy("_f", "_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = meta.groupBy("_f", "_b").agg(F.count("*").alias("_n"), F.min("_i").alias("_first")).withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    return meta.join(starts, ["_f", "_b"]).withColumn("src_row", F.col("_before") + F.col("_i") - F.col("_first") + first).drop("_f", "_b", "_i", "_n", "_first", "_before")
+    starts = meta.groupBy("_f", "_b").agg(F.count("*").alias("_n"), F.min("_i").alias("_first"), F.sum("_h").alias("_hs")).withColumns({"_before": F.coalesce(F.sum("_n").over(w), F.lit(0)), "_heads": F.coalesce(F.sum("_hs").over(w), F.lit(0))})
+    out = meta.join(starts, ["_f", "_b"]).withColumn("src_row", F.col("_before") + F.col("_i") - F.col("_first") + first)
+    if head is not None:
+        out = out.withColumn("head_no", F.col("_heads") + F.sum("_h").over(Window.partitionBy("_f", "_b").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)))
+    return out.drop("_f", "_b", "_i", "_n", "_first", "_before", "_h", "_hs", "_heads")
 
 
 def table(spark: SparkSession, path: str, required: tuple[str, ...] | None = None, exact: bool = False, ragged: bool = True) -> DataFrame:
@@ -39,8 +43,8 @@ def table(spark: SparkSession, path: str, required: tuple[str, ...] | None = Non
 
     Ragged rows show only if whole rows are parsed; without `ragged` the parser skips columns that aren't asked for.
     """
-    with open(path, encoding="utf-8") as f:
-        header = f.readline().rstrip("\r\n").split("\t")
+    first = spark.read.text(path).limit(1).collect()
+    header = first[0][0].rstrip("\r").split("\t") if first else []
     if len(set(header)) != len(header) or (exact and tuple(header) != required) or (required and not set(required) <= set(header)):
         raise SchemaError(f"{path} has the columns {header}")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, *["_corrupt"] * ragged)])
@@ -138,12 +142,11 @@ def bases(path: str, contigs: list[Contig], name: str, start: int, end: int, str
 
 def sequence_chunks(spark: SparkSession, path: str, chunk: int = 1000) -> DataFrame:
     """contig, chunk_no and bases, for joins by place: each line goes to the chunks that it touches by the bases before it."""
-    lines = numbered(spark.read.text(path)).withColumn("value", F.rtrim("value"))
+    lines = numbered(spark.read.text(path), head=F.col("value").startswith(">")).withColumn("value", F.rtrim("value"))
     names = scan_fasta(path)
     heads = spark.createDataFrame([(c.name, c.line_bases) for c in names], "contig string, width int")
-    starts = lines.where(F.col("value").startswith(">")).select(F.regexp_extract("value", r"^>(\S+)", 1).alias("contig"), F.col("src_row").alias("head"))
-    spans = starts.withColumn("next", F.lead("head", 1, 1 << 60).over(Window.orderBy("head"))).join(heads, "contig")
-    body = lines.where(~F.col("value").startswith(">")).join(F.broadcast(spans), (F.col("src_row") > F.col("head")) & (F.col("src_row") < F.col("next")))
+    spans = lines.where(F.col("value").startswith(">")).select("head_no", F.regexp_extract("value", r"^>(\S+)", 1).alias("contig"), F.col("src_row").alias("head")).join(heads, "contig")
+    body = lines.where(~F.col("value").startswith(">")).join(spans, "head_no")
     first = (F.col("src_row") - F.col("head") - 1) * F.col("width")
     cut = body.select("contig", first.alias("first"), "value", F.explode(F.sequence(F.floor(first / chunk), F.floor((first + F.greatest(F.length("value"), F.lit(1)) - 1) / chunk))).alias("chunk_no"))
     low = F.greatest(F.col("chunk_no") * chunk - F.col("first"), F.lit(0))
@@ -152,19 +155,45 @@ def sequence_chunks(spark: SparkSession, path: str, chunk: int = 1000) -> DataFr
     return part.groupBy("contig", "chunk_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["part"]), "").alias("bases"))
 
 
+def _must(ok, what: str, path: str, value=None):
+    """The value (the line itself, if none is given), or an error that quotes the line. Files are read by Spark, so the first broken line that a task meets is named."""
+    value = F.col("value") if value is None else value
+    return F.when(F.coalesce(ok, F.lit(False)), value).otherwise(F.raise_error(F.concat(F.lit(f"{path}: {what}: "), F.col("value"))).cast("string"))
+
+
+def _records(spark: SparkSession, path: str, skipped: str, fields: int, exact: bool, what: str) -> DataFrame:
+    """Lines that aren't empty and don't begin with one of the `skipped`, which must have as many fields."""
+    lines = spark.read.text(path).where((F.trim("value") != "") & ~F.col("value").rlike(skipped))
+    n = F.size(F.split("value", "\t"))
+    return lines.select(_must(n == fields if exact else n >= fields, what, path).alias("value"))
+
+
+def _span(f, start: int, end: int, path: str, one_based: bool = True) -> tuple:
+    """Two whole numbers with start <= end (1-based) or start < end (0-based), as bigint columns."""
+    a, b = f[start].try_cast("bigint"), f[end].try_cast("bigint")
+    ok = f[start].rlike("^[0-9]+$") & f[end].rlike("^[0-9]+$") & ((a >= 1) & (a <= b) if one_based else a < b)
+    return tuple(_must(ok, "coordinates aren't an interval", path, f[i]).cast("bigint") for i in (start, end))
+
+
 def genes(spark: SparkSession, path: str) -> DataFrame:
-    """gene_id, g_chr, g_start, g_end, strand of gene features of a GFF3 or GTF file; percent-encoded ids are decoded."""
+    """gene_id, g_chr, g_start, g_end, strand of gene features of a GFF3 or GTF file; percent-encoded ids are decoded. Records without nine fields, an interval, a strand or an id are errors, and so are embedded sequences."""
     f = F.split("value", "\t")
-    rows = spark.read.text(path).where(~F.col("value").startswith("#") & (F.size(f) == 9)).select(*[f[i].alias(n) for i, n in ((0, "g_chr"), (2, "feature"), (3, "start"), (4, "end"), (6, "strand"), (8, "attributes"))])
+    whole = spark.read.text(path).where(F.col("value").startswith("##FASTA"))
+    if whole.limit(1).collect():
+        raise SchemaError(f"{path}: embedded sequences aren't supported")
+    rows = _records(spark, path, "^#", 9, True, "not a GFF or GTF record")
+    rows = rows.withColumn("value", _must(f[6].isin("+", "-", ".", "?"), "not a strand", path)).withColumns({"_from": _span(f, 3, 4, path)[0], "_to": _span(f, 3, 4, path)[1]}).select("_from", "_to", "value", *[F.split("value", "\t")[i].alias(n) for i, n in ((0, "g_chr"), (2, "feature"), (6, "strand"), (8, "attributes"))])
     gff = F.url_decode(F.replace(F.regexp_extract("attributes", r"(?:^|;)\s*ID=([^;]*)", 1), F.lit("+"), F.lit("%2B")))
     gtf = F.regexp_extract("attributes", r'gene_id "([^"]*)"', 1)
-    return rows.where("feature = 'gene'").select(F.when(gff != "", gff).otherwise(gtf).alias("gene_id"), "g_chr", F.col("start").try_cast("bigint").alias("g_start"), F.col("end").try_cast("bigint").alias("g_end"), "strand")
+    name = F.when(F.contains("attributes", F.lit("=")), gff).otherwise(gtf)
+    return rows.where("feature = 'gene'").select(_must((name != "") & ~name.rlike("[\t\r\n]"), "no gene id", path, name).alias("gene_id"), "g_chr", F.col("_from").alias("g_start"), F.col("_to").alias("g_end"), "strand")
 
 
 def bed(spark: SparkSession, path: str) -> DataFrame:
+    """m_chr, m_start and m_end (0-based, half-open). Records without three fields or an interval are errors."""
     f = F.split("value", "\t")
-    rows = spark.read.text(path).where(~F.col("value").rlike("^(#|track|browser)") & (F.size(f) >= 3))
-    return rows.select(f[0].alias("m_chr"), f[1].try_cast("bigint").alias("m_start"), f[2].try_cast("bigint").alias("m_end"))
+    low, high = _span(f, 1, 2, path, one_based=False)
+    return _records(spark, path, "^(#|track|browser)", 3, False, "not a BED record").select(f[0].alias("m_chr"), low.alias("m_start"), high.alias("m_end"))
 
 
 def intervals_outside(spans: DataFrame, contigs: DataFrame, chr_: str, start: str, end: str) -> DataFrame:
@@ -174,24 +203,26 @@ def intervals_outside(spans: DataFrame, contigs: DataFrame, chr_: str, start: st
 
 
 def vcf(spark: SparkSession, path: str, reference: str | None = None) -> DataFrame:
-    """v_chr, v_pos, v_ref, v_alt and filter, a row for each ALT; gzip files are read as they are. With `reference`, the ##reference line must name it."""
-    lines = spark.read.text(path)
-    if reference is not None and not lines.where(F.col("value") == f"##reference={reference}").limit(1).collect():
-        raise SchemaError(f"{path} doesn't declare the reference {reference}")
+    """v_chr, v_pos, v_ref, v_alt and filter, a row for each ALT; gzip files are read as they are. There must be one header of columns and, with `reference`, one ##reference line, which names it. Records without eight fields or a position are errors."""
+    heads = [r[0] for r in spark.read.text(path).where(F.col("value").rlike("^(##reference=|#CHROM\t)")).limit(3).collect()]
+    named = [h.strip().partition("=")[2] for h in heads if h.startswith("##")]
+    if len(heads) - len(named) != 1 or (reference is not None and named != [reference]):
+        raise SchemaError(f"{path} needs one header of columns{f' and one reference, {reference}' if reference is not None else ''}")
     f = F.split("value", "\t")
-    rows = lines.where(~F.col("value").startswith("#") & (F.size(f) >= 7))
-    return rows.select(f[0].alias("v_chr"), f[1].try_cast("bigint").alias("v_pos"), f[3].alias("v_ref"), F.explode(F.split(f[4], ",")).alias("v_alt"), f[6].alias("filter"))
+    rows = _records(spark, path, "^#", 8, False, "not a VCF record")
+    at = _must(f[1].rlike("^[0-9]+$") & (f[1].try_cast("bigint") >= 1), "not a position", path, f[1]).cast("bigint")
+    return rows.select(f[0].alias("v_chr"), at.alias("v_pos"), f[3].alias("v_ref"), F.explode(F.split(f[4], ",")).alias("v_alt"), f[6].alias("filter"))
 
 
 def chain_blocks(spark: SparkSession, path: str) -> DataFrame:
     """Ungapped blocks of a UCSC chain file, 0-based and half-open: running sums within each chain replace the cursors of a sequential reader."""
-    lines = numbered(spark.read.text(path)).withColumn("value", F.trim("value")).where("value != ''")
-    heads = lines.where(F.col("value").startswith("chain")).select("src_row", F.split("value", r"\s+").alias("h"))
-    names = heads.select(F.col("src_row").alias("head"), F.lead("src_row", 1, 1 << 60).over(Window.orderBy("src_row")).alias("next"), *[F.col("h")[i].alias(n) for i, n in ((2, "t_name"), (7, "q_name"), (9, "strand"), (12, "chain_id"))], *[F.col("h")[i].try_cast("bigint").alias(n) for i, n in ((1, "score"), (5, "t0"), (8, "q_size"), (10, "q0"))])
+    lines = numbered(spark.read.text(path), head=F.col("value").startswith("chain")).withColumn("value", F.trim("value")).where("value != ''")
+    heads = lines.where(F.col("value").startswith("chain")).select("head_no", F.split("value", r"\s+").alias("h"))
+    names = heads.select("head_no", *[F.col("h")[i].alias(n) for i, n in ((2, "t_name"), (7, "q_name"), (9, "strand"), (12, "chain_id"))], *[F.col("h")[i].try_cast("bigint").alias(n) for i, n in ((1, "score"), (5, "t0"), (8, "q_size"), (10, "q0"))])
     f = F.split("value", r"\s+")
-    body = lines.where(~F.col("value").rlike("^(chain|#)")).select("src_row", *[F.coalesce(F.try_element_at(f, F.lit(i + 1)).try_cast("bigint"), F.lit(0)).alias(n) for i, n in ((0, "size"), (1, "dt"), (2, "dq"))])
-    rows = body.join(names, (F.col("src_row") > F.col("head")) & (F.col("src_row") < F.col("next")))
-    w = Window.partitionBy("head").orderBy("src_row").rowsBetween(Window.unboundedPreceding, -1)
+    body = lines.where(~F.col("value").rlike("^(chain|#)")).select("head_no", "src_row", *[F.coalesce(F.try_element_at(f, F.lit(i + 1)).try_cast("bigint"), F.lit(0)).alias(n) for i, n in ((0, "size"), (1, "dt"), (2, "dq"))])
+    rows = body.join(names, "head_no")
+    w = Window.partitionBy("head_no").orderBy("src_row").rowsBetween(Window.unboundedPreceding, -1)
     at = {n: F.col(o) + F.coalesce(F.sum(F.col("size") + F.col(d)).over(w), F.lit(0)) for n, o, d in (("t_start", "t0", "dt"), ("q_start", "q0", "dq"))}
     return rows.withColumns(at).select("chain_id", "t_name", "t_start", "size", "q_name", "q_start", "q_size", "strand", "score")
 
