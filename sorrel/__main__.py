@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sorrel.operators.contract import ContractError
 from sorrel.operators.oligos import Settings, load_settings
 from sorrel.plans import jobs
-from sorrel.sources import readers, writers
+from sorrel.sources import declared, readers, writers
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -39,7 +39,10 @@ def _parser() -> argparse.ArgumentParser:
         if name in ("candidates", "batch"):
             c.add_argument("--distance", type=int, required=True)
     command("report", "batch")
-    c = command("customer-summary", "table", "fasta", "columns")
+    c = command("customer-summary", "table", "fasta")
+    c.add_argument("--columns", help="TOML file: which column has what")
+    c.add_argument("--metadata", help="TOML file with columns, scales and identity, instead of --columns")
+    c.add_argument("--max-rows", type=int, default=1_000_000)
     c.add_argument("--distance", type=int, required=True)
     c.add_argument("--alpha", type=float, default=0.05)
     c.add_argument("--fdr", type=float, default=0.05)
@@ -52,10 +55,14 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--mask")
     c.add_argument("--primers", action="store_true", help="also design primers")
     c.add_argument("--primer-settings", help="TOML file with [primer]")
-    command("assay-review", "results", "designs", "metadata")
-    command("cross-reference", "source", "target", "chain", "fasta")
+    c = command("assay-review", "results", "designs", "metadata")
+    c.add_argument("--previous", help="table of earlier states")
+    c = command("cross-reference", "source", "target", "fasta")
+    c.add_argument("--chain")
+    c.add_argument("--chain-metadata", nargs=3, metavar=("FILE", "SOURCE_ASSEMBLY", "TARGET_ASSEMBLY"), help="a reviewed chain instead of --chain")
     c = command("individual-gwas", "genotypes", "phenotype")
     c.add_argument("--covariate", action="append", default=[])
+    c.add_argument("--config", help="TOML file with limits, components and covariates")
     return p
 
 
@@ -82,8 +89,17 @@ def _run(spark: SparkSession, a: argparse.Namespace, out: Path) -> bool:
     elif a.command == "report":
         jobs.report(spark, Path(a.batch), out)
     elif a.command == "customer-summary":
-        columns = readers.settings(a.columns, dict.fromkeys(("chr", "pos", "ref", "alt", "effect_allele", "other_allele", "effect", "standard_error", "sample_size", "frequency", "pvalue", "neg_log10"), str), ("chr", "pos", "pvalue"))
-        jobs.customer_summary(spark, a.table, columns, readers.scan_fasta(a.fasta), out, a.alpha, a.fdr, a.distance, a.exclude_invalid, odds_ratio=a.odds_ratio)
+        roles = ("chr", "pos", "ref", "alt", "effect_allele", "other_allele", "effect", "standard_error", "sample_size", "frequency", "pvalue", "neg_log10")
+        how = {"exclude": a.exclude_invalid, "odds_ratio": a.odds_ratio}
+        if a.metadata:
+            m = declared.load_summary_metadata(a.metadata)
+            columns = {{"effect_allele_frequency": "frequency", "neg_log10_pvalue": "neg_log10"}.get(k, k): v for k, v in m["columns"].items()}
+            how = {"exclude": m["invalid_row_policy"] == "exclude", "odds_ratio": m["effect_type"] == "odds_ratio", "to_alt": m["target_effect_allele"] == "ALT", "strand_known": m["effect_strand"] == "forward"}
+        elif a.columns:
+            columns = readers.settings(a.columns, dict.fromkeys(roles, str), ("chr", "pos", "pvalue"))
+        else:
+            raise ContractError("customer-summary needs --columns or --metadata")
+        jobs.customer_summary(spark, a.table, columns, readers.scan_fasta(a.fasta), out, a.alpha, a.fdr, a.distance, most_rows=a.max_rows, **how)
     elif a.command == "context":
         chosen = readers.table(spark, a.candidates, ("candidate_id", "chr", "pos", "ref", "alt", "strand")).select("candidate_id", "chr", F.col("pos").cast("long").alias("pos"), "ref", "alt", "strand")
         variants = readers.vcf(spark, a.vcf) if a.vcf else None
@@ -91,15 +107,20 @@ def _run(spark: SparkSession, a: argparse.Namespace, out: Path) -> bool:
         if a.primers:
             jobs.primers(rows, out, load_settings(a.primer_settings) if a.primer_settings else Settings(), variants, a.window)
     elif a.command == "assay-review":
-        meta = {"data_scope": str, "analyst_approved": bool, "analyst_review_reference": str, "reviewer_id": str, "measurement_conditions": str, "reference_method": str, "requested_state": str, "minimum_samples": int, "minimum_comparable_samples": int, "minimum_replicated_samples": int, "minimum_call_rate": float, "minimum_concordance": float, "population_scope_confirmed": bool, "population_evidence_reference": str, "target_population": str, "validation_dataset_id": str}
-        jobs.assay_review(readers.table(spark, a.results, ("design_id", "sample_id")), readers.table(spark, a.designs, ("design_id", "candidate_id")).select("design_id", "candidate_id"), readers.settings(a.metadata, meta, tuple(meta)), out)
+        previous = readers.table(spark, a.previous, ("design_id", "previous_state", "previous_simulated_state", "previous_scope", "previous_dataset")).select("design_id", "previous_state", "previous_simulated_state", "previous_scope", "previous_dataset") if a.previous else None
+        jobs.assay_review(readers.table(spark, a.results, ("design_id", "sample_id")), readers.table(spark, a.designs, ("design_id", "candidate_id")).select("design_id", "candidate_id"), declared.load_assay_metadata(a.metadata), out, previous)
     elif a.command == "cross-reference":
+        if not a.chain and not a.chain_metadata:
+            raise ContractError("cross-reference needs --chain or --chain-metadata")
+        chain = declared.load_chain_metadata(*a.chain_metadata)[1] if a.chain_metadata else a.chain
         fields = ("candidate_id", "chr", "pos", "ref", "alt")
         source, target = (readers.table(spark, x, fields).select("candidate_id", "chr", F.col("pos").cast("long").alias("pos"), "ref", "alt") for x in (a.source, a.target))
-        jobs.cross_reference(source, target.toDF("t_id", "t_chr", "t_pos", "t_ref", "t_alt"), readers.chain_blocks(spark, a.chain), readers.sequence_chunks(spark, a.fasta), out)
+        jobs.cross_reference(source, target.toDF("t_id", "t_chr", "t_pos", "t_ref", "t_alt"), readers.chain_blocks(spark, chain), readers.sequence_chunks(spark, a.fasta), out)
     else:
-        phenotype = readers.table(spark, a.phenotype, ("sample_id", "value", *a.covariate)).select("sample_id", *[F.col(c).cast("double").alias(c) for c in ("value", *a.covariate)])
-        jobs.individual_gwas(readers.genotypes(spark, a.genotypes), phenotype, a.covariate, out)
+        c = declared.load_individual_config(a.config) if a.config else declared.INDIVIDUAL_DEFAULTS | {"min_maf": 0.01, "n_pcs": 2}
+        names = [*a.covariate, *(x for x in c["covariates"] if x not in a.covariate)]
+        phenotype = readers.table(spark, a.phenotype, ("sample_id", "value", *names)).select("sample_id", *[F.col(x).cast("double").alias(x) for x in ("value", *names)])
+        jobs.individual_gwas(readers.genotypes(spark, a.genotypes), phenotype, names, out, c["min_maf"], c["max_marker_missing"], c["n_pcs"], c["max_samples"], c["max_sample_missing"], c["max_markers"], c["max_genotype_cells"])
     return True
 
 

@@ -7,7 +7,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sorrel.operators import assays, clusters, contract, crossref, customer, genotypes, intervals, layout, oligos
+from sorrel.operators import assays, clusters, contract, crossref, customer, genotypes, intervals, layout, oligos, reports
+from sorrel.functions.text import percent_encode
 from sorrel.operators import statistics as st
 from sorrel.sources import readers, writers
 
@@ -83,21 +84,19 @@ def report(spark: SparkSession, source: Path, out: Path) -> None:
     def read(name: str) -> DataFrame:
         return spark.read.csv(str(source / name), sep="\t", header=True, inferSchema=True)
 
-    summary, peaks, ranked = read("batch_summary.tsv"), read("association_peaks.tsv"), read("candidate_ranking.tsv")
-    per = ranked.groupBy("dataset_id").agg(F.count("*").alias("n"), F.max("candidate_rank").alias("top"), F.countDistinct("candidate_rank").alias("ranks"))
-    odd = summary.join(per, "dataset_id", "left").fillna(0, ["n", "top", "ranks"]).where("n != n_candidates or top != n or ranks != n").limit(1).collect()
-    unknown = ranked.join(peaks.select("dataset_id", "signal_id"), ["dataset_id", "signal_id"], "left_anti").limit(1).collect()
-    if odd or unknown:
-        raise contract.ContractError(f"tables disagree: {(odd or unknown)[0].asDict()}")
+    summary, peaks, ranked, members, tests = (read(f"{n}.tsv") for n in ("batch_summary", "association_peaks", "candidate_ranking", "candidate_snps", "diagnostics"))
+    if odd := reports.disagreements(summary, tests, peaks, members, ranked).limit(10).collect():
+        raise contract.ContractError("tables disagree: " + "; ".join(f"{r.dataset_id} {r.check}: expected {r.expected:g}, found {r.actual:g}" for r in odd))
+    in_all = reports.totals(summary)
     for name in ("batch_summary.tsv", "association_peaks.tsv", "candidate_ranking.tsv"):
         writers.safe_path(str(out), name).write_bytes((source / name).read_bytes())
-    (out / "report.md").write_text(writers.markdown("Association report", {"Datasets": summary.orderBy("dataset_id"), "Best candidates": ranked.orderBy("candidate_rank", "dataset_id")}), encoding="utf-8")
+    (out / "report.md").write_text(writers.markdown("Association report", {"Totals (families aren't pooled)": in_all, "Datasets": summary.orderBy("dataset_id"), "Best candidates": ranked.orderBy("candidate_rank", "dataset_id")}), encoding="utf-8")
     (out / "manifest.json").write_text(writers.json_text(writers.manifest(out)), encoding="utf-8")
 
 
-def customer_summary(spark: SparkSession, table: str, columns: dict[str, str], contigs: list[readers.Contig], out: Path, alpha: float, fdr: float, distance: int, exclude: bool = False, **declared) -> None:
+def customer_summary(spark: SparkSession, table: str, columns: dict[str, str], contigs: list[readers.Contig], out: Path, alpha: float, fdr: float, distance: int, exclude: bool = False, most_rows: int = 1_000_000, **declared) -> None:
     """Normalise, correct in log space, cluster and rank a table whose columns are declared (role to column)."""
-    raw = readers.table(spark, table, tuple(columns.values()))
+    raw = contract.at_most(readers.table(spark, table, tuple(columns.values())), most_rows, "rows")
     rows = raw.select(*[F.col(c).alias(r) for r, c in columns.items()], *[F.lit("").alias(r) for r in ("frequency", "neg_log10") if r not in columns], "src_row")
     valid, excluded = customer.split_invalid(customer.normalise(rows, **declared))
     if not exclude and (bad := excluded.limit(1).collect()):
@@ -134,6 +133,9 @@ def context(spark: SparkSession, chosen: DataFrame, fasta: str, out: Path, flank
         rows = rows.join(counts, "candidate_id", "left").fillna(0, ["neighbor_count"])
         writers.write_tsv(near, str(out / "neighbors.tsv"), ["candidate_id", "v_pos", "v_ref", "v_alt"])
     writers.write_tsv(rows.drop("bases"), str(out / "candidate_context.tsv"), ["candidate_id"])
+    named = rows.select(F.concat(percent_encode("candidate_id"), *[F.concat(F.lit(f" {c}="), percent_encode(c)) for c in ("chr", "pos", "strand")], F.lit(" sha256="), F.sha2("sequence", 256)).alias("name"), "sequence")
+    with open(out / "flanking_sequences.fasta", "w", encoding="utf-8") as f:
+        f.writelines(f"{line}\n" for line in writers.fasta_text(named, "name", "sequence"))
     return rows
 
 
@@ -173,12 +175,18 @@ def cross_reference(source: DataFrame, target: DataFrame, blocks: DataFrame, chu
     writers.write_tsv(crossref.account(source, mapping, compared, target), str(out / "accounting.tsv"), ["side", "candidate_id"])
 
 
-def individual_gwas(long: DataFrame, phenotype: DataFrame, covariates: list[str], out: Path, min_maf: float = 0.01, max_missing: float = 0.1, n_components: int = 2, most_samples: int = 1000) -> None:
+def individual_gwas(long: DataFrame, phenotype: DataFrame, covariates: list[str], out: Path, min_maf: float = 0.01, max_missing: float = 0.1, n_components: int = 2, most_samples: int = 1000, max_sample_missing: float = 0.1, most_markers: int = 100_000, most_cells: int = 5_000_000) -> None:
     """Marker and sample checks, kinship, components, a null model and a test of each marker. `phenotype`: sample_id, value and the covariates."""
     import numpy as np
 
     genotypes.ids_aligned({"genotypes": long, "phenotype": phenotype})
-    if bad := genotypes.sample_checks(long, max_missing).where("not ok").limit(1).collect():
+    size = long.agg(F.countDistinct("sample_id").alias("samples"), F.countDistinct("marker_id").alias("markers"), F.count("*").alias("cells")).first()
+    if size.samples < 4 or size.samples > most_samples or size.markers > most_markers or size.cells > most_cells or size.cells != size.samples * size.markers:
+        raise contract.ContractError(f"{size.samples} samples, {size.markers} markers and {size.cells} cells: there must be 4 to {most_samples} samples, {most_markers} markers and {most_cells} cells at most, and a cell for each")
+    values = phenotype.agg(F.countDistinct("value").alias("n"), F.count_if(F.col("value").isNull() | F.isnan("value") | (F.abs("value") == float("inf"))).alias("odd")).first()
+    if values.odd or values.n < 3:
+        raise contract.RowError("the phenotype must be finite and have three values or more")
+    if bad := genotypes.sample_checks(long, max_sample_missing).where("not ok").limit(1).collect():
         raise contract.RowError(f"sample {bad[0].sample_id} misses {bad[0].missing:.3f} of its markers")
     checks = genotypes.marker_checks(long, min_maf, max_missing).persist()
     z = genotypes.centred(long, checks).persist()
