@@ -124,12 +124,36 @@ def _run(spark: SparkSession, a: argparse.Namespace, out: Path) -> bool:
     return True
 
 
+def _inputs(a: argparse.Namespace) -> dict[str, str]:
+    """Checksums of all files that the arguments name, whole or after a =, and of the files of folders."""
+    out = {}
+    for value in (x for k, v in vars(a).items() if k != "out" for x in (v if isinstance(v, list) else [v])):
+        path = Path(value.split("=", 1)[-1]) if isinstance(value, str) else None
+        if path is not None and path.is_file():
+            out[str(value)] = readers.checksum(str(path))
+        elif path is not None and path.is_dir():
+            out |= {f"{value}/{k}": x for k, x in writers.manifest(path).items()}
+    return out
+
+
+def _audited(spark: SparkSession, a: argparse.Namespace, stage: Path) -> bool:
+    """Run, and leave a record of what the run depends on and gave; inputs that change meanwhile are an error."""
+    before = _inputs(a)
+    ok = _run(spark, a, stage)
+    if _inputs(a) != before:
+        raise ContractError("inputs changed during the run")
+    parameters = {k: v for k, v in vars(a).items() if k not in ("command", "out")}
+    record = writers.run_identity(a.command, before, parameters) | {"outputs": writers.manifest(stage)}
+    (stage / "provenance.json").write_text(writers.json_text(record), encoding="utf-8")
+    return ok
+
+
 def main(args: list[str] | None = None) -> int:
     a = _parser().parse_args(args)
     spark = SparkSession.builder.appName(f"sorrel {a.command}").getOrCreate()
     try:
         with writers.published(a.out) as stage:
-            return 0 if _run(spark, a, stage) else 1
+            return 0 if _audited(spark, a, stage) else 1
     except (ContractError, OSError, ValueError) as e:
         print(f"{type(e).__name__}: {e}", file=sys.stderr)
         return 1

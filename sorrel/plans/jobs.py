@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,7 +44,7 @@ def diagnostics(rows: DataFrame, out: Path, alpha: float, fdr: float) -> DataFra
     summary = st.diagnostics(rows, alpha=alpha, fdr=fdr)
     writers.write_tsv(summary, str(out / "diagnostics.tsv"), ["dataset_id"])
     significant = st.adjust(rows, alpha=alpha, fdr=fdr).where("bonferroni_significant or bh_significant")
-    writers.write_tsv(significant, str(out / "significant_variants.tsv"), ["dataset_id", "src_row"])
+    writers.write_parts(significant, str(out / "significant_variants.tsv"), ["dataset_id", "src_row"])
     return significant
 
 
@@ -52,7 +53,7 @@ def candidates(rows: DataFrame, out: Path, alpha: float, fdr: float, distance: i
     members = clusters.signals(diagnostics(rows, out, alpha, fdr), distance)
     ranked = clusters.ranking(members)
     writers.write_tsv(clusters.peaks(members), str(out / "association_peaks.tsv"), ["dataset_id", "signal_id"])
-    writers.write_tsv(members, str(out / "candidate_snps.tsv"), ["dataset_id", "signal_id", "pos", "src_row"])
+    writers.write_parts(members, str(out / "candidate_snps.tsv"), ["dataset_id", "signal_id", "pos", "src_row"])
     writers.write_tsv(ranked, str(out / "candidate_ranking.tsv"), ["dataset_id", "candidate_rank"])
     return ranked
 
@@ -81,6 +82,9 @@ def batch(rows: DataFrame, out: Path, alpha: float, fdr: float, distance: int) -
 def report(spark: SparkSession, source: Path, out: Path) -> None:
     """Check a batch folder's tables against one another, then copy them with a Markdown report and a manifest."""
 
+    if (source / "provenance.json").exists():
+        writers.verify(source, json.loads((source / "provenance.json").read_text(encoding="utf-8"))["outputs"])
+
     def read(name: str) -> DataFrame:
         return spark.read.csv(str(source / name), sep="\t", header=True, inferSchema=True)
 
@@ -107,7 +111,7 @@ def customer_summary(spark: SparkSession, table: str, columns: dict[str, str], c
     order = spark.createDataFrame([(c.name, i) for i, c in enumerate(contigs)], "chr string, contig_order int")
     adjusted = st.adjust_log(valid, alpha=alpha, fdr=fdr)
     adjusted.write.parquet(str(out / "normalised"))
-    writers.write_tsv(excluded, str(out / "excluded_rows.tsv"), ["src_row"])
+    writers.write_parts(excluded, str(out / "excluded_rows.tsv"), ["src_row"])
     writers.write_tsv(clusters.log_ranking(adjusted.where("bonferroni_significant or bh_significant"), distance, order), str(out / "candidate_ranking.tsv"), ["candidate_rank"])
 
 
@@ -129,9 +133,15 @@ def context(spark: SparkSession, chosen: DataFrame, fasta: str, out: Path, flank
     near = None
     if variants is not None:
         near = intervals.neighbours(chosen.select("candidate_id", "chr", "pos", "ref", "alt"), variants, window)
+        known = near.select("v_chr", "v_pos", "v_ref", "v_alt").distinct().withColumn("k", F.concat_ws(":", "v_chr", "v_pos", "v_ref", "v_alt"))
+        held = intervals.slices(known.selectExpr("k", "v_chr as chr", "v_pos as start", "v_pos + greatest(length(v_ref), 1) - 1 as end"), chunks, "k", chunk)
+        if odd := intervals.neighbour_violations(chosen, known.join(held, "k", "left"), window, F.col("bases")).limit(1).collect():
+            raise contract.RowError(f"variant {odd[0].k}: {odd[0].reason}")
+        if twice := near.groupBy("candidate_id", "v_pos", "v_ref", "v_alt").count().where("count > 1").limit(1).collect():
+            raise contract.DuplicateError(f"variant {twice[0].v_pos} {twice[0].v_ref}>{twice[0].v_alt} is there more than once near {twice[0].candidate_id}")
         counts = near.groupBy("candidate_id").agg(F.count("*").alias("neighbor_count"))
         rows = rows.join(counts, "candidate_id", "left").fillna(0, ["neighbor_count"])
-        writers.write_tsv(near, str(out / "neighbors.tsv"), ["candidate_id", "v_pos", "v_ref", "v_alt"])
+        writers.write_parts(near, str(out / "neighbors.tsv"), ["candidate_id", "v_pos", "v_ref", "v_alt"])
     writers.write_tsv(rows.drop("bases"), str(out / "candidate_context.tsv"), ["candidate_id"])
     named = rows.select(F.concat(percent_encode("candidate_id"), *[F.concat(F.lit(f" {c}="), percent_encode(c)) for c in ("chr", "pos", "strand")], F.lit(" sha256="), F.sha2("sequence", 256)).alias("name"), "sequence")
     with open(out / "flanking_sequences.fasta", "w", encoding="utf-8") as f:

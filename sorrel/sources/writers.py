@@ -40,6 +40,12 @@ def write_tsv(df: DataFrame, path: str, order: list[str], columns: list[str] | N
         raise
 
 
+def write_parts(df: DataFrame, path: str, order: list[str]) -> None:
+    """A folder of tab-separated parts, written by the tasks, for tables that grow with the data: the parts' names follow the order, and rows are in order within each."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(n, *order).sortWithinPartitions(*order).write.options(sep="\t", header=True, nullValue="", emptyValue="").csv(path)
+
+
 @contextlib.contextmanager
 def published(path: str) -> Iterator[Path]:
     """A folder that appears with all its files or not at all; a target that isn't empty, or is a link, is refused."""
@@ -80,7 +86,8 @@ def run_identity(operation: str, inputs: dict[str, str], parameters: dict) -> di
 
 
 def manifest(folder: Path) -> dict[str, str]:
-    return {str(p.relative_to(folder)): checksum(str(p)) for p in sorted(folder.rglob("*")) if p.is_file()}
+    """Checksums of all files of a folder but its own provenance."""
+    return {str(p.relative_to(folder)): checksum(str(p)) for p in sorted(folder.rglob("*")) if p.is_file() and p != folder / "provenance.json"}
 
 
 def verify(folder: Path, expected: dict[str, str]) -> None:
