@@ -568,7 +568,8 @@ def test_against_sql(spark, name):
     if not os.path.isdir(folder):
         pytest.skip("no tables here")
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     found = con.execute(registry.ORACLE_SQL[name])
     columns = sorted(c[0] for c in found.description)
     got = registry.QUERIES[name](spark, folder)
