@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from sorrel.llm.collocations import OP12_SQL, op12_phrase_collocations
 from sorrel.llm.decontamination import op10_decontamination
 from sorrel.llm.embeddings import OP11_SQL, op11_embedding_range_join
 from sorrel.llm.licences import op4_licence_classifier
@@ -14,5 +15,5 @@ from sorrel.llm.simhash import op6_simhash_pigeonring
 from sorrel.llm.substrings import OP1_SQL, op1_substring_dedup
 from sorrel.llm.token_files import op7_flat_token_files
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_trigram_secret_scan, op3_line_first_quality, op4_licence_classifier, op5_line_dedup, op6_simhash_pigeonring, op7_flat_token_files, op8_concatenate_and_cut, op9_consistent_hash_shards, op10_decontamination, op11_embedding_range_join)}
-ORACLE_SQL = {"op1_substring_dedup": OP1_SQL, "op3_line_first_quality": OP3_SQL, "op2_trigram_secret_scan": OP2_SQL, "op5_line_dedup": OP5_SQL, "op11_embedding_range_join": OP11_SQL}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_trigram_secret_scan, op3_line_first_quality, op4_licence_classifier, op5_line_dedup, op6_simhash_pigeonring, op7_flat_token_files, op8_concatenate_and_cut, op9_consistent_hash_shards, op10_decontamination, op11_embedding_range_join, op12_phrase_collocations)}
+ORACLE_SQL = {"op1_substring_dedup": OP1_SQL, "op3_line_first_quality": OP3_SQL, "op2_trigram_secret_scan": OP2_SQL, "op5_line_dedup": OP5_SQL, "op11_embedding_range_join": OP11_SQL, "op12_phrase_collocations": OP12_SQL}
