@@ -49,12 +49,27 @@ SELECT 'c' || o_orderkey AS candidate_id, 'Chr' || (o_custkey % 11 + 1) AS chr,
        CASE WHEN o_orderkey % 23 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(o_orderkey % 7 AS DOUBLE) - CAST(3.5 AS DOUBLE) END AS beta
 FROM orders"""
 
-#: Ungapped blocks of chains on both strands; some overlap, so a place may be hit twice.
+#: Ungapped blocks of chains from places of candidates (the query side) on both strands; some overlap, so a place may be hit twice.
 BLOCKS = """
-SELECT 'chain' || p_partkey AS chain_id, 'Chr' || (p_partkey % 11 + 1) AS t_name, p_partkey * 1700 % 2000000 AS t_start, CAST(500 + p_size * 40 AS BIGINT) AS size,
-       'T' || (p_partkey % 11 + 1) AS q_name, p_partkey * 1700 % 2000000 + 100 AS q_start, CAST(3000000 AS BIGINT) AS q_size, CASE WHEN p_partkey % 3 = 0 THEN '-' ELSE '+' END AS strand
+SELECT 'chain' || p_partkey AS chain_id, 'T' || (p_partkey % 11 + 1) AS t_name, p_partkey * 1700 % 2000000 AS t_start, CAST(500 + p_size * 40 AS BIGINT) AS size,
+       'Chr' || (p_partkey % 11 + 1) AS q_name, p_partkey * 1700 % 2000000 + 100 AS q_start, CAST(3000000 AS BIGINT) AS q_size, CASE WHEN p_partkey % 3 = 0 THEN '-' ELSE '+' END AS strand, CAST(p_partkey % 50 AS DOUBLE) AS score
 FROM part"""
 
+#: Lines of a chain file: a chain for each order, with a block for each of its items; some are broken in one way or another.
+CHAIN_LINES = """
+SELECT CAST(o.o_orderkey * 1000 AS BIGINT) AS src_row,
+       CASE WHEN o.o_orderkey % 613 = 1 THEN 'chain 5 T1' ELSE 'chain ' || CASE WHEN o.o_orderkey % 617 = 2 THEN '-1' ELSE CAST(o.o_custkey AS STRING) END || ' T' || CAST(o.o_orderkey % 3 + 1 AS STRING) || ' 5000000 + ' || CAST(o.o_orderkey AS STRING) || ' '
+         || CAST(o.o_orderkey + n.total + n.tgaps + CASE WHEN o.o_orderkey % 619 = 3 THEN 1 ELSE 0 END AS STRING) || ' Q' || CAST(o.o_orderkey % 2 + 1 AS STRING) || CASE WHEN o.o_orderkey % 631 = 4 THEN ' 700' ELSE ' 6000000' END || CASE WHEN o.o_orderkey % 641 = 5 THEN ' *' WHEN o.o_orderkey % 2 = 0 THEN ' -' ELSE ' +' END
+         || ' 7 ' || CAST(7 + n.total + n.qgaps AS STRING) || ' c' || CAST(CASE WHEN o.o_orderkey % 643 = 6 THEN o.o_orderkey - 1 ELSE o.o_orderkey END AS STRING) END AS value
+FROM orders o JOIN items n ON o.o_orderkey = n.l_orderkey
+UNION ALL
+SELECT CAST(l_orderkey * 1000 + k AS BIGINT), CASE WHEN l_orderkey % 647 = 7 AND k = 1 THEN 'x' WHEN l_orderkey % 653 = 8 AND k = 1 THEN '-3 0 0' ELSE CAST(l_quantity AS STRING) END
+         || CASE WHEN k = n_items THEN CASE WHEN l_orderkey % 659 = 9 THEN ' 1 1' ELSE '' END WHEN l_orderkey % 661 = 10 AND k = 1 THEN '' WHEN l_orderkey % 673 = 11 AND k = 1 THEN ' 4' ELSE ' ' || CAST(l_linenumber AS STRING) || ' ' || CAST(l_partkey % 5 AS STRING) END
+FROM placed"""
+CHAIN_ITEMS = """
+placed AS (SELECT l_orderkey, CAST(l_quantity AS BIGINT) AS l_quantity, l_linenumber, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS k, count(*) OVER (PARTITION BY l_orderkey) AS n_items FROM lineitem),
+items AS (SELECT l_orderkey, sum(l_quantity) AS total, sum(CASE WHEN k < n_items THEN l_linenumber ELSE 0 END) AS tgaps, sum(CASE WHEN k < n_items THEN l_partkey % 5 ELSE 0 END) AS qgaps FROM placed GROUP BY l_orderkey)"""
+
 #: Dosages: 64 markers of each vector, 0, 1, 2 or missing.
 DOSAGES_SPARK = "SELECT vec_id AS sample_id, marker_id, CASE WHEN (vec_id * 31 + marker_id * 17) % 41 = 0 THEN NULL WHEN x < -0.05D THEN 0 WHEN x < 0.05D THEN 1 ELSE 2 END AS dosage FROM (SELECT vec_id, posexplode(embedding) AS (marker_id, x) FROM embeddings)"
 DOSAGES = f"SELECT vec_id AS sample_id, marker_id, CASE WHEN (vec_id * 31 + marker_id * 17) % 41 = 0 THEN NULL WHEN x < {d(-0.05)} THEN 0 WHEN x < {d(0.05)} THEN 1 ELSE 2 END AS dosage FROM (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS marker_id FROM embeddings)"

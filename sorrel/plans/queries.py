@@ -12,6 +12,7 @@ from sorrel.functions.text import COMPLEMENT, IUPAC, NEAREST, complementary_run,
 from sorrel.operators import assays, clusters, contract, crossref, customer, genotypes, intervals, layout, oligos, reports
 from sorrel.operators import statistics as st
 from sorrel.plans import adapters as a
+from sorrel.sources import chains
 from sorrel.sources.scratch import written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -294,8 +295,9 @@ def gene_ids(spark, d):
     return intervals.gene_ids(intervals.nearest(_candidates(spark, d), a.view(spark, d, a.GENES), "candidate_id"), "candidate_id")
 
 
-_HITS = f"""{_C}, {_B}, hits AS (SELECT candidate_id, chr, pos, chain_id, q_name AS target_chr, CASE WHEN strand_ = '+' THEN q_start + pos - t_start ELSE q_size - (q_start + pos - t_start) + 1 END AS target_pos, strand_ AS strand
-FROM c JOIN (SELECT *, strand AS strand_ FROM b) b ON chr = t_name AND pos BETWEEN t_start + 1 AND t_start + size)"""
+_HITS = f"""{_C}, {_B}, placed_ AS (SELECT *, strand AS strand_, CASE WHEN strand = '+' THEN q_start ELSE q_size - q_start - size END AS begin_ FROM b),
+hits AS (SELECT candidate_id, chr, pos, chain_id, t_name AS target_chr, t_start + CASE WHEN strand_ = '+' THEN pos - 1 ELSE q_size - pos END - q_start + 1 AS target_pos, strand_ AS strand, score AS chain_score, size AS block_size
+FROM c JOIN placed_ b ON chr = q_name AND pos > begin_ AND pos <= begin_ + size)"""
 
 
 def _hits(spark, d):
@@ -307,6 +309,30 @@ def chain_mapping(spark, d):
     return _hits(spark, d)
 
 
+_CHAINS = f"""WITH {a.CHAIN_ITEMS}, lines AS ({a.CHAIN_LINES}), f AS (SELECT src_row, string_split(value, ' ') AS f FROM lines),
+n AS (SELECT *, f[1] = 'chain' AS is_head, sum(CASE WHEN f[1] = 'chain' THEN 1 ELSE 0 END) OVER (ORDER BY src_row) AS head_no FROM f),
+h AS (SELECT src_row, head_no, len(f) AS k, TRY_CAST(f[2] AS DOUBLE) AS score, f[3] AS t_name, TRY_CAST(f[4] AS BIGINT) AS t_size, f[5] AS t_strand, TRY_CAST(f[6] AS BIGINT) AS t0, TRY_CAST(f[7] AS BIGINT) AS t1, f[8] AS q_name, TRY_CAST(f[9] AS BIGINT) AS q_size, f[10] AS q_strand,
+  TRY_CAST(f[11] AS BIGINT) AS q0, TRY_CAST(f[12] AS BIGINT) AS q1, f[13] AS chain_id FROM n WHERE is_head),
+b AS (SELECT src_row, head_no, len(f) AS k, TRY_CAST(f[1] AS BIGINT) AS size, TRY_CAST(f[2] AS BIGINT) AS dt, TRY_CAST(f[3] AS BIGINT) AS dq FROM n WHERE NOT is_head),
+s AS (SELECT b.*, t0, t1, q0, q1, min(CASE WHEN b.k = 1 THEN b.src_row END) OVER (PARTITION BY head_no) AS end_row,
+  t0 + sum(coalesce(size, 0) + coalesce(dt, 0)) OVER w - coalesce(size, 0) - coalesce(dt, 0) AS ts, q0 + sum(coalesce(size, 0) + coalesce(dq, 0)) OVER w - coalesce(size, 0) - coalesce(dq, 0) AS qs FROM b LEFT JOIN h USING (head_no) WINDOW w AS (PARTITION BY head_no ORDER BY b.src_row)),
+bad AS (SELECT h.src_row, CASE WHEN k <> 13 THEN 'a header has 13 fields' WHEN t_size IS NULL OR t0 IS NULL OR t1 IS NULL OR q_size IS NULL OR q0 IS NULL OR q1 IS NULL THEN 'a header''s sizes and ends are whole numbers' WHEN NOT coalesce(score >= 0, false) THEN 'a score is finite and not negative'
+  WHEN h.src_row > min(h.src_row) OVER (PARTITION BY chain_id) THEN 'an earlier chain has the id' WHEN t_strand <> '+' OR q_strand NOT IN ('+', '-') THEN 'the target''s strand is +, the query''s + or -'
+  WHEN t_name NOT IN ('T1', 'T2', 'T3') OR t_size <> 5000000 OR q_name NOT IN ('Q1', 'Q2') OR q_size <> 6000000 THEN 'a contig isn''t in its assembly, or has another length there'
+  WHEN NOT (0 <= t0 AND t0 < t1 AND t1 <= t_size AND 0 <= q0 AND q0 < q1 AND q1 <= q_size) THEN 'the ends aren''t within the contigs' WHEN head_no NOT IN (SELECT head_no FROM b WHERE k = 1) THEN 'the chain has no last block' END AS reason FROM h
+UNION ALL SELECT src_row, CASE WHEN head_no = 0 THEN 'a block outside a chain' WHEN src_row > end_row THEN 'a block after the last one of its chain' WHEN k NOT IN (1, 3) THEN 'a block has one or three fields' WHEN size IS NULL OR (k = 3 AND (dt IS NULL OR dq IS NULL)) THEN 'a block''s fields are whole numbers'
+  WHEN size <= 0 OR dt < 0 OR dq < 0 THEN 'a block has a size, and gaps aren''t negative' WHEN ts + size > t1 OR qs + size > q1 THEN 'a block exceeds the declared ends' WHEN k = 1 AND (ts + size <> t1 OR qs + size <> q1) THEN 'the last block doesn''t reach the declared ends' END FROM s)
+SELECT src_row, reason FROM bad WHERE reason IS NOT NULL"""
+
+
+@_add(_CHAINS)
+def chain_violations(spark, d):
+    """Lines of a chain file that break its grammar; some of each kind are planted."""
+    lines = a.view(spark, d, f"WITH {a.CHAIN_ITEMS} {a.CHAIN_LINES}")
+    sizes = "chr string, length long"
+    return chains.chain_lines(lines, spark.createDataFrame([(f"Q{i}", 6_000_000) for i in (1, 2)], sizes), spark.createDataFrame([(f"T{i}", 5_000_000) for i in (1, 2, 3)], sizes))[0]
+
+
 _BASE = "substring('ACGT', CAST(target_pos * 7 % 4 AS INT) + 1, 1)"
 _MAPPED = f"""{_HITS}, mapping AS (SELECT *, CASE status WHEN 'unmapped' THEN 'no_ungapped_block_for_source_position' WHEN 'multimap' THEN 'multiple_chain_hits' WHEN 'ambiguous' THEN 'target_reference_allele_not_reconciled' ELSE 'unique_in_supplied_chain' END AS reason FROM (
 SELECT *, CASE WHEN n_hits = 0 THEN 'unmapped' WHEN n_hits > 1 THEN 'multimap' WHEN coalesce(target_base IN (mapped_ref, mapped_alt), false) THEN 'mapped' ELSE 'ambiguous' END AS status FROM (

@@ -214,19 +214,6 @@ def vcf(spark: SparkSession, path: str, reference: str | None = None) -> DataFra
     return rows.select(f[0].alias("v_chr"), at.alias("v_pos"), f[3].alias("v_ref"), F.explode(F.split(f[4], ",")).alias("v_alt"), f[6].alias("filter"))
 
 
-def chain_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """Ungapped blocks of a UCSC chain file, 0-based and half-open: running sums within each chain replace the cursors of a sequential reader."""
-    lines = numbered(spark.read.text(path), head=F.col("value").startswith("chain")).withColumn("value", F.trim("value")).where("value != ''")
-    heads = lines.where(F.col("value").startswith("chain")).select("head_no", F.split("value", r"\s+").alias("h"))
-    names = heads.select("head_no", *[F.col("h")[i].alias(n) for i, n in ((2, "t_name"), (7, "q_name"), (9, "strand"), (12, "chain_id"))], *[F.col("h")[i].try_cast("bigint").alias(n) for i, n in ((1, "score"), (5, "t0"), (8, "q_size"), (10, "q0"))])
-    f = F.split("value", r"\s+")
-    body = lines.where(~F.col("value").rlike("^(chain|#)")).select("head_no", "src_row", *[F.coalesce(F.try_element_at(f, F.lit(i + 1)).try_cast("bigint"), F.lit(0)).alias(n) for i, n in ((0, "size"), (1, "dt"), (2, "dq"))])
-    rows = body.join(names, "head_no")
-    w = Window.partitionBy("head_no").orderBy("src_row").rowsBetween(Window.unboundedPreceding, -1)
-    at = {n: F.col(o) + F.coalesce(F.sum(F.col("size") + F.col(d)).over(w), F.lit(0)) for n, o, d in (("t_start", "t0", "dt"), ("q_start", "q0", "dq"))}
-    return rows.withColumns(at).select("chain_id", "t_name", "t_start", "size", "q_name", "q_start", "q_size", "strand", "score")
-
-
 def genotypes(spark: SparkSession, path: str) -> DataFrame:
     """sample_id, marker_id, dosage of a wide table; any cell but 0, 1, 2 and NA is an error."""
     wide = table(spark, path, ("sample_id",))
