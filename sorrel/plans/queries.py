@@ -446,7 +446,7 @@ def _screen_sql(oligo: str, prefix: str) -> str:
     run = "greatest(" + ", ".join(f"length(regexp_extract({oligo}, '{b}{{{s.max_homopolymer + 1},}}'))" for b in "ACGT") + ") > 0"
     own = f"len(list_filter(range(1, length({oligo}) - {s.max_self_match} + 1), lambda i: contains(reverse(translate({oligo}, 'ACGT', 'TGCA')), substring({oligo}, i, {s.max_self_match + 1})))) > 0"
     gc = f"length(regexp_replace({oligo}, '[^GC]', '', 'g')) / length({oligo})"
-    return f"""{_tm_sql(oligo)} AS {prefix}_tm, list_filter([CASE WHEN NOT {prefix}_tm BETWEEN {a.d(s.min_tm)} AND {a.d(s.max_tm)} THEN 'tm_out_of_range' END, CASE WHEN NOT {gc} BETWEEN {a.d(s.min_gc)} AND {a.d(s.max_gc)} THEN 'gc_out_of_range' END,
+    return f"""{_tm_sql(oligo)} AS {prefix}_tm, list_filter([CASE WHEN NOT {prefix}_tm BETWEEN {a.d(s.min_tm_C)} AND {a.d(s.max_tm_C)} THEN 'tm_out_of_range' END, CASE WHEN NOT {gc} BETWEEN {a.d(s.min_gc_fraction)} AND {a.d(s.max_gc_fraction)} THEN 'gc_out_of_range' END,
 CASE WHEN {run} THEN 'homopolymer' END, CASE WHEN {own} THEN 'self_complementarity_screen' END], lambda x: x IS NOT NULL) AS {prefix}_failures"""
 
 
@@ -469,13 +469,13 @@ u AS (SELECT *, pos + 20 AS v_pos, CASE WHEN no % 3 = 0 THEN 'TA' ELSE 'T' END A
 l AS (SELECT *, {at} - n + 1 AS lft FROM (SELECT *, unnest(range({s.min_length}, {s.max_length + 1})) AS n FROM u WHERE unfit IS NULL) WHERE {at} - n + 1 >= 0),
 o AS (SELECT *, substring(specific_ref, 1, CAST(n AS INT) - 1) || {turned["alt"]} AS specific_alt FROM (SELECT *, substring(sequence, lft + 1, n) AS specific_ref FROM l)),
 sp AS MATERIALIZED (SELECT *, {_screen_sql("specific_ref", "r")}, {_screen_sql("specific_alt", "a")} FROM o),
-p AS (SELECT *, lft + product AS right_end FROM (SELECT *, unnest(range({s.min_product}, {s.max_product + 1})) AS product FROM sp WHERE len(r_failures) + len(a_failures) = 0) WHERE lft + product <= length(sequence)),
+p AS (SELECT *, lft + product AS right_end FROM (SELECT *, unnest(range({s.min_product_bp}, {s.max_product_bp + 1})) AS product FROM sp WHERE len(r_failures) + len(a_failures) = 0) WHERE lft + product <= length(sequence)),
 q AS (SELECT *, right_end - cn AS right_start FROM (SELECT *, unnest(range({s.min_length}, {s.max_length + 1})) AS cn FROM p) WHERE right_end - cn > {at}),
 w AS MATERIALIZED (SELECT * EXCLUDE (sequence), reverse(translate(substring(sequence, right_start + 1, cn), 'ACGT', 'TGCA')) AS common FROM q),
 cm AS MATERIALIZED (SELECT common, {_screen_sql("common", "c")} FROM (SELECT DISTINCT common FROM w)),
 j AS (SELECT w.*, c_tm, c_failures, greatest(r_tm, a_tm, c_tm) - least(r_tm, a_tm, c_tm) AS diff, CASE WHEN {minus} THEN interval_end - {at} ELSE interval_start + lft END AS specific_start, CASE WHEN {minus} THEN interval_end - lft ELSE interval_start + {at} END AS specific_end,
   CASE WHEN {minus} THEN interval_end - right_end + 1 ELSE interval_start + right_start END AS common_start, CASE WHEN {minus} THEN interval_end - right_start ELSE interval_start + right_end - 1 END AS common_end FROM w JOIN cm ON w.common = cm.common),
-f AS MATERIALIZED (SELECT *, CASE WHEN len(c_failures) > 0 OR diff > {a.d(s.max_tm_difference)} THEN list_concat(c_failures, CASE WHEN diff > {a.d(s.max_tm_difference)} THEN ['tm_difference'] ELSE [] END)
+f AS MATERIALIZED (SELECT *, CASE WHEN len(c_failures) > 0 OR diff > {a.d(s.max_tm_difference_C)} THEN list_concat(c_failures, CASE WHEN diff > {a.d(s.max_tm_difference_C)} THEN ['tm_difference'] ELSE [] END)
   WHEN {_run_sql("specific_ref", "common", s.max_pair_match + 1)} OR {_run_sql("specific_alt", "common", s.max_pair_match + 1)} THEN ['primer_dimer_screen'] WHEN {between("specific_start", "specific_end")} OR {between("common_start", "common_end")} THEN ['cohort_variant_in_binding_site'] ELSE [] END AS failures FROM j),
 good AS (SELECT *, round(abs(r_tm - 60) + abs(a_tm - 60) + abs(c_tm - 60) + diff, 6) AS score, 'design-' || substring(sha256(concat_ws('|', '{oligos.ENGINE}', candidate_id, specific_ref, specific_alt, common, specific_start, specific_end, common_start, common_end, '{oligos.settings_text(s)}')), 1, 20) AS design_id FROM f WHERE len(failures) = 0),
 best AS (SELECT *, row_number() OVER (PARTITION BY candidate_id ORDER BY score, product, design_id) AS rank FROM good QUALIFY rank <= {s.alternatives}),

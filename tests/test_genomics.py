@@ -150,7 +150,7 @@ def test_primer_design(spark, strand):
     rnd = random.Random(8)
     seq = "".join(rnd.choice("ACGT") for _ in range(240))
     offset, alt = 120, next(b for b in "ACGT" if b != seq[120])
-    s = oligos.Settings(min_length=19, max_length=20, min_product=75, max_product=80, min_tm=45, max_tm=70, max_tm_difference=8, max_self_match=5, max_pair_match=6)
+    s = oligos.Settings(min_length=19, max_length=20, min_product_bp=75, max_product_bp=80, min_tm_C=45, max_tm_C=70, max_tm_difference_C=8, max_self_match=5, max_pair_match=6)
     turn = lambda x: x if strand == "+" else x.translate(TURN)
     pos = 1001 + offset if strand == "+" else 1240 - offset
     df = spark.createDataFrame([("c", pos, turn(seq[offset]), turn(alt), strand, seq, offset, 1001, 1240)], ONE)
@@ -163,7 +163,7 @@ def test_primer_design(spark, strand):
     def failures(x):
         gc = sum(b in "GC" for b in x) / len(x)
         longest = max(len(m) for m in __import__("re").findall("A+|C+|G+|T+", x))
-        return [n for n, bad in (("tm_out_of_range", not s.min_tm <= tm[x] <= s.max_tm), ("gc_out_of_range", not s.min_gc <= gc <= s.max_gc), ("homopolymer", longest > s.max_homopolymer), ("self_complementarity_screen", run(x, x) > s.max_self_match)) if bad]
+        return [n for n, bad in (("tm_out_of_range", not s.min_tm_C <= tm[x] <= s.max_tm_C), ("gc_out_of_range", not s.min_gc_fraction <= gc <= s.max_gc_fraction), ("homopolymer", longest > s.max_homopolymer), ("self_complementarity_screen", run(x, x) > s.max_self_match)) if bad]
 
     from collections import Counter
 
@@ -182,7 +182,7 @@ def test_primer_design(spark, strand):
                     continue
                 common = rc(seq[end - c : end])
                 t = [tm[ref], tm[other], tm[common]]
-                bad = failures(common) + ["tm_difference"] * (max(t) - min(t) > s.max_tm_difference)
+                bad = failures(common) + ["tm_difference"] * (max(t) - min(t) > s.max_tm_difference_C)
                 if bad:
                     reasons.update(bad)
                 elif max(run(ref, common), run(other, common)) > s.max_pair_match:
@@ -190,7 +190,7 @@ def test_primer_design(spark, strand):
                 else:
                     spans = [(left, offset + 1), (end - c, end)]
                     spans = [(1001 + x, 1000 + y) if strand == "+" else (1240 - y + 1, 1240 - x) for x, y in spans]
-                    designs.append((round(sum(abs(x - s.target_tm) for x in t) + max(t) - min(t), 6), product, ref, other, common, spans))
+                    designs.append((round(sum(abs(x - s.target_tm_C) for x in t) + max(t) - min(t), 6), product, ref, other, common, spans))
     assert {r.reason: r.n for r in rejected.collect()} == dict(reasons) and designs
     got = found.orderBy("rank").collect()
     assert [(r.score, r["product"]) for r in got] == [x[:2] for x in sorted(designs)[:3]]
@@ -220,7 +220,7 @@ def test_primer_reasons_and_settings(spark, tmp_path):
         oligos.design(spark.createDataFrame([("x", 61, "C", "A", "+", seq, 60, 1, 120)], ONE), s)[1].collect()
     path = tmp_path / "p.toml"
     path.write_text("schema_version = 1\n[primer]\nmin_tm_C = 50\nmax_product_bp = 150\n")
-    assert oligos.load_settings(str(path)) == oligos.Settings(min_tm=50, max_product=150)
+    assert oligos.load_settings(str(path)) == oligos.Settings(min_tm_C=50, max_product_bp=150)
     for text in ("schema_version = 2\n[primer]\n", "schema_version = 1\n[primer]\nodd = 1\n", "schema_version = 1\n[primer]\nmin_length = 0\n", "schema_version = 1\n[primer]\nmin_length = 30\nmax_length = 20\n", "schema_version = 1\n[primer]\nmin_length = true\n", "schema_version = 1\n[primer]\nalternatives = 101\n", "schema_version = 1\n[primer]\nmin_tm_C = nan\n"):
         path.write_text(text)
         with pytest.raises(ValueError):
