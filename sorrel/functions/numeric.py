@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,6 +59,98 @@ def chi2_isf_1(p: str) -> Column:
     return F.expr(chi2_isf_1_sql(p))
 
 
+#: Terms of the series of the normal distribution below 3, and levels of the continued fraction of its tail above.
+_TERMS, _LEVELS = 60, 90
+#: Newton steps for a quantile, from a start that is near.
+STEPS = 14
+
+
+def _double_factorial(n: int) -> float:
+    return float(math.prod(range(n, 0, -2)))
+
+
+def upper_normal_sql(z: str) -> str:
+    """SQL for the tail probability of the standard normal above z >= 0: a series below 3, a continued fraction above. Only z is repeated, so the text grows with its terms."""
+    series = number(1.0)
+    for k in range(_TERMS, 0, -1):
+        series = f"({number(1.0)} + {z} * {z} / {number(2.0 * k + 1)} * {series})"
+    tail = z
+    for k in range(_LEVELS, 0, -1):
+        tail = f"({z} + {number(float(k))} / {tail})"
+    density = f"(exp(-{z} * {z} / {number(2.0)}) * {number(1 / math.sqrt(2 * math.pi))})"
+    return f"CASE WHEN {z} < {number(3.0)} THEN {number(0.5)} - {density} * {z} * {series} ELSE {density} / {tail} END"
+
+
+def chi2_sf_sql(z: str, df: int) -> tuple[str, str]:
+    """SQL for the upper tail of chi-square at z * z and for minus its derivative by z, both times exp(z * z / 2): finite sums for whole degrees of freedom, and the normal tail for odd ones."""
+    m, odd = divmod(df, 2)
+    if odd:
+        total = number(0.0)
+        for j in range(m, 0, -1):
+            total = f"({total} * {z} * {z} + {number(1 / _double_factorial(2 * j - 1))})"
+        c = number(math.sqrt(2 / math.pi))
+        # the tail times exp(z * z / 2) without a product of the very small and the very large
+        tail = z
+        for k in range(_LEVELS, 0, -1):
+            tail = f"({z} + {number(float(k))} / {tail})"
+        scaled = f"CASE WHEN {z} < {number(3.0)} THEN {number(2.0)} * ({upper_normal_sql(z)}) * exp({z} * {z} / {number(2.0)}) ELSE {c} / {tail} END"
+        return f"({scaled}) + {c} * {z} * {total}", f"{c} * power({z}, {number(2.0 * m)}) / {number(_double_factorial(2 * m - 1))}"
+    total = number(0.0)
+    for j in range(m - 1, -1, -1):
+        total = f"({total} * {z} * {z} / {number(2.0)} + {number(1 / math.factorial(j))})"
+    return total, f"{z} * power({z} * {z} / {number(2.0)}, {number(m - 1.0)}) / {number(float(math.factorial(m - 1)))}"
+
+
+def _chi2_steps(p: str, df: int) -> tuple[str, str]:
+    """SQL of where Newton's method starts, and of its next value after z: both for the square root of the upper quantile of chi-square with `df` degrees of freedom at p, 0 < p <= 1.
+
+    The method finds the zero of the logarithm of the tail by z. It starts from the cube-root approximation by normal quantiles, or, for p above 0.9, from the leading power of the lower tail. The logarithm of the tail is concave, so
+    steps from above never overshoot.
+    """
+    if isinstance(df, bool) or not isinstance(df, int) or df < 1:
+        raise ValueError(f"degrees of freedom must be a positive whole number, not {df!r}")
+    n = float(df)
+    half = f"greatest(least({p}, {number(1.0)} - {p}), {number(2.2250738585072014e-308)})"
+    normal = f"(CASE WHEN {p} > {number(0.5)} THEN -1 ELSE 1 END * ({upper_normal_quantile_sql(half)}))"
+    cube = f"({number(1 - 2 / (9 * n))} + {normal} * {number(math.sqrt(2 / (9 * n)))})"
+    low = f"({number(2.0)} * power(({number(1.0)} - {p}) * {number(math.gamma(n / 2 + 1))}, {number(2 / n)}))"
+    tail, slope = chi2_sf_sql("z", df)
+    step = f"z + (ln({tail}) - z * z / {number(2.0)} - ln({p})) * ({tail}) / ({slope})"
+    return f"sqrt(CASE WHEN {p} > {number(0.9)} THEN {low} ELSE {number(n)} * power(greatest({cube}, {number(1e-3)}), {number(3.0)}) END)", f"greatest(least({step}, {number(2.0)} * z + {number(1.0)}), z / {number(4.0)})"
+
+
+def chi2_isf(p: str, df: int) -> Column:
+    """The upper quantile of chi-square with `df` degrees of freedom: a fixed number of Newton steps as one fold."""
+    start, step = _chi2_steps(p, df)
+    return F.expr(f"CASE WHEN {p} >= {number(1.0)} THEN {number(0.0)} ELSE power(aggregate(sequence(1, {STEPS}), {start}, (z, i) -> {step}), {number(2.0)}) END")
+
+
+def chi2_isf_sql(relation: str, p: str, df: int, name: str = "chi2") -> str:
+    """The same as SQL of the relation's rows with the quantile as column `name`, for engines without such a fold: each step is a subquery, so that nothing is repeated."""
+    start, step = _chi2_steps(p, df)
+    sql = f"SELECT *, {start} AS z FROM {relation}"
+    for _ in range(STEPS):
+        sql = f"SELECT * EXCLUDE (z), CASE WHEN {p} >= {number(1.0)} THEN {number(1.0)} ELSE {step} END AS z FROM ({sql}) AS s"
+    return f"SELECT * EXCLUDE (z), CASE WHEN {p} >= {number(1.0)} THEN {number(0.0)} ELSE z * z END AS {name} FROM ({sql}) AS s"
+
+
+def chi2_median(df: int) -> float:
+    """The median, by bisection on the driver."""
+    m, odd = divmod(df, 2)
+
+    def tail(x: float) -> float:
+        h = x / 2
+        if odd:
+            return math.erfc(math.sqrt(h)) + sum(math.exp(-h + (j - 0.5) * math.log(h) - math.lgamma(j + 0.5)) for j in range(1, m + 1))
+        return sum(math.exp(-h + j * math.log(h) - math.lgamma(j + 1)) for j in range(m))
+
+    low, high = 1e-9, 2.0 * df + 2
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if tail(middle) > 0.5 else (low, middle)
+    return (low + high) / 2
+
+
 def neg_log10_decimal(text: str) -> Column:
     """-log10 of a decimal number given as text, which may be far below the double range: mantissa and exponent are taken apart. Null if malformed or not in (0, 1]."""
     pattern = r"^\+?(\d+\.?\d*|\.\d+)(?:[eE]([+-]?\d+))?$"
@@ -68,27 +161,43 @@ def neg_log10_decimal(text: str) -> Column:
     return F.when((whole != "") & (mantissa > 0) & (out >= -1e-12), F.greatest(out, F.lit(0.0)))
 
 
-def log_t_sf(t: float, df: float) -> float:
-    """Natural log of P(T > |t|), Student's t, from the continued fraction of the incomplete beta function in log space."""
-    a, b, x = df / 2.0, 0.5, df / (df + t * t)
-    front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + (b * math.log1p(-x) if x < 1 else 0.0)
-    if x < (a + 1) / (a + b + 2):
-        return front + math.log(_beta_fraction(a, b, x) / a) - math.log(2)
-    return math.log1p(-math.exp(front) * _beta_fraction(b, a, 1 - x) / b) - math.log(2) if t else -math.log(2)
-
-
-def _beta_fraction(a: float, b: float, x: float) -> float:
-    """Modified Lentz evaluation."""
-    tiny, c, d = 1e-300, 1.0, 1.0 - (a + b) * x / (a + 1)
-    d = 1 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, 500):
-        for num in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
-            d, c = 1 + num * d, 1 + num / c
-            d = 1 / (d if abs(d) > tiny else tiny)
-            c = c if abs(c) > tiny else tiny
-            h *= d * c
-        if abs(d * c - 1) < 1e-15:
+def log_t_sf(t, df: float):
+    """Natural log of P(T > |t|), Student's t, for a number or an array of them: the continued fraction of the incomplete beta function in log space, so far tails don't vanish."""
+    scalar, t = np.ndim(t) == 0, np.atleast_1d(np.abs(np.asarray(t, float)))
+    a, b, out = df / 2.0, 0.5, np.full(t.shape, np.nan)
+    out[np.isinf(t)] = -np.inf
+    known = np.isfinite(t)
+    s = t[known]
+    # x = df / (df + t^2) and 1 - x by logarithms, as either may be far below the other
+    ratio = 2 * np.log(np.maximum(s, 1e-300)) - math.log(df)
+    log_x, log_y = -np.logaddexp(0.0, ratio), -np.logaddexp(0.0, -ratio)
+    front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * log_x + b * log_y
+    x, y = np.exp(log_x), np.exp(log_y)
+    far = x < (a + 1) / (a + b + 2)
+    value = np.empty(len(s))
+    value[far] = front[far] + np.log(_beta_fraction(a, b, x[far]) / a) - math.log(2)
+    near = np.minimum(np.exp(front[~far]) * _beta_fraction(b, a, y[~far]) / b, 1.0)
+    with np.errstate(divide="ignore"):
+        value[~far] = np.log1p(-near) - math.log(2)
+    value[s == 0] = -math.log(2)
+    out[known] = value
+    return float(out[0]) if scalar else out
+
+
+def _beta_fraction(a: float, b: float, x: np.ndarray) -> np.ndarray:
+    """Modified Lentz evaluation of all elements at once, until the last one stands still."""
+    tiny = 1e-300
+
+    def off_zero(v: np.ndarray) -> np.ndarray:
+        return np.where(np.abs(v) > tiny, v, tiny)
+
+    c, d = np.ones_like(x), 1 / off_zero(1.0 - (a + b) * x / (a + 1))
+    h = d.copy()
+    for m in range(1, 2000):
+        for term in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d, c = 1 / off_zero(1 + term * d), off_zero(1 + term / c)
+            h = h * d * c
+        if not len(x) or np.abs(d * c - 1).max() < 1e-15:
             break
     return h
 

@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sorrel.functions.numeric import bounded_minimum, log_t_sf
+from sorrel.operators.contract import ContractError, DuplicateError, set_differences
 
 
 def marker_checks(long: DataFrame, min_maf: float = 0.01, max_missing: float = 0.1) -> DataFrame:
@@ -34,44 +35,65 @@ def centred(long: DataFrame, checks: DataFrame) -> DataFrame:
     return long.join(kept, "marker_id").select("sample_id", "marker_id", "alt_frequency", (F.coalesce(F.col("dosage").cast("double"), twice) - twice).alias("z"))
 
 
+#: Products of a pair of tiles that one task adds up.
+FAN = 16
+
+
 def kinship(z: DataFrame, tile: int = 512, block: int = 1024) -> DataFrame:
     """sample_a, sample_b (a <= b) and k = sum z_a z_b / sum 2 p (1 - p).
 
-    Samples are numbered and cut into tiles of `tile`, markers dealt to blocks of about `block`. Each pair of tiles multiplies its rows of a block in a kernel that holds 2 * tile * block numbers, and the
-    packed products of a pair of tiles are added up over the blocks before they are spread into rows.
+    Samples are dealt to tiles of about `tile`, markers to blocks of about `block`, and the values of a tile and block are packed into one matrix. Each pair of tiles multiplies its matrices of a block, and the products of a pair
+    are added up as a tree, `FAN` at a time: no task holds more than that many tiles, however many markers there are. Only the sums are spread into rows.
     """
     sizes = z.agg(F.countDistinct("sample_id").alias("samples"), F.countDistinct("marker_id").alias("markers")).first()
     tiles, blocks = max(1, -(-sizes.samples // tile)), max(1, -(-sizes.markers // block))
     scale = z.select("marker_id", "alt_frequency").distinct().agg(F.sum(2 * F.col("alt_frequency") * (1 - F.col("alt_frequency"))).alias("scale"))
-    own = F.pmod(F.xxhash64("sample_id"), F.lit(tiles)).cast("int")
-    rows = z.select("sample_id", "z", own.alias("tile"), F.pmod(F.xxhash64("marker_id"), F.lit(blocks)).cast("int").alias("block"), "marker_id")
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))).select("sample_id", "marker_id", "z", "block", "tile", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
-    kind = dict(z.dtypes)["sample_id"]
-    packed = f"low int, high int, ids_a array<{kind}>, ids_b array<{kind}>, product array<double>"
+    rows = z.select("sample_id", "marker_id", "z", F.pmod(F.xxhash64("sample_id"), F.lit(tiles)).cast("int").alias("tile"), F.pmod(F.xxhash64("marker_id"), F.lit(blocks)).cast("int").alias("block"))
+    kinds = dict(z.dtypes)
+    kind, marker = kinds["sample_id"], kinds["marker_id"]
+
+    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        block, tile = key
+        (ids, at), (markers, column) = (np.unique(pdf[c].to_numpy(), return_inverse=True) for c in ("sample_id", "marker_id"))
+        x = np.zeros((len(ids), len(markers)))
+        x[at, column] = pdf["z"].to_numpy()
+        return pd.DataFrame({"block": [block], "tile": [tile], "ids": [ids.tolist()], "markers": [markers.tolist()], "x": [x.tobytes()]})
+
+    packed = rows.groupBy("block", "tile").applyInPandas(pack, f"block int, tile int, ids array<{kind}>, markers array<{marker}>, x binary")
+    pairs = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))).withColumns({"low": F.least("tile", "other"), "high": F.greatest("tile", "other")}).drop("other")
 
     def product(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        _, low, high = key
-        ids, at = np.unique(pdf["sample_id"].to_numpy(), return_inverse=True)
-        _, column = np.unique(pdf["marker_id"].to_numpy(), return_inverse=True)
-        x = np.zeros((len(ids), column.max() + 1))
-        x[at, column] = pdf["z"].to_numpy()
-        of = np.zeros(len(ids), np.int64)
-        of[at] = pdf["tile"].to_numpy()
-        a, b = of == low, of == high
-        return pd.DataFrame({"low": [low], "high": [high], "ids_a": [ids[a].tolist()], "ids_b": [ids[b].tolist()], "product": [(x[a] @ x[b].T).ravel()]})
-
-    def summed(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        low, high = key
-        ids_a, ids_b = (np.unique(np.concatenate([np.asarray(v) for v in pdf[c]])) if len(pdf) else np.zeros(0) for c in ("ids_a", "ids_b"))
+        block, low, high = key
+        own = {r.tile: (list(r.ids), np.asarray(r.markers), np.frombuffer(r.x).reshape(len(r.ids), -1)) for r in pdf.itertuples()}
+        if low not in own or high not in own:
+            return pd.DataFrame({c: [] for c in ("block", "low", "high", "ids_a", "ids_b", "product")})
+        (a, ma, xa), (b, mb, xb) = own[low], own[high]
+        _, i, j = np.intersect1d(ma, mb, return_indices=True)
+        return pd.DataFrame({"block": [block], "low": [low], "high": [high], "ids_a": [a], "ids_b": [b], "product": [(xa[:, i] @ xb[:, j].T).tobytes()]})
+
+    def total(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        ids_a, ids_b = (np.unique(np.concatenate([np.asarray(v) for v in pdf[c]])) for c in ("ids_a", "ids_b"))
         k = np.zeros((len(ids_a), len(ids_b)))
         for a, b, part in zip(pdf["ids_a"], pdf["ids_b"], pdf["product"], strict=True):
-            k[np.ix_(np.searchsorted(ids_a, a), np.searchsorted(ids_b, b))] += np.asarray(part).reshape(len(a), len(b))
+            k[np.ix_(np.searchsorted(ids_a, a), np.searchsorted(ids_b, b))] += np.frombuffer(part).reshape(len(a), len(b))
+        return ids_a, ids_b, k
+
+    def joined(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        (block, low, high), (a, b, k) = key, total(pdf)
+        return pd.DataFrame({"block": [block], "low": [low], "high": [high], "ids_a": [a.tolist()], "ids_b": [b.tolist()], "product": [k.tobytes()]})
+
+    def spread(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        (low, high), (ids_a, ids_b, k) = key, total(pdf)
         a, b = np.triu_indices(len(ids_a)) if low == high else (x.ravel() for x in np.indices(k.shape))
         x, y = ids_a[a], ids_b[b]
         return pd.DataFrame({"sample_a": np.where(x <= y, x, y), "sample_b": np.where(x <= y, y, x), "part": k[a, b]})
 
-    parts = rows.groupBy("block", "low", "high").applyInPandas(product, packed)
-    sums = parts.groupBy("low", "high").applyInPandas(summed, f"sample_a {kind}, sample_b {kind}, part double")
+    tile_schema = f"block int, low int, high int, ids_a array<{kind}>, ids_b array<{kind}>, product binary"
+    parts = pairs.groupBy("block", "low", "high").applyInPandas(product, tile_schema)
+    while blocks > FAN:
+        blocks = -(-blocks // FAN)
+        parts = parts.withColumn("block", (F.col("block") / FAN).cast("int")).groupBy("block", "low", "high").applyInPandas(joined, tile_schema)
+    sums = parts.groupBy("low", "high").applyInPandas(spread, f"sample_a {kind}, sample_b {kind}, part double")
     return sums.crossJoin(scale).select("sample_a", "sample_b", (F.col("part") / F.col("scale")).alias("k"))
 
 
@@ -86,14 +108,6 @@ def matrix(pairs: DataFrame, most: int = 1000) -> tuple[list, np.ndarray]:
     return ids, k
 
 
-def matrix_rows(df: DataFrame, most: int = 1000) -> list:
-    """A bounded table's rows in order of their first column; more than `most` are an error."""
-    rows = df.limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} rows")
-    return sorted(rows)
-
-
 def components(k: np.ndarray, n: int) -> np.ndarray:
     """Leading components, the entry of largest magnitude positive."""
     values, vectors = np.linalg.eigh(k)
@@ -152,16 +166,17 @@ def fit_null(y: np.ndarray, covariates: np.ndarray, k: np.ndarray) -> NullModel:
 
 
 def test_markers(z: DataFrame, ids: list, model: NullModel) -> DataFrame:
-    """beta, se and neg_log10_pvalue of each marker, or reason collinear. Markers' vectors go through a kernel in blocks; the model is bounded by the samples."""
-    at = {s: i for i, s in enumerate(ids)}
-    order = F.create_map(*[F.lit(x) for s, i in at.items() for x in (s, i)])
-    vectors = z.groupBy("marker_id").agg(F.transform(F.array_sort(F.collect_list(F.struct(order[F.col("sample_id")].alias("i"), "z"))), lambda x: x["z"]).alias("v"))
-    kind = dict(z.dtypes)["marker_id"]
+    """beta, se and neg_log10_pvalue of each marker, or reason collinear. Markers' vectors, in the order of the sorted sample ids, go through a kernel in blocks that share one null model, bounded by the samples; p-values of a block are
+    found together in log space."""
+    vectors = z.groupBy("marker_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("sample_id", "z"))), lambda x: x["z"]).alias("v"))
+    kind, n = dict(z.dtypes)["marker_id"], len(ids)
 
     def kernel(batches):
         for pdf in batches:
             if not len(pdf):
                 continue
+            if any(len(v) != n for v in pdf["v"]):
+                raise ValueError("a marker hasn't a value for each sample")
             g = model.rotation.T @ np.vstack(pdf["v"].to_numpy()).T * model.weights[:, None]
             norm = (g * g).sum(axis=0)
             g = g - model.basis @ (model.basis.T @ g)
@@ -171,15 +186,32 @@ def test_markers(z: DataFrame, ids: list, model: NullModel) -> DataFrame:
             beta = (g * model.residual[:, None]).sum(axis=0) / gg
             rest = model.residual[:, None] - g * beta
             se = np.sqrt((rest * rest).sum(axis=0) / model.df / gg)
-            nlp = [-(log_t_sf(float(b / s), model.df) + math.log(2)) / math.log(10) if s > 0 else math.inf for b, s in zip(beta, se, strict=True)]
+            t = np.divide(beta, se, out=np.full(len(se), np.inf), where=se > 0)
+            nlp = -(log_t_sf(t, model.df) + math.log(2)) / math.log(10)
             yield pd.DataFrame({"marker_id": pdf["marker_id"], "beta": np.where(flat, np.nan, beta), "se": np.where(flat, np.nan, se), "neg_log10_pvalue": np.where(flat, np.nan, nlp), "reason": np.where(flat, "collinear", "")})
 
     return vectors.mapInPandas(kernel, f"marker_id {kind}, beta double, se double, neg_log10_pvalue double, reason string")
 
 
-def long_form(vectors: DataFrame, key: str, values: str) -> DataFrame:
-    """A wide array of marker values to rows."""
-    return vectors.select(F.col(key).alias("sample_id"), F.posexplode(values).alias("marker_id", "value"))
+def aligned(wide: DataFrame, markers: list[str], variants: DataFrame, phenotypes: DataFrame, samples: DataFrame, **declared: str) -> None:
+    """Nothing is joined before both sides are known to be the same: the markers of a wide genotype table's header and the variant table's, the samples of all tables, one marker for each variant, and the declared trait, unit,
+    cohort and assembly in every row. `wide`: sample_id and the markers; `variants`: marker_id, chr, pos, ref, alt, assembly_id; `phenotypes`: sample_id, trait, unit; `samples`: sample_id, cohort_id.
+    """
+    if len(set(markers)) != len(markers):
+        raise ContractError(f"repeated markers in the header: {sorted({m for m in markers if markers.count(m) > 1})[:5]}")
+    header = wide.sparkSession.createDataFrame([(m,) for m in markers], "marker_id string")
+    if odd := set_differences(header, variants, ["marker_id"]).limit(5).collect():
+        raise ContractError(f"markers of the header only (left) or of the variant table only (right): {[(r.marker_id, r.side) for r in odd]}")
+    for name, rows, key in (("marker", variants, ["marker_id"]), ("variant", variants, ["chr", "pos", "ref", "alt"]), ("sample of the genotypes", wide, ["sample_id"]), ("sample of the phenotypes", phenotypes, ["sample_id"]), ("sample of the sample table", samples, ["sample_id"])):
+        if twice := rows.groupBy(*key).count().where("count > 1").limit(1).collect():
+            raise DuplicateError(f"{name} {':'.join(str(twice[0][k]) for k in key)} is there more than once")
+    single = F.col("ref").rlike("^[ACGT]$") & F.col("alt").rlike("^[ACGT]$") & (F.col("ref") != F.col("alt"))
+    if odd := variants.where(~F.coalesce(single, F.lit(False))).limit(1).collect():
+        raise ContractError(f"{odd[0].marker_id}: REF and ALT must be two different bases")
+    ids_aligned({"genotypes": wide, "phenotypes": phenotypes, "samples": samples})
+    for rows, column in ((phenotypes, "trait"), (phenotypes, "unit"), (samples, "cohort_id"), (variants, "assembly_id")):
+        if column in declared and (odd := rows.where(~F.col(column).eqNullSafe(F.lit(declared[column]))).limit(1).collect()):
+            raise ContractError(f"{column} is {odd[0][column]!r}, not {declared[column]!r}")
 
 
 def ids_aligned(parts: dict[str, DataFrame]) -> None:
@@ -190,8 +222,4 @@ def ids_aligned(parts: dict[str, DataFrame]) -> None:
         counts = counts.unionByName(parts[n].select("sample_id").distinct().withColumn("n", F.lit(1)))
     odd = counts.groupBy("sample_id").agg(F.sum("n").alias("n")).where(F.col("n") < len(names)).limit(1).collect()
     if odd:
-        raise ValueError(f"sample {odd[0].sample_id!r} isn't in all of {names}")
-
-
-def first_rows(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
+        raise ContractError(f"sample {odd[0].sample_id!r} isn't in all of {names}")

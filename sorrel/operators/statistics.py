@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sorrel.functions.numeric import CHI2_MEDIAN_1, chi2_isf_1
+from sorrel.functions.numeric import CHI2_MEDIAN_1, chi2_isf, chi2_isf_1, chi2_median
 from sorrel.operators.contract import p_value, unit_interval
 from sorrel.sources.scratch import written
 
@@ -42,10 +42,10 @@ def _suffix(df: DataFrame, value: str, family: list[str], best) -> DataFrame:
     return here.join(bins, [*family, "bin"]).withColumn("_suffix", both("_here", "_after"))
 
 
-def adjust(df: DataFrame, p: str = "pval", family: list[str] = ["dataset_id"], alpha: float = 0.05, fdr: float = 0.05) -> DataFrame:
-    """Add n_tests, bonferroni_p, bh_p and their flags: Bonferroni p <= alpha / m; Benjamini-Hochberg step-up with ties."""
+def adjust(df: DataFrame, p: str = "pval", family: list[str] = ["dataset_id"], alpha: float = 0.05, fdr: float = 0.05, at: DataFrame | None = None) -> DataFrame:
+    """Add n_tests, bonferroni_p, bh_p and their flags: Bonferroni p <= alpha / m; Benjamini-Hochberg step-up with ties. `at`: the ranked p-values, if they are there already."""
     unit_interval(alpha=alpha, fdr=fdr)
-    steps = _suffix(ranked(df, p, family).withColumn("raw", F.col("p") * (F.col("m") / F.col("rank"))), "raw", family, F.min)
+    steps = _suffix((ranked(df, p, family) if at is None else at).withColumn("raw", F.col("p") * (F.col("m") / F.col("rank"))), "raw", family, F.min)
     steps = steps.select(*family, F.col("p").alias(p), F.col("m").alias("n_tests"), F.least("_suffix", F.lit(1.0)).alias("bh_p"))
     out = df.join(steps, [*family, p])
     return out.withColumns({"bonferroni_p": F.least(F.col(p) * F.col("n_tests"), F.lit(1.0)), "bonferroni_significant": F.col(p) <= F.lit(alpha) / F.col("n_tests"), "bh_significant": F.col("bh_p") <= fdr})
@@ -78,12 +78,21 @@ def _middle(at: DataFrame) -> DataFrame:
     return at.where((F.col("first") <= high) & (F.col("rank") >= low)).withColumn("weight", weight)
 
 
-def inflation_log(df: DataFrame, nlp: str = "neg_log10_pvalue", family: list[str] = ["dataset_id"]) -> DataFrame:
-    """n_tests, lambda_gc and status of each family of -log10 p-values; a middle value above 300 has no chi-square tail and isn't assessed."""
-    middle = _middle(ranked_log(df, nlp, family)).withColumn("x", chi2_isf_1("power(10D, p)"))
+def _statistic(middle: DataFrame, p: str, degrees: int) -> DataFrame:
+    """Add x, the chi-square statistic of p; only the middle rows get here, so its steps cost nothing."""
+    return middle.withColumn("x", chi2_isf_1(p) if degrees == 1 else chi2_isf(p, degrees))
+
+
+def _median_of(degrees: int) -> Column:
+    return F.lit(CHI2_MEDIAN_1 if degrees == 1 else chi2_median(degrees))
+
+
+def inflation_log(df: DataFrame, nlp: str = "neg_log10_pvalue", family: list[str] = ["dataset_id"], degrees: int = 1) -> DataFrame:
+    """n_tests, lambda_gc and status of each family of -log10 p-values of a test with so many degrees of freedom; a middle value above 300 has no chi-square tail and isn't assessed."""
+    middle = _statistic(_middle(ranked_log(df, nlp, family)), "power(10D, p)", degrees)
     out = middle.groupBy(*family).agg(F.max("m").alias("n_tests"), F.max(-F.col("p")).alias("most"), (F.sum(F.col("x") * F.col("weight")) / F.lit(2.0)).alias("median_chi2"))
     far = F.col("most") > 300
-    return out.select(*family, "n_tests", F.when(~far, F.col("median_chi2") / F.lit(CHI2_MEDIAN_1)).alias("lambda_gc"), F.when(far, "not_assessed").otherwise("diagnostic_only").alias("status"))
+    return out.select(*family, "n_tests", F.when(~far, F.col("median_chi2") / _median_of(degrees)).alias("lambda_gc"), F.when(far, "not_assessed").otherwise("diagnostic_only").alias("status"))
 
 
 def quantile_points_log(df: DataFrame, nlp: str = "neg_log10_pvalue", family: list[str] = ["dataset_id"]) -> DataFrame:
@@ -91,11 +100,14 @@ def quantile_points_log(df: DataFrame, nlp: str = "neg_log10_pvalue", family: li
     return ranked_log(df, nlp, family).select(*family, (-F.col("p")).alias("observed"), F.col("n").alias("n_points"), (-F.log10((F.col("rank") - F.lit(0.5)) / F.col("m"))).alias("expected"))
 
 
-def inflation(df: DataFrame, p: str = "pval", family: list[str] = ["dataset_id"]) -> DataFrame:
-    """n_tests, median_chi2 and lambda_gc of each family: p-values become chi-square statistics (one degree of freedom) first, and the middle one or two are averaged."""
-    middle = _middle(ranked(df, p, family)).withColumn("x", chi2_isf_1("p"))
-    out = middle.groupBy(*family).agg(F.max("m").alias("n_tests"), (F.sum(F.col("x") * F.col("weight")) / F.lit(2.0)).alias("median_chi2"))
-    return out.withColumn("lambda_gc", F.col("median_chi2") / F.lit(CHI2_MEDIAN_1))
+def inflation(df: DataFrame, p: str = "pval", family: list[str] = ["dataset_id"], degrees: int = 1) -> DataFrame:
+    """n_tests, median_chi2 and lambda_gc of each family: p-values become chi-square statistics with so many degrees of freedom first, and the middle one or two are averaged."""
+    return _inflation(ranked(df, p, family), family, degrees)
+
+
+def _inflation(at: DataFrame, family: list[str], degrees: int = 1) -> DataFrame:
+    out = _statistic(_middle(at), "p", degrees).groupBy(*family).agg(F.max("m").alias("n_tests"), (F.sum(F.col("x") * F.col("weight")) / F.lit(2.0)).alias("median_chi2"))
+    return out.withColumn("lambda_gc", F.col("median_chi2") / _median_of(degrees))
 
 
 def quantile_points(df: DataFrame, p: str = "pval", family: list[str] = ["dataset_id"]) -> DataFrame:
@@ -103,7 +115,14 @@ def quantile_points(df: DataFrame, p: str = "pval", family: list[str] = ["datase
     return ranked(df, p, family).select(*family, (-F.log10("p")).alias("observed"), F.col("n").alias("n_points"), (-F.log10(F.col("rank") / (F.col("m") + 1))).alias("expected"))
 
 
-def diagnostics(df: DataFrame, p: str = "pval", family: list[str] = ["dataset_id"], alpha: float = 0.05, fdr: float = 0.05) -> DataFrame:
-    """One row for each family: tests, thresholds, discoveries, the largest rejected p (null if none) and inflation."""
-    counts = adjust(df, p, family, alpha, fdr).groupBy(*family).agg(F.count("*").alias("n_tests"), F.count_if("bonferroni_significant").alias("n_bonferroni"), F.count_if("bh_significant").alias("n_bh"), F.max(F.when(F.col("bh_significant"), F.col(p))).alias("bh_raw_p_cutoff"), F.min(p).alias("min_p"))
-    return counts.withColumn("bonferroni_threshold", F.lit(alpha) / F.col("n_tests")).join(inflation(df, p, family).select(*family, "lambda_gc"), family)
+def diagnostics(df: DataFrame, p: str = "pval", family: list[str] = ["dataset_id"], alpha: float = 0.05, fdr: float = 0.05, at: DataFrame | None = None) -> DataFrame:
+    """One row for each family: tests, thresholds, discoveries, the largest rejected p (null if none) and inflation. All of them follow from the distinct p-values with their counts, so the rows are read once.
+
+    `at`: the ranked p-values, if they are there already.
+    """
+    unit_interval(alpha=alpha, fdr=fdr)
+    at = ranked(df, p, family) if at is None else at
+    steps = _suffix(at.withColumn("raw", F.col("p") * (F.col("m") / F.col("rank"))), "raw", family, F.min)
+    chosen = {"n_bonferroni": F.col("p") <= F.lit(alpha) / F.col("m"), "n_bh": F.least("_suffix", F.lit(1.0)) <= fdr}
+    counts = steps.groupBy(*family).agg(F.max("m").alias("n_tests"), *[F.coalesce(F.sum(F.when(x, F.col("n"))), F.lit(0)).alias(n) for n, x in chosen.items()], F.max(F.when(chosen["n_bh"], F.col("p"))).alias("bh_raw_p_cutoff"), F.min("p").alias("min_p"))
+    return counts.withColumn("bonferroni_threshold", F.lit(alpha) / F.col("n_tests")).join(_inflation(at, family).select(*family, "lambda_gc"), family)

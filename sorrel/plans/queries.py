@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sorrel.functions.numeric import CHI2_MEDIAN_1, chi2_isf_1_sql
+from sorrel.functions.numeric import CHI2_MEDIAN_1, chi2_isf_1_sql, chi2_isf_sql, chi2_median
 from sorrel.functions.text import COMPLEMENT, IUPAC, NEAREST, complementary_run, gc_fraction, identity, longest_run, melting_celsius, natural_key, percent_encode, reverse_complement
 from sorrel.operators import assays, clusters, contract, crossref, customer, genotypes, intervals, layout, oligos, reports
 from sorrel.operators import statistics as st
@@ -164,6 +164,17 @@ def lambda_gc(spark, d):
     return st.inflation(_variants(spark, d)).select("dataset_id", "n_tests", _r("median_chi2").alias("median_chi2"), _r("lambda_gc").alias("lambda_gc"))
 
 
+def _lambda_sql(df: int, chi2: str) -> str:
+    return f"SELECT dataset_id, {df} AS degrees, count(*) AS n_tests, round(median(chi2), 6) AS median_chi2, round(median(chi2) / {a.d(chi2_median(df))}, 6) AS lambda_gc FROM ({chi2}) GROUP BY dataset_id"
+
+
+@_add(f"WITH {_V} {_lambda_sql(2, 'SELECT dataset_id, -2 * ln(pval) AS chi2 FROM v')} UNION ALL {_lambda_sql(3, chi2_isf_sql('v', 'pval', 3))} UNION ALL {_lambda_sql(6, chi2_isf_sql('v', 'pval', 6))}")
+def lambda_gc_by_degrees(spark, d):
+    """Inflation of tests with two, three and six degrees of freedom."""
+    out = [st.inflation(_variants(spark, d), degrees=k).select("dataset_id", F.lit(k).alias("degrees"), "n_tests", _r("median_chi2").alias("median_chi2"), _r("lambda_gc").alias("lambda_gc")) for k in (2, 3, 6)]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 _DIAG = f"""diag AS (SELECT f.dataset_id, count(*) AS n_tests, count(*) FILTER (WHERE bonferroni_significant) AS n_bonferroni, count(*) FILTER (WHERE bh_significant) AS n_bh, max(CASE WHEN bh_significant THEN pval END) AS bh_raw_p_cutoff,
 min(pval) AS min_p, {a.d(0.05)} / count(*) AS bonferroni_threshold, round(any_value(median_chi2) / {a.d(CHI2_MEDIAN_1)}, 6) AS lambda_gc FROM flagged f JOIN lam ON f.dataset_id = lam.dataset_id GROUP BY f.dataset_id)"""
 
@@ -199,9 +210,11 @@ def candidate_ranking(spark, d):
 
 @_add(f"WITH {_SIGNALS}, {_LAMBDA}, {_DIAG} SELECT diag.*, coalesce(n_signals, 0) AS n_signals, coalesce(n_candidates, 0) AS n_candidates FROM diag LEFT JOIN (SELECT dataset_id, count(DISTINCT signal_no) AS n_signals, count(*) AS n_candidates FROM members GROUP BY dataset_id) m ON diag.dataset_id = m.dataset_id")
 def batch_summary(spark, d):
-    signals = clusters.signals(_significant(spark, d), DISTANCE).groupBy("dataset_id", "signal_no").agg(F.count("*").alias("n"))
+    v = _variants(spark, d)
+    at = st.ranked(v, "pval", ["dataset_id"])
+    signals = clusters.signals(st.adjust(v, at=at).where("bonferroni_significant or bh_significant"), DISTANCE).groupBy("dataset_id", "signal_no").agg(F.count("*").alias("n"))
     per = signals.groupBy("dataset_id").agg(F.count("*").alias("n_signals"), F.sum("n").alias("n_candidates"))
-    return diagnostics_summary(spark, d).join(per, "dataset_id", "left").fillna(0, ["n_signals", "n_candidates"])
+    return st.diagnostics(v, at=at).withColumn("lambda_gc", _r("lambda_gc")).join(per, "dataset_id", "left").fillna(0, ["n_signals", "n_candidates"])
 
 
 @_add(f"WITH {_SIGNALS}, {_RANKED} SELECT r.dataset_id, candidate_rank, r.chr, r.pos, r.pval, signal_id, n_members FROM ranked_ r WHERE candidate_rank <= 10")
@@ -668,6 +681,23 @@ def marker_test(spark, d):
     return genotypes.least_squares(_centred(spark, d), y).select("marker_id", _r("beta").alias("beta"), _r("se").alias("se"))
 
 
+def mixed_model(spark, d):
+    """The mixed model with kinship and a component: vectors are markers, their components samples, so the samples are bounded and the markers grow with the table. Restricted likelihood has no SQL; tests hold it against brute force."""
+    import numpy as np
+
+    long = _dosages(spark, d).selectExpr("marker_id AS sample_id", "sample_id AS marker_id", "dosage")
+    z = genotypes.centred(long, genotypes.marker_checks(long, 0.05)).persist()
+    ids, k = genotypes.matrix(genotypes.kinship(z))
+    trait = a.view(spark, d, "SELECT sample_id, 100 * avg(x) AS y FROM (SELECT posexplode(embedding) AS (sample_id, x), label FROM embeddings) WHERE label < 5 GROUP BY sample_id")
+    y = {r.sample_id: r.y + r.sample_id % 5 for r in trait.collect()}
+    x = np.column_stack([np.ones(len(ids)), [i % 3 for i in ids], genotypes.components(k, 1)])
+    found = genotypes.test_markers(z, ids, genotypes.fit_null(np.array([y[i] for i in ids]), x, k))
+    return found.select("marker_id", *[_r(c).alias(c) for c in ("beta", "se", "neg_log10_pvalue")], "reason")
+
+
+_add(None)(mixed_model)
+
+
 # assays
 
 _A = f"a AS ({a.ASSAYS})"
