@@ -36,12 +36,6 @@ def complementary_run(first: str, second: str) -> Column:
     return F.expr(f"transform(array(reverse(translate({second}, 'ACGT', 'TGCA'))), r -> {longest})[0]")
 
 
-def has_complementary_run(first: str, second: str, k: int) -> Column:
-    """Whether a tract of k bases of `first` stands in the reverse complement of `second`."""
-    tract = f"exists(sequence(1, greatest(1, length({first}) - {k - 1})), i -> contains(r, substring({first}, i, {k})))"
-    return F.expr(f"length({first}) >= {k} and exists(array(reverse(translate({second}, 'ACGT', 'TGCA'))), r -> {tract})")
-
-
 def melting_celsius(sequence: str, sodium_mm: float = 50.0, strand_nm: float = 25.0) -> Column:
     """Nearest-neighbour melting temperature of a perfect duplex with an entropy salt correction, of upper-case ACGT oligos of two bases or more."""
     pairs = f"transform(sequence(1, length({sequence}) - 1), i -> substring({sequence}, i, 2))"

@@ -497,12 +497,12 @@ counted AS (SELECT candidate_id, reason, count(*) AS n FROM reasons GROUP BY ALL
 every AS (SELECT * FROM counted UNION ALL SELECT candidate_id, 'insufficient_product_interval', 1 FROM t WHERE candidate_id NOT IN (SELECT candidate_id FROM counted) AND candidate_id NOT IN (SELECT candidate_id FROM best))"""
 
 
-@_add(f"""{_primer_sql()} SELECT candidate_id, design_id, rank, round(score, 4) AS score, specific_ref, specific_alt, common, CAST(product AS INT) AS product, CAST(greatest({_longest_sql("specific_ref", "common")}, {_longest_sql("specific_alt", "common")}) AS INT) AS pair_match, specific_start, specific_end, common_start, common_end,
+@_add(f"""{_primer_sql()} SELECT candidate_id, design_id, rank, score, specific_ref, specific_alt, common, CAST(product AS INT) AS product, CAST(greatest({_longest_sql("specific_ref", "common")}, {_longest_sql("specific_alt", "common")}) AS INT) AS pair_match, specific_start, specific_end, common_start, common_end,
 CASE WHEN least(specific_start, common_start) >= pos - 180 AND greatest(specific_end, common_end) <= pos + 180 THEN 'checked_within_context_window' ELSE 'partial_window_unverified' END AS cohort_binding_check FROM best""")
 def primer_candidates(spark, d):
     t = _templates(spark, d)
     designs, _ = oligos.design(t, _PRIMER, _cohort(t), 180)
-    return designs.withColumn("score", _r("score", 4))
+    return designs
 
 
 @_add(f"{_primer_sql()} SELECT candidate_id, string_agg(reason || ':' || n, ';' ORDER BY reason || ':' || n) AS rejections FROM every GROUP BY candidate_id")
