@@ -99,7 +99,7 @@ def _run(spark: SparkSession, a: argparse.Namespace, out: Path) -> bool:
             columns = readers.settings(a.columns, dict.fromkeys(roles, str), ("chr", "pos", "pvalue"))
         else:
             raise ContractError("customer-summary needs --columns or --metadata")
-        jobs.customer_summary(spark, a.table, columns, readers.scan_fasta(a.fasta), out, a.alpha, a.fdr, a.distance, most_rows=a.max_rows, **how)
+        jobs.customer_summary(spark, a.table, columns, a.fasta, out, a.alpha, a.fdr, a.distance, most_rows=a.max_rows, **how)
     elif a.command == "context":
         chosen = readers.table(spark, a.candidates, ("candidate_id", "chr", "pos", "ref", "alt", "strand")).select("candidate_id", "chr", F.col("pos").cast("long").alias("pos"), "ref", "alt", "strand")
         variants = readers.vcf(spark, a.vcf) if a.vcf else None

@@ -24,7 +24,17 @@ def _bin(p: Column) -> Column:
 
 def ranked(df: DataFrame, p: str, family: list[str]) -> DataFrame:
     """family, p, n (rows with that p), rank (of the last of them, ascending), m (rows of the family) and bin, for each distinct p."""
-    counted = written(df.groupBy(*family, p_value(p).alias("p")).agg(F.count("*").alias("n")), "p-values").withColumn("bin", _bin(F.col("p")))
+    return ranked_counts(written(p_counts(df, p, family), "p-values"), family)
+
+
+def p_counts(df: DataFrame, p: str, family: list[str]) -> DataFrame:
+    """family, p and n, the rows with that p: all that corrections and inflation need. Counts of parts of a family add up to those of the whole."""
+    return df.groupBy(*family, p_value(p).alias("p")).agg(F.count("*").alias("n"))
+
+
+def ranked_counts(counted: DataFrame, family: list[str]) -> DataFrame:
+    """The same as `ranked` from the counts of distinct p-values (a written table, as it is read twice)."""
+    counted = counted.withColumn("bin", _bin(F.col("p")))
     in_bin = Window.partitionBy(*family, "bin").orderBy("p")
     before = Window.partitionBy(*family).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     totals = counted.groupBy(*family, "bin").agg(F.sum("n").alias("in_bin"))

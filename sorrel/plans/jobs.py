@@ -98,7 +98,7 @@ def report(spark: SparkSession, source: Path, out: Path) -> None:
     (out / "manifest.json").write_text(writers.json_text(writers.manifest(out)), encoding="utf-8")
 
 
-def customer_summary(spark: SparkSession, table: str, columns: dict[str, str], contigs: list[readers.Contig], out: Path, alpha: float, fdr: float, distance: int, exclude: bool = False, most_rows: int = 1_000_000, **declared) -> None:
+def customer_summary(spark: SparkSession, table: str, columns: dict[str, str], fasta: str, out: Path, alpha: float, fdr: float, distance: int, exclude: bool = False, most_rows: int = 1_000_000, **declared) -> None:
     """Normalise, correct in log space, cluster and rank a table whose columns are declared (role to column)."""
     raw = contract.at_most(readers.table(spark, table, tuple(columns.values())), most_rows, "rows")
     rows = raw.select(*[F.col(c).alias(r) for r, c in columns.items()], *[F.lit("").alias(r) for r in ("frequency", "neg_log10") if r not in columns], "src_row")
@@ -108,7 +108,7 @@ def customer_summary(spark: SparkSession, table: str, columns: dict[str, str], c
     valid = valid.withColumns({"dataset_id": F.lit("summary"), "pos": F.col("pos").cast("bigint"), "candidate_id": F.concat_ws(":", "chr", "pos", "ref", "alt")})
     if twice := valid.groupBy("candidate_id").count().where("count > 1").limit(1).collect():
         raise contract.DuplicateError(f"{twice[0].candidate_id} is there more than once")
-    order = spark.createDataFrame([(c.name, i) for i, c in enumerate(contigs)], "chr string, contig_order int")
+    order = readers.fasta_contigs(spark, fasta).select(F.col("contig").alias("chr"), F.col("contig_no").alias("contig_order"))
     adjusted = st.adjust_log(valid, alpha=alpha, fdr=fdr)
     adjusted.write.parquet(str(out / "normalised"))
     writers.write_parts(excluded, str(out / "excluded_rows.tsv"), ["src_row"])
@@ -117,8 +117,7 @@ def customer_summary(spark: SparkSession, table: str, columns: dict[str, str], c
 
 def context(spark: SparkSession, chosen: DataFrame, fasta: str, out: Path, flank: int, window: int, variants: DataFrame | None = None, mask: DataFrame | None = None, chunk: int = 1000) -> DataFrame:
     """Flanks, neighbours and mask overlap of candidates (candidate_id, chr, pos, ref, alt, strand), whose REF must be the sequence's base."""
-    contigs = readers.scan_fasta(fasta)
-    sizes = spark.createDataFrame([(c.name, c.length) for c in contigs], "chr string, length long")
+    sizes = readers.fasta_contigs(spark, fasta).select(F.col("contig").alias("chr"), "length")
     chunks = readers.sequence_chunks(spark, fasta, chunk).persist()
     spans = intervals.flanks(chosen, sizes, flank)
     flanking = intervals.slices(spans.selectExpr("candidate_id", "chr", "interval_start as start", "interval_end as end"), chunks, "candidate_id", chunk)

@@ -8,31 +8,19 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sorrel.operators.contract import RowError, at_most
-from sorrel.sources.readers import numbered
+from sorrel.sources.readers import numbered, sums_before
 from sorrel.sources.scratch import written
 
-#: Lines of a range, and the largest number that a field may be, so that sums stay within 64 bits.
-RANGE, LARGEST = 65_536, 10**12
-_BEFORE = (Window.unboundedPreceding, -1)
+#: The largest number that a field may be, so that sums stay within 64 bits.
+LARGEST = 10**12
 _HEAD = ("word", "score", "t_name", "t_size", "t_strand", "t0", "t1", "q_name", "q_size", "q_strand", "q0", "q1", "chain_id")
 _NUMBERS = ("t_size", "t0", "t1", "q_size", "q0", "q1")
 
 
-def sums_before(rows: DataFrame, group: list[str], order: str, **terms) -> DataFrame:
-    """Add for each name the sum of its term over the rows of the group that come before in `order` (a bigint column), by ranges of it."""
-    rows = rows.withColumns({"_range": F.floor(F.col(order) / RANGE), **{f"_{n}": F.coalesce(x, F.lit(0)) for n, x in terms.items()}})
-    totals = rows.groupBy(*group, "_range").agg(*[F.sum(f"_{n}").alias(f"_t_{n}") for n in terms])
-    over = Window.partitionBy(*group).orderBy("_range").rowsBetween(*_BEFORE)
-    totals = totals.select(*group, "_range", *[F.coalesce(F.sum(f"_t_{n}").over(over), F.lit(0)).alias(f"_b_{n}") for n in terms])
-    within = Window.partitionBy(*group, "_range").orderBy(order).rowsBetween(*_BEFORE)
-    out = rows.join(totals, [*group, "_range"]).withColumns({n: F.col(f"_b_{n}") + F.coalesce(F.sum(f"_{n}").over(within), F.lit(0)) for n in terms})
-    return out.drop("_range", *[f"_{n}" for n in terms], *[f"_b_{n}" for n in terms])
-
-
 def _whole(c):
     x = F.when(c.rlike("^[+-]?[0-9]+$"), c.try_cast("bigint"))
     return F.when(F.abs(x) <= LARGEST, x)

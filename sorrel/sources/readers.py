@@ -11,8 +11,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sorrel.operators.contract import COLUMNS, ChecksumError, SchemaError, finite, integer
+from sorrel.operators.contract import COLUMNS, ChecksumError, ContractError, DuplicateError, SchemaError, finite, integer, set_differences
+from sorrel.sources.scratch import written
 
+#: Lines of a range of which one task adds up what stands before each.
+RANGE = 65_536
 ANALYSIS = ("chr", "pos", "allele1", "allele0", "af", "beta", "pval")
 
 
@@ -38,6 +41,17 @@ def numbered(df: DataFrame, first: int = 1, head=None) -> DataFrame:
     return out.drop("_f", "_b", "_i", "_n", "_first", "_before", "_h", "_hs", "_heads")
 
 
+def sums_before(rows: DataFrame, group: list[str], order: str, **terms) -> DataFrame:
+    """Add for each name the sum of its term over the rows of the group that come before in `order` (a bigint column), by ranges of it."""
+    rows = rows.withColumns({"_range": F.floor(F.col(order) / RANGE), **{f"_{n}": F.coalesce(x, F.lit(0)) for n, x in terms.items()}})
+    totals = rows.groupBy(*group, "_range").agg(*[F.sum(f"_{n}").alias(f"_t_{n}") for n in terms])
+    over = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*group, "_range", *[F.coalesce(F.sum(f"_t_{n}").over(over), F.lit(0)).alias(f"_b_{n}") for n in terms])
+    within = Window.partitionBy(*group, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    out = rows.join(totals, [*group, "_range"]).withColumns({n: F.col(f"_b_{n}") + F.coalesce(F.sum(f"_{n}").over(within), F.lit(0)) for n in terms})
+    return out.drop("_range", *[f"_{n}" for n in terms], *[f"_b_{n}" for n in terms])
+
+
 def table(spark: SparkSession, path: str, required: tuple[str, ...] | None = None, exact: bool = False, ragged: bool = True) -> DataFrame:
     """A tab-separated table as text columns and src_row; empty cells are empty text, NA stays NA, and ragged rows are kept in _corrupt.
 
@@ -140,21 +154,63 @@ def bases(path: str, contigs: list[Contig], name: str, start: int, end: int, str
     return text if strand == "+" else text[::-1].translate(str.maketrans("ACGTRYSWKMBDHVN", "TGCAYRSWMKVHDBN"))
 
 
+def _fasta_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with bases of a FASTA file: head_no, contig, src_row, value (no white space at its end) and before, the bases of its sequence before it. A line before the first header and a header without a name are errors."""
+    lines = written(numbered(spark.read.text(path), head=F.col("value").startswith(">")).withColumn("value", F.regexp_replace("value", r"[ \t\r\n]+$", "")), "fasta-lines")
+    name = F.regexp_extract("value", r"^>\s*(\S+)", 1)
+    heads = lines.where(F.col("value").startswith(">")).select("head_no", _must(name != "", "a sequence without a name", path, name).alias("contig"))
+    if twice := heads.groupBy("contig").count().where("count > 1").limit(1).collect():
+        raise SchemaError(f"{path}: {twice[0].contig} is there more than once")
+    body = lines.where((F.col("value") != "") & ~F.col("value").startswith(">"))
+    body = body.join(heads, "head_no", "left").withColumn("value", _must(F.col("contig").isNotNull(), "bases outside a sequence", path))
+    return sums_before(body, ["head_no"], "src_row", before=F.length("value").cast("bigint"))
+
+
+def _contigs_of(lines: DataFrame, path: str) -> DataFrame:
+    """contig, its place in the file, length and line_bases; all lines of a sequence but its last must be as wide as its first."""
+    n = F.length("value")
+    per = lines.groupBy("head_no", "contig").agg(F.sum(n).alias("length"), F.min_by(n, "src_row").alias("line_bases"), F.max(n).alias("_widest"), F.max_by(n, "src_row").alias("_last"), F.count("*").alias("_lines"))
+    even = (F.col("_widest") <= F.col("line_bases")) & (F.col("length") == F.col("line_bases") * (F.col("_lines") - 1) + F.col("_last"))
+    checked = F.when(even, F.col("length")).otherwise(F.raise_error(F.concat(F.lit(f"{path}: lines of uneven width in "), F.col("contig"))).cast("bigint"))
+    return per.select("contig", F.col("head_no").cast("int").alias("contig_no"), checked.alias("length"), "line_bases")
+
+
+def fasta_contigs(spark: SparkSession, path: str) -> DataFrame:
+    """contig, contig_no (from 1), length and line_bases of the sequences of a FASTA file, from prefix sums over its lines; the file isn't read on the driver. Uneven lines, repeated and missing names are errors."""
+    return _contigs_of(_fasta_lines(spark, path), path)
+
+
 def sequence_chunks(spark: SparkSession, path: str, chunk: int = 1000) -> DataFrame:
     """contig, chunk_no and bases, for joins by place: each line goes to the chunks that it touches by the bases before it."""
-    lines = numbered(spark.read.text(path), head=F.col("value").startswith(">")).withColumn("value", F.rtrim("value"))
-    names = scan_fasta(path)
-    heads = spark.createDataFrame([(c.name, c.line_bases) for c in names], "contig string, width int")
-    spans = lines.where(F.col("value").startswith(">")).select("head_no", F.regexp_extract("value", r"^>(\S+)", 1).alias("contig"), F.col("src_row").alias("head")).join(heads, "contig")
-    body = lines.where(~F.col("value").startswith(">")).join(spans, "head_no")
-    first = (F.col("src_row") - F.col("head") - 1) * F.col("width")
-    cut = body.select("contig", first.alias("first"), "value", F.explode(F.sequence(F.floor(first / chunk), F.floor((first + F.greatest(F.length("value"), F.lit(1)) - 1) / chunk))).alias("chunk_no"))
+    first = F.col("before")
+    cut = _fasta_lines(spark, path).select("contig", first.alias("first"), "value", F.explode(F.sequence(F.floor(first / chunk), F.floor((first + F.length("value") - 1) / chunk))).alias("chunk_no"))
     low = F.greatest(F.col("chunk_no") * chunk - F.col("first"), F.lit(0))
     high = F.least((F.col("chunk_no") + 1) * chunk - F.col("first"), F.length("value"))
     part = cut.withColumns({"_l": low, "_h": high}).select("contig", "chunk_no", F.struct("first", F.expr("substring(value, cast(_l + 1 as int), cast(_h - _l as int))").alias("part")).alias("x"))
     return part.groupBy("contig", "chunk_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["part"]), "").alias("bases"))
 
 
+def fasta_records(spark: SparkSession, path: str) -> DataFrame:
+    """name (percent-decoded) and sequence, upper case, of a FASTA file of short sequences such as candidates' flanks; each is put together in one row."""
+    lines = _fasta_lines(spark, path)
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("before", "value"))), lambda x: x["value"]), "")
+    name = F.url_decode(F.replace("contig", F.lit("+"), F.lit("%2B")))
+    return lines.groupBy("head_no", "contig").agg(F.upper(whole).alias("sequence")).select(name.alias("name"), "sequence")
+
+
+def with_sequences(candidates: DataFrame, records: DataFrame) -> DataFrame:
+    """Candidates (candidate_id, sequence_sha256) with their sequence. Both sides must have the same ids, each once, and the sequences their declared checksums."""
+    for rows, key, what in ((candidates, "candidate_id", "candidate"), (records, "name", "sequence")):
+        if twice := rows.groupBy(key).count().where("count > 1").limit(1).collect():
+            raise DuplicateError(f"{what} {twice[0][0]} is there more than once")
+    if odd := set_differences(candidates, records.withColumnRenamed("name", "candidate_id"), ["candidate_id"]).limit(1).collect():
+        raise ContractError(f"{odd[0].candidate_id} is a candidate without a sequence" if odd[0].side == "left" else f"{odd[0].candidate_id} is a sequence without a candidate")
+    joined = candidates.join(records, F.col("candidate_id") == F.col("name")).drop("name")
+    if bad := joined.where(F.sha2("sequence", 256) != F.col("sequence_sha256")).limit(1).collect():
+        raise ChecksumError(f"the sequence of {bad[0].candidate_id} has another SHA-256 than declared")
+    return joined
+
+
 def _must(ok, what: str, path: str, value=None):
     """The value (the line itself, if none is given), or an error that quotes the line. Files are read by Spark, so the first broken line that a task meets is named."""
     value = F.col("value") if value is None else value

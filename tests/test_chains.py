@@ -4,7 +4,7 @@ import pytest
 
 from sorrel.operators import intervals
 from sorrel.operators.contract import ContractError, RowError
-from sorrel.sources import chains
+from sorrel.sources import chains, readers
 
 #: Two blocks with gaps, a reversed one, one place hit twice, and the contig's last base.
 GOOD = """# comment
@@ -104,7 +104,7 @@ def test_limit_of_blocks(spark, tmp_path, contigs):
 
 
 def test_sums_over_ranges(spark, monkeypatch):
-    monkeypatch.setattr(chains, "RANGE", 7)
+    monkeypatch.setattr(readers, "RANGE", 7)
     rows = spark.range(100).selectExpr("id * 3 as at", "id % 4 as g", "id as x")
-    got = {r.at: (r.a, r.b) for r in chains.sums_before(rows, ["g"], "at", a=rows.x, b=rows.x * 0 + 1).collect()}
+    got = {r.at: (r.a, r.b) for r in readers.sums_before(rows, ["g"], "at", a=rows.x, b=rows.x * 0 + 1).collect()}
     assert got == {3 * i: (sum(range(i % 4, i, 4)), i // 4) for i in range(100)}
