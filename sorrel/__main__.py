@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from sorrel.operators import genotypes
 from sorrel.operators.contract import ContractError
 from sorrel.operators.oligos import Settings, load_settings
 from sorrel.plans import jobs
@@ -57,12 +58,23 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--primer-settings", help="TOML file with [primer]")
     c = command("assay-review", "results", "designs", "metadata")
     c.add_argument("--previous", help="table of earlier states")
-    c = command("cross-reference", "source", "target", "fasta")
-    c.add_argument("--chain")
-    c.add_argument("--chain-metadata", nargs=3, metavar=("FILE", "SOURCE_ASSEMBLY", "TARGET_ASSEMBLY"), help="a reviewed chain instead of --chain")
+    c.add_argument("--history", help="table of redesigns, with --previous-designs")
+    c.add_argument("--previous-designs", help="table of the designs before")
+    c.add_argument("--max-rows", type=int, default=100_000)
+    c = command("cross-reference", "source", "source-bundle", "trait")
+    c.add_argument("--target")
+    c.add_argument("--target-bundle")
+    c.add_argument("--chain-metadata", help="TOML file of a reviewed chain between the two assemblies")
+    c.add_argument("--max-candidates", type=int, default=10_000)
+    c = command("primers", "context", "neighbors")
+    c.add_argument("--window", type=int, required=True, help="bases around a candidate within which neighbours are known")
+    c.add_argument("--primer-settings", help="TOML file with [primer]")
     c = command("individual-gwas", "genotypes", "phenotype")
     c.add_argument("--covariate", action="append", default=[])
     c.add_argument("--config", help="TOML file with limits, components and covariates")
+    c.add_argument("--variants", help="variant table, with --samples, --bundle and --config: tables are held against each other and the sequence")
+    c.add_argument("--samples", help="sample table with cohort and covariates")
+    c.add_argument("--bundle", help="TOML file of the assembly")
     return p
 
 
@@ -94,7 +106,7 @@ def _run(spark: SparkSession, a: argparse.Namespace, out: Path) -> bool:
         if a.metadata:
             m = declared.load_summary_metadata(a.metadata)
             columns = {{"effect_allele_frequency": "frequency", "neg_log10_pvalue": "neg_log10"}.get(k, k): v for k, v in m["columns"].items()}
-            how = {"exclude": m["invalid_row_policy"] == "exclude", "odds_ratio": m["effect_type"] == "odds_ratio", "to_alt": m["target_effect_allele"] == "ALT", "strand_known": m["effect_strand"] == "forward"}
+            how = {"exclude": m["invalid_row_policy"] == "exclude", "odds_ratio": m["effect_type"] == "odds_ratio", "to_alt": m["target_effect_allele"] == "ALT", "strand_known": m["effect_strand"] == "forward", "degrees": m.get("chi_square_df", 1)}
         elif a.columns:
             columns = readers.settings(a.columns, dict.fromkeys(roles, str), ("chr", "pos", "pvalue"))
         else:
@@ -108,19 +120,51 @@ def _run(spark: SparkSession, a: argparse.Namespace, out: Path) -> bool:
             jobs.primers(rows, out, load_settings(a.primer_settings) if a.primer_settings else Settings(), variants, a.window)
     elif a.command == "assay-review":
         previous = readers.table(spark, a.previous, ("design_id", "previous_state", "previous_simulated_state", "previous_scope", "previous_dataset")).select("design_id", "previous_state", "previous_simulated_state", "previous_scope", "previous_dataset") if a.previous else None
-        jobs.assay_review(readers.table(spark, a.results, ("design_id", "sample_id")), readers.table(spark, a.designs, ("design_id", "candidate_id")).select("design_id", "candidate_id"), declared.load_assay_metadata(a.metadata), out, previous)
+        if bool(a.history) != bool(a.previous_designs):
+            raise ContractError("--history and --previous-designs go together")
+        history = readers.table(spark, a.history, ("prior_design_id", "replacement_design_id", "candidate_id")) if a.history else None
+        earlier = readers.table(spark, a.previous_designs, ("design_id", "candidate_id", "ref", "alt")) if a.history else None
+        designs = readers.table(spark, a.designs, ("design_id", "candidate_id", *(("ref", "alt") if a.history else ())))
+        designs = designs.select(*[c for c in ("design_id", "candidate_id", "ref", "alt") if c in designs.columns])
+        jobs.assay_review(readers.table(spark, a.results, ("design_id", "sample_id")), designs, declared.load_assay_metadata(a.metadata), out, previous, history, earlier, a.max_rows)
     elif a.command == "cross-reference":
-        if not a.chain and not a.chain_metadata:
-            raise ContractError("cross-reference needs --chain or --chain-metadata")
-        chain = declared.load_chain_metadata(*a.chain_metadata)[1] if a.chain_metadata else a.chain
-        fields = ("candidate_id", "chr", "pos", "ref", "alt")
-        source, target = (readers.table(spark, x, fields).select("candidate_id", "chr", F.col("pos").cast("long").alias("pos"), "ref", "alt") for x in (a.source, a.target))
-        jobs.cross_reference(source, target.toDF("t_id", "t_chr", "t_pos", "t_ref", "t_alt"), readers.chain_blocks(spark, chain), readers.sequence_chunks(spark, a.fasta), out)
+        sides = [declared.load_bundle(x) if x else None for x in (a.source_bundle, a.target_bundle)]
+        assemblies = [jobs.Assembly(b.reference, b.assembly_id, b.dataset_ids, b.files["fasta"], b.files.get("annotation")) if b else None for b in sides]
+        chain = None
+        if a.chain_metadata:
+            if sides[1] is None:
+                raise ContractError("a chain needs a target")
+            chain = declared.load_chain_metadata(a.chain_metadata, sides[0].assembly_id, sides[1].assembly_id)[1]
+        jobs.cross_reference(spark, a.source, assemblies[0], out, a.trait, a.target, assemblies[1], chain, a.max_candidates)
+    elif a.command == "primers":
+        folder = Path(a.context)
+        rows = readers.table(spark, str(folder / "candidate_context.tsv"), ("candidate_id", "chr", "pos", "ref", "alt", "strand", "snp_offset", "interval_start", "interval_end", "sequence_sha256"))
+        rows = readers.with_sequences(rows.drop("sequence"), readers.fasta_records(spark, str(folder / "flanking_sequences.fasta"))).withColumns({c: F.col(c).cast("long") for c in ("pos", "snp_offset", "interval_start", "interval_end")})
+        near = readers.table(spark, a.neighbors, ("candidate_id", "v_pos", "v_ref")).select("candidate_id", F.col("v_pos").cast("long").alias("v_pos"), "v_ref")
+        if odd := near.join(rows, "candidate_id", "left_anti").limit(1).collect():
+            raise ContractError(f"a neighbour of {odd[0].candidate_id}, which isn't a candidate")
+        jobs.primers(rows, out, load_settings(a.primer_settings) if a.primer_settings else Settings(), window=a.window, known=near)
     else:
         c = declared.load_individual_config(a.config) if a.config else declared.INDIVIDUAL_DEFAULTS | {"min_maf": 0.01, "n_pcs": 2}
-        names = [*a.covariate, *(x for x in c["covariates"] if x not in a.covariate)]
-        phenotype = readers.table(spark, a.phenotype, ("sample_id", "value", *names)).select("sample_id", *[F.col(x).cast("double").alias(x) for x in ("value", *names)])
-        jobs.individual_gwas(readers.genotypes(spark, a.genotypes), phenotype, names, out, c["min_maf"], c["max_marker_missing"], c["n_pcs"], c["max_samples"], c["max_sample_missing"], c["max_markers"], c["max_genotype_cells"])
+        names, more = [*a.covariate, *(x for x in c["covariates"] if x not in a.covariate)], {}
+        if a.variants:
+            if not (a.samples and a.bundle and a.config):
+                raise ContractError("--variants needs --samples, --bundle and --config")
+            bundle = declared.load_bundle(a.bundle)
+            if odd := bundle.foreign(c["dataset_id"], reference=c["reference"], assembly_id=c["assembly_id"]):
+                raise ContractError(f"the bundle isn't of {odd}")
+            variants = readers.table(spark, a.variants, ("marker_id", "chr", "pos", "ref", "alt", "assembly_id")).withColumn("pos", F.col("pos").cast("long"))
+            samples = readers.table(spark, a.samples, ("sample_id", "cohort_id", *names))
+            values = readers.table(spark, a.phenotype, ("sample_id", "trait", "value", "unit"))
+            wide = readers.table(spark, a.genotypes, ("sample_id",))
+            header = [x for x in wide.columns if x not in ("sample_id", "_corrupt", "src_row")]
+            genotypes.aligned(wide, header, variants, values, samples, trait=c["trait"], unit=c["trait_unit"], cohort_id=c["cohort_id"], assembly_id=c["assembly_id"])
+            jobs.check_snps(variants, readers.sequence_chunks(spark, bundle.files["fasta"]), "marker_id")
+            phenotype = values.select("sample_id", F.col("value").cast("double").alias("value")).join(samples.select("sample_id", *[F.col(x).cast("double").alias(x) for x in names]), "sample_id")
+            more = {"variants": variants, "order": jobs.contig_order(spark, bundle.files["fasta"]), "dataset_id": c["dataset_id"], "alpha": c["alpha"], "fdr": c["fdr_level"], "distance": c["clustering_distance"]}
+        else:
+            phenotype = readers.table(spark, a.phenotype, ("sample_id", "value", *names)).select("sample_id", *[F.col(x).cast("double").alias(x) for x in ("value", *names)])
+        jobs.individual_gwas(readers.genotypes(spark, a.genotypes), phenotype, names, out, c["min_maf"], c["max_marker_missing"], c["n_pcs"], c["max_samples"], c["max_sample_missing"], c["max_markers"], c["max_genotype_cells"], **more)
     return True
 
 

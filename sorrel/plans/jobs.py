@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from sorrel.operators import assays, clusters, contract, crossref, customer, genotypes, intervals, layout, oligos, reports
 from sorrel.functions.text import percent_encode
 from sorrel.operators import statistics as st
-from sorrel.sources import readers, writers
+from sorrel.sources import chains, readers, writers
+from sorrel.sources.scratch import written
 
 
 def load(spark: SparkSession, paths: dict[str, str], sums: dict[str, str] | None = None, counts: dict[str, int] | None = None) -> DataFrame:
@@ -98,21 +100,39 @@ def report(spark: SparkSession, source: Path, out: Path) -> None:
     (out / "manifest.json").write_text(writers.json_text(writers.manifest(out)), encoding="utf-8")
 
 
-def customer_summary(spark: SparkSession, table: str, columns: dict[str, str], fasta: str, out: Path, alpha: float, fdr: float, distance: int, exclude: bool = False, most_rows: int = 1_000_000, **declared) -> None:
+def customer_summary(spark: SparkSession, table: str, columns: dict[str, str], fasta: str, out: Path, alpha: float, fdr: float, distance: int, exclude: bool = False, most_rows: int = 1_000_000, degrees: int = 1, **declared) -> None:
     """Normalise, correct in log space, cluster and rank a table whose columns are declared (role to column)."""
     raw = contract.at_most(readers.table(spark, table, tuple(columns.values())), most_rows, "rows")
     rows = raw.select(*[F.col(c).alias(r) for r, c in columns.items()], *[F.lit("").alias(r) for r in ("frequency", "neg_log10") if r not in columns], "src_row")
     valid, excluded = customer.split_invalid(customer.normalise(rows, **declared))
     if not exclude and (bad := excluded.limit(1).collect()):
         raise contract.RowError(f"row {bad[0].src_row}: {bad[0].reason}")
+    excluded = excluded.withColumn("dataset_id", F.lit("summary"))
     valid = valid.withColumns({"dataset_id": F.lit("summary"), "pos": F.col("pos").cast("bigint"), "candidate_id": F.concat_ws(":", "chr", "pos", "ref", "alt")})
     if twice := valid.groupBy("candidate_id").count().where("count > 1").limit(1).collect():
         raise contract.DuplicateError(f"{twice[0].candidate_id} is there more than once")
-    order = readers.fasta_contigs(spark, fasta).select(F.col("contig").alias("chr"), F.col("contig_no").alias("contig_order"))
-    adjusted = st.adjust_log(valid, alpha=alpha, fdr=fdr)
-    adjusted.write.parquet(str(out / "normalised"))
+    order = contig_order(spark, fasta)
     writers.write_parts(excluded, str(out / "excluded_rows.tsv"), ["src_row"])
-    writers.write_tsv(clusters.log_ranking(adjusted.where("bonferroni_significant or bh_significant"), distance, order), str(out / "candidate_ranking.tsv"), ["candidate_rank"])
+    summary_tables(valid, excluded, order, out, alpha, fdr, distance, degrees)
+
+
+def contig_order(spark: SparkSession, fasta: str) -> DataFrame:
+    return readers.fasta_contigs(spark, fasta).select(F.col("contig").alias("chr"), F.col("contig_no").alias("contig_order"))
+
+
+def summary_tables(valid: DataFrame, excluded: DataFrame, order: DataFrame, out: Path, alpha: float, fdr: float, distance: int, degrees: int = 1) -> None:
+    """Corrections in log space, ranking, discoveries, inflation, plot data and a report of normalised rows. `excluded`: rows of the same families that weren't tested."""
+    adjusted = written(st.adjust_log(valid, alpha=alpha, fdr=fdr), "adjusted")
+    adjusted.write.parquet(str(out / "normalised"))
+    ranked = written(clusters.log_ranking(adjusted.where("bonferroni_significant or bh_significant"), distance, order), "ranked")
+    writers.write_tsv(ranked, str(out / "candidate_ranking.tsv"), ["dataset_id", "candidate_rank"])
+    layout.contiguous_layout(adjusted, order).select("dataset_id", "candidate_id", "chr", "pos", "x", F.col("neg_log10_pvalue").alias("y")).write.parquet(str(out / "manhattan"))
+    st.quantile_points_log(adjusted).write.parquet(str(out / "qq"))
+    reasons = valid.select("dataset_id", F.lit(None).cast("string").alias("reason")).unionByName(excluded.select("dataset_id", "reason"))
+    found = customer.discoveries(reasons, adjusted).join(st.inflation_log(adjusted, degrees=degrees).drop("n_tests"), "dataset_id", "left").withColumn("chi_square_df", F.lit(degrees)).orderBy("dataset_id")
+    rows = [r.asDict() for r in contract.at_most(found, 1000, "families").collect()]
+    (out / "statistical_diagnostics.json").write_text(writers.json_text(rows), encoding="utf-8")
+    (out / "summary_report.md").write_text(writers.markdown("Summary statistics", {"Families (not pooled)": found, "Best candidates": ranked.orderBy("candidate_rank", "dataset_id").select("dataset_id", "candidate_rank", "signal_id", "chr", "pos", "neg_log10_pvalue", "priority_tier"), "Excluded rows": excluded.groupBy("reason").agg(F.count("*").alias("n")).orderBy("reason")}), encoding="utf-8")
 
 
 def context(spark: SparkSession, chosen: DataFrame, fasta: str, out: Path, flank: int, window: int, variants: DataFrame | None = None, mask: DataFrame | None = None, chunk: int = 1000) -> DataFrame:
@@ -141,17 +161,16 @@ def context(spark: SparkSession, chosen: DataFrame, fasta: str, out: Path, flank
         counts = near.groupBy("candidate_id").agg(F.count("*").alias("neighbor_count"))
         rows = rows.join(counts, "candidate_id", "left").fillna(0, ["neighbor_count"])
         writers.write_parts(near, str(out / "neighbors.tsv"), ["candidate_id", "v_pos", "v_ref", "v_alt"])
-    writers.write_tsv(rows.drop("bases"), str(out / "candidate_context.tsv"), ["candidate_id"])
+    writers.write_tsv(rows.drop("bases").withColumn("sequence_sha256", F.sha2("sequence", 256)), str(out / "candidate_context.tsv"), ["candidate_id"])
     named = rows.select(F.concat(percent_encode("candidate_id"), *[F.concat(F.lit(f" {c}="), percent_encode(c)) for c in ("chr", "pos", "strand")], F.lit(" sha256="), F.sha2("sequence", 256)).alias("name"), "sequence")
     with open(out / "flanking_sequences.fasta", "w", encoding="utf-8") as f:
         f.writelines(f"{line}\n" for line in writers.fasta_text(named, "name", "sequence"))
     return rows
 
 
-def primers(rows: DataFrame, out: Path, settings: oligos.Settings, variants: DataFrame | None = None, window: int | None = None) -> None:
-    """Designs and rejection counts of candidates with their context (sequence on the candidate's strand). `variants` (v_chr, v_pos, v_ref, v_alt) are the cohort's; those within `window` of a candidate may block designs."""
+def primers(rows: DataFrame, out: Path, settings: oligos.Settings, variants: DataFrame | None = None, window: int | None = None, known: DataFrame | None = None) -> None:
+    """Designs and rejection counts of candidates with their context (sequence on the candidate's strand). `variants` (v_chr, v_pos, v_ref, v_alt) are the cohort's; those within `window` of a candidate may block designs. `known` (candidate_id, v_pos, v_ref) are neighbours already found."""
     chosen = rows.select("candidate_id", "chr", "pos", "ref", "alt", "strand", "sequence", F.col("snp_offset").cast("int").alias("offset"), "interval_start", "interval_end")
-    known = None
     if variants is not None:
         known = intervals.neighbours(chosen.select("candidate_id", "chr", "pos", "ref", "alt"), variants, window or 0).select("candidate_id", "v_pos", "v_ref")
     designs, rejected = oligos.design(chosen, settings, known, window)
@@ -163,29 +182,127 @@ def primers(rows: DataFrame, out: Path, settings: oligos.Settings, variants: Dat
     designs.unpersist()
 
 
-def assay_review(results: DataFrame, designs: DataFrame, meta: dict, out: Path, previous: DataFrame | None = None) -> None:
+def assay_review(results: DataFrame, designs: DataFrame, meta: dict, out: Path, previous: DataFrame | None = None, history: DataFrame | None = None, earlier: DataFrame | None = None, most_rows: int = 100_000) -> None:
+    """Results that keep the contract are measured and reviewed; the first that doesn't is an error. `history`: redesign edges from designs of `earlier` to these."""
+    contract.at_most(results, most_rows, "assay rows")
+    if "allele_encoding" in results.columns:
+        identity = tuple(c for c in ("candidate_id", "ref", "alt") if c in results.columns and c in designs.columns)
+        if bad := assays.violations(results, designs, meta["conditions_id"], identity).orderBy("src_row").limit(1).collect():
+            raise contract.RowError(f"row {bad[0].src_row}: {bad[0].reason}")
     if lost := results.join(designs, "design_id", "left_anti").limit(1).collect():
         raise contract.RowError(f"design {lost[0].design_id} isn't known")
-    measured = assays.metrics(results).persist()
-    reviewed = assays.review(measured, meta, previous)
+    if history is not None and (bad := assays.history_violations(history, earlier, designs).orderBy("prior_design_id", "replacement_design_id").limit(1).collect()):
+        raise contract.RowError(f"redesign of {bad[0].prior_design_id} by {bad[0].replacement_design_id}: {bad[0].reason}")
+    measured = written(assays.metrics(results), "metrics")
+    reviewed = written(assays.review(measured, meta, previous), "states")
     for name, df, order in (("metrics", measured, ["design_id"]), ("states", reviewed, ["design_id"]), ("state_counts", assays.state_counts(reviewed), ["state"]), ("alternatives", assays.alternatives(designs, reviewed), ["design_id", "alternative_id"]), ("validated_panel", assays.panel(designs, reviewed), ["design_id"])):
         writers.write_tsv(df, str(out / f"{name}.tsv"), order)
+    if history is not None:
+        writers.write_tsv(history, str(out / "redesign_history.tsv"), ["prior_design_id", "replacement_design_id"])
+
+
+def check_snps(rows: DataFrame, chunks: DataFrame, name: str, chunk: int = 1000) -> None:
+    """Variants (chr, pos, ref, alt) must be two different single bases, REF that of the sequence at their place."""
+    single = F.col("ref").rlike("^[ACGT]$") & F.col("alt").rlike("^[ACGT]$") & (F.col("ref") != F.col("alt"))
+    places = rows.select("chr", "pos").distinct().withColumn("k", F.concat_ws(":", "chr", "pos"))
+    bases = places.where("pos >= 1").join(intervals.slices(places.where("pos >= 1").selectExpr("k", "chr", "pos as start", "pos as end"), chunks, "k", chunk), "k", "left").select("chr", "pos", "bases")
+    odd = rows.join(bases, ["chr", "pos"], "left").where(~F.coalesce(single & (F.col("bases") == F.col("ref")), F.lit(False))).limit(1).collect()
+    if odd:
+        raise contract.RowError(f"{odd[0][name]}: REF isn't the base at {odd[0].chr}:{odd[0].pos}, or REF and ALT aren't two single bases")
+
+
+@dataclass(frozen=True)
+class Assembly:
+    """One side of a cross-reference: what its tables must say of themselves, and its sequence and genes."""
+
+    reference: str
+    assembly_id: str
+    dataset_ids: tuple[str, ...]
+    fasta: str
+    annotation: str | None = None
+
+
+def _candidate_table(spark: SparkSession, path: str, assembly: Assembly, chunks: DataFrame, trait: str, most: int) -> DataFrame:
+    """A candidate table that keeps its contract: whole rows of one analysis of the trait, of the assembly's own datasets, with REF as in its sequence."""
+    text = contract.at_most(readers.table(spark, path, crossref.CANDIDATE), most, "candidates")
+    rows = text.select(*[F.trim(c).alias(c) for c in crossref.CANDIDATE if c != "pos"], contract.integer("pos").alias("pos"))
+    if bad := crossref.candidate_violations(rows, crossref.CANDIDATE).orderBy("candidate_id").limit(1).collect():
+        raise contract.RowError(f"{path}, {bad[0].candidate_id}: {bad[0].reason}")
+    if rows.select(*crossref.FAMILY).distinct().limit(2).count() > 1:
+        raise contract.ContractError(f"{path} holds more than one analysis")
+    foreign = (F.col("trait") != trait) | (F.col("reference") != assembly.reference) | (F.col("assembly_id") != assembly.assembly_id) | ~F.col("dataset_id").isin(*assembly.dataset_ids)
+    if odd := rows.where(foreign).limit(1).collect():
+        raise contract.ContractError(f"{path}, {odd[0].candidate_id}: not of trait {trait}, or of another assembly or dataset than declared")
+    check_snps(rows, chunks, "candidate_id")
+    return rows
 
 
-def cross_reference(source: DataFrame, target: DataFrame, blocks: DataFrame, chunks: DataFrame, out: Path, chunk: int = 1000) -> None:
-    """Map source candidates over chain blocks, and account for every candidate of both sides."""
-    hits = intervals.map_points(source, blocks, "candidate_id")
-    places = hits.select("target_chr", "target_pos").distinct().withColumn("k", F.concat_ws(":", "target_chr", "target_pos"))
-    bases = intervals.slices(places.selectExpr("k", "target_chr as chr", "target_pos as start", "target_pos as end"), chunks, "k", chunk)
-    mapping = crossref.mapped(source, hits, places.join(bases, "k").select("target_chr", "target_pos", F.col("bases").alias("target_base")))
-    compared = crossref.compared(mapping, target)
-    writers.write_tsv(mapping, str(out / "mapping.tsv"), ["candidate_id", "chain_id"])
-    writers.write_tsv(compared, str(out / "comparisons.tsv"), ["candidate_id", "t_id"])
-    writers.write_tsv(crossref.account(source, mapping, compared, target), str(out / "accounting.tsv"), ["side", "candidate_id"])
-
-
-def individual_gwas(long: DataFrame, phenotype: DataFrame, covariates: list[str], out: Path, min_maf: float = 0.01, max_missing: float = 0.1, n_components: int = 2, most_samples: int = 1000, max_sample_missing: float = 0.1, most_markers: int = 100_000, most_cells: int = 5_000_000) -> None:
-    """Marker and sample checks, kinship, components, a null model and a test of each marker. `phenotype`: sample_id, value and the covariates."""
+def _annotated(spark: SparkSession, rows: DataFrame, assembly: Assembly, side: str) -> DataFrame:
+    """Nearest genes of each candidate of a side, ties kept."""
+    if assembly.annotation is None:
+        none = F.lit(None).cast("string")
+        near = rows.select("candidate_id", "chr", "pos", none.alias("gene_id"), none.cast("bigint").alias("gene_start"), none.cast("bigint").alias("gene_end"), none.alias("gene_strand"), none.cast("bigint").alias("distance_bp"), F.lit("no_annotation_supplied").alias("annotation_status"))
+    else:
+        genes = readers.genes(spark, assembly.annotation)
+        contigs = readers.fasta_contigs(spark, assembly.fasta).select(F.col("contig").alias("chr"), "length")
+        if odd := readers.intervals_outside(genes, contigs, "g_chr", "g_start", "g_end").limit(1).collect():
+            raise contract.RowError(f"{assembly.annotation}: gene {odd[0].gene_id} isn't within its contig")
+        strands = genes.select("gene_id", "g_chr", "g_start", "g_end", F.col("strand").alias("gene_strand")).distinct()
+        near = intervals.nearest(rows, genes, "candidate_id").join(strands.withColumnRenamed("g_chr", "chr"), ["gene_id", "chr", "g_start", "g_end"], "left")
+        near = near.select("candidate_id", "chr", "pos", "gene_id", F.col("g_start").alias("gene_start"), F.col("g_end").alias("gene_end"), "gene_strand", F.col("distance").alias("distance_bp"), F.col("relation").alias("annotation_status"))
+    return near.join(rows.select("candidate_id", "dataset_id", "reference", "assembly_id", "ref", "alt", "trait"), "candidate_id").withColumn("side", F.lit(side))
+
+
+def cross_reference(spark: SparkSession, source_table: str, source: Assembly, out: Path, trait: str, target_table: str | None = None, target: Assembly | None = None, chain: str | None = None, most: int = 10_000, most_blocks: int = 1_000_000, most_hits: int = 100_000) -> None:
+    """Annotate candidates of one or two assemblies with genes; map those of the source over a checked chain, compare them with those of the target, and account for every candidate of both sides."""
+    if (target is None) != (target_table is None) or (chain is not None and target is None):
+        raise contract.ContractError("a target needs a table and an assembly, and a chain needs a target")
+    if target is not None and target.assembly_id == source.assembly_id:
+        raise contract.ContractError("the two sides are of one assembly")
+    sides, chunks = {"source": (source_table, source)} | ({"target": (target_table, target)} if target else {}), {}
+    rows, notes = {}, []
+    for side, (path, assembly) in sides.items():
+        chunks[side] = written(readers.sequence_chunks(spark, assembly.fasta), "chunks")
+        rows[side] = written(_candidate_table(spark, path, assembly, chunks[side], trait, most), "candidates")
+        notes.append(_annotated(spark, rows[side], assembly, side))
+    annotations = written(notes[0] if len(notes) == 1 else notes[0].unionByName(notes[1]), "annotations")
+    writers.write_parts(annotations, str(out / "candidate_annotations.tsv"), ["side", "candidate_id", "gene_start"])
+    own = rows["source"].select("candidate_id", "chr", "pos", "ref", "alt")
+    if chain is None:
+        mapping = crossref.mapped(own, None, None)
+        account = mapping.select(F.lit("source").alias("side"), "candidate_id", "status", "reason", F.lit(0).cast("bigint").alias("n_hits"), F.lit("").alias("linked_candidates"))
+        if target is not None:
+            account = account.unionByName(rows["target"].select(F.lit("target").alias("side"), "candidate_id", F.lit("not_compared").alias("status"), F.lit("no_source_comparison_not_evidence_of_absence").alias("reason"), F.lit(0).cast("bigint").alias("n_hits"), F.lit("").alias("linked_candidates")))
+        n_compared = 0
+    else:
+        contigs = {side: readers.fasta_contigs(spark, x.fasta).select(F.col("contig").alias("chr"), "length") for side, (_, x) in sides.items()}
+        blocks = chains.chain_blocks(spark, chain, contigs["source"], contigs["target"], most_blocks)
+        hits = contract.at_most(written(intervals.map_points(own, blocks, "candidate_id"), "hits"), most_hits, "mapping hits")
+        places = hits.select("target_chr", "target_pos").distinct().withColumn("k", F.concat_ws(":", "target_chr", "target_pos"))
+        bases = intervals.slices(places.selectExpr("k", "target_chr as chr", "target_pos as start", "target_pos as end"), chunks["target"], "k", 1000)
+        mapping = crossref.mapped(own, hits, places.join(bases, "k").select("target_chr", "target_pos", F.col("bases").alias("target_base")))
+        mapping = written(mapping.join(hits.select("candidate_id", "chain_id", "target_chr", "target_pos", "chain_score", "block_size"), ["candidate_id", "chain_id", "target_chr", "target_pos"], "left"), "mapping")
+        pairs = written(crossref.compared_in_full(mapping, rows["source"], rows["target"]), "comparisons")
+        genes = {side: intervals.gene_ids(annotations.where(F.col("side") == side), "candidate_id").withColumnsRenamed({"candidate_id": key, "gene_ids": f"{side}_gene_ids"}) for side, key in (("source", "candidate_id"), ("target", "t_id"))}
+        writers.write_parts(pairs.join(genes["source"], "candidate_id").join(genes["target"], "t_id"), str(out / "cross_reference_comparison.tsv"), ["candidate_id", "t_id"])
+        account = crossref.account(own, mapping, pairs, rows["target"].select(F.col("candidate_id").alias("t_id")))
+        n_compared = pairs.count()
+    account = written(account, "accounting")
+    writers.write_parts(mapping, str(out / "coordinate_mappings.tsv"), ["candidate_id"])
+    writers.write_parts(account, str(out / "candidate_accounting.tsv"), ["side", "candidate_id"])
+    states = {r.status: r.n for r in account.where("side = 'source'").groupBy("status").agg(F.count("*").alias("n")).collect()}
+    summary = {"trait": trait, "n_source": rows["source"].count(), "n_target": rows["target"].count() if target else 0, "n_comparisons": n_compared, "cross_reference_status": "not_assessed" if chain is None else "assessed_against_supplied_chain", "source_status_counts": {x: states.get(x, 0) for x in ("mapped", "unmapped", "multimap", "ambiguous", "not_assessed")}}
+    (out / "comparison_summary.json").write_text(writers.json_text(summary), encoding="utf-8")
+    text = [
+        "# Candidates across assemblies", "", *(f"* {k}: {v}" for k, v in summary.items()), "",
+        "A unique hit is unique in the supplied alignment only. Candidates without a counterpart are no evidence of absence, families aren't pooled, one cohort on two assemblies is no replication, and a near gene isn't a causal one.", "",
+    ]
+    (out / "comparison_report.md").write_text("\n".join(text), encoding="utf-8")
+
+
+def individual_gwas(long: DataFrame, phenotype: DataFrame, covariates: list[str], out: Path, min_maf: float = 0.01, max_missing: float = 0.1, n_components: int = 2, most_samples: int = 1000, max_sample_missing: float = 0.1, most_markers: int = 100_000, most_cells: int = 5_000_000, variants: DataFrame | None = None, order: DataFrame | None = None, dataset_id: str = "individual", alpha: float = 0.05, fdr: float = 0.05, distance: int = 0) -> None:
+    """Marker and sample checks, kinship, components, a null model and a test of each marker. `phenotype`: sample_id, value and the covariates. With `variants` (marker_id, chr, pos, ref, alt) and the `order` of their contigs, also what follows
+    from the tests: corrections, clusters, ranking, discoveries, inflation and plot data."""
     import numpy as np
 
     genotypes.ids_aligned({"genotypes": long, "phenotype": phenotype})
@@ -195,15 +312,44 @@ def individual_gwas(long: DataFrame, phenotype: DataFrame, covariates: list[str]
     values = phenotype.agg(F.countDistinct("value").alias("n"), F.count_if(F.col("value").isNull() | F.isnan("value") | (F.abs("value") == float("inf"))).alias("odd")).first()
     if values.odd or values.n < 3:
         raise contract.RowError("the phenotype must be finite and have three values or more")
-    if bad := genotypes.sample_checks(long, max_sample_missing).where("not ok").limit(1).collect():
+    scales = phenotype.agg(*[f(F.col(c)).alias(f"{n}_{c}") for c in covariates for n, f in (("mean", F.avg), ("scale", F.stddev_pop))]).first().asDict() if covariates else {}
+    if flat := [c for c in covariates if not (scales[f"scale_{c}"] or 0) > 0 or not np.isfinite(scales[f"scale_{c}"])]:
+        raise contract.RowError(f"covariates must be finite and vary: {flat}")
+    samples = written(genotypes.sample_checks(long, max_sample_missing), "sample-checks")
+    if bad := samples.where("not ok").limit(1).collect():
         raise contract.RowError(f"sample {bad[0].sample_id} misses {bad[0].missing:.3f} of its markers")
-    checks = genotypes.marker_checks(long, min_maf, max_missing).persist()
-    z = genotypes.centred(long, checks).persist()
+    checks = written(genotypes.marker_checks(long, min_maf, max_missing), "marker-checks")
+    z = written(genotypes.centred(long, checks), "centred")
     ids, k = genotypes.matrix(genotypes.kinship(z), most_samples)
+    eigen = np.linalg.eigvalsh(k)[::-1]
+    if n_components > np.count_nonzero(eigen > max(float(eigen[0]), 1) * 1e-10):
+        raise contract.ContractError("more components than the kinship has positive rank")
+    scores = genotypes.components(k, n_components)
     rows = {r.sample_id: r for r in genotypes.scaled(phenotype, covariates).collect()}
-    x = np.column_stack([np.ones(len(ids)), *[[rows[i][c] for i in ids] for c in covariates], genotypes.components(k, n_components)])
+    x = np.column_stack([np.ones(len(ids)), *[[rows[i][c] for i in ids] for c in covariates], scores])
     model = genotypes.fit_null(np.array([rows[i].value for i in ids], float), x, k)
+    tests = written(genotypes.test_markers(z, ids, model), "associations")
+    spark = long.sparkSession
     writers.write_tsv(checks, str(out / "marker_checks.tsv"), ["marker_id"])
-    writers.write_tsv(genotypes.test_markers(z, ids, model), str(out / "associations.tsv"), ["marker_id"])
+    writers.write_tsv(samples, str(out / "sample_qc.tsv"), ["sample_id"])
+    writers.write_tsv(tests, str(out / "associations.tsv"), ["marker_id"])
     np.save(out / "kinship.npy", k)
     (out / "kinship.samples.txt").write_text("\n".join(map(str, ids)) + "\n")
+    if n_components:
+        pcs = spark.createDataFrame([(i, *map(float, r)) for i, r in zip(ids, scores, strict=True)], ["sample_id", *(f"PC{j + 1}" for j in range(n_components))])
+        writers.write_tsv(pcs, str(out / "pc_scores.tsv"), ["sample_id"])
+    n_tests = tests.where("reason = ''").count()
+    record = {
+        "model": "y = intercept + covariates + components + beta * ALT dosage + u + e", "kinship": "Z Z' / (2 sum p (1 - p))", "imputation": "mean dosage of each marker", "covariance_ratio": model.delta, "log_ratio_bounds": [-12, 12],
+        "residual_df": model.df, "pvalue": "two-sided t; the ratio is fitted without markers and held", "covariates": scales, "n_components": n_components, "component_eigenvalues": [float(v) for v in eigen[:n_components]],
+        "n_samples": size.samples, "n_input_markers": size.markers, "n_kinship_markers": z.select("marker_id").distinct().count(), "n_tests": n_tests,
+    }
+    (out / "model.json").write_text(writers.json_text(record), encoding="utf-8")
+    if variants is None or order is None:
+        return
+    named = variants.select("marker_id", "chr", "pos", "ref", "alt")
+    tested = tests.where("reason = ''").join(named, "marker_id").withColumns({"dataset_id": F.lit(dataset_id), "candidate_id": F.concat_ws(":", "chr", "pos", "ref", "alt"), "effect_allele": F.col("alt"), "other_allele": F.col("ref"), "effect_orientation": F.lit("aligned_to_ALT")}).drop("reason")
+    tested = tested.join(checks.select("marker_id", F.col("alt_frequency").alias("effect_allele_frequency")), "marker_id")
+    excluded = checks.where("reasons != ''").select("marker_id", F.col("reasons").alias("reason")).unionByName(tests.where("reason != ''").select("marker_id", F.lit("collinear_with_covariates").alias("reason"))).withColumn("dataset_id", F.lit(dataset_id))
+    writers.write_tsv(excluded, str(out / "excluded_markers.tsv"), ["marker_id"])
+    summary_tables(tested, excluded, order, out, alpha, fdr, distance)

@@ -395,7 +395,7 @@ def cross_comparison(spark, d):
 
 @_add(f"""WITH {_COMPARED}, per AS (SELECT candidate_id, max(status) AS status, max(reason) AS reason, max(n_hits) AS n_hits FROM mapping GROUP BY candidate_id)
 SELECT 'source' AS side, candidate_id, status, CASE WHEN status = 'mapped' AND candidate_id NOT IN (SELECT candidate_id FROM compared) THEN 'mapped_coordinate_no_matching_target_candidate' ELSE reason END AS reason, n_hits, '' AS linked_candidates FROM per
-UNION ALL SELECT 'target', t_id, CASE WHEN linked IS NULL THEN 'not_compared' ELSE 'compared' END, '', CAST(0 AS BIGINT), coalesce(linked, '') FROM (SELECT {_T_ID} AS t_id, (SELECT string_agg(DISTINCT candidate_id, ';' ORDER BY candidate_id) FROM compared x WHERE x.t_id = t.t_id) AS linked FROM t)""")
+UNION ALL SELECT 'target', t_id, CASE WHEN linked IS NULL THEN 'not_compared' ELSE 'compared' END, CASE WHEN linked IS NULL THEN 'no_source_comparison_not_evidence_of_absence' ELSE 'linked_by_verified_alleles' END, CAST(0 AS BIGINT), coalesce(linked, '') FROM (SELECT {_T_ID} AS t_id, (SELECT string_agg(DISTINCT candidate_id, ';' ORDER BY candidate_id) FROM compared x WHERE x.t_id = t.t_id) AS linked FROM t)""")
 def target_accounting(spark, d):
     mapping = _mapping(spark, d)
     targets = _targets(mapping)

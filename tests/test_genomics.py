@@ -94,7 +94,7 @@ def test_cross_reference(spark):
     compared = crossref.compared(mapping, target)
     assert [(r.candidate_id, r.t_id, r.allele_alignment) for r in compared.collect()] == [("s21", "t1", "REF_ALT_swapped")]
     account = {(r.side, r.candidate_id): (r.status, r.reason, r.linked_candidates) for r in crossref.account(source, mapping, compared, target).collect()}
-    assert len(account) == 7 and account["source", "s1"][1] == "mapped_coordinate_no_matching_target_candidate" and account["target", "t1"] == ("compared", "", "s21") and account["target", "t2"][0] == "not_compared"
+    assert len(account) == 7 and account["source", "s1"][1] == "mapped_coordinate_no_matching_target_candidate" and account["target", "t1"] == ("compared", "linked_by_verified_alleles", "s21") and account["target", "t2"][0] == "not_compared"
     assert {r.status for r in crossref.mapped(source, None, None).collect()} == {"not_assessed"}
 
 
