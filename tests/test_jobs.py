@@ -200,7 +200,7 @@ def test_assay_review(spark, tmp_path, capsys):
         return main(["assay-review", "--results", table(tmp_path / "r.tsv", ASSAY, rows), "--designs", designs, "--metadata", f"{tmp_path}/m.toml", "--out", f"{tmp_path}/{out}", *more])
 
     assert run(rows, "o") == 0
-    assert [r["state"] for r in read(tmp_path / "o/states.tsv")] == ["assay_validated"] and [r["design_id"] for r in read(tmp_path / "o/validated_panel.tsv")] == ["d1"]
+    assert [r["state"] for r in read(tmp_path / "o/states.tsv")] == ["assay_validated"] and read(tmp_path / "o/validated_panel.tsv") == []
     old = table(tmp_path / "old.tsv", ["design_id", "candidate_id", "ref", "alt"], [["d0", "k1", "A", "C"]])
     edges = table(tmp_path / "h.tsv", ["prior_design_id", "replacement_design_id", "candidate_id"], [["d0", "d1", "k1"]])
     assert run(rows, "h", "--history", edges, "--previous-designs", old) == 0 and len(read(tmp_path / "h/redesign_history.tsv")) == 1
