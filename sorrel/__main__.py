@@ -13,7 +13,7 @@ from sorrel.operators import genotypes
 from sorrel.operators.contract import ContractError
 from sorrel.operators.oligos import Settings, load_settings
 from sorrel.plans import jobs
-from sorrel.sources import declared, readers, writers
+from sorrel.sources import declared, readers, scratch, writers
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -201,6 +201,8 @@ def main(args: list[str] | None = None) -> int:
     except (ContractError, OSError, ValueError) as e:
         print(f"{type(e).__name__}: {e}", file=sys.stderr)
         return 1
+    finally:
+        scratch.clear(spark)
 
 
 if __name__ == "__main__":

@@ -81,6 +81,11 @@ def batch(rows: DataFrame, out: Path, alpha: float, fdr: float, distance: int) -
     rows.unpersist()
 
 
+#: Columns of a batch's tables that are numbers; all others are text, whatever they look like.
+WHOLE = ("n_tests", "n_bonferroni", "n_bh", "n_signals", "n_candidates", "candidate_rank", "priority_tier", "pos", "start", "end", "n_variants", "n_members", "signal_no", "lead_pos", "src_row")
+REAL = ("af", "beta", "pval", "bonferroni_p", "bh_p", "lambda_gc", "min_p", "bonferroni_threshold", "bh_raw_p_cutoff", "lead_pval", "lead_beta", "lead_af")
+
+
 def report(spark: SparkSession, source: Path, out: Path) -> None:
     """Check a batch folder's tables against one another, then copy them with a Markdown report and a manifest."""
 
@@ -88,7 +93,9 @@ def report(spark: SparkSession, source: Path, out: Path) -> None:
         writers.verify(source, json.loads((source / "provenance.json").read_text(encoding="utf-8"))["outputs"])
 
     def read(name: str) -> DataFrame:
-        return spark.read.csv(str(source / name), sep="\t", header=True, inferSchema=True)
+        kinds = dict.fromkeys(WHOLE, "bigint") | dict.fromkeys(REAL, "double")
+        rows = spark.read.csv(str(source / name), sep="\t", header=True, quote="")
+        return rows.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else c for c in rows.columns])
 
     summary, peaks, ranked, members, tests = (read(f"{n}.tsv") for n in ("batch_summary", "association_peaks", "candidate_ranking", "candidate_snps", "diagnostics"))
     if odd := reports.disagreements(summary, tests, peaks, members, ranked).limit(10).collect():

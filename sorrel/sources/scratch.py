@@ -23,8 +23,20 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_PATHS: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The table, written once and read back."""
+    """The table, written once and read back. It stays until `clear`, as what is built on it may be read at any time."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _PATHS.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all written tables of this process. Results that were built on them can't be read after."""
+    sc = spark.sparkContext
+    while _PATHS:
+        path = sc._jvm.org.apache.hadoop.fs.Path(_PATHS.pop())
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
