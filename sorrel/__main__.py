@@ -27,12 +27,15 @@ def _parser() -> argparse.ArgumentParser:
             c.add_argument(f"--{t}", required=True)
         return c
 
-    for name in ("validate", "plots", "top-variants", "diagnostics", "candidates", "batch"):
+    for name in ("validate", "plots", "top-variants", "regional", "diagnostics", "candidates", "batch"):
         c = command(name)
-        c.add_argument("--table", action="append", required=True, metavar="DATASET=PATH")
+        c.add_argument("--table", action="append", default=[], metavar="DATASET=PATH")
+        c.add_argument("--manifest", help="TOML file of datasets with checksums and row counts, instead of --table, --sha256 and --rows")
+        c.add_argument("--data", help="folder of the manifest's files")
+        c.add_argument("--dataset", action="append", default=[], help="of the manifest's datasets, only these")
         c.add_argument("--sha256", action="append", default=[], metavar="DATASET=HEX")
         c.add_argument("--rows", action="append", default=[], metavar="DATASET=N")
-        if name == "top-variants":
+        if name in ("top-variants", "regional"):
             c.add_argument("--regions", required=True)
         if name in ("diagnostics", "candidates", "batch"):
             c.add_argument("--alpha", type=float, default=0.05)
@@ -53,6 +56,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--flank", type=int, default=180)
     c.add_argument("--window", type=int, default=180)
     c.add_argument("--vcf")
+    c.add_argument("--reference", help="what the VCF's ##reference line must name")
     c.add_argument("--mask")
     c.add_argument("--primers", action="store_true", help="also design primers")
     c.add_argument("--primer-settings", help="TOML file with [primer]")
@@ -82,9 +86,23 @@ def _pairs(values: list[str]) -> dict[str, str]:
     return dict(v.split("=", 1) for v in values)
 
 
+def _datasets(a: argparse.Namespace) -> tuple[dict[str, str], dict[str, str], dict[str, int]]:
+    """Paths, checksums and row counts of the datasets that are named one by one or by a manifest."""
+    if not a.manifest:
+        if not a.table or a.data or a.dataset:
+            raise ContractError("name datasets by --table, or by --manifest with --data")
+        return _pairs(a.table), _pairs(a.sha256), {k: int(v) for k, v in _pairs(a.rows).items()}
+    if not a.data or a.table or a.sha256 or a.rows:
+        raise ContractError("a manifest needs --data, and says itself what the tables are")
+    m = declared.load_manifest(a.manifest)
+    chosen = [m.dataset(x) for x in a.dataset] if a.dataset else m.datasets
+    paths = m.paths(a.data)
+    return {d.dataset_id: paths[d.dataset_id] for d in chosen}, {d.dataset_id: d.member_sha256 for d in chosen}, {d.dataset_id: d.row_count for d in chosen}
+
+
 def _run(spark: SparkSession, a: argparse.Namespace, out: Path) -> bool:
-    if a.command in ("validate", "plots", "top-variants", "diagnostics", "candidates", "batch"):
-        paths, sums, counts = _pairs(a.table), _pairs(a.sha256), {k: int(v) for k, v in _pairs(a.rows).items()}
+    if a.command in ("validate", "plots", "top-variants", "regional", "diagnostics", "candidates", "batch"):
+        paths, sums, counts = _datasets(a)
         if a.command == "validate":
             found = jobs.validate_all(spark, paths, sums, counts)
             (out / "validation.json").write_text(writers.json_text(found))
@@ -94,6 +112,10 @@ def _run(spark: SparkSession, a: argparse.Namespace, out: Path) -> bool:
             jobs.plots(rows, out)
         elif a.command == "top-variants":
             jobs.top_variants(rows, readers.regions(spark, a.regions), out)
+        elif a.command == "regional":
+            if len(paths) != 1:
+                raise ContractError("regions are of one dataset")
+            jobs.regional(rows, declared.load_region_config(spark, a.regions, next(iter(paths))), out)
         elif a.command == "diagnostics":
             jobs.diagnostics(rows, out, a.alpha, a.fdr)
         else:
@@ -114,7 +136,7 @@ def _run(spark: SparkSession, a: argparse.Namespace, out: Path) -> bool:
         jobs.customer_summary(spark, a.table, columns, a.fasta, out, a.alpha, a.fdr, a.distance, most_rows=a.max_rows, **how)
     elif a.command == "context":
         chosen = readers.table(spark, a.candidates, ("candidate_id", "chr", "pos", "ref", "alt", "strand")).select("candidate_id", "chr", F.col("pos").cast("long").alias("pos"), "ref", "alt", "strand")
-        variants = readers.vcf(spark, a.vcf) if a.vcf else None
+        variants = readers.vcf(spark, a.vcf, a.reference) if a.vcf else None
         rows = jobs.context(spark, chosen, a.fasta, out, a.flank, a.window, variants, readers.bed(spark, a.mask) if a.mask else None)
         if a.primers:
             jobs.primers(rows, out, load_settings(a.primer_settings) if a.primer_settings else Settings(), variants, a.window)

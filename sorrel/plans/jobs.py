@@ -66,6 +66,15 @@ def plots(rows: DataFrame, out: Path) -> None:
     st.quantile_points(rows).write.parquet(str(out / "qq"))
 
 
+def regional(rows: DataFrame, regions: DataFrame, out: Path) -> None:
+    """Plot data of each region's variants as Parquet, and the regions' top variants; a region without variants is an error."""
+    inside = layout.in_regions(rows, regions).withColumn("y", -F.log10("pval"))
+    if empty := regions.join(inside, "region_id", "left_anti").orderBy("region_no").limit(1).collect():
+        raise contract.ContractError(f"region {empty[0].region_id} has no variants")
+    inside.write.partitionBy("region_id").parquet(str(out / "regional"))
+    top_variants(rows, regions, out)
+
+
 def top_variants(rows: DataFrame, regions: DataFrame, out: Path) -> None:
     writers.write_tsv(layout.top_by_region(rows, regions), str(out / "top_variants_by_region.tsv"), ["dataset_id", "region_no"])
 
