@@ -252,6 +252,54 @@ def consistency_check(spark, d):
     return found.select("dataset_id", "check", _r("expected").alias("expected"), _r("actual").alias("actual"))
 
 
+_PACKAGE = f"""{_SIGNALS}, {_RANKED}, {_LAMBDA}, {_DIAG}, per AS (SELECT dataset_id, count(*) AS n_candidates, count(DISTINCT signal_id) AS n_signals FROM ranked_ GROUP BY dataset_id),
+d AS (SELECT diag.*, 'ref' AS reference FROM diag), p AS (SELECT dataset_id, signal_id, count(*) - CASE WHEN dataset_id = 'N_F' AND min(signal_no) = 1 THEN 1 ELSE 0 END AS n_variants FROM members GROUP BY dataset_id, signal_id),
+s AS (SELECT d.dataset_id, d.n_tests, d.n_bonferroni, d.n_bh + CASE WHEN d.dataset_id = 'R_F' THEN 1 ELSE 0 END AS n_bh, d.lambda_gc, coalesce(n_signals, 0) AS n_signals, coalesce(n_candidates, 0) AS n_candidates, CASE WHEN d.dataset_id = 'N_O' THEN 'other' ELSE 'ref' END AS reference FROM d LEFT JOIN per ON d.dataset_id = per.dataset_id WHERE d.dataset_id <> 'A_F'),
+mem AS (SELECT dataset_id, CASE WHEN dataset_id = 'R_F' AND pos % 3 = 0 THEN 'lost' ELSE signal_id END AS signal_id, CASE WHEN pos % 2 = 0 THEN 'ref' ELSE 'odd' END AS reference FROM members),
+rk AS (SELECT dataset_id, signal_id, CASE WHEN dataset_id = 'N_F' THEN candidate_rank * 2 ELSE candidate_rank END AS candidate_rank FROM ranked_)"""
+
+
+def _package_sql() -> str:
+    def table(name: str, rows: str, expected: str) -> str:
+        n = f"(SELECT dataset_id AS k, count(*) AS n FROM {rows} GROUP BY dataset_id)"
+        return f"SELECT dataset_id, '{name}' AS \"table\", 'rows' AS \"check\", CAST({expected} AS DOUBLE) AS expected, CAST(coalesce(n, 0) AS DOUBLE) AS actual, {expected} = coalesce(n, 0) AS ok FROM s LEFT JOIN {n} t ON k = dataset_id UNION ALL SELECT k, '{name}', 'foreign_rows', 0, n, false FROM {n} t WHERE k NOT IN (SELECT dataset_id FROM s)"
+
+    parts = [table("diagnostics", "d", "1"), table("significant", "sig", "n_candidates"), table("peaks", "p", "n_signals"), table("members", "mem", "n_candidates"), table("ranks", "rk", "n_candidates")]
+    parts += [f"SELECT s.dataset_id, 'diagnostics', '{c}', s.{c}, d.{c}, s.{c} = d.{c} FROM s JOIN d ON s.dataset_id = d.dataset_id" for c in ("n_tests", "n_bonferroni", "n_bh", "lambda_gc")]
+    parts += [f"SELECT s.dataset_id, '{t}', 'reference', 0, count(*) FILTER (WHERE t.reference <> s.reference), count(*) FILTER (WHERE t.reference <> s.reference) = 0 FROM s JOIN {r} t ON s.dataset_id = t.dataset_id GROUP BY s.dataset_id" for t, r in (("diagnostics", "d"), ("members", "mem"))]
+    parts += ["SELECT s.dataset_id, 'peaks', 'n_variants', any_value(n_candidates), coalesce(sum(n_variants), 0), any_value(n_candidates) = coalesce(sum(n_variants), 0) FROM s LEFT JOIN p ON s.dataset_id = p.dataset_id GROUP BY s.dataset_id"]
+    parts += [f"SELECT s.dataset_id, '{t}', 'unknown_signals', 0, count(*), false FROM s JOIN {r} t ON s.dataset_id = t.dataset_id WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.dataset_id = t.dataset_id AND p.signal_id = t.signal_id) GROUP BY s.dataset_id" for t, r in (("members", "mem"), ("ranks", "rk"))]
+    parts += ["SELECT s.dataset_id, 'ranks', 'dense_ranks', count(*), max(candidate_rank), count(*) = max(candidate_rank) AND count(*) = count(DISTINCT candidate_rank) AND min(candidate_rank) = 1 FROM s JOIN rk ON s.dataset_id = rk.dataset_id GROUP BY s.dataset_id"]
+    return f"WITH {_PACKAGE}, found AS ({' UNION ALL '.join(parts)}) SELECT dataset_id, \"table\", \"check\", round(expected, 6) AS expected, round(actual, 6) AS actual FROM found WHERE NOT ok"
+
+
+@_add(_package_sql())
+def artifact_check(spark, d):
+    """All tables of a package held against its summary, with planted disagreements: a family that the summary hasn't, other counts, a foreign reference, lost signals, a peak that is too small and gaps in the ranks."""
+    v, at = _variants(spark, d), F.col("dataset_id")
+    ps = st.ranked(v, "pval", ["dataset_id"])
+    significant = written(st.adjust(v, at=ps).where("bonferroni_significant or bh_significant"), "significant")
+    members = written(clusters.signals(significant, DISTANCE), "members")
+    ranked = clusters.ranking(members)
+    tests = written(st.diagnostics(v, at=ps).withColumns({"lambda_gc": _r("lambda_gc"), "reference": F.lit("ref")}), "tests")
+    per = ranked.groupBy("dataset_id").agg(F.count("*").alias("n_candidates"), F.countDistinct("signal_id").alias("n_signals"))
+    summary = tests.where("dataset_id != 'A_F'").join(per, "dataset_id", "left").fillna(0, ["n_candidates", "n_signals"])
+    summary = summary.withColumns({"n_bh": F.col("n_bh") + F.when(at == "R_F", 1).otherwise(0), "reference": F.when(at == "N_O", "other").otherwise(F.lit("ref"))})
+    first = F.col("signal_id") == "N_F_peak_0001"
+    peaks = clusters.peaks(members).withColumn("n_variants", F.col("n_variants") - F.when(first, 1).otherwise(0))
+    odd = members.withColumns({"signal_id": F.when((at == "R_F") & (F.col("pos") % 3 == 0), "lost").otherwise(F.col("signal_id")), "reference": F.when(F.col("pos") % 2 == 0, "ref").otherwise("odd")})
+    ranks = ranked.withColumn("candidate_rank", F.col("candidate_rank") * F.when(at == "N_F", 2).otherwise(1))
+    found = reports.artifact_disagreements(summary, {"diagnostics": tests, "significant": significant, "peaks": peaks, "members": odd, "ranks": ranks})
+    return found.withColumns({"expected": _r("expected"), "actual": _r("actual")})
+
+
+@_add(f"""WITH {_SIGNALS}, {_RANKED} SELECT r.dataset_id, candidate_rank, priority_tier, r.signal_id, r.chr, r.pos, r.allele1, r.allele0, priority_reasons, m.pval, m.beta, n_matches FROM ranked_ r
+JOIN (SELECT dataset_id, chr, pos, allele1, allele0, count(*) AS n_matches, min(pval) AS pval, arg_min(beta, {{'p': pval, 'b': beta}}) AS beta FROM members GROUP BY ALL) m ON r.dataset_id = m.dataset_id AND r.chr = m.chr AND r.pos = m.pos AND r.allele1 = m.allele1 AND r.allele0 = m.allele0 WHERE candidate_rank <= 10""")
+def candidate_preview(spark, d):
+    members = written(_members(spark, d), "members")
+    return reports.preview(clusters.ranking(members), members, 10)
+
+
 @_add(f"WITH {_BAD_P} SELECT src_row, p, reason FROM judged WHERE reason IS NOT NULL")
 def p_contract(spark, d):
     """Values that aren't p-values."""
