@@ -6,7 +6,7 @@ import argparse
 import sys
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sorrel.operators import genotypes
@@ -16,6 +16,10 @@ from sorrel.plans import jobs
 from sorrel.sources import declared, readers, scratch, writers
 
 
+#: Commands over association tables.
+TABLES = ("validate", "plots", "manhattan", "qq", "top-variants", "regional", "regions", "all", "diagnostics", "candidates", "batch")
+
+
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sorrel")
     sub = p.add_subparsers(dest="command", required=True)
@@ -27,7 +31,7 @@ def _parser() -> argparse.ArgumentParser:
             c.add_argument(f"--{t}", required=True)
         return c
 
-    for name in ("validate", "plots", "top-variants", "regional", "diagnostics", "candidates", "batch"):
+    for name in TABLES:
         c = command(name)
         c.add_argument("--table", action="append", default=[], metavar="DATASET=PATH")
         c.add_argument("--manifest", help="TOML file of datasets with checksums and row counts, instead of --table, --sha256 and --rows")
@@ -35,14 +39,22 @@ def _parser() -> argparse.ArgumentParser:
         c.add_argument("--dataset", action="append", default=[], help="of the manifest's datasets, only these")
         c.add_argument("--sha256", action="append", default=[], metavar="DATASET=HEX")
         c.add_argument("--rows", action="append", default=[], metavar="DATASET=N")
-        if name in ("top-variants", "regional"):
+        if name in ("top-variants", "regions", "all"):
             c.add_argument("--regions", required=True)
+        if name == "regional":
+            c.add_argument("--regions", help="region document, instead of --chrom, --start and --end")
+            c.add_argument("--chrom")
+            c.add_argument("--start", type=int)
+            c.add_argument("--end", type=int)
         if name in ("diagnostics", "candidates", "batch"):
             c.add_argument("--alpha", type=float, default=0.05)
             c.add_argument("--fdr", type=float, default=0.05)
         if name in ("candidates", "batch"):
             c.add_argument("--distance", type=int, required=True)
     command("report", "batch")
+    c = command("package", "batch")
+    c.add_argument("--require-provenance", action="store_true")
+    command("reference", "bundle", "dataset-id", "reference", "assembly-id")
     c = command("customer-summary", "table", "fasta")
     c.add_argument("--columns", help="TOML file: which column has what")
     c.add_argument("--metadata", help="TOML file with columns, scales and identity, instead of --columns")
@@ -86,42 +98,65 @@ def _pairs(values: list[str]) -> dict[str, str]:
     return dict(v.split("=", 1) for v in values)
 
 
-def _datasets(a: argparse.Namespace) -> tuple[dict[str, str], dict[str, str], dict[str, int]]:
-    """Paths, checksums and row counts of the datasets that are named one by one or by a manifest."""
+def _datasets(a: argparse.Namespace) -> tuple[dict[str, str], dict[str, str], dict[str, int], dict[str, dict[str, str]]]:
+    """Paths, checksums, row counts and declared texts of the datasets that are named one by one or by a manifest."""
     if not a.manifest:
         if not a.table or a.data or a.dataset:
             raise ContractError("name datasets by --table, or by --manifest with --data")
-        return _pairs(a.table), _pairs(a.sha256), {k: int(v) for k, v in _pairs(a.rows).items()}
+        return _pairs(a.table), _pairs(a.sha256), {k: int(v) for k, v in _pairs(a.rows).items()}, {k: {"source_sha256": v} for k, v in _pairs(a.sha256).items()}
     if not a.data or a.table or a.sha256 or a.rows:
         raise ContractError("a manifest needs --data, and says itself what the tables are")
     m = declared.load_manifest(a.manifest)
     chosen = [m.dataset(x) for x in a.dataset] if a.dataset else m.datasets
     paths = m.paths(a.data)
-    return {d.dataset_id: paths[d.dataset_id] for d in chosen}, {d.dataset_id: d.member_sha256 for d in chosen}, {d.dataset_id: d.row_count for d in chosen}
+    return {d.dataset_id: paths[d.dataset_id] for d in chosen}, {d.dataset_id: d.member_sha256 for d in chosen}, {d.dataset_id: d.row_count for d in chosen}, {d.dataset_id: {"reference": d.reference, "trait": d.trait, "source_sha256": d.member_sha256} for d in chosen}
+
+
+def _regions(spark: SparkSession, a: argparse.Namespace, names: list[str]) -> DataFrame:
+    """The regions of a document of the one dataset, or the one that the arguments name."""
+    if len(names) != 1:
+        raise ContractError("regions are of one dataset")
+    one = [getattr(a, x, None) for x in ("chrom", "start", "end")]
+    if a.regions:
+        if any(x is not None for x in one):
+            raise ContractError("--regions, or --chrom with --start and --end")
+        return declared.load_region_config(spark, a.regions, names[0])
+    if None in one or not one[0] or not 1 <= one[1] <= one[2]:
+        raise ContractError("--regions, or --chrom with --start and --end, from 1 up")
+    return spark.createDataFrame([("region", 1, *one)], "region_id string, region_no int, chr string, start long, end long")
 
 
 def _run(spark: SparkSession, a: argparse.Namespace, out: Path) -> bool:
-    if a.command in ("validate", "plots", "top-variants", "regional", "diagnostics", "candidates", "batch"):
-        paths, sums, counts = _datasets(a)
+    if a.command in TABLES:
+        paths, sums, counts, about = _datasets(a)
         if a.command == "validate":
             found = jobs.validate_all(spark, paths, sums, counts)
             (out / "validation.json").write_text(writers.json_text(found))
             return all(x["ok"] for x in found.values())
         rows = jobs.load(spark, paths, sums, counts)
-        if a.command == "plots":
-            jobs.plots(rows, out)
+        if a.command in ("plots", "manhattan", "qq"):
+            getattr(jobs, a.command)(rows, out)
         elif a.command == "top-variants":
             jobs.top_variants(rows, readers.regions(spark, a.regions), out)
-        elif a.command == "regional":
-            if len(paths) != 1:
-                raise ContractError("regions are of one dataset")
-            jobs.regional(rows, declared.load_region_config(spark, a.regions, next(iter(paths))), out)
+        elif a.command in ("regional", "regions", "all"):
+            regions = _regions(spark, a, list(paths))
+            if a.command == "all":
+                jobs.plots(rows, out)
+            jobs.regional(rows, regions, out)
         elif a.command == "diagnostics":
-            jobs.diagnostics(rows, out, a.alpha, a.fdr)
+            jobs.diagnostics(rows, out, a.alpha, a.fdr, about)
         else:
-            getattr(jobs, a.command)(rows, out, a.alpha, a.fdr, a.distance)
+            getattr(jobs, a.command)(rows, out, a.alpha, a.fdr, a.distance, about)
     elif a.command == "report":
         jobs.report(spark, Path(a.batch), out)
+    elif a.command == "package":
+        jobs.package(spark, Path(a.batch), out, a.require_provenance)
+    elif a.command == "reference":
+        bundle = declared.load_bundle(a.bundle)
+        if odd := bundle.foreign(a.dataset_id, reference=a.reference, assembly_id=a.assembly_id):
+            raise ContractError(f"the bundle isn't of {odd}")
+        about = {"reference": bundle.reference, "assembly_id": bundle.assembly_id, "dataset_ids": bundle.dataset_ids, "contigs": [vars(c) for c in bundle.contigs], "checksums": {k: readers.checksum(x) for k, x in bundle.files.items()}}
+        (out / "reference.json").write_text(writers.json_text(about), encoding="utf-8")
     elif a.command == "customer-summary":
         roles = ("chr", "pos", "ref", "alt", "effect_allele", "other_allele", "effect", "standard_error", "sample_size", "frequency", "pvalue", "neg_log10")
         how = {"exclude": a.exclude_invalid, "odds_ratio": a.odds_ratio}
@@ -209,7 +244,7 @@ def _audited(spark: SparkSession, a: argparse.Namespace, stage: Path) -> bool:
     if _inputs(a) != before:
         raise ContractError("inputs changed during the run")
     parameters = {k: v for k, v in vars(a).items() if k not in ("command", "out")}
-    record = writers.run_identity(a.command, before, parameters) | {"outputs": writers.manifest(stage)}
+    record = writers.run_identity(a.command, before, parameters) | {"outputs": writers.manifest(stage), "environment": writers.environment()}
     (stage / "provenance.json").write_text(writers.json_text(record), encoding="utf-8")
     return ok
 

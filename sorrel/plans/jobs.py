@@ -42,30 +42,51 @@ def validate_all(spark: SparkSession, paths: dict[str, str], sums: dict[str, str
     return out
 
 
-def diagnostics(rows: DataFrame, out: Path, alpha: float, fdr: float) -> DataFrame:
-    summary = st.diagnostics(rows, alpha=alpha, fdr=fdr)
-    writers.write_tsv(summary, str(out / "diagnostics.tsv"), ["dataset_id"])
-    significant = st.adjust(rows, alpha=alpha, fdr=fdr).where("bonferroni_significant or bh_significant")
+def told(df: DataFrame, about: dict[str, dict[str, str]] | None) -> DataFrame:
+    """Add what is declared of each dataset (reference, trait, source_sha256)."""
+    if not about:
+        return df
+    names = sorted({k for x in about.values() for k in x})
+    rows = df.sparkSession.createDataFrame([(d, *(x.get(k) for k in names)) for d, x in about.items()], ", ".join(f"{c} string" for c in ("dataset_id", *names)))
+    return df.join(F.broadcast(rows), "dataset_id", "left")
+
+
+def diagnostics(rows: DataFrame, out: Path, alpha: float, fdr: float, about: dict[str, dict[str, str]] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The significant variants and the families' summary, both written once; `about`: what is declared of each dataset. The p-values are counted once for both."""
+    at = st.ranked(rows, "pval", ["dataset_id"])
+    summary = written(st.diagnostics(rows, alpha=alpha, fdr=fdr, at=at), "diagnostics")
+    writers.write_tsv(told(summary, about), str(out / "diagnostics.tsv"), ["dataset_id"])
+    significant = written(st.adjust(rows, alpha=alpha, fdr=fdr, at=at).where("bonferroni_significant or bh_significant"), "significant")
     writers.write_parts(significant, str(out / "significant_variants.tsv"), ["dataset_id", "src_row"])
-    return significant
+    return significant, summary
 
 
-def candidates(rows: DataFrame, out: Path, alpha: float, fdr: float, distance: int) -> DataFrame:
-    """Significant variants, signals, members and ranking."""
-    members = clusters.signals(diagnostics(rows, out, alpha, fdr), distance)
-    ranked = clusters.ranking(members)
-    writers.write_tsv(clusters.peaks(members), str(out / "association_peaks.tsv"), ["dataset_id", "signal_id"])
+def candidates(rows: DataFrame, out: Path, alpha: float, fdr: float, distance: int, about: dict[str, dict[str, str]] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Significant variants, signals, members and ranking; the ranking and the families' summary."""
+    significant, summary = diagnostics(rows, out, alpha, fdr, about)
+    members = written(told(clusters.signals(significant, distance), about), "members")
+    ranked = written(clusters.ranking(members), "ranked")
+    writers.write_tsv(told(clusters.peaks(members), about), str(out / "association_peaks.tsv"), ["dataset_id", "signal_id"])
     writers.write_parts(members, str(out / "candidate_snps.tsv"), ["dataset_id", "signal_id", "pos", "src_row"])
     writers.write_tsv(ranked, str(out / "candidate_ranking.tsv"), ["dataset_id", "candidate_rank"])
-    return ranked
+    return ranked, summary
 
 
-def plots(rows: DataFrame, out: Path) -> None:
+def manhattan(rows: DataFrame, out: Path) -> None:
     """Plot data, one row for each point, as Parquet: tables of this size aren't collected."""
     layout.manhattan(rows).write.parquet(str(out / "manhattan"))
+
+
+def qq(rows: DataFrame, out: Path) -> None:
+    """Data of a quantile plot, one row for each distinct p, as Parquet."""
     st.quantile_points(rows).write.parquet(str(out / "qq"))
 
 
+def plots(rows: DataFrame, out: Path) -> None:
+    manhattan(rows, out)
+    qq(rows, out)
+
+
 def regional(rows: DataFrame, regions: DataFrame, out: Path) -> None:
     """Plot data of each region's variants as Parquet, and the regions' top variants; a region without variants is an error."""
     inside = layout.in_regions(rows, regions).withColumn("y", -F.log10("pval"))
@@ -79,43 +100,129 @@ def top_variants(rows: DataFrame, regions: DataFrame, out: Path) -> None:
     writers.write_tsv(layout.top_by_region(rows, regions), str(out / "top_variants_by_region.tsv"), ["dataset_id", "region_no"])
 
 
-def batch(rows: DataFrame, out: Path, alpha: float, fdr: float, distance: int) -> None:
-    """Everything for all datasets at once; one shared scan."""
+def batch(rows: DataFrame, out: Path, alpha: float, fdr: float, distance: int, about: dict[str, dict[str, str]] | None = None) -> None:
+    """Everything for all datasets at once; one shared scan. The summary also says with what parameters, and what is declared of the datasets."""
     rows = rows.persist()
     plots(rows, out)
-    ranked = candidates(rows, out, alpha, fdr, distance)
+    ranked, summary = candidates(rows, out, alpha, fdr, distance, about)
     per = ranked.groupBy("dataset_id").agg(F.countDistinct("signal_id").alias("n_signals"), F.count("*").alias("n_candidates"))
-    summary = st.diagnostics(rows, alpha=alpha, fdr=fdr).join(per, "dataset_id", "left").fillna(0, ["n_signals", "n_candidates"])
-    writers.write_tsv(summary, str(out / "batch_summary.tsv"), ["dataset_id"])
+    summary = summary.join(per, "dataset_id", "left").fillna(0, ["n_signals", "n_candidates"])
+    summary = summary.withColumns({"alpha": F.lit(float(alpha)), "fdr_level": F.lit(float(fdr)), "clustering_distance": F.lit(distance)})
+    writers.write_tsv(told(summary, about), str(out / "batch_summary.tsv"), ["dataset_id"])
     rows.unpersist()
 
 
 #: Columns of a batch's tables that are numbers; all others are text, whatever they look like.
-WHOLE = ("n_tests", "n_bonferroni", "n_bh", "n_signals", "n_candidates", "candidate_rank", "priority_tier", "pos", "start", "end", "n_variants", "n_members", "signal_no", "lead_pos", "src_row")
-REAL = ("af", "beta", "pval", "bonferroni_p", "bh_p", "lambda_gc", "min_p", "bonferroni_threshold", "bh_raw_p_cutoff", "lead_pval", "lead_beta", "lead_af")
+WHOLE = ("n_tests", "n_bonferroni", "n_bh", "n_signals", "n_candidates", "candidate_rank", "priority_tier", "pos", "start", "end", "n_variants", "n_members", "signal_no", "lead_pos", "src_row", "clustering_distance")
+REAL = ("af", "beta", "pval", "bonferroni_p", "bh_p", "lambda_gc", "min_p", "bonferroni_threshold", "bh_raw_p_cutoff", "lead_pval", "lead_beta", "lead_af", "alpha", "fdr_level")
+PARAMETERS = ("alpha", "fdr_level", "clustering_distance")
+#: What of a batch's folder a package may hold: tables of one file, and tables and plot data in parts.
+ARTIFACTS = ("batch_summary.tsv", "diagnostics.tsv", "association_peaks.tsv", "candidate_ranking.tsv", "candidate_snps.tsv", "significant_variants.tsv", "manhattan", "qq")
 
 
-def report(spark: SparkSession, source: Path, out: Path) -> None:
-    """Check a batch folder's tables against one another, then copy them with a Markdown report and a manifest."""
-
+def batch_tables(spark: SparkSession, source: Path) -> dict[str, DataFrame]:
+    """summary, diagnostics, significant, peaks, members and ranks of a batch folder, which must be as its provenance says (if it has one), agree in all that they share, and be of one run."""
     if (source / "provenance.json").exists():
         writers.verify(source, json.loads((source / "provenance.json").read_text(encoding="utf-8"))["outputs"])
 
     def read(name: str) -> DataFrame:
         kinds = dict.fromkeys(WHOLE, "bigint") | dict.fromkeys(REAL, "double")
-        rows = spark.read.csv(str(source / name), sep="\t", header=True, quote="")
+        rows = spark.read.csv(str(writers.safe_path(str(source), name)), sep="\t", header=True, quote="")
         return rows.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else c for c in rows.columns])
 
-    summary, peaks, ranked, members, tests = (read(f"{n}.tsv") for n in ("batch_summary", "association_peaks", "candidate_ranking", "candidate_snps", "diagnostics"))
-    if odd := reports.disagreements(summary, tests, peaks, members, ranked).limit(10).collect():
-        raise contract.ContractError("tables disagree: " + "; ".join(f"{r.dataset_id} {r.check}: expected {r.expected:g}, found {r.actual:g}" for r in odd))
+    names = {"summary": "batch_summary", "diagnostics": "diagnostics", "significant": "significant_variants", "peaks": "association_peaks", "members": "candidate_snps", "ranks": "candidate_ranking"}
+    tables = {k: read(f"{n}.tsv") for k, n in names.items()}
+    summary = tables["summary"]
+    if lost := set(PARAMETERS) - set(summary.columns):
+        raise contract.SchemaError(f"batch_summary.tsv lacks {sorted(lost)}")
+    if twice := summary.groupBy("dataset_id").count().where("count > 1").limit(1).collect():
+        raise contract.DuplicateError(f"dataset {twice[0].dataset_id} is summed up more than once")
+    if odd := reports.uneven(summary, PARAMETERS).collect():
+        raise contract.ContractError(f"one batch has one set of parameters, but {odd[0].column} has {odd[0].n_values} values")
+    rest = {k: x for k, x in tables.items() if k != "summary"}
+    if odd := reports.artifact_disagreements(summary, rest).orderBy("dataset_id", "table", "check").limit(10).collect():
+        raise contract.ContractError("tables disagree: " + "; ".join(f"{r.dataset_id}, {r.table}, {r.check}: expected {r.expected}, found {r.actual}" for r in odd))
+    return tables
+
+
+def report(spark: SparkSession, source: Path, out: Path) -> None:
+    """Check a batch folder's tables against one another, then copy the small ones with a Markdown report and a manifest."""
+    tables = batch_tables(spark, source)
+    summary, ranked = tables["summary"], tables["ranks"]
     in_all = reports.totals(summary)
-    for name in ("batch_summary.tsv", "association_peaks.tsv", "candidate_ranking.tsv"):
-        writers.safe_path(str(out), name).write_bytes((source / name).read_bytes())
+    writers.copied(spark, source, out, ("batch_summary.tsv", "association_peaks.tsv", "candidate_ranking.tsv"))
     (out / "report.md").write_text(writers.markdown("Association report", {"Totals (families aren't pooled)": in_all, "Datasets": summary.orderBy("dataset_id"), "Best candidates": ranked.orderBy("candidate_rank", "dataset_id")}), encoding="utf-8")
     (out / "manifest.json").write_text(writers.json_text(writers.manifest(out)), encoding="utf-8")
 
 
+#: What a package doesn't claim; both of its reports say so.
+LIMITS = (
+    "Published summary statistics are summed up here; no association study was run again.",
+    "A signal is a cluster by physical distance, neither a linkage block nor an independent locus.",
+    "A lead variant isn't said to be causal. Tiers order candidates for validation; they say nothing of biological weight.",
+    "Families are corrected apart, and totals only add up counts. Coordinates of different references aren't compared.",
+    "lambda_gc is a diagnostic figure; no p-value was changed by it.",
+)
+
+
+def package(spark: SparkSession, source: Path, out: Path, need_provenance: bool = False, most_datasets: int = 1000) -> None:
+    """A package to hand on: a short and a long report, a copy of the batch's tables and plot data under artifacts/, and what is needed to check it under reproducibility/.
+
+    Nothing is computed again. Only the named tables and plot data are copied, by tasks; the reports show the first 3 and 10 candidates of each dataset. With `need_provenance`, a batch without a record of its run is refused.
+    """
+    record = source / "provenance.json"
+    if need_provenance and not record.exists():
+        raise contract.ContractError(f"{source.name} has no provenance.json")
+    tables = batch_tables(spark, source)
+    contract.at_most(tables["summary"], most_datasets, "datasets")
+    for k in ("members", "ranks"):
+        if twice := reports.repeated(tables[k]).limit(1).collect():
+            raise contract.DuplicateError(f"{twice[0].dataset_id}: variant {twice[0].chr}:{twice[0].pos} is there {twice[0].n} times in {k}")
+    datasets = [r.asDict() for r in tables["summary"].orderBy("dataset_id").collect()]
+    best: dict[str, list] = {}
+    for r in reports.preview(tables["ranks"], tables["members"], 10).orderBy("dataset_id", "candidate_rank").collect():
+        if r.n_matches != 1:
+            raise contract.ContractError(f"{r.dataset_id}: candidate {r.candidate_rank} is no member of a signal")
+        best.setdefault(r.dataset_id, []).append(r)
+    copies = writers.copied(spark, source, out / "artifacts", ARTIFACTS + (("provenance.json",) if record.exists() else ()))
+    for name, text in (("executive_summary.md", _report_text("Summary", datasets, best, 3, False)), ("analysis_report.md", _report_text("Analysis report", datasets, best, 10, True))):
+        (out / name).write_text(text, encoding="utf-8")
+    folder = out / "reproducibility"
+    folder.mkdir()
+    known = json.loads(record.read_text(encoding="utf-8")) if record.exists() else {}
+    (folder / "input_checksums.tsv").write_text("dataset_id\tsource_sha256\n" + "".join(f"{d['dataset_id']}\t{d.get('source_sha256') or ''}\n" for d in datasets), encoding="utf-8")
+    (folder / "software_versions.json").write_text(writers.json_text({"report": writers.environment(), "analysis": known.get("environment")}), encoding="utf-8")
+    texts = [{"relative_path": x, "sha256": readers.checksum(str(out / x)), "bytes": (out / x).stat().st_size} for x in ("executive_summary.md", "analysis_report.md", "reproducibility/input_checksums.tsv", "reproducibility/software_versions.json")]
+    content = {"parameters": {k: datasets[0][k] for k in PARAMETERS} if datasets else {}, "datasets": [{k: v for k, v in d.items() if k not in PARAMETERS} for d in datasets], "limits": LIMITS, "run_id": known.get("run_id"), "artifacts": [{**c, "relative_path": f"artifacts/{c['relative_path']}", "role": c["relative_path"].split("/")[0].removesuffix(".tsv")} for c in copies] + [x | {"role": "report"} for x in texts]}
+    (folder / "run_manifest.json").write_text(writers.json_text(content), encoding="utf-8")
+
+
+def _table_text(head: tuple[str, ...], rows: list[tuple]) -> list[str]:
+    return ["| " + " | ".join(head) + " |", "|" + "---|" * len(head), *("| " + " | ".join(writers.cell(x) for x in r) + " |" for r in rows), ""]
+
+
+def _report_text(title: str, datasets: list[dict], best: dict[str, list], most: int, full: bool) -> str:
+    """Markdown of one of a package's reports."""
+    columns = ("dataset_id", *(c for c in ("reference", "trait", *(("source_sha256",) if full else ())) if datasets and c in datasets[0]), "n_tests", "n_bonferroni", "n_bh", "lambda_gc", "n_signals", "n_candidates")
+    out = [f"# {title}", ""]
+    if datasets:
+        out += ["Parameters: " + ", ".join(f"{k} = {datasets[0][k]}" for k in PARAMETERS) + ", for each family apart.", ""]
+    out += ["## Datasets", "", *_table_text(columns, [tuple(d[c] for c in columns) for d in datasets])]
+    out += [f"In all {len(datasets)} datasets: {sum(d['n_signals'] for d in datasets)} signals and {sum(d['n_candidates'] for d in datasets)} candidates, counted apart.", "", "## Candidates", ""]
+    for d in datasets:
+        rows = best.get(d["dataset_id"], [])[:most]
+        out += [f"### {d['dataset_id']}", ""]
+        if not rows:
+            out += ["No variant passes either correction.", ""]
+            continue
+        out += _table_text(("rank", "tier", "signal", "chr", "pos", "p", "beta", "reasons"), [(r.candidate_rank, r.priority_tier, r.signal_id, r.chr, r.pos, r.pval, r.beta, r.priority_reasons) for r in rows])
+        if d["n_candidates"] > len(rows):
+            out += [f"{d['n_candidates'] - len(rows)} more are in [artifacts/candidate_ranking.tsv](artifacts/candidate_ranking.tsv).", ""]
+    if full:
+        out += ["## Methods", "", "Bonferroni holds the chance of any false discovery in a family at alpha. Benjamini-Hochberg holds their expected share at fdr_level, if tests are independent or depend positively.", "", "## Files", "", "reproducibility/run_manifest.json lists all files with their checksums.", ""]
+    return "\n".join([*out, "## Limits", "", *(f"* {x}" for x in LIMITS), ""])
+
+
 def customer_summary(spark: SparkSession, table: str, columns: dict[str, str], fasta: str, out: Path, alpha: float, fdr: float, distance: int, exclude: bool = False, most_rows: int = 1_000_000, degrees: int = 1, **declared) -> None:
     """Normalise, correct in log space, cluster and rank a table whose columns are declared (role to column)."""
     raw = contract.at_most(readers.table(spark, table, tuple(columns.values())), most_rows, "rows")
@@ -179,8 +286,7 @@ def context(spark: SparkSession, chosen: DataFrame, fasta: str, out: Path, flank
         writers.write_parts(near, str(out / "neighbors.tsv"), ["candidate_id", "v_pos", "v_ref", "v_alt"])
     writers.write_tsv(rows.drop("bases").withColumn("sequence_sha256", F.sha2("sequence", 256)), str(out / "candidate_context.tsv"), ["candidate_id"])
     named = rows.select(F.concat(percent_encode("candidate_id"), *[F.concat(F.lit(f" {c}="), percent_encode(c)) for c in ("chr", "pos", "strand")], F.lit(" sha256="), F.sha2("sequence", 256)).alias("name"), "sequence")
-    with open(out / "flanking_sequences.fasta", "w", encoding="utf-8") as f:
-        f.writelines(f"{line}\n" for line in writers.fasta_text(named, "name", "sequence"))
+    writers.write_fasta(named, str(out / "flanking_sequences.fasta"), "name", "sequence")
     return rows
 
 

@@ -7,12 +7,16 @@ import hashlib
 import json
 import math
 import os
+import platform
 import shutil
 import tempfile
 from collections.abc import Iterator
+from importlib import metadata
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sorrel.sources.readers import checksum
 
@@ -95,6 +99,52 @@ def verify(folder: Path, expected: dict[str, str]) -> None:
         raise ValueError(f"files differ from the manifest: {sorted(set(found.items()) ^ set(expected.items()))}")
 
 
+def environment() -> dict:
+    """Versions of what a run depends on; no names of hosts, users or folders."""
+    return {"python": platform.python_version(), "platform": platform.platform(), "packages": {x: metadata.version(x) for x in ("pyspark", "pyarrow", "pandas", "numpy")}}
+
+
+def copied(spark: SparkSession, source: Path, out: Path, names: tuple[str, ...]) -> list[dict]:
+    """Copy the named files, and the files of the named folders, of a source that driver and executors share; relative_path, bytes and sha256 of each, in order. What isn't named isn't copied.
+
+    Each file is copied and read back by a task of its own, so no table passes through the driver. A copy is put in place when it is whole, so a task that is run again leaves the same file.
+    """
+    files = []
+    for name in names:
+        path = safe_path(str(source), name)
+        if not path.exists():
+            raise FileNotFoundError(f"{name} isn't there")
+        files += [name] if path.is_file() else sorted(str(p.relative_to(source)) for p in path.rglob("*") if p.is_file() and p.name[0] not in "._")
+    for name in files:
+        safe_path(str(source), name)
+    source, out = source.resolve(), out.resolve()
+
+    def copy(batches):
+        for batch in batches:
+            rows = []
+            for name in batch.column(0).to_pylist():
+                target = out / name
+                target.parent.mkdir(parents=True, exist_ok=True)
+                fd, temp = tempfile.mkstemp(dir=target.parent)
+                os.close(fd)
+                shutil.copyfile(source / name, temp)
+                os.chmod(temp, 0o644)
+                os.replace(temp, target)
+                rows.append((name, target.stat().st_size, checksum(str(target))))
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.string()), strict=True)] if rows else [pa.array([], t) for t in (pa.string(), pa.int64(), pa.string())], ["relative_path", "bytes", "sha256"])
+
+    listed = spark.createDataFrame([(i, x) for i, x in enumerate(files)], "i long, name string").repartitionByRange(max(1, min(len(files), 1000)), "i").select("name")
+    done = listed.mapInArrow(copy, "relative_path string, bytes long, sha256 string")
+    return [r.asDict() for r in done.orderBy("relative_path").collect()]
+
+
+def write_fasta(records: DataFrame, path: str, name: str, sequence: str, width: int = 60) -> None:
+    """A folder of FASTA parts, written by the tasks, in order of the names within each; names are expected to be encoded. A record is never split over parts."""
+    lines = F.array_join(F.regexp_extract_all(sequence, F.lit(f"(.{{1,{width}}})"), 1), "\n")
+    n = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    records.repartitionByRange(n, name).sortWithinPartitions(name).select(F.concat(F.lit(">"), F.col(name), F.lit("\n"), lines).alias("value")).write.text(path)
+
+
 def markdown(title: str, sections: dict[str, DataFrame], preview: int = 10) -> str:
     """A report with the first rows of ordered tables."""
     out = [f"# {title}", ""]
@@ -102,10 +152,3 @@ def markdown(title: str, sections: dict[str, DataFrame], preview: int = 10) -> s
         rows = df.limit(preview).collect()
         out += [f"## {name}", "", "| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns), *("| " + " | ".join(cell(x) for x in r) + " |" for r in rows), ""]
     return "\n".join(out)
-
-
-def fasta_text(records: DataFrame, name: str, sequence: str, width: int = 60) -> Iterator[str]:
-    """Lines of a FASTA file of a small table; names are expected to be encoded."""
-    for r in records.select(name, sequence).orderBy(name).toLocalIterator():
-        yield f">{r[0]}"
-        yield from (r[1][i : i + width] for i in range(0, len(r[1]), width))
