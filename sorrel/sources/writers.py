@@ -138,11 +138,35 @@ def copied(spark: SparkSession, source: Path, out: Path, names: tuple[str, ...])
     return [r.asDict() for r in done.orderBy("relative_path").collect()]
 
 
+def joined(spark: SparkSession, folder: Path, path: Path) -> None:
+    """Make one file of a folder's parts, in the order of their names, and delete the folder. Sums of the parts' sizes say where each goes, and a task for each writes it there, so a task that is run again writes the same bytes."""
+    parts = sorted(p for p in folder.resolve().iterdir() if p.name[0] not in "._")
+    sizes = [p.stat().st_size for p in parts]
+    target = path.resolve()
+    with open(target, "wb") as f:
+        f.truncate(sum(sizes))
+
+    def place(batches):
+        for batch in batches:
+            for at, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                with open(name, "rb") as source, open(target, "r+b") as out:
+                    out.seek(at)
+                    shutil.copyfileobj(source, out)
+            yield pa.RecordBatch.from_arrays([batch.column(1)], ["name"])
+
+    listed = [(sum(sizes[:i]), str(p)) for i, p in enumerate(parts) if sizes[i]]
+    if listed:
+        spark.createDataFrame(listed, "at long, name string").repartitionByRange(min(len(listed), 1000), "at").mapInArrow(place, "name string").count()
+    shutil.rmtree(folder)
+
+
 def write_fasta(records: DataFrame, path: str, name: str, sequence: str, width: int = 60) -> None:
-    """A folder of FASTA parts, written by the tasks, in order of the names within each; names are expected to be encoded. A record is never split over parts."""
+    """One FASTA file in order of the names, which are expected to be encoded. Tasks write the records in ranges of names, and put the ranges together."""
     lines = F.array_join(F.regexp_extract_all(sequence, F.lit(f"(.{{1,{width}}})"), 1), "\n")
     n = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    records.repartitionByRange(n, name).sortWithinPartitions(name).select(F.concat(F.lit(">"), F.col(name), F.lit("\n"), lines).alias("value")).write.text(path)
+    folder = Path(f"{path}.parts")
+    records.repartitionByRange(n, name).sortWithinPartitions(name).select(F.concat(F.lit(">"), F.col(name), F.lit("\n"), lines).alias("value")).write.text(str(folder))
+    joined(records.sparkSession, folder, Path(path))
 
 
 def markdown(title: str, sections: dict[str, DataFrame], preview: int = 10) -> str:

@@ -162,10 +162,12 @@ def test_reference_command(spark, tmp_path):
     assert got["contigs"] == [{"name": "c1", "length": 8, "offset": 4, "line_bases": 6, "line_bytes": 7}] and set(got["checksums"]) == {"fasta", "fai"}
 
 
-def test_fasta_parts(spark, tmp_path):
+def test_fasta(spark, tmp_path):
     rnd = random.Random(1)
     want = {f"s{i:03d}": "".join(rnd.choice("ACGT") for _ in range(rnd.choice([1, 59, 60, 61, 361]))) for i in range(200)}
-    writers.write_fasta(spark.createDataFrame(list(want.items()), "name string, sequence string").repartition(7), f"{tmp_path}/f.fasta", "name", "sequence")
-    assert {r.name: r.sequence for r in readers.fasta_records(spark, f"{tmp_path}/f.fasta").collect()} == want
-    parts = sorted((tmp_path / "f.fasta").glob("part-*"))
-    assert len(parts) > 1 and all(p.read_text()[0] == ">" and max(map(len, p.read_text().splitlines())) <= 60 for p in parts)
+    path = tmp_path / "f.fasta"
+    writers.write_fasta(spark.createDataFrame(list(want.items()), "name string, sequence string").repartition(7), str(path), "name", "sequence")
+    assert path.read_text() == "".join(f">{k}\n" + "".join(x[i : i + 60] + "\n" for i in range(0, len(x), 60)) for k, x in sorted(want.items()))
+    assert {r.name: r.sequence for r in readers.fasta_records(spark, str(path)).collect()} == want and [p.name for p in tmp_path.iterdir()] == ["f.fasta"]
+    writers.write_fasta(spark.createDataFrame([], "name string, sequence string"), str(tmp_path / "e.fasta"), "name", "sequence")
+    assert (tmp_path / "e.fasta").read_text() == ""
