@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import re
 from itertools import chain, compress
 
 import numpy as np
 
-_ENCODERS: dict[str, "WordEncoder"] = {}
+_ENCODERS: dict[str, "WordEncoder | TextEncoder"] = {}
 
 
 def tokenizer_path(name: str) -> str:
@@ -123,8 +124,42 @@ class WordEncoder:
         return np.insert(ids, cuts, np.uint32(end_id)), counts
 
 
-def encoder(path: str) -> WordEncoder:
-    """One per worker process and file."""
+class TextEncoder:
+    """Encodes whole texts with the tokenizer itself, for files that aren't cut and lower-cased as `WordEncoder` expects."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+
+    def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """As `WordEncoder.encode`."""
+        ids, counts = WordEncoder._flat(self.tokenizer, [t.decode("utf-8", "replace") for t in texts])
+        return np.insert(ids, np.cumsum(counts), np.uint32(end_id)), counts + 1
+
+
+#: How a tokenizer file must normalize and cut for its texts to be encoded word by word.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def by_words(path: str) -> bool:
+    """Whether a tokenizer file may be used word by word: its normalizer and pattern are the ones above, its merges close words with </w>, and its added tokens begin with <|. The file is read, not its name."""
+    with open(path, encoding="utf-8") as f:
+        said = json.load(f)
+    normalizer, cutter, model = said.get("normalizer") or {}, said.get("pre_tokenizer") or {}, said["model"]
+    split, *rest = cutter.get("pretokenizers") or [{}]
+    return (
+        normalizer.get("normalizers") == NORMALIZERS
+        and (split.get("pattern"), split.get("behavior"), split.get("invert")) == ({"Regex": PATTERN}, "Removed", True)
+        and [(x["type"], x.get("add_prefix_space"), x.get("use_regex")) for x in rest] == [("ByteLevel", False, False)]
+        and model.get("type") == "BPE" and model.get("end_of_word_suffix") == "</w>" and not model.get("dropout") and not model.get("continuing_subword_prefix") and not model.get("ignore_merges")
+        and all(x["content"].startswith("<|") for x in said.get("added_tokens") or [])
+    )
+
+
+def encoder(path: str) -> WordEncoder | TextEncoder:
+    """One per worker process and file: word by word where the file allows it, else whole texts."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
+        _ENCODERS[path] = WordEncoder(path) if by_words(path) else TextEncoder(path)
     return _ENCODERS[path]
