@@ -19,3 +19,35 @@ def test_kinship_of_one_block_shuffles_no_product(spark, samples):
     k = zz @ zz.T / scale
     assert len(got) == samples * (samples + 1) // 2 and all(a <= b and v == pytest.approx(k[a, b], abs=1e-12) for (a, b), v in got.items())
     assert df._jdf.queryExecution().executedPlan().toString().count("FlatMapGroupsInPandas") <= 2  # packing alone: nothing is grouped after (the plan is shown once or twice)
+
+
+def test_oligos_are_measured_as_arrays(spark):
+    """The same as the column expressions, for oligos of any length and letters; what ends a tract at one end of a row doesn't reach another."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from sorrel.functions.text import complementary_run, gc_fraction, longest_run, melting_celsius
+    from sorrel.operators import oligos
+
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice(al) for _ in range(rnd.randint(2, 26))) for al in ("ACGT", "AT", "A", "ACGTN") for _ in range(40)] + ["ACGT", "AATT", "GGGGGG", "CG"]
+    df = spark.createDataFrame(list(zip(texts, texts[::-1], strict=True)), "a string, b string")
+    got = oligos.measured(df, "a").withColumn("pair", oligos.complementary_tract("a", "b"))
+    want = df.select("a", "b", F.length("a"), gc_fraction("a"), melting_celsius("a"), longest_run("a"), complementary_run("a", "a"), complementary_run("a", "b"))
+    key = lambda r: tuple(x if not isinstance(x, float) else pytest.approx(x, abs=1e-9) for x in r)
+    assert [tuple(r) for r in got.collect()] == [key(r) for r in want.collect()]
+    assert "lambda" not in got._jdf.queryExecution().toString()
+
+
+def test_tied_designs_leave_only_those_that_rank(spark):
+    """A part that comes again and again gives many pairs of one score; only the smallest products of these are rows."""
+    from sorrel.operators import oligos
+
+    unit = "GATTACCAGTCAGGCTAACGTCA"
+    sequence = (unit * 20)[:361]
+    s = oligos.Settings(max_self_match=30, max_pair_match=30, max_homopolymer=9, min_tm_C=10.0, max_tm_C=90.0, max_tm_difference_C=40.0)
+    alt = "A" if sequence[150] != "A" else "C"
+    designs = oligos._designed(sequence, 150, alt, None, [], s)[1]
+    assert s.alternatives <= len(designs) <= 3 * s.alternatives
+    assert len({x["score"] for x in designs}) < len(designs)
