@@ -63,7 +63,12 @@ def adjust(df: DataFrame, p: str = "pval", family: list[str] = ["dataset_id"], a
 
 def ranked_log(df: DataFrame, nlp: str, family: list[str]) -> DataFrame:
     """The same as `ranked` for -log10 p-values; p is their negative, so that it ascends with the p-value. Bins are a 64th wide."""
-    counted = written(df.groupBy(*family, (-F.col(nlp)).alias("p")).agg(F.count("*").alias("n")), "log-p-values").withColumn("bin", F.floor(F.col("p") * 64).cast("long"))
+    return ranked_log_counts(written(df.groupBy(*family, (-F.col(nlp)).alias("p")).agg(F.count("*").alias("n")), "log-p-values"), family)
+
+
+def ranked_log_counts(counted: DataFrame, family: list[str]) -> DataFrame:
+    """The same from the counts n of distinct p (a written table, as it is read twice)."""
+    counted = counted.withColumn("bin", F.floor(F.col("p") * 64).cast("long"))
     before = Window.partitionBy(*family).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     totals = counted.groupBy(*family, "bin").agg(F.sum("n").alias("in_bin"))
     totals = totals.select(*family, "bin", F.coalesce(F.sum("in_bin").over(before), F.lit(0)).alias("before"), F.sum("in_bin").over(Window.partitionBy(*family)).alias("m"))
@@ -73,8 +78,17 @@ def ranked_log(df: DataFrame, nlp: str, family: list[str]) -> DataFrame:
 
 def adjust_log(df: DataFrame, nlp: str = "neg_log10_pvalue", family: list[str] = ["dataset_id"], alpha: float = 0.05, fdr: float = 0.05) -> DataFrame:
     """The same in log space, for p-values below the double range: a running maximum of nlp - log10(m / rank), 0 at least."""
+    return _adjusted_log(df, ranked_log(df, nlp, family), nlp, family, alpha, fdr)
+
+
+def adjust_log_counts(counted: DataFrame, nlp: str = "neg_log10_pvalue", family: list[str] = ["dataset_id"], alpha: float = 0.05, fdr: float = 0.05) -> DataFrame:
+    """The same for distinct values with their counts n (a written table): a row each."""
+    return _adjusted_log(counted, ranked_log_counts(counted.select(*family, (-F.col(nlp)).alias("p"), "n"), family), nlp, family, alpha, fdr)
+
+
+def _adjusted_log(df: DataFrame, at: DataFrame, nlp: str, family: list[str], alpha: float, fdr: float) -> DataFrame:
     unit_interval(closed=False, alpha=alpha, fdr=fdr)
-    steps = ranked_log(df, nlp, family).withColumn("raw", -F.col("p") - F.log10(F.col("m") / F.col("rank")))
+    steps = at.withColumn("raw", -F.col("p") - F.log10(F.col("m") / F.col("rank")))
     steps = _suffix(steps, "raw", family, F.max).select(*family, (-F.col("p")).alias(nlp), F.col("m").alias("n_tests"), F.greatest("_suffix", F.lit(0.0)).alias("neg_log10_p_bh"))
     out = df.join(steps, [*family, nlp]).withColumn("neg_log10_p_bonferroni", F.greatest(F.lit(0.0), F.col(nlp) - F.log10("n_tests")))
     return out.withColumns({"bonferroni_significant": F.col("neg_log10_p_bonferroni") >= -F.log10(F.lit(alpha)), "bh_significant": F.col("neg_log10_p_bh") >= -F.log10(F.lit(fdr))})
