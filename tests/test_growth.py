@@ -51,3 +51,43 @@ def test_tied_designs_leave_only_those_that_rank(spark):
     designs = oligos._designed(sequence, 150, alt, None, [], s)[1]
     assert s.alternatives <= len(designs) <= 3 * s.alternatives
     assert len({x["score"] for x in designs}) < len(designs)
+
+
+def test_more_signals_than_their_numbers_have_digits(spark, tmp_path):
+    """10,010 signals of one family: numbers of five digits are cut by neither side."""
+    import duckdb
+
+    from sorrel.plans.queries import ORACLE_SQL, QUERIES
+
+    con = duckdb.connect()
+    con.execute(f"COPY (SELECT i AS l_orderkey, i * 97 AS l_partkey, i * 11 AS l_suppkey, 1::INT AS l_linenumber, 5.0::DOUBLE AS l_quantity, 1000.0 + i AS l_extendedprice, 0.05::DOUBLE AS l_discount, 0.02::DOUBLE AS l_tax, 'A' AS l_returnflag, 'F' AS l_linestatus FROM range(10010) t(i)) TO '{tmp_path}/lineitem.parquet'")
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet'")
+    for name in ("candidate_snps", "association_peaks"):
+        df = QUERIES[name](spark, str(tmp_path))
+        found = con.execute(ORACLE_SQL[name])
+        at = [c[0] for c in found.description].index("signal_id")
+        want = sorted(r[at] for r in found.fetchall())
+        assert len(set(want)) == 10010 and want[-1] == "A_F_peak_9999" and "A_F_peak_10010" in want
+        assert sorted(r.signal_id for r in df.select("signal_id").collect()) == want
+
+
+def test_set_differences_read_each_key_once(spark):
+    from sorrel.operators.contract import set_differences
+
+    left = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c"), (None, "c")], "k long, t string")
+    right = spark.createDataFrame([(2, "b"), (3, "a"), (3, "a"), (None, "c")], "k long, t string")
+    df = set_differences(left, right, ["k", "t"])
+    got = sorted((tuple(r) for r in df.collect()), key=str)
+    assert got == [(1, "a", "left"), (3, "a", "right"), (None, "c", "left"), (None, "c", "right")]
+    assert "Join" not in df._jdf.queryExecution().toString()
+
+
+def test_discoveries_come_from_counts(spark):
+    from pyspark.sql import functions as F
+
+    from sorrel.operators import customer
+    from sorrel.operators import statistics as st
+
+    rows = spark.createDataFrame([("d", f"bad{i}", None, "aligned_to_ALT") for i in range(2)] + [("d", None, float(i % 9), "unresolved_strand" if i % 4 == 0 else "aligned_to_ALT") for i in range(50)] + [("e", "bad", None, "as_reported")], "dataset_id string, reason string, neg_log10_pvalue double, effect_orientation string")
+    whole = customer.discoveries(rows, st.adjust_log(rows.where("reason is null").drop("reason")))
+    assert sorted(map(tuple, customer.counted_discoveries(rows).collect())) == sorted(map(tuple, whole.collect()))
