@@ -91,3 +91,30 @@ def test_discoveries_come_from_counts(spark):
     rows = spark.createDataFrame([("d", f"bad{i}", None, "aligned_to_ALT") for i in range(2)] + [("d", None, float(i % 9), "unresolved_strand" if i % 4 == 0 else "aligned_to_ALT") for i in range(50)] + [("e", "bad", None, "as_reported")], "dataset_id string, reason string, neg_log10_pvalue double, effect_orientation string")
     whole = customer.discoveries(rows, st.adjust_log(rows.where("reason is null").drop("reason")))
     assert sorted(map(tuple, customer.counted_discoveries(rows).collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_hits_are_counted_without_being_made(spark):
+    """Blocks over one another and over the edges of bins: counts, statuses and reached places are those of all hits."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from sorrel.operators import crossref, intervals
+
+    rnd = random.Random(8)
+    blocks = spark.createDataFrame([(f"k{i}", rnd.choice(["T1", "T2"]), 500 + rnd.choice([0, 40]) + q, rnd.choice([1, 7, 900, 5000]), rnd.choice(["Q1", "Q2"]), q, 30_000, rnd.choice("+-"), 1.0) for i, q in enumerate(rnd.randrange(0, 24_000) for _ in range(60))], "chain_id string, t_name string, t_start long, size long, q_name string, q_start long, q_size long, strand string, score double")
+    source = spark.createDataFrame([(f"c{i}", rnd.choice(["Q1", "Q2", "Q3"]), rnd.choice([1, 2048, 2049, 4096, rnd.randint(1, 30_000)]), "A", "C") for i in range(400)], "candidate_id string, chr string, pos long, ref string, alt string")
+    hits = intervals.map_points(source, blocks, "candidate_id")
+    counts = {(r.chr, r.pos): r.n_hits for r in intervals.hit_counts(source, blocks).collect()}
+    assert counts == {(r.chr, r.pos): r.n for r in hits.groupBy("chr", "pos").agg((F.count("*") / F.countDistinct("candidate_id")).cast("long").alias("n")).collect()} and max(counts.values()) > 2
+    reached = lambda h: {(r.candidate_id, r.target_chr, r.target_pos, r.strand) for r in h.collect()}
+    merged = intervals.diagonals(blocks)
+    assert reached(intervals.map_points(source, merged, "candidate_id")) == reached(hits) and merged.count() < 60
+    base = F.expr("substring('ACGT', cast(target_pos % 4 as int) + 1, 1)")
+    want = crossref.mapped(source, hits, hits.select("target_chr", "target_pos").distinct().withColumn("target_base", base))
+    columns = sorted(want.columns)
+    plain = lambda df: sorted((tuple(r) for r in df.select(columns).collect()), key=str)
+    assert plain(crossref.mapped_in_place(source, blocks, base)) == plain(want)
+    short = crossref.mapped_in_place(source, blocks, base, 1)
+    assert plain(short.where("n_hits < 2")) == plain(want.where("n_hits < 2")) and short.count() == 400
+    assert {(r.candidate_id, r.status) for r in short.collect()} == {(r.candidate_id, r.status) for r in want.collect()}
