@@ -34,7 +34,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, Jaccard similarity 0.8 or more) stays, the one with the smallest doc_id. Rows with a null doc_id stay.
 
-    Pairs of 0.8 differ in up to 20 of 64 SimHash bits, which no index tells from chance, so they are found by minimum hashes; the stage keeps its name.
+    Texts whose SimHashes are linked by op6's index are compared first. Pairs of 0.8 differ in up to 20 of 64 SimHash bits, which no index tells from chance, so those that are still apart are found by minimum hashes.
     """
     copies = near_copies(docs).where("doc_id != component_id").select("doc_id").distinct()
     return _documents(docs.join(copies, "doc_id", "left_anti"))

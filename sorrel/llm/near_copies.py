@@ -1,4 +1,4 @@
-"""Near copies by exact Jaccard similarity of word shingles; candidates share a band of minimum hashes."""
+"""Near copies by exact Jaccard similarity of word shingles: SimHash links first, then bands of minimum hashes for the pairs that its index can't reach."""
 
 from __future__ import annotations
 
@@ -10,8 +10,11 @@ from xxhash import xxh64_intdigest
 
 from sorrel.llm.common import NO_ID, forget, slices, strings, written
 from sorrel.llm.components import connected_components
+from sorrel.llm.simhash import links, majority
 from sorrel.llm.words import mixed, whole, windows, word_hashes
 
+#: Differing bits of the 64-bit SimHash of a shingle set up to which pairs are found by its index. A pair of 0.95 differs in some 5 bits, one of 0.8 in some 10, and up to 20, which no index of 64 bits tells from chance.
+RADIUS = 3
 #: A pair of similarity 0.8 shares no band with probability (1 - 0.8 ** 7) ** 32, about 0.0005; one of 0.5 shares one with probability 0.22.
 BANDS, ROWS = 32, 7
 #: Pairs whose minimum hashes agree in fewer than their expected share less this aren't compared exactly: four standard deviations of 224 hashes at 0.8, so one pair of 0.8 in 30,000 is lost to it, far fewer than to the bands.
@@ -56,8 +59,9 @@ def _listed(sets: list[np.ndarray]) -> pa.Array:
 
 
 def _shingled(docs: DataFrame, shingle: int, with_sets: bool, passing: np.ndarray | None = None) -> DataFrame:
-    """doc_id, node (a hash of the text's shingle set), its values (the set itself, or the keys of its bands), the set's size, and, with the keys, the last bytes of its minimum hashes. `passing`: only rows whose node may be in the filter."""
+    """doc_id, node (a hash of the text's shingle set), its values (the set itself, or the keys of its bands), the set's size, and, with the keys, the last bytes of its minimum hashes and its SimHash. `passing`: only rows whose node may be in the filter."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"))
+    names = ["doc_id", "node", "values", "size", "last", "fp"]
 
     def of(batches):
         for batch in batches:
@@ -74,11 +78,12 @@ def _shingled(docs: DataFrame, shingle: int, with_sets: bool, passing: np.ndarra
                 if passing is not None:
                     place = node.to_numpy() & (FILTER_BITS - 1)
                     chosen = np.flatnonzero((passing[place >> 6] >> (place & 63)) & 1)
-                    yield pa.record_batch([batch.column(0).slice(a, b - a).take(pa.array(chosen)), node.take(pa.array(chosen)), _listed([sets[i] for i in chosen]), pa.array([len(sets[i]) for i in chosen], pa.int32()), pa.nulls(len(chosen), pa.binary())], ["doc_id", "node", "values", "size", "last"])
+                    yield pa.record_batch([batch.column(0).slice(a, b - a).take(pa.array(chosen)), node.take(pa.array(chosen)), _listed([sets[i] for i in chosen]), pa.array([len(sets[i]) for i in chosen], pa.int32()), pa.nulls(len(chosen), pa.binary()), pa.nulls(len(chosen), pa.int64())], names)
                     continue
-                yield pa.record_batch([batch.column(0).slice(a, b - a), node, _listed(values), pa.array([len(s) for s in sets], pa.int32()), pa.array(last, pa.binary())], ["doc_id", "node", "values", "size", "last"])
+                fp = pa.nulls(len(sets), pa.int64()) if with_sets else pa.array([majority(s) for s in sets], pa.int64())
+                yield pa.record_batch([batch.column(0).slice(a, b - a), node, _listed(values), pa.array([len(s) for s in sets], pa.int32()), pa.array(last, pa.binary()), fp], names)
 
-    return rows.mapInArrow(of, "doc_id long, node long, values array<long>, size int, last binary")
+    return rows.mapInArrow(of, "doc_id long, node long, values array<long>, size int, last binary, fp long")
 
 
 def _alike(a: str, b: str, threshold: float):
@@ -91,6 +96,27 @@ def _agreement(threshold: float) -> int:
     return int(BANDS * ROWS * (threshold - MARGIN))
 
 
+def simhash_pairs(nodes: DataFrame, threshold: float, radius: int = RADIUS) -> DataFrame:
+    """Pairs (a, b) of nodes (node, size, fp) to compare exactly: of each fingerprint, its first node with its others, and with the first node of the smallest fingerprint that SimHash links it to.
+
+    At most one pair for each node and one for each fingerprint, however large a group of near copies is.
+    """
+    nodes = nodes.where("size > 0")
+    firsts = written(nodes.groupBy("fp").agg(F.min(F.struct("node", "size")).alias("x")).select("fp", "x.node", "x.size"), "fingerprints")
+    linked = links(firsts.select("fp"), radius).select(F.greatest("a", "b").alias("fp"), F.least("a", "b").alias("to")).where("fp != to").groupBy("fp").agg(F.min("to").alias("to"))
+    own = firsts.select("fp", F.col("node").alias("a"), F.col("size").alias("x"))
+    same = nodes.select("fp", F.col("node").alias("b"), F.col("size").alias("y")).join(own, "fp").where("a != b")
+    near = linked.join(firsts.select("fp", F.col("node").alias("b"), F.col("size").alias("y")), "fp").join(own.withColumnRenamed("fp", "to"), "to")
+    return same.select("a", "b", "x", "y").unionByName(near.select("a", "b", "x", "y")).where(_alike("x", "y", threshold)).select("a", "b")
+
+
+def _apart(now: DataFrame, near: DataFrame) -> DataFrame:
+    """The rows of buckets (key, band, node, least, size) with their nodes' roots over the pairs `near`; a bucket that is one component is done."""
+    now = now.join(connected_components(near), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    left = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+    return written(now.join(left, "key"), "apart")
+
+
 def _likely(pairs: DataFrame, lasts: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose minimum hashes agree often enough for the threshold: the bytes of both travel, not the sets."""
 
@@ -173,7 +199,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, threshold: float
 def near_copies(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -> DataFrame:
     """doc_id and component_id: the smallest doc_id reachable over texts whose sets of word shingles have the Jaccard similarity `threshold` or more.
 
-    Equal sets are one node, however many documents share it. Nodes that share one of 32 bands of 7 minimum hashes are candidates. In each of a few rounds the nodes of a bucket that aren't connected with its centre are
+    Equal sets are one node, however many documents share it. Nodes whose SimHashes are linked by the pigeonring index (`simhash.links`) are compared first; what this connects isn't compared again. SimHash alone loses most pairs of
+    0.8 to 0.9, so nodes that share one of 32 bands of 7 minimum hashes are candidates, too. In each of a few rounds the nodes of a bucket that aren't connected with its centre are
     compared with it: its node with the smallest doc_id, which copies mostly come from, then that of the nodes apart from it, and so on. Those of a bucket that are still apart after these are all compared by their
     minimum hashes within tasks, so a large group of near copies isn't expanded into rows of pairs. Sets travel only for pairs whose minimum hashes agree; the similarity itself is exact. That a pair shares a band, and that its hashes agree, is likely, not certain.
 
@@ -189,22 +216,20 @@ def near_copies(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -> Da
     forget(keys)
     wanted = shared.select("node").distinct()
     lasts = written(bytes_.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "minimum-hashes")
-    near, apart, old = None, shared.withColumn("root", F.col("node")), [shared]
+    near = _confirmed(simhash_pairs(sketched.select("node", "size", "fp").dropDuplicates(["node"]), threshold), docs, shingle, threshold)
+    apart, old = _apart(shared, near), [shared]
     for _ in range(STARS):
         centre = apart.groupBy("key").agg(F.min(F.struct("least", "node", "root", "size")).alias("c")).select("key", F.col("c.node").alias("a"), F.col("c.root").alias("centre_root"), F.col("c.size").alias("centre_size"))
         pairs = apart.join(centre, "key").where("node != a and root != centre_root").where(_alike("size", "centre_size", threshold)).select("a", F.col("node").alias("b")).distinct()
         found = _confirmed(_likely(pairs, lasts, threshold), docs, shingle, threshold)
-        before, near = near, written(found if near is None else near.unionByName(found), "near")
-        roots = connected_components(near)
-        now = apart.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        # a bucket that is one component is done, and so is its centre in any other
-        mixed_ = now.join(centre.select("key", "a"), "key").where("node != a").drop("a")
-        left = mixed_.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-        apart = written(mixed_.join(left, "key"), "apart")
-        forget(*old)
-        old = [apart] if before is None else [apart, before]
+        before, near = near, written(near.unionByName(found), "near")
+        # a bucket's centre has been compared with all of it
+        rest = apart.join(centre.select("key", "a"), "key").where("node != a").drop("a", "root")
+        done, apart = apart, _apart(rest, near)
+        forget(*old, before)
+        old = [done]
     near = written(near.unionByName(_confirmed(_likely_in_buckets(apart, lasts, threshold), docs, shingle, threshold)), "near")
-    forget(lasts, *old)
+    forget(lasts, apart, *old)
     roots = connected_components(near)
     least = sketched.groupBy("node").agg(F.min("doc_id").alias("least"))
     tied = written(least.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")), "tied")

@@ -18,6 +18,14 @@ SEGMENTS, BITS = 8, 8
 SMALL, LARGE = 32, 4096
 
 
+def majority(hashes: np.ndarray) -> int:
+    """Bits that are set in over half the hashes, signed; 0 if there are none."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 8192):
+        ones += np.unpackbits(hashes[at : at + 8192].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<i8")[0])
+
+
 def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
     """Bits that are set in over half the hashes of the text's shingles (repeats included), signed."""
     words = text.encode().lower().split()
@@ -27,10 +35,7 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     hashes = np.array([xxh64_intdigest(joined[s:e], seed) for s, e in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)], np.uint64)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 8192):
-        ones += np.unpackbits(hashes[at : at + 8192].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<i8")[0])
+    return majority(hashes)
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:

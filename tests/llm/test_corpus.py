@@ -447,6 +447,39 @@ def test_near_copies(spark):
     assert near_copies.near_copies(full.limit(0)).collect() == []
 
 
+def test_near_copies_by_simhash(spark, monkeypatch):
+    """The pipeline's stage links by SimHash first, as brute force over fingerprints does, and compares what this connects no second time."""
+    rnd = random.Random(13)
+    text = {}
+    for g in range(8):
+        base = [f"v{rnd.randrange(9000)}" for _ in range(500)]
+        for j in range(6):
+            text[100 * g + j] = " ".join([*base, *[f"e{g}{j}{x}" for x in range(j)]])  # some words more at the end
+        text[100 * g + 50] = " ".join(x if rnd.random() > 0.02 else f"y{rnd.randrange(9999)}" for x in base)
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in text.items()] + [(9000, "", "en", "s", 0), (9001, None, "en", "s", 0)], SCHEMA).repartition(3)
+    nodes = near_copies._shingled(docs, 5, False).select("node", "size", "fp", "doc_id").where("size > 0")
+    rows = nodes.collect()
+    sets = {r.doc_id: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for r in rows for w in [text[r.doc_id].split()]}
+    of = {r.node: r.doc_id for r in rows}
+    fp = {r.node: r.fp for r in rows}
+    assert len(set(fp.values())) > 30 and all(r.size == len(sets[r.doc_id]) for r in rows)
+    first = {f: min(n for n in fp if fp[n] == f) for f in fp.values()}
+    want = {(first[f], n) for n, f in fp.items() if first[f] != n}
+    for f in first:
+        if near := [o for o in first if o < f and bin((o ^ f) & (1 << 64) - 1).count("1") <= 3]:
+            want.add((first[min(near)], first[f]))
+    assert {tuple(r) for r in near_copies.simhash_pairs(nodes, 0.0).collect()} == want and len(want) > 20
+
+    linked, later, plain, likely = [], [], near_copies.links, near_copies._likely
+    monkeypatch.setattr(near_copies, "links", lambda fps, *a: linked.append({r.fp for r in fps.collect()}) or plain(fps, *a))
+    monkeypatch.setattr(near_copies, "_likely", lambda pairs, *a: later.extend(map(tuple, pairs.collect())) or likely(pairs, *a))
+    kept = {r.doc_id for r in corpus_pipeline.simhash_near_dedup(spark, docs, "").collect()}
+    assert linked == [set(first)]
+    good = {p for p in want if len(sets[of[p[0]]] & sets[of[p[1]]]) >= 0.8 * len(sets[of[p[0]]] | sets[of[p[1]]])}
+    assert len(good) > 20 and not {frozenset(p) for p in good} & {frozenset(p) for p in later}
+    assert {100 * g for g in range(8)} | {9000} <= kept and not {i for i in kept if i % 100 in range(1, 6)}
+
+
 NAMES = ("key", "hash", "row", "h", "h2", "span", "first", "pos", "line", "text_hash", "dropped", "_text", "_words", "_lines", "_key", "_rules", "rules", "spans", "kept", "clean_text", "n_words", "fp", "root", "node", "component_id", "shard", "slot", "place", "at", "part", "bucket", "kind", "a", "b", "ids", "item_id", "paragraph", "grams", "features", "prediction", "family", "_p", "size", "Text2")
 
 
