@@ -108,3 +108,50 @@ def test_sums_over_ranges(spark, monkeypatch):
     rows = spark.range(100).selectExpr("id * 3 as at", "id % 4 as g", "id as x")
     got = {r.at: (r.a, r.b) for r in readers.sums_before(rows, ["g"], "at", a=rows.x, b=rows.x * 0 + 1).collect()}
     assert got == {3 * i: (sum(range(i % 4, i, 4)), i // 4) for i in range(100)}
+
+
+def _walked(lines):
+    """What a sequential reader says of the places of lines; other rules are left to the cases above."""
+    bad, head, t, q, ended, has = {}, None, 0, 0, False, {}
+    for row, value in lines:
+        f = value.split()
+        if f[0] == "chain":
+            head, t, q, ended, has[row] = row, int(f[5]), int(f[10]), False, False
+            t1, q1 = int(f[6]), int(f[11])
+            continue
+        size, dt, dq = (int(f[i]) if i < len(f) else 0 for i in range(3))
+        if head is None:
+            bad[row] = "a block outside a chain"
+        elif ended:
+            bad[row] = "a block after the last one of its chain"
+        elif t + size > t1 or q + size > q1:
+            bad[row] = "a block exceeds the declared ends"
+        elif len(f) == 1 and (t + size, q + size) != (t1, q1):
+            bad[row] = "the last block doesn't reach the declared ends"
+        if head is not None:
+            t, q, ended = t + size + dt, q + size + dq, ended or len(f) == 1
+            has[head] |= len(f) == 1
+    return bad | {r: "the chain has no last block" for r, ok in has.items() if not ok}
+
+
+@pytest.mark.parametrize("wide", [1, 3, 16, 65536])
+def test_chains_over_ranges(spark, monkeypatch, wide):
+    """Chains shorter and longer than a range, some of whose lines are lost or misplaced; lines are shuffled once and no join sorts them."""
+    import random
+
+    monkeypatch.setattr(chains, "RANGE", wide)
+    rnd, lines, at = random.Random(wide), [(2, "5 1 1")], 3
+    for c in range(40):
+        blocks = [(rnd.randrange(1, 9), rnd.randrange(3), rnd.randrange(3)) for _ in range(rnd.choice([1, 2, 3, 5, 40]))]
+        size, dt, dq = sum(b[0] for b in blocks), sum(b[1] for b in blocks[:-1]), sum(b[2] for b in blocks[:-1])
+        own = [f"chain 1 chrA 9000 + {c} {c + size + dt + (c % 7 == 3) - (c % 7 == 5)} chrA 9000 + 3 {3 + size + dq} c{c}", *[" ".join(map(str, b)) for b in blocks[:-1]], str(blocks[-1][0])]
+        own = own[:-1] if c % 5 == 4 else own[:1] + own[2:] if c % 11 == 6 else [*own, "3 0 0", "4"] if c % 9 == 5 else own
+        for value in own:
+            at += rnd.choice([1, 1, 1, 2, 9])
+            lines.append((at, value))
+    contigs = spark.createDataFrame([("chrA", 9000)], "chr string, length long")
+    found = chains.chain_lines(spark.createDataFrame(lines, "src_row long, value string").repartition(3), contigs, contigs)[0]
+    want = _walked(lines)
+    assert {r.src_row: r.reason for r in found.collect()} == want and len(set(want.values())) == 5
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
