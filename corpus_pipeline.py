@@ -46,8 +46,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boundary records of the documents' pieces in sequences of 4096 ids."""
-    return pack(docs, tokenizer_path("word_bpe_49k.json")).drop("ids")
+    """Boundary records of the documents' pieces in sequences of 4096 ids. Executors have worked for other stages before, so workers remember fewer words than in op8."""
+    return pack(docs, tokenizer_path("word_bpe_49k.json"), most_words=200_000).drop("ids")
 
 
 STAGES = [("quality rules", quality_rules), ("line dedup", line_dedup), ("SimHash near-dedup", simhash_near_dedup), ("benchmark decontamination", benchmark_decontamination), ("packing", packing)]

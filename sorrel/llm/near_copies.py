@@ -110,9 +110,14 @@ def simhash_pairs(nodes: DataFrame, threshold: float, radius: int = RADIUS) -> D
     return same.select("a", "b", "x", "y").unionByName(near.select("a", "b", "x", "y")).where(_alike("x", "y", threshold)).select("a", "b")
 
 
-def _apart(now: DataFrame, near: DataFrame) -> DataFrame:
-    """The rows of buckets (key, band, node, least, size) with their nodes' roots over the pairs `near`; a bucket that is one component is done."""
-    now = now.join(connected_components(near), "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _tied(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """`roots` (node, root) after more pairs (a, b): a component that is known comes in as its star, not with all pairs that made it, so only what is new takes rounds."""
+    return connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
+
+
+def _apart(now: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of buckets (key, band, node, least, size) with their nodes' roots; a bucket that is one component is done."""
+    now = now.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     left = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
     return written(now.join(left, "key"), "apart")
 
@@ -216,21 +221,19 @@ def near_copies(docs: DataFrame, shingle: int = 5, threshold: float = 0.8) -> Da
     forget(keys)
     wanted = shared.select("node").distinct()
     lasts = written(bytes_.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "minimum-hashes")
-    near = _confirmed(simhash_pairs(sketched.select("node", "size", "fp").dropDuplicates(["node"]), threshold), docs, shingle, threshold)
-    apart, old = _apart(shared, near), [shared]
+    roots = connected_components(_confirmed(simhash_pairs(sketched.select("node", "size", "fp").dropDuplicates(["node"]), threshold), docs, shingle, threshold))
+    apart, old = _apart(shared, roots), [shared]
     for _ in range(STARS):
         centre = apart.groupBy("key").agg(F.min(F.struct("least", "node", "root", "size")).alias("c")).select("key", F.col("c.node").alias("a"), F.col("c.root").alias("centre_root"), F.col("c.size").alias("centre_size"))
         pairs = apart.join(centre, "key").where("node != a and root != centre_root").where(_alike("size", "centre_size", threshold)).select("a", F.col("node").alias("b")).distinct()
-        found = _confirmed(_likely(pairs, lasts, threshold), docs, shingle, threshold)
-        before, near = near, written(near.unionByName(found), "near")
+        roots = _tied(roots, _confirmed(_likely(pairs, lasts, threshold), docs, shingle, threshold))
         # a bucket's centre has been compared with all of it
         rest = apart.join(centre.select("key", "a"), "key").where("node != a").drop("a", "root")
-        done, apart = apart, _apart(rest, near)
-        forget(*old, before)
+        done, apart = apart, _apart(rest, roots)
+        forget(*old)
         old = [done]
-    near = written(near.unionByName(_confirmed(_likely_in_buckets(apart, lasts, threshold), docs, shingle, threshold)), "near")
+    roots = _tied(roots, _confirmed(_likely_in_buckets(apart, lasts, threshold), docs, shingle, threshold))
     forget(lasts, apart, *old)
-    roots = connected_components(near)
     least = sketched.groupBy("node").agg(F.min("doc_id").alias("least"))
     tied = written(least.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")), "tied")
     component = written(tied.groupBy("root").agg(F.min("least").alias("component_id")), "components")

@@ -11,17 +11,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sorrel.llm.common import documents, slices, strings, written
-from sorrel.llm.tokens import encoder, tokenizer_path
+from sorrel.llm.tokens import MOST_WORDS, encoder, forget_words, tokenizer_path
 
 TOKENS = "part int, doc_id long, local_start long, n_tokens long, ids binary"
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def token_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def token_table(docs: DataFrame, tokenizer: str, end_id: int, most_words: int = MOST_WORDS) -> DataFrame:
     """First pass: ids of every document (unsigned 32-bit, little-endian), its partition, and its first id's place within that partition."""
 
     def encode(batches):
-        part, place, enc = TaskContext.get().partitionId(), 0, encoder(tokenizer)
+        part, place, enc = TaskContext.get().partitionId(), 0, encoder(tokenizer, most_words)
         for batch in batches:
             texts = strings(batch.column(1))
             lengths = np.diff(np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]) if len(texts) else np.zeros(0, np.int64)
@@ -35,17 +35,18 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(encode, TOKENS)
 
 
-def pack(docs: DataFrame, tokenizer: str, sequence_length: int = 4096, end_id: int = 2) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, sequence_length: int = 4096, end_id: int = 2, most_words: int = MOST_WORDS) -> DataFrame:
     """Pack all documents into sequences of `sequence_length` ids; returns a boundary record for each piece of a document, with its ids.
 
     First pass: tokenize, write the ids to the shared folder, and add up each partition's ids. The totals (one number for each partition)
     give partition bases by prefix sums. Second pass: every document's place in the stream is its partition's base plus its place within, and
     the stream is cut each `sequence_length` ids. Only the very last sequence needs padding. No text is shuffled.
+    The second pass needs no tokenizer: workers first forget the words (up to `most_words`) that they remember of the first, and hold some 4 MB of ids at a time.
 
     Null and empty texts are a single end id. Repeated rows are packed as often as they occur. An empty table gives no pieces.
     Other columns are ignored.
     """
-    table = written(token_table(docs, tokenizer, end_id), "packing-tokens")
+    table = written(token_table(docs, tokenizer, end_id, most_words), "packing-tokens")
     totals = sorted((r.part, r.n) for r in table.groupBy("part").agg(F.sum("n_tokens").alias("n")).toLocalIterator())
     bases = np.zeros(totals[-1][0] + 1 if totals else 1, np.int64)
     total = 0
@@ -54,7 +55,8 @@ def pack(docs: DataFrame, tokenizer: str, sequence_length: int = 4096, end_id: i
         total += n
 
     def cut(batches):
-        for batch in batches:
+        forget_words()
+        for batch in (whole.slice(a, b - a) for whole in batches for a, b in slices(whole.column(3).to_numpy(), 1_000_000)):
             part, counts = batch.column(0).to_numpy(), batch.column(3).to_numpy()
             place = bases[part] + batch.column(2).to_numpy()
             first, last = place // sequence_length, (place + counts - 1) // sequence_length

@@ -7,7 +7,10 @@ import re
 from itertools import chain, compress
 
 import numpy as np
+import pyarrow as pa
 
+#: Words whose ids a worker remembers, some 250 bytes each.
+MOST_WORDS = 600_000
 _ENCODERS: dict[str, "WordEncoder | TextEncoder"] = {}
 
 
@@ -46,7 +49,7 @@ class WordEncoder:
     forgets them all beyond that: memory is bounded and the result doesn't depend on what is remembered.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = MOST_WORDS):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
@@ -158,8 +161,19 @@ def by_words(path: str) -> bool:
     )
 
 
-def encoder(path: str) -> WordEncoder | TextEncoder:
-    """One per worker process and file: word by word where the file allows it, else whole texts."""
+def encoder(path: str, most: int = MOST_WORDS) -> WordEncoder | TextEncoder:
+    """One per worker process and file: word by word where the file allows it, else whole texts. `most`: words that it remembers."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path) if by_words(path) else TextEncoder(path)
-    return _ENCODERS[path]
+    enc = _ENCODERS[path]
+    if isinstance(enc, WordEncoder):
+        enc.most = most
+    return enc
+
+
+def forget_words() -> None:
+    """Workers outlive the tasks that encode: what theirs remember is given back to the system, the tokenizers stay."""
+    for enc in _ENCODERS.values():
+        if isinstance(enc, WordEncoder) and enc.known:
+            enc.forget()
+            pa.default_memory_pool().release_unused()

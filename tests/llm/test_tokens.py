@@ -3,11 +3,12 @@
 import json
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sorrel.llm import packing
+from sorrel.llm import packing, tokens
 from sorrel.llm.tokens import TextEncoder, WordEncoder, by_words, encoder, tokenizer_path
 
 TEXTS = ["", " ", "Plain words, and MORE of them.", "don't\tstop 12345  it's", "\u00c9t\u00e9 e\u0301t\u00e9 \u4e2d\u6587 \U0001f600!", "<|endoftext|> x", "line\n\nline \x00 end", "a" * 3000, "word " * 4000]
@@ -57,3 +58,16 @@ def test_pack_with_another_file(spark):
     got = packing.pack(docs, path).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("all")).collect()
     want = [len(x.ids) + 1 for x in Tokenizer.from_file(path).encode_batch([*TEXTS, ""], add_special_tokens=False)]
     assert {r.doc_id: (r.n, r["all"]) for r in got} == {i: (n, n) for i, n in enumerate(want)}
+
+
+def test_workers_forget_their_words_after_packing(spark):
+    """Workers live on into other stages: what they remember of the words that they packed isn't held there."""
+    texts = [(i, " ".join(f"word{i}x{j}" for j in range(50))) for i in range(40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(8)
+    assert packing.pack(docs, tokens.tokenizer_path("word_bpe_49k.json"), 64, most_words=100).count() >= 40
+
+    def remembered(batches):
+        for _ in batches:
+            yield pa.record_batch([pa.array([sum(len(e.known) for e in tokens._ENCODERS.values() if isinstance(e, tokens.WordEncoder))], pa.int64())], ["n"])
+
+    assert spark.range(0, 16, 1, 16).mapInArrow(remembered, "n long").agg(F.sum("n")).first()[0] == 0
