@@ -21,6 +21,22 @@ def test_kinship_of_one_block_shuffles_no_product(spark, samples):
     assert df._jdf.queryExecution().executedPlan().toString().count("FlatMapGroupsInPandas") <= 2  # packing alone: nothing is grouped after (the plan is shown once or twice)
 
 
+def test_kinship_leaves_tasks_by_value(spark):
+    """Equal values stand together, so that they are written once; in the order of samples each is written in full."""
+    from pyspark.sql import functions as F
+
+    g = np.random.default_rng(5).integers(0, 3, (60, 5))
+    long = spark.createDataFrame([(f"s{i}", j, int(g[i, j])) for i in range(60) for j in range(5)], "sample_id string, marker_id int, dosage int")
+    rows = genotypes.kinship(genotypes.centred(long, genotypes.marker_checks(long))).withColumn("task", F.spark_partition_id()).collect()
+    assert len(rows) == 60 * 61 // 2 and all(r.sample_a <= r.sample_b for r in rows)
+    for t in {r.task for r in rows}:
+        k = np.array([r.k for r in rows if r.task == t])
+        assert (np.diff(k) >= -1e-9).all()
+    x = np.array([0.5, -0.25, 3e300, -0.0, -2.0, 1e-300, 0.5])
+    assert x[np.concatenate(list(genotypes._from_least(x)))].tolist() == sorted(x)
+    assert sorted(np.concatenate(list(genotypes._from_least(np.resize(x, 3 * genotypes.STEP // 2)))).tolist()) == list(range(3 * genotypes.STEP // 2))
+
+
 def test_oligos_are_measured_as_arrays(spark):
     """The same as the column expressions, for oligos of any length and letters; what ends a tract at one end of a row doesn't reach another."""
     import random
