@@ -134,3 +134,21 @@ def test_hits_are_counted_without_being_made(spark):
     short = crossref.mapped_in_place(source, blocks, base, 1)
     assert plain(short.where("n_hits < 2")) == plain(want.where("n_hits < 2")) and short.count() == 400
     assert {(r.candidate_id, r.status) for r in short.collect()} == {(r.candidate_id, r.status) for r in want.collect()}
+
+
+_BLOCKS = [(f"k{i}", "T1", 500 * i, 900, "Q1", 300 * i, 30_000, "+-"[i % 2], 1.0) for i in range(60)], "chain_id string, t_name string, t_start long, size long, q_name string, q_start long, q_size long, strand string, score double"
+
+
+def test_hits_are_made_by_many_tasks(spark):
+    """However small what the join reads is: a point may have many hits."""
+    from pyspark.sql import functions as F
+
+    from sorrel.operators import intervals
+
+    points = spark.range(1, 18_001, 1, 1).selectExpr("concat('c', id) AS candidate_id", "'Q1' AS chr", "id AS pos")
+    hits = intervals.map_points(points, spark.createDataFrame(*_BLOCKS), "candidate_id").withColumn("task", F.spark_partition_id())
+    rows = hits.collect()
+    place = lambda r, b: b[2] + (r.pos - 1 if b[7] == "+" else b[6] - r.pos) - b[5] + 1
+    starts = {b[0]: (b[5] if b[7] == "+" else b[6] - b[5] - b[3], b) for b in _BLOCKS[0]}
+    assert sorted((r.pos, r.chain_id) for r in rows) == sorted((p, c) for c, (low, b) in starts.items() for p in range(low + 1, low + b[3] + 1) if p <= 18_000)
+    assert all(r.target_pos == place(r, starts[r.chain_id][1]) for r in rows) and len({r.task for r in rows}) == 4
