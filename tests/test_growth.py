@@ -152,3 +152,17 @@ def test_hits_are_made_by_many_tasks(spark):
     starts = {b[0]: (b[5] if b[7] == "+" else b[6] - b[5] - b[3], b) for b in _BLOCKS[0]}
     assert sorted((r.pos, r.chain_id) for r in rows) == sorted((p, c) for c, (low, b) in starts.items() for p in range(low + 1, low + b[3] + 1) if p <= 18_000)
     assert all(r.target_pos == place(r, starts[r.chain_id][1]) for r in rows) and len({r.task for r in rows}) == 4
+
+
+def test_alleles_are_turned_once_for_a_candidate(spark):
+    from pyspark.sql import functions as F
+
+    from sorrel.operators import crossref
+
+    source = spark.createDataFrame([("c1", "Q1", 700, "A", "C"), ("c2", "Q1", 29_999, "G", "T")], "candidate_id string, chr string, pos long, ref string, alt string")
+    df = crossref.mapped_in_place(source, spark.createDataFrame(*_BLOCKS), F.lit("A"))
+    rows = df.collect()
+    assert {(r.candidate_id, r.strand, r.mapped_ref, r.mapped_alt, r.status) for r in rows if r.strand == "+"} == {("c1", "+", "A", "C", "multimap")}
+    assert all((r.mapped_ref, r.mapped_alt) == ("C", "A") for r in rows if r.strand == "-" and r.candidate_id == "c2")
+    above = df._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "translate" not in above and "map(" not in above
