@@ -166,3 +166,36 @@ def test_alleles_are_turned_once_for_a_candidate(spark):
     assert all((r.mapped_ref, r.mapped_alt) == ("C", "A") for r in rows if r.strand == "-" and r.candidate_id == "c2")
     above = df._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
     assert "translate" not in above and "map(" not in above
+
+
+def test_candidates_are_screened_together(spark):
+    """Those of one length and offset in one set of arrays, in any number of parts, as one by one; reasons alone need no ranks and write nothing."""
+    import random
+
+    from sorrel.operators import oligos
+    from sorrel.sources import scratch
+
+    rnd = random.Random(6)
+    rows, known = [], []
+    for n in range(60):
+        length, sign = rnd.choice([40, 150, 150, 361]), rnd.choice("+-")
+        sequence, at, start = "".join(rnd.choice(rnd.choice(["ACGT", "GC", "ACGT"])) for _ in range(length)), length // 2, 1000 * n + 1
+        ref, alt = sequence[at], "ACGT"["ACGT".index(sequence[at]) - 1]
+        turn = (lambda x: x.translate(str.maketrans("ACGT", "TGCA"))) if sign == "-" else (lambda x: x)
+        rows.append((f"c{n}", start + at, turn(ref), turn(alt), sign, sequence, at, start, start + length - 1))
+        known += [(f"c{n}", start + rnd.randrange(length), "T" * rnd.choice([1, 2])) for _ in range(rnd.randrange(3))]
+    df = spark.createDataFrame(rows, "candidate_id string, pos long, ref string, alt string, strand string, sequence string, offset int, interval_start long, interval_end long").coalesce(1)
+    v = spark.createDataFrame(known, "candidate_id string, v_pos long, v_ref string")
+    s = oligos.Settings(max_pair_match=4, max_self_match=5)
+    ids = lambda x: sorted(map(tuple, x.collect()))
+    before = len(scratch._PATHS)
+    got = ids(oligos.rejections(df, s, v))
+    assert len(scratch._PATHS) == before and got == ids(oligos.design(df, s, v, 400)[1])
+    assert {"primer_dimer_screen", "cohort_variant_in_binding_site", "tm_difference"} <= {r[1] for r in got}
+    want = []
+    for c, _, _, alt, sign, sequence, at, low, high in rows:
+        span = (lambda a, b, high=high: (high - b + 1, high - a)) if sign == "-" else (lambda a, b, low=low: (low + a, low + b - 1))
+        other = alt.translate(str.maketrans("ACGT", "TGCA")) if sign == "-" else alt
+        why, found = oligos._designed(sequence, at, other, span, [(x[1], x[1] + len(x[2]) - 1) for x in known if x[0] == c], s)
+        want += [(c, k, n) for k, n in (why or ({} if found else {"insufficient_product_interval": 1})).items()]
+    assert got == sorted(want)
