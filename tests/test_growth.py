@@ -199,3 +199,11 @@ def test_candidates_are_screened_together(spark):
         why, found = oligos._designed(sequence, at, other, span, [(x[1], x[1] + len(x[2]) - 1) for x in known if x[0] == c], s)
         want += [(c, k, n) for k, n in (why or ({} if found else {"insufficient_product_interval": 1})).items()]
     assert got == sorted(want)
+
+
+def test_sequences_are_cut_once(spark):
+    """The cohort's variants are made of the same rows as the candidates."""
+    from sorrel.plans.queries import QUERIES
+
+    df = QUERIES["primer_rejections"](spark, "/root/testdata/sf0.001")
+    assert "regexp_extract_all" not in df._jdf.queryExecution().optimizedPlan().toString() and df.count() > 0
